@@ -27,6 +27,7 @@ def tweets(spark, sf_dir) -> DataFrame:
     t = d.join(p, d.doc_id == p.page_id, "left")
     i = F.col("doc_id")
     return t.select(
+        "doc_id",
         i.cast("string").alias("tweet_id"),
         (i % 97).cast("string").alias("author_id"),
         F.expr(f"timestampadd(MINUTE, cast(doc_id * 20 as int), {TS0})").alias("created_at"),
@@ -173,3 +174,95 @@ def conversation_seeds(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     last = c.groupBy("conv_id").agg(F.max("turn").alias("turn"))
     return last.select((F.col("conv_id") * 100 + F.col("turn")).cast("string").alias("tweet_id"))
+
+
+# --- tweet JSON in the reference's two shapes --------------------------------
+
+def _strip_first(arr):
+    return F.transform(arr, lambda x: F.substring(x, 2, 1 << 30))
+
+
+def _video_variants(i):
+    b1 = F.when(i % 8 == 1, F.lit(None)).otherwise((i % 3 + 1) * 100000).cast("long")
+    b2 = (F.when(i % 8 == 1, F.lit(None)).when(i % 8 == 0, b1)
+          .otherwise((i % 2 + 1) * 150000)).cast("long")
+    base = F.concat(F.lit("https://video.example/"), i.cast("string"))
+    return F.array(
+        F.struct(b1.alias("bitrate"), F.concat(base, F.lit("/a.mp4")).alias("url")),
+        F.struct(F.lit(None).cast("long").alias("bitrate"), F.concat(base, F.lit("/pl.m3u8")).alias("url")),
+        F.struct(b2.alias("bitrate"), F.concat(base, F.lit("/b.mp4")).alias("url")))
+
+
+def v1_json(spark, sf_dir) -> DataFrame:
+    """``(doc_id, value)``: each tweet as a v1.1 JSON object. Media by
+    doc_id % 4: video, animated GIF, photo, none (links only); a bitrate tie
+    when doc_id % 8 = 0, no bitrate at all when doc_id % 8 = 1."""
+    t = tweets(spark, sf_dir)
+    i = F.col("doc_id")
+    tags = _strip_first(F.filter(F.split("hashtags_str", ","), lambda x: x != ""))
+    ments = _strip_first(F.filter(F.split("mentions_str", ","), lambda x: x != ""))
+    urls = F.when(F.col("expanded_urls") != "", F.array(F.struct(F.col("expanded_urls").alias("expanded_url")))) \
+        .otherwise(F.array().cast("array<struct<expanded_url:string>>"))
+    kind4 = i % 4
+    vtype = F.when(kind4 == 0, "video").otherwise("animated_gif")
+    photo = F.struct(F.lit("photo").alias("type"),
+                     F.concat(F.lit("https://img.example/"), i.cast("string"), F.lit(".jpg")).alias("media_url"),
+                     F.lit(None).cast("struct<variants:array<struct<bitrate:bigint,url:string>>>").alias("video_info"))
+    video = F.struct(vtype.alias("type"), F.lit(None).cast("string").alias("media_url"),
+                     F.struct(_video_variants(i).alias("variants")).alias("video_info"))
+    ext = (F.when(kind4 == 2, F.struct(F.array(photo).alias("media")))
+           .when(kind4 <= 1, F.struct(F.array(video).alias("media"))))
+    parent = (i - 1)
+    obj = F.struct(
+        F.col("tweet_id").alias("id_str"), F.col("text").alias("text"), F.col("text").alias("full_text"),
+        F.array((i % 5).cast("int"), F.length("text").cast("int")).alias("display_text_range"),
+        F.date_format("created_at", "EEE MMM dd HH:mm:ss '+0000' yyyy").alias("created_at"),
+        F.col("lang"), F.col("like_count").alias("favorite_count"), F.col("retweet_count"),
+        (i % 7).alias("quote_count"), (i % 3).alias("reply_count"),
+        F.struct(F.col("author_id").alias("id_str")).alias("user"),
+        F.struct(F.transform(tags, lambda x: F.struct(x.alias("text"))).alias("hashtags"),
+                 F.transform(ments, lambda x: F.struct(x.alias("screen_name"))).alias("user_mentions"),
+                 urls.alias("urls")).alias("entities"),
+        ext.alias("extended_entities"),
+        F.when(F.col("kind") == "retweet", F.struct(
+            parent.cast("string").alias("id_str"),
+            F.struct((parent % 97).cast("string").alias("id_str")).alias("user"))).alias("retweeted_status"),
+    )
+    return t.select("doc_id", F.to_json(obj).alias("value"))
+
+
+def v2_json(spark, sf_dir) -> DataFrame:
+    """``(doc_id, value)``: each tweet as a v2 envelope. Retweets reference
+    ``doc_id - 1`` (``includes`` missing when doc_id % 20 = 18); replies
+    quote ``doc_id - 2`` and reply to ``doc_id - 1``; doc_id % 10 = 7 only
+    quotes. Every 11th record (doc_id % 11 = 0) is cut short."""
+    t = tweets(spark, sf_dir)
+    i = F.col("doc_id")
+    kind = F.col("kind")
+    ref = lambda typ, off: F.struct(F.lit(typ).alias("type"), (i - off).cast("string").alias("id"))
+    refs = (F.when(kind == "retweet", F.array(ref("retweeted", 1)))
+            .when(kind == "reply", F.array(ref("quoted", 2), ref("replied_to", 1)))
+            .when(i % 10 == 7, F.array(ref("quoted", 3))))
+    url = F.col("expanded_urls")
+    urls = F.when(url != "", F.array(F.struct(
+        url.alias("expanded_url"),
+        F.when(i % 2 == 0, F.concat(url, F.lit("#u"))).alias("unwound_url")))) \
+        .otherwise(F.array().cast("array<struct<expanded_url:string,unwound_url:string>>"))
+    tags = _strip_first(F.filter(F.split("hashtags_str", ","), lambda x: x != ""))
+    ments = _strip_first(F.filter(F.split("mentions_str", ","), lambda x: x != ""))
+    data = F.struct(
+        F.col("tweet_id").alias("id"), F.col("author_id"),
+        F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("created_at"),
+        F.col("text"),
+        F.struct(F.col("like_count"), (i % 7).alias("quote_count"), (i % 3).alias("reply_count"),
+                 F.col("retweet_count")).alias("public_metrics"),
+        refs.alias("referenced_tweets"),
+        F.struct(urls.alias("urls"),
+                 F.transform(tags, lambda x: F.struct(x.alias("tag"))).alias("hashtags"),
+                 F.transform(ments, lambda x: F.struct(x.alias("username"))).alias("mentions")).alias("entities"))
+    includes = F.when((kind == "retweet") & (i % 20 != 18), F.struct(F.array(F.struct(
+        (i - 1).cast("string").alias("id"), ((i - 1) % 97).cast("string").alias("author_id"))).alias("tweets")))
+    js = F.to_json(F.struct(data.alias("data"), includes.alias("includes")))
+    js = F.when(i % 11 == 0, F.expr("substring(_js, 1, length(_js) div 2)")).otherwise(F.col("_js"))
+    return t.select("doc_id", F.to_json(F.struct(data.alias("data"), includes.alias("includes"))).alias("_js")) \
+        .select("doc_id", js.alias("value"))

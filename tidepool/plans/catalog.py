@@ -324,3 +324,68 @@ def q_bot_share(spark, sf):
 @query("ingest_closure")
 def q_ingest_closure(spark, sf):
     return chains.ingest_closure(ad.conversation_seeds(spark, sf), ad.conversation_archive(spark, sf))
+
+
+# --- tweet JSON -------------------------------------------------------------
+
+def _landed_json(spark, sf, version: int) -> DataFrame:
+    """Land the adapter's JSON lines as files in the shared scratch folder
+    and read them back through the JSON source (S5)."""
+    from tidepool.session import scratch_path
+    from tidepool.sources.tweets_json import read_tweets_v1, read_tweets_v2
+    src = ad.v1_json(spark, sf) if version == 1 else ad.v2_json(spark, sf)
+    path = scratch_path(spark, f"tweets_v{version}")
+    src.select("value").write.mode("overwrite").text(path)
+    return read_tweets_v1(spark, path) if version == 1 else read_tweets_v2(spark, path)
+
+
+@query("parse_v1")
+def q_parse_v1(spark, sf):
+    from tidepool.operators.parse import parse_tweet_v1
+    return parse_tweet_v1(_landed_json(spark, sf, 1), extended=True)
+
+
+@query("parse_retweet_v1")
+def q_parse_retweet_v1(spark, sf):
+    from tidepool.operators.parse import parse_retweet_v1
+    return parse_retweet_v1(_landed_json(spark, sf, 1))
+
+
+@query("parse_v2_split")
+def q_parse_v2_split(spark, sf):
+    from tidepool.operators.parse import parse_tweet_v2, split_valid
+    valid, _ = split_valid(parse_tweet_v2(_landed_json(spark, sf, 2)))
+    return valid
+
+
+@query("rejects")
+def q_rejects(spark, sf):
+    from tidepool.operators.parse import parse_tweet_v2, reject_reason
+    p = parse_tweet_v2(_landed_json(spark, sf, 2))
+    status = F.coalesce(reject_reason(p), F.lit("valid"))
+    return p.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("media_best_variant")
+def q_media_best_variant(spark, sf):
+    from tidepool.operators.parse import extract_media
+    return extract_media(_landed_json(spark, sf, 1))
+
+
+@query("media_counts")
+def q_media_counts(spark, sf):
+    from tidepool.operators.parse import extract_media, route_media
+    from tidepool.session import scratch_path
+    path = scratch_path(spark, "media")
+    route_media(extract_media(_landed_json(spark, sf, 1)), path, mode="overwrite")
+    routed = spark.read.parquet(path)
+    return routed.groupBy("table").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("join_entities")
+def q_join_entities(spark, sf):
+    from tidepool.operators.parse import join_entities
+    v2 = _landed_json(spark, sf, 2).where(F.col("data").isNotNull())
+    urls, tags, ments = join_entities(F.col("data.entities"))
+    return v2.select(F.col("data.id").alias("tweet_id"), urls.alias("expanded_urls"),
+                     tags.alias("hashtags_str"), ments.alias("mentions_str"))

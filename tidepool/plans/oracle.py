@@ -71,7 +71,7 @@ def paragraphs_sql(x: str) -> str:
 TS = "TIMESTAMP '2024-01-01 00:00:00'"
 
 TWEETS = f"""tweets AS (
-  SELECT CAST(d.doc_id AS VARCHAR) AS tweet_id,
+  SELECT d.doc_id, CAST(d.doc_id AS VARCHAR) AS tweet_id,
          CAST(d.doc_id % 97 AS VARCHAR) AS author_id,
          {TS} + to_minutes(CAST(d.doc_id * 20 AS BIGINT)) AS created_at,
          d.text, d.lang, d.source,
@@ -301,3 +301,52 @@ ORACLE: dict[str, str] = {
         FROM walk w JOIN arch a ON a.tweet_id = w.fid
         WHERE a.kind = 'regular' OR (w.phase = 'R' AND a.kind = 'retweet')""",
 }
+
+
+V2_URLS = ("CASE WHEN expanded_urls <> '' THEN expanded_urls || CASE WHEN doc_id % 2 = 0 "
+           "THEN ',' || expanded_urls || '#u' ELSE '' END ELSE '' END")
+V1_TIME = "strftime(created_at, '%a %b %d %H:%M:%S +0000 %Y')"
+MEDIA = f"""{TWEETS}, m AS (
+  SELECT tweet_id, doc_id, expanded_urls, doc_id % 4 AS k,
+         CASE WHEN doc_id % 8 = 1 THEN NULL ELSE (doc_id % 3 + 1) * 100000 END AS b1,
+         CASE WHEN doc_id % 8 = 1 THEN NULL WHEN doc_id % 8 = 0 THEN (doc_id % 3 + 1) * 100000
+              ELSE (doc_id % 2 + 1) * 150000 END AS b2
+  FROM tweets),
+media AS (
+  SELECT tweet_id, k,
+         CASE k WHEN 0 THEN 'video' WHEN 1 THEN 'animated_gif' WHEN 2 THEN 'photo' ELSE 'other' END AS media_type,
+         CASE WHEN k = 2 THEN 'https://img.example/' || doc_id || '.jpg'
+              WHEN k = 3 THEN expanded_urls
+              WHEN b2 >= b1 THEN 'https://video.example/' || doc_id || '/b.mp4'
+              ELSE 'https://video.example/' || doc_id || '/a.mp4' END AS media_url
+  FROM m WHERE (k <= 1 AND b1 IS NOT NULL) OR k = 2 OR (k = 3 AND expanded_urls <> ''))"""
+
+ORACLE.update({
+    "parse_v1": f"""WITH {TWEETS} SELECT tweet_id,
+        substring(text, doc_id % 5 + 1, length(text) - doc_id % 5) AS full_text,
+        {V1_TIME} AS created_at, lang AS language, hashtags_str, mentions_str,
+        like_count AS favorite_count, retweet_count FROM tweets""",
+    "parse_retweet_v1": f"""WITH {TWEETS} SELECT kind = 'retweet' AS is_retweet, tweet_id, author_id,
+        {V1_TIME} AS created_at,
+        CASE WHEN kind = 'retweet' THEN CAST(doc_id - 1 AS VARCHAR) ELSE '' END AS parent_tweet_id,
+        CASE WHEN kind = 'retweet' THEN CAST((doc_id - 1) % 97 AS VARCHAR) ELSE '' END AS parent_tweet_author_id,
+        like_count, doc_id % 7 AS quote_count, doc_id % 3 AS reply_count, retweet_count, text FROM tweets""",
+    "parse_v2_split": f"""WITH {TWEETS} SELECT tweet_id, kind, author_id,
+        strftime(created_at, '%Y-%m-%dT%H:%M:%S.000Z') AS created_at, text,
+        CASE WHEN kind <> 'regular' THEN CAST(doc_id - 1 AS VARCHAR) END AS parent_tweet_id,
+        CASE WHEN kind = 'retweet' THEN CAST((doc_id - 1) % 97 AS VARCHAR) END AS parent_tweet_author_id,
+        CASE WHEN kind = 'regular' THEN {V2_URLS} END AS expanded_urls,
+        CASE WHEN kind = 'regular' THEN hashtags_str END AS hashtags_str,
+        CASE WHEN kind = 'regular' THEN mentions_str END AS mentions_str,
+        like_count, doc_id % 7 AS quote_count, doc_id % 3 AS reply_count, retweet_count
+        FROM tweets WHERE doc_id % 11 <> 0 AND NOT (kind = 'retweet' AND doc_id % 20 = 18)""",
+    "rejects": f"""WITH {TWEETS} SELECT status, count(*) AS n FROM (
+        SELECT CASE WHEN doc_id % 11 = 0 THEN 'malformed'
+                    WHEN kind = 'retweet' AND doc_id % 20 = 18 THEN 'parent not included'
+                    ELSE 'valid' END AS status FROM tweets) GROUP BY status""",
+    "media_best_variant": f"WITH {MEDIA} SELECT tweet_id, media_type, media_url FROM media",
+    "media_counts": f"""WITH {MEDIA} SELECT CASE k WHEN 0 THEN 'videos' WHEN 1 THEN 'gifs'
+        WHEN 2 THEN 'images' ELSE 'externals' END AS "table", count(*) AS n FROM media GROUP BY 1""",
+    "join_entities": f"""WITH {TWEETS} SELECT tweet_id, {V2_URLS} AS expanded_urls, hashtags_str, mentions_str
+        FROM tweets WHERE doc_id % 11 <> 0""",
+})
