@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from tidepool.session import scratch_path
+from tidepool.session import checkpoint_dir, scratch_path
 
 
 def _order_struct(order: list[str]):
@@ -48,6 +48,15 @@ def write_append(df: DataFrame, path: str, fmt: str = "parquet", partition_by=No
     w.save(path)
 
 
+def retweet_ids(full: DataFrame, clean: DataFrame, lang: str = "en", key: str = "tweet_id") -> DataFrame:
+    """IDs of the ``lang`` rows of the full set missing from the
+    ``lang`` rows of the clean set (retweets). A left anti join: duplicate
+    IDs of the full set are kept, unlike ``EXCEPT``."""
+    f = full.where(F.col("lang") == lang).select(key)
+    c = clean.where(F.col("lang") == lang).select(key).distinct()
+    return f.join(c, key, "left_anti")
+
+
 def hydrate(ids: DataFrame, archive: DataFrame, key: str = "tweet_id") -> DataFrame:
     """ID list -> full records; duplicate IDs hydrate once."""
     return ids.select(key).distinct().join(archive, key, "inner")
@@ -109,6 +118,7 @@ def assign_ids(df: DataFrame, base: int, order: list[str], id_col: str = "articl
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_df = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
                  .withColumn("_mid", F.monotonically_increasing_id()))
+    checkpoint_dir(spark)
     sorted_df = sorted_df.checkpoint(eager=True)
     part = F.shiftright(F.col("_mid"), 33)
     counts = sorted_df.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n")).collect()

@@ -119,16 +119,33 @@ def q_take_while_sorted(spark, sf):
 
 # --- ID sets ----------------------------------------------------------------
 
+def _landed_daily(spark, sf) -> DataFrame:
+    """Land ``full`` and ``clean`` ID sets as daily TSVs (one folder per
+    day; the clean set under a ``_clean`` name) and read them back (S3)."""
+    from tidepool.session import scratch_path
+    from tidepool.sources.files import read_daily_tsv, write_daily_tsv
+    root = scratch_path(spark, "daily")
+    day = F.date_format("created_at", "yyyy-MM-dd").alias("day")
+    t = ad.tweets(spark, sf).select("tweet_id", "lang", day)
+    good = ad.table(spark, sf, "labels").where("quality = 1").select(
+        F.col("doc_id").cast("string").alias("tweet_id"))
+    write_daily_tsv(t.repartition("day"), f"{root}/full", mode="overwrite")
+    write_daily_tsv(t.join(good, "tweet_id", "left_semi").repartition("day"), f"{root}/ids_clean",
+                    mode="overwrite")
+    return read_daily_tsv(spark, root)
+
+
 @query("daily_source_ids")
 def q_daily_source_ids(spark, sf):
-    return pr.lang_is(ad.clean_ids(spark, sf), "en").select("tweet_id")
+    d = _landed_daily(spark, sf)
+    return pr.lang_is(d.where("variant = 'clean'"), "en").select("tweet_id")
 
 
 @query("daily_retweet_ids")
 def q_daily_retweet_ids(spark, sf):
-    full = pr.lang_is(ad.full_ids(spark, sf), "en").select("tweet_id")
-    clean = pr.lang_is(ad.clean_ids(spark, sf), "en").select("tweet_id")
-    return full.join(clean, "tweet_id", "left_anti")
+    from tidepool.operators.keyed import retweet_ids
+    d = _landed_daily(spark, sf)
+    return retweet_ids(d.where("variant = 'full'"), d.where("variant = 'clean'"))
 
 
 def _archive(spark, sf):
@@ -389,3 +406,36 @@ def q_join_entities(spark, sf):
     urls, tags, ments = join_entities(F.col("data.entities"))
     return v2.select(F.col("data.id").alias("tweet_id"), urls.alias("expanded_urls"),
                      tags.alias("hashtags_str"), ments.alias("mentions_str"))
+
+
+# --- landed files -----------------------------------------------------------
+
+@query("articles_roundtrip")
+def q_articles_roundtrip(spark, sf):
+    from tidepool.session import scratch_path
+    from tidepool.sources.files import read_articles, write_articles
+    path = scratch_path(spark, "articles_csv")
+    a = ad.articles_in(spark, sf).select("title", "content", "publishedAt", "url", "source")
+    write_articles(a, path, fmt="csv", mode="overwrite")
+    return read_articles(spark, path).select("source", "title", "content", "publishedAt", "url")
+
+
+def _landed_ids(spark, sf) -> str:
+    from tidepool.session import scratch_path
+    from tidepool.sources.files import write_id_files
+    path = scratch_path(spark, "id_files")
+    t = ad.tweets(spark, sf).select("tweet_id", F.date_format("created_at", "yyyy-MM").alias("month"))
+    write_id_files(t, path, mode="overwrite")
+    return path
+
+
+@query("id_files_month")
+def q_id_files_month(spark, sf):
+    from tidepool.sources.files import read_id_files
+    return read_id_files(spark, _landed_ids(spark, sf))
+
+
+@query("month_union")
+def q_month_union(spark, sf):
+    from tidepool.sources.files import month_ids
+    return month_ids(spark, _landed_ids(spark, sf), "2024-01")

@@ -350,3 +350,10 @@ ORACLE.update({
     "join_entities": f"""WITH {TWEETS} SELECT tweet_id, {V2_URLS} AS expanded_urls, hashtags_str, mentions_str
         FROM tweets WHERE doc_id % 11 <> 0""",
 })
+
+ORACLE.update({
+    "articles_roundtrip": f"""WITH {ARTICLES} SELECT source, title, content, CAST(NULL AS VARCHAR) AS publishedAt, url
+        FROM ai""",
+    "id_files_month": f"WITH {TWEETS} SELECT strftime(created_at, '%Y-%m') AS month, tweet_id FROM tweets",
+    "month_union": f"WITH {TWEETS} SELECT tweet_id FROM tweets WHERE strftime(created_at, '%Y-%m') = '2024-01'",
+})
