@@ -1,15 +1,284 @@
 """Article extraction from raw pages.
 
 Tier (a): flat rules as built-in regex expressions (see
-``tidepool.functions.html``). Tier (b): nested per-site container rules
-walked by the standard-library HTML parser inside ``mapInPandas``; only
-``(page_id, url, html)`` travel to Python, in Arrow batches.
+``tidepool.functions.html``), used by the checks with a SQL twin.
+Tier (b): per-site rules with nested containers, walked by the standard
+library's HTML parser inside ``mapInPandas``. Only ``(page_id, url, html)``
+and the site's rule (a broadcast table of one row per site) reach Python,
+in Arrow batches; the walker is a small helper, not a library.
 """
 
 from __future__ import annotations
 
+import json
+from html.parser import HTMLParser
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, BooleanType, LongType, StringType, StructField,
+                               StructType)
+
+from tidepool.functions.html import hrefs, inner_html
+from tidepool.functions.urls import absolute_url
+
+STEP = StructType([StructField("tag", StringType()), StructField("id", StringType()),
+                   StructField("cls", StringType())])
+PATH = ArrayType(STEP)
+RULE = StructType([
+    StructField("site", StringType()), StructField("item_path", PATH),
+    StructField("link_root", BooleanType()), StructField("next_path", PATH),
+    StructField("title_path", PATH), StructField("body_path", PATH),
+    StructField("body_tags", ArrayType(StringType())), StructField("direct_only", BooleanType()),
+    StructField("date_path", PATH), StructField("date_attr", StringType()),
+    StructField("date_after", StringType()),
+])
+
+
+def _p(*steps):
+    """Path literal: 'tag', 'tag#id', 'tag.class words' (descendant steps)."""
+    out = []
+    for s in steps:
+        tag, _, rest = s.partition(".")
+        tag, _, ident = tag.partition("#")
+        out.append({"tag": tag or None, "id": ident or None, "cls": rest or None})
+    return out
+
+
+# ---------------------------------------------------------------------------
+# Per-site extraction rules (listing item, next page, title,
+# body, date), and the rule for generic article pages.
+SITE_RULES = [
+    dict(site="BigLeaguePolitics", item_path=_p("li.mvp-blog-story-wrap left relative infinite-post", "a"),
+         next_path=_p("div.pagination", "a"), title_path=_p("div#mvp-post-main", "h1.mvp-post-title left entry-title"),
+         body_path=_p("div#mvp-content-main"), body_tags=["p"], direct_only=True,
+         date_path=_p("span.mvp-post-date updated", "time"), date_attr="datetime"),
+    dict(site="DCClothesline", item_path=_p("div.td-block-span6", "h3.entry-title td-module-title", "a"),
+         next_path=_p("div.page-nav td-pb-padding-side", "a"), title_path=_p("header.td-post-title", "h1.entry-title"),
+         body_path=_p("div.td-post-content tagdiv-type"), body_tags=["p"], direct_only=True,
+         date_path=_p("span.td-post-date", "time"), date_attr="datetime"),
+    dict(site="GreatGameIndia", item_path=_p("div.td_module_10", "a.td-image-wrap"),
+         next_path=_p("div.page-nav td-pb-padding-side", "a"), title_path=_p("header.td-post-title", "h1"),
+         body_path=_p("div.td-post-content"), date_path=_p("header.td-post-title", "time"), date_attr="datetime"),
+    dict(site="HealthImpactNews", item_path=_p("div.acs_search_results_items", "div.entry-permalink", "a"),
+         title_path=_p("h2.entry-title"), body_path=_p("div.post-content"),
+         date_path=_p("div.entry-date"), date_after="on "),
+    dict(site="HealthNutNews", item_path=_p("article", "div.header", "a"),
+         next_path=_p("div.archive-pagination", "li.next", "a"), title_path=_p("div.post-header", "h1.entry-title"),
+         body_path=_p("div.post-content entry-content"), date_path=_p("span.updated")),
+    dict(site="HumansAreFree", item_path=_p("div.post_grid_content_wrapper", "div.image-post-thumb", "a"),
+         next_path=_p("nav.jellywp_pagination", "a.next page-numbers"), title_path=_p("h1.single_post_title_main"),
+         body_path=_p("div.post_content"), date_path=_p("span.post-date updated"), date_attr="datetime"),
+    dict(site="Intellihub", item_path=_p("div.td-block-span6", "h3", "a"),
+         next_path=_p("div.page-nav td-pb-padding-side", "a"), title_path=_p("h3", "a"),
+         body_path=_p("div.td-post-content"), date_path=_p("div.td-post-date", "time"), date_attr="datetime"),
+    dict(site="JimBakkerShow", item_path=_p("article", "h1.entry-title", "a"),
+         next_path=_p("div.nav-previous alignleft button", "a"), title_path=_p("header.entry-header", "h1.entry-title"),
+         body_path=_p("div.entry-content"), date_path=_p("footer.entry-meta", "time"), date_attr="datetime"),
+    dict(site="Medicine-Today", item_path=_p("div.mvp-main-blog-out relative", "a"),
+         title_path=_p("header#mvp-post-head", "h1.mvp-post-title entry-title"),
+         body_path=_p("section#mvp-content-main"), date_path=_p("span.post-date updated", "time"), date_attr="datetime"),
+    dict(site="NaturalHealth365", item_path=_p("div.article-container left", "div.title-meta-box", "a"),
+         next_path=_p("nav.navigation", "div.nav-previous", "a"), title_path=_p("h1.entry-title"),
+         body_path=_p("div.pf-content"), date_path=_p("span.entry-date")),
+    dict(site="RealFarmacy", item_path=_p("div.entry-blog", "h2.page-title", "a"),
+         next_path=_p("ul.post-nav", "li.nav-previous previous", "a"), title_path=_p("h2.page-title", "a"),
+         body_path=_p("div.entry-summary blog-entry-summary")),
+    dict(site="TheMindUnleashed", item_path=_p("div.article-card", "h3.article-card-title", "a"),
+         title_path=_p("header", "h1.entry-title"), body_path=_p("div.article-copy"),
+         date_path=_p("div.entry-meta-top", "time"), date_attr="datetime"),
+    dict(site="TheTruthAboutCancer", item_path=_p("article", "header.entry-header", "a"),
+         title_path=_p("header.entry-header", "h1.entry-title"), body_path=_p("div.entry-content"),
+         date_path=_p("p.entry-meta")),
+    dict(site="WND", item_path=_p("article", "div.entry-image", "a"),
+         title_path=_p("header.entry-header", "h1.entry-title"), body_path=_p("div.entry-content"),
+         date_path=_p("div.entry-meta"), date_after="Published "),
+    dict(site="WorldHealth", item_path=_p("ul.item card result-item", "li.titleItem", "a"), link_root=True,
+         title_path=_p("div.wrapper", "h1"), body_path=_p("div.oneNesBox"),
+         date_path=_p("div.oneNesBox", "h5"), date_after="Posted on "),
+    dict(site="ZeroHedge", item_path=_p("div.views-row", "span.views-field views-field-title", "a"), link_root=True,
+         next_path=_p("nav.pager", "li.pager__item pager__item--next", "a"), title_path=_p("h1.page-title", "span"),
+         body_path=_p("div.node__content"), date_path=_p("div.submitted-datetime", "span")),
+    dict(site="generic", item_path=_p("nav", "a"), link_root=True, next_path=_p("nav", "a"),
+         title_path=_p("h1"), body_path=_p("article"), body_tags=["p"]),
+]
+DEFAULT_BODY_TAGS = ["p", "li", "h1", "h2", "h3"]
+# Start tags that close an open <p> (HTML rule); void elements never open.
+P_CLOSERS = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset",
+             "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
+             "header", "hgroup", "hr", "main", "menu", "nav", "ol", "p", "pre", "section",
+             "table", "ul"}
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
+        "track", "wbr"}
+# ---------------------------------------------------------------------------
+
+
+def rules_frame(spark, rules=None) -> DataFrame:
+    """The rule table (one row per site; small and fixed-size)."""
+    rows = []
+    for r in rules or SITE_RULES:
+        full = {f.name: None for f in RULE.fields}
+        full.update({"body_tags": DEFAULT_BODY_TAGS, "direct_only": False, "link_root": False,
+                     "item_path": [], "next_path": [], "date_path": []})
+        full.update(r)
+        rows.append(full)
+    return spark.createDataFrame(rows, RULE)
+
+
+class _Node:
+    __slots__ = ("tag", "attrs", "children", "parent")
+
+    def __init__(self, tag, attrs, parent):
+        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
+
+
+class _Tree(HTMLParser):
+    """Element tree; an open <p> closes at the next block start tag."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = _Node("#root", {}, None)
+        self.stack = [self.root]
+
+    def handle_starttag(self, tag, attrs):
+        if tag in P_CLOSERS and any(n.tag == "p" for n in self.stack):
+            while self.stack[-1].tag != "p":
+                self.stack.pop()
+            self.stack.pop()
+        node = _Node(tag, dict(attrs), self.stack[-1])
+        self.stack[-1].children.append(node)
+        if tag not in VOID:
+            self.stack.append(node)
+
+    def handle_startendtag(self, tag, attrs):
+        self.stack[-1].children.append(_Node(tag, dict(attrs), self.stack[-1]))
+
+    def handle_endtag(self, tag):
+        for i in range(len(self.stack) - 1, 0, -1):
+            if self.stack[i].tag == tag:
+                del self.stack[i:]
+                return
+
+    def handle_data(self, data):
+        self.stack[-1].children.append(data)
+
+
+def _matches(node, step) -> bool:
+    if step.get("tag") and node.tag != step["tag"]:
+        return False
+    if step.get("id") and node.attrs.get("id") != step["id"]:
+        return False
+    cls = step.get("cls")
+    if cls:
+        have = node.attrs.get("class") or ""
+        return have == cls if " " in cls else cls in have.split()
+    return True
+
+
+def _walk(node):
+    for c in node.children:
+        if isinstance(c, _Node):
+            yield c
+            yield from _walk(c)
+
+
+def _find(node, step):
+    return next((n for n in _walk(node) if _matches(n, step)), None)
+
+
+def _find_path(node, path):
+    for step in path or []:
+        if node is None:
+            return None
+        node = _find(node, step)
+    return node
+
+
+def _find_all_path(node, path):
+    """All matches of the last step inside the first match of the others."""
+    if not path:
+        return []
+    head = _find_path(node, path[:-1])
+    return [] if head is None else [n for n in _walk(head) if _matches(n, path[-1])]
+
+
+def _text(node) -> str:
+    return "".join(c if isinstance(c, str) else _text(c) for c in node.children)
+
+
+def extract_one(html: str, rule: dict) -> tuple:
+    """(title, content, raw date, next href, item hrefs) of one page."""
+    tree = _Tree()
+    tree.feed(html or "")
+    root = tree.root
+    t = _find_path(root, rule.get("title_path"))
+    title = _text(t) if t is not None else None
+    body = _find_path(root, rule.get("body_path"))
+    content = None
+    if body is not None:
+        tags = set(rule.get("body_tags") or DEFAULT_BODY_TAGS)
+        if rule.get("direct_only"):
+            parts = [c for c in body.children if isinstance(c, _Node) and c.tag in tags]
+        else:
+            parts = [n for n in _walk(body) if n.tag in tags]
+        content = "\n".join(_text(n) for n in parts)
+    date = None
+    d = _find_path(root, rule.get("date_path")) if rule.get("date_path") else None
+    if d is not None:
+        date = d.attrs.get(rule["date_attr"]) if rule.get("date_attr") else _text(d)
+        after = rule.get("date_after")
+        if date is not None and after and after in date:
+            date = date.split(after, 1)[1]
+        date = date.strip() if date is not None else None
+    nxt = _find_all_path(root, rule.get("next_path"))
+    nxt_href = next((n.attrs.get("href") for n in reversed(nxt) if n.attrs.get("href")), None)
+    items = [n.attrs.get("href") for n in _find_all_path(root, rule.get("item_path")) if n.attrs.get("href")]
+    return title, content, date, nxt_href, items
+
+
+EXTRACTED = StructType([
+    StructField("page_id", LongType()), StructField("url", StringType()),
+    StructField("site", StringType()), StructField("title", StringType()),
+    StructField("content", StringType()), StructField("published_raw", StringType()),
+    StructField("next_href", StringType()), StructField("item_hrefs", ArrayType(StringType())),
+])
+
+
+def _extract_batches(batches):
+    import pandas as pd
+    cache = {}
+    for pdf in batches:
+        out = []
+        for page_id, url, site, html, rule_js in zip(pdf["page_id"], pdf["url"], pdf["site"],
+                                                     pdf["html"], pdf["_rule"]):
+            rule = cache.get(rule_js)
+            if rule is None:
+                rule = cache[rule_js] = json.loads(rule_js)
+            out.append((page_id, url, site, *extract_one(html, rule)))
+        yield pd.DataFrame(out, columns=[f.name for f in EXTRACTED.fields])
+
+
+def extract_articles(pages: DataFrame, rules: DataFrame, site_col: str = "site") -> DataFrame:
+    """P12 tier (b): title, content, raw date, next link and listing links
+    of every page by its site's rule. Pages without a rule are dropped.
+    The rule table is one row per site, so broadcasting it is bounded."""
+    r = rules.select(F.col("site").alias(site_col), F.to_json(F.struct(*rules.columns)).alias("_rule"))
+    j = pages.select("page_id", "url", site_col, "html").join(F.broadcast(r), site_col, "inner")
+    return j.mapInPandas(_extract_batches, EXTRACTED)
+
+
+def next_link(pages: DataFrame, container: str = "nav") -> DataFrame:
+    """P14 tier (a): the last link inside the page's ``container`` element,
+    made absolute; NULL when there is none."""
+    last = F.element_at(hrefs(inner_html("html", container)), -1)
+    return pages.select("page_id", F.when(last.isNotNull(), absolute_url(last, F.col("url"))).alias("next_url"))
+
+
+def extract_links(pages: DataFrame, container: str | None = None) -> DataFrame:
+    """P13 tier (a): ``(page_id, link)`` for every href (inside
+    ``container`` when given), relative links made absolute."""
+    src = inner_html("html", container) if container else F.col("html")
+    ex = pages.select("page_id", "url", F.explode(hrefs(src)).alias("href"))
+    return ex.select("page_id", absolute_url("href", "url").alias("link"))
 
 
 def listing_cards(cards: DataFrame, key: str, seq: str, cols: list[str]) -> DataFrame:

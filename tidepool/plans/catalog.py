@@ -439,3 +439,20 @@ def q_id_files_month(spark, sf):
 def q_month_union(spark, sf):
     from tidepool.sources.files import month_ids
     return month_ids(spark, _landed_ids(spark, sf), "2024-01")
+
+
+# --- page rules (tier b) and next links -------------------------------------
+
+@query("page_rules")
+def q_page_rules(spark, sf):
+    from tidepool.operators.html_extract import extract_articles, rules_frame
+    p = ad.table(spark, sf, "pages").withColumn("site", F.lit("generic"))
+    ex = extract_articles(p, rules_frame(spark))
+    return ex.select("page_id", "site", "title", "content", "next_href",
+                     F.size("item_hrefs").alias("n_items"))
+
+
+@query("next_link")
+def q_next_link(spark, sf):
+    from tidepool.operators.html_extract import next_link
+    return next_link(ad.table(spark, sf, "pages"), "nav")

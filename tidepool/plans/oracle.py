@@ -357,3 +357,10 @@ ORACLE.update({
     "id_files_month": f"WITH {TWEETS} SELECT strftime(created_at, '%Y-%m') AS month, tweet_id FROM tweets",
     "month_union": f"WITH {TWEETS} SELECT tweet_id FROM tweets WHERE strftime(created_at, '%Y-%m') = '2024-01'",
 })
+
+_NAV_LAST = f"regexp_extract_all({inner_sql('html', 'nav')}, 'href=\"([^\"]+)\"', 1)[-1]"
+ORACLE.update({
+    "next_link": f"""SELECT page_id, CASE WHEN starts_with(l, '/') AND NOT starts_with(l, '//')
+          THEN regexp_replace({site_sql('url')}, '/$', '') || l ELSE l END AS next_url
+        FROM (SELECT page_id, url, {_NAV_LAST} AS l FROM pages)""",
+})
