@@ -456,3 +456,67 @@ def q_page_rules(spark, sf):
 def q_next_link(spark, sf):
     from tidepool.operators.html_extract import next_link
     return next_link(ad.table(spark, sf, "pages"), "nav")
+
+
+# --- streaming (availableNow over the landed events file) -------------------
+
+def _event_stream(spark, sf):
+    from tidepool.streaming.jobs import parquet_stream
+    return parquet_stream(spark, sf, "events.parquet")
+
+
+def _post_rows(ev: DataFrame) -> DataFrame:
+    """Events as posts: view -> retweet, error -> reply, others regular;
+    the parent of a post is the event before it."""
+    kind = F.when(F.col("event_type") == "view", "retweet").when(F.col("event_type") == "error", "reply") \
+        .otherwise("regular")
+    return ev.select(F.col("event_id").cast("string").alias("tweet_id"), kind.alias("kind"),
+                     (F.col("event_id") - 1).cast("string").alias("parent_tweet_id"),
+                     F.col("ts").alias("created_at"), "user_id", "value")
+
+
+def _run(q):
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, sf):
+    from tidepool.session import scratch_path
+    from tidepool.streaming.jobs import stream_ingest
+    out, ck = scratch_path(spark, "ingest"), scratch_path(spark, "ingest_ckpt")
+    _run(stream_ingest(_post_rows(_event_stream(spark, sf)), out, ck))
+    reg = spark.read.parquet(f"{out}/regular").select("tweet_id", F.lit("regular").alias("saved_to"))
+    rts = spark.read.parquet(f"{out}/retweets").select("tweet_id", F.lit("retweets").alias("saved_to"))
+    return reg.unionByName(rts)
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf):
+    from tidepool.session import scratch_path
+    from tidepool.streaming.jobs import stream_dedup
+    out, ck = scratch_path(spark, "dedup"), scratch_path(spark, "dedup_ckpt")
+    ev = _event_stream(spark, sf).select("user_id", "event_id", "ts")
+    _run(stream_dedup(ev, "user_id", ["ts", "event_id"], out, ck))
+    return spark.read.parquet(out).select("user_id", "event_id")
+
+
+@query("stream_daily")
+def q_stream_daily(spark, sf):
+    from tidepool.session import scratch_path
+    from tidepool.streaming.jobs import daily_counts
+    out, ck = scratch_path(spark, "daily_counts"), scratch_path(spark, "daily_ckpt")
+    _run(daily_counts(_event_stream(spark, sf), "ts", out, ck))
+    return spark.read.parquet(out)
+
+
+@query("stream_update")
+def q_stream_update(spark, sf):
+    from tidepool.session import scratch_path
+    from tidepool.streaming.jobs import latest_version, stream_update
+    base, ck = scratch_path(spark, "balances"), scratch_path(spark, "balances_ckpt")
+    ad.base_balances(spark, sf).write.mode("overwrite").parquet(f"{base}/v=00000000")
+    upd = _event_stream(spark, sf).select(F.col("user_id").alias("key"), "value", "ts", "event_id")
+    _run(stream_update(upd, base, "key", ["value"], ["ts", "event_id"], ck))
+    return spark.read.parquet(latest_version(spark, base))

@@ -364,3 +364,12 @@ ORACLE.update({
           THEN regexp_replace({site_sql('url')}, '/$', '') || l ELSE l END AS next_url
         FROM (SELECT page_id, url, {_NAV_LAST} AS l FROM pages)""",
 })
+
+ORACLE.update({
+    "stream_ingest": """SELECT CAST(event_id AS VARCHAR) AS tweet_id,
+        CASE WHEN event_type = 'view' THEN 'retweets' ELSE 'regular' END AS saved_to
+        FROM events WHERE event_type <> 'error'""",
+    "stream_dedup": "SELECT user_id, arg_min(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id",
+    "stream_daily": "SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1",
+    "stream_update": ORACLE["update_stats"],
+})
