@@ -47,24 +47,39 @@ STOPWORDS_EN = [
 # read it alike.
 URL_TAIL = r"[^\s\x0B\x1C-\x1F\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 CLEAN_PATTERN = r"([^0-9A-Za-z \t])|([\p{L}\p{N}_]+://" + URL_TAIL + ")"
+URL_PATTERN = r"[0-9A-Za-z][\p{L}\p{N}_]*://" + URL_TAIL
+KEEP_RUNS = r"[0-9A-Za-z \t]+"
 # Tokens of cleaned text: a run of 3+ letters, else any alphanumeric run.
 TOKEN_PATTERN = r"([a-z]{3,}|[0-9a-z]+)"
 # ---------------------------------------------------------------------------
 
 
+def _kept_text(c) -> Column:
+    """Lower-cased text with URLs and every character outside [0-9A-Za-z
+    space tab] deleted (not blanked: ``a\nb`` -> ``ab``, as the reference).
+
+    Equivalent to one ``regexp_replace`` with ``CLEAN_PATTERN``, but built
+    for speed: a URL can only start where the character filter keeps a
+    character (an ASCII letter or digit), so URLs go first with
+    ``URL_PATTERN`` (only in texts containing "://"); the kept runs are then
+    collected with ``regexp_extract_all`` and concatenated, which scales
+    with cores where a replace with one match per accent does not."""
+    low = F.lower(as_col(c))
+    no_urls = F.when(F.instr(low, "://") > 0, F.regexp_replace(low, URL_PATTERN, "")).otherwise(low)
+    return F.array_join(F.regexp_extract_all(no_urls, F.lit(KEEP_RUNS), 0), "")
+
+
 def clean_text(c) -> Column:
     """Lower-case, drop URLs and every character outside [0-9A-Za-z space
-    tab], then squeeze blank runs to one space and strip the ends.
-
-    Newlines are deleted, not blanked (``a\\nb`` -> ``ab``), as the
-    reference does."""
-    stripped = F.regexp_replace(F.lower(as_col(c)), CLEAN_PATTERN, "")
-    return F.trim(F.regexp_replace(stripped, r"[ \t]+", " "))
+    tab], then squeeze blank runs to one space and strip the ends."""
+    words = F.filter(F.split(_kept_text(c), r"[ \t]+", -1), lambda w: w != "")
+    return F.array_join(words, " ")
 
 
 def tokens(c, stopwords: list[str] | None = None, clean: bool = True) -> Column:
-    """Tokens of (cleaned) text with stopwords removed, as array<string>."""
-    text = clean_text(c) if clean else as_col(c)
+    """Tokens of cleaned text with stopwords removed, as array<string>.
+    Blank runs do not change the tokens, so the squeeze step is skipped."""
+    text = _kept_text(c) if clean else as_col(c)
     words = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 1)
     stop = STOPWORDS_EN if stopwords is None else stopwords
     if not stop:

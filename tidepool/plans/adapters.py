@@ -16,8 +16,25 @@ from tidepool.functions.urls import host_of
 TS0 = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
 
 
+# Tables whose rows carry long text (regex work per row dominates).
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_coarse_input(df) if name in TEXT_TABLES else df
+
+
+def spread_coarse_input(df: DataFrame) -> DataFrame:
+    """Spread a text table over all cores when its input is too coarse to
+    do so by itself (fewer files than cores, e.g. one file with one row
+    group). A large table arrives as many files and is left alone: no
+    shuffle of the text at scale."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) * 4 < cores:
+        return df.repartition(cores)
+    return df
 
 
 def tweets(spark, sf_dir) -> DataFrame:
