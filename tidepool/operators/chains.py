@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.text import split_entities, tokens
 from tidepool.functions.urls import site_of
-from tidepool.operators.skew import lookup_join
+from tidepool.operators.skew import DEFAULT_HOT_ROWS, lookup_join
 from tidepool.operators.stats import top_n
 from tidepool.session import checkpoint_dir
 
@@ -28,17 +28,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def parent_kind(retweets: DataFrame, regular: DataFrame) -> DataFrame:
+def parent_kind(retweets: DataFrame, regular: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """``direct`` when a retweet's parent is a stored regular tweet,
     else ``undirect`` (broken chains included, as the reference counts)."""
     reg = regular.select(F.col("tweet_id").alias("_rid"))
     j = lookup_join(retweets.select("tweet_id", "parent_tweet_id"), "parent_tweet_id",
-                    reg, "_rid", how="left")
+                    reg, "_rid", how="left", hot_rows=hot_rows)
     return j.select("tweet_id", F.when(F.col("_rid").isNotNull(), "direct")
                     .otherwise("undirect").alias("parent_kind"))
 
 
-def resolve_roots(retweets: DataFrame, regular: DataFrame, max_rounds: int = 64) -> DataFrame:
+def resolve_roots(retweets: DataFrame, regular: DataFrame, max_rounds: int = 64,
+                  hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """``(tweet_id, root_id)`` for every retweet whose parent walk
     reaches a stored regular tweet; broken and cyclic chains are dropped.
 
@@ -55,7 +56,7 @@ def resolve_roots(retweets: DataFrame, regular: DataFrame, max_rounds: int = 64)
     kinds = (reg.unionByName(edges.select(F.col("node").alias("id"), F.lit(_PASS).alias("k")))
              .groupBy("id").agg(F.min("k").alias("kind")))
     look = kinds.select(F.col("id").alias("_kid"), F.col("kind").alias("_kind"))
-    state = cut_lineage(lookup_join(edges, "ptr", look, "_kid", how="left").select(
+    state = cut_lineage(lookup_join(edges, "ptr", look, "_kid", how="left", hot_rows=hot_rows).select(
         "node", "ptr", F.coalesce(F.col("_kind"), F.lit(_MISSING)).alias("ptr_kind")))
 
     open_prev = None
@@ -70,7 +71,7 @@ def resolve_roots(retweets: DataFrame, regular: DataFrame, max_rounds: int = 64)
         # are unique); that node's current ptr is the jump
         hop = state.select(F.col("node").alias("_hn"), F.col("ptr").alias("_hp"),
                            F.col("ptr_kind").alias("_hk"))
-        moved = lookup_join(todo, "ptr", hop, "_hn", how="inner").select(
+        moved = lookup_join(todo, "ptr", hop, "_hn", how="inner", hot_rows=hot_rows).select(
             "node", F.col("_hp").alias("ptr"), F.col("_hk").alias("ptr_kind"))
         state = cut_lineage(done.unionByName(moved))
 

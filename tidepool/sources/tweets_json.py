@@ -29,16 +29,13 @@ def read_tweets_v2(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_json_column(df: DataFrame, col: str, version: int = 2) -> DataFrame:
     """Decode a JSON text column in place of reading files (e.g. a Kafka
-    value); undecodable text gives a NULL struct plus the raw text."""
+    value): the top-level fields become columns, undecodable text is kept
+    in ``_corrupt_record``."""
     schema = TWEET_V2 if version == 2 else TWEET_V1
-    body = [f for f in schema.fields if f.name != "_corrupt_record"]
-    from pyspark.sql.types import StructType
-    parsed = F.from_json(F.col(col), StructType(body), {"mode": "PERMISSIVE"})
-    out = df.withColumn("_p", parsed)
-    return out.select("*", *[F.col(f"_p.{f.name}").alias(f.name) for f in body]) \
-        .withColumn("_corrupt_record", F.when(F.col("_p").isNull() & F.col(col).isNotNull()
-                                              & (F.trim(F.col(col)) != ""), F.col(col))) \
-        .drop("_p")
+    parsed = F.from_json(F.col(col), schema, {"mode": "PERMISSIVE",
+                                              "columnNameOfCorruptRecord": "_corrupt_record"})
+    return df.withColumn("_p", parsed).select(
+        *[c for c in df.columns], *[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields])
 
 
 def stream_tweets(spark: SparkSession, path: str, version: int = 2) -> DataFrame:
