@@ -37,11 +37,15 @@ def spread_coarse_input(df: DataFrame) -> DataFrame:
     return df
 
 
-def tweets(spark, sf_dir) -> DataFrame:
-    """Stored tweets (hydrated shape) from ``documents``; URLs from ``pages``."""
-    d = table(spark, sf_dir, "documents")
-    p = table(spark, sf_dir, "pages").select("page_id", "url")
-    t = d.join(p, d.doc_id == p.page_id, "left")
+def tweets(spark, sf_dir, urls: bool = True) -> DataFrame:
+    """Stored tweets (hydrated shape) from ``documents``; URLs from ``pages``
+    (the join is left out when the caller does not use ``expanded_urls``)."""
+    t = table(spark, sf_dir, "documents")
+    if urls:
+        p = table(spark, sf_dir, "pages").select("page_id", "url")
+        t = t.join(p, t.doc_id == p.page_id, "left")
+    else:
+        t = t.withColumn("url", F.lit(None).cast("string"))
     i = F.col("doc_id")
     return t.select(
         "doc_id",

@@ -53,30 +53,30 @@ def q_clean_text(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("word_top20")
 def q_word_top20(spark, sf):
-    return stats.top_words(ad.tweets(spark, sf), "text", 20)
+    return stats.top_words(ad.tweets(spark, sf, urls=False), "text", 20)
 
 
 @query("hashtag_top20")
 def q_hashtag_top20(spark, sf):
-    return stats.top_tags(ad.tweets(spark, sf), "hashtags_str", 20)
+    return stats.top_tags(ad.tweets(spark, sf, urls=False), "hashtags_str", 20)
 
 
 @query("mention_top20")
 def q_mention_top20(spark, sf):
-    return stats.top_mentions(ad.tweets(spark, sf), "mentions_str", 20)
+    return stats.top_mentions(ad.tweets(spark, sf, urls=False), "mentions_str", 20)
 
 
 # --- filters ----------------------------------------------------------------
 
 @query("select_where")
 def q_select_where(spark, sf):
-    t = ad.tweets(spark, sf)
+    t = ad.tweets(spark, sf, urls=False)
     return t.where("like_count >= 25").select("tweet_id", "lang", "like_count")
 
 
 @query("retweets_only")
 def q_retweets_only(spark, sf):
-    t = pr.only_retweets(ad.tweets(spark, sf))
+    t = pr.only_retweets(ad.tweets(spark, sf, urls=False))
     return t.select("tweet_id", "author_id", _ts("created_at").alias("created_at"))
 
 
@@ -93,7 +93,7 @@ def q_search_rules(spark, sf):
 
 @query("union_distinct")
 def q_union_distinct(spark, sf):
-    t = ad.tweets(spark, sf).select("tweet_id", "lang", "like_count", "kind")
+    t = ad.tweets(spark, sf, urls=False).select("tweet_id", "lang", "like_count", "kind")
     hits = [pr.lang_is(t, "en"), t.where("like_count >= 40"), t.where("kind = 'reply'")]
     u = hits[0]
     for h in hits[1:]:
@@ -103,7 +103,7 @@ def q_union_distinct(spark, sf):
 
 @query("recent_window")
 def q_recent_window(spark, sf):
-    t = ad.tweets(spark, sf)
+    t = ad.tweets(spark, sf, urls=False)
     now = F.lit(RECENT_NOW).cast("timestamp_ntz")
     w = t.where((F.col("created_at") >= now - F.expr("INTERVAL 7 DAYS"))
                 & (F.col("created_at") < now - F.expr("INTERVAL 1 MINUTE")))
@@ -126,7 +126,7 @@ def _landed_daily(spark, sf) -> DataFrame:
     from tidepool.sources.files import read_daily_tsv, write_daily_tsv
     root = scratch_path(spark, "daily")
     day = F.date_format("created_at", "yyyy-MM-dd").alias("day")
-    t = ad.tweets(spark, sf).select("tweet_id", "lang", day)
+    t = ad.tweets(spark, sf, urls=False).select("tweet_id", "lang", day)
     good = ad.table(spark, sf, "labels").where("quality = 1").select(
         F.col("doc_id").cast("string").alias("tweet_id"))
     write_daily_tsv(t.repartition("day"), f"{root}/full", mode="overwrite")
@@ -424,7 +424,7 @@ def _landed_ids(spark, sf) -> str:
     from tidepool.session import scratch_path
     from tidepool.sources.files import write_id_files
     path = scratch_path(spark, "id_files")
-    t = ad.tweets(spark, sf).select("tweet_id", F.date_format("created_at", "yyyy-MM").alias("month"))
+    t = ad.tweets(spark, sf, urls=False).select("tweet_id", F.date_format("created_at", "yyyy-MM").alias("month"))
     write_id_files(t, path, mode="overwrite")
     return path
 
