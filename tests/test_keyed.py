@@ -63,7 +63,34 @@ def test_cap_pages_overshoots(spark):
 
 def test_take_while_sorted(spark):
     df = spark.createDataFrame([("c", i, d) for i, d in enumerate([5, 4, 4, 6, 3])], "p string, o int, d int")
-    assert [r.d for r in take_while_sorted(df, "p", "o", "d").orderBy("o").collect()] == [5, 4, 4]
+    for hot in (10, 0):
+        got = take_while_sorted(df, "p", "o", "d", hot_rows=hot).orderBy("o").collect()
+        assert [r.d for r in got] == [5, 4, 4]
+
+
+def test_take_while_sorted_hot_part_spread(spark):
+    import random
+    rnd = random.Random(3)
+    rows = []
+    for p in range(30):
+        n = 3000 if p == 7 else rnd.randint(1, 40)  # part 7 is hot
+        d = 10_000
+        for o in range(n):
+            d -= rnd.choice([0, 1, 2]) if rnd.random() > 0.0005 else -5
+            rows.append((p, o, d))
+    df = spark.createDataFrame(rows, "p int, o int, d int")
+    want = set()
+    for p in range(30):
+        seq = sorted((o, d) for pp, o, d in rows if pp == p)
+        prev = None
+        for o, d in seq:
+            if prev is not None and d > prev:
+                break
+            want.add((p, o))
+            prev = d
+    for hot in (10**9, 100):
+        got = {(r.p, r.o) for r in take_while_sorted(df, "p", "o", "d", hot_rows=hot, num_partitions=13).collect()}
+        assert got == want
 
 
 def test_calendar(spark):

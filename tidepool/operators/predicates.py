@@ -10,8 +10,9 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 from tidepool.functions._col import as_col
 from tidepool.functions.text import split_entities
@@ -97,16 +98,92 @@ def match_rules(df: DataFrame, rules: list[str], **cols) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, [rule_predicate(r, **cols) for r in rules]))
 
 
-def take_while_sorted(df: DataFrame, part: str, order: str, date: str) -> DataFrame:
+def take_while_sorted(df: DataFrame, part: str, order: str, date: str,
+                      hot_rows: int = 1_000_000, num_partitions: int | None = None) -> DataFrame:
     """per ``part``, rows in ``order`` up to (not including) the first
-    row whose ``date`` is later than the row before it."""
+    row whose ``date`` is later than the row before it.
+
+    The largest part is measured first (a partially aggregated count).
+    Parts below ``hot_rows`` rows use a window per part (one sort). A
+    larger part would be one task's whole input, so then the ordered scan
+    is spread instead (``_take_while_ranged``)."""
+    biggest = df.groupBy(part).count().agg(F.max("count")).collect()[0][0] or 0
+    if biggest < hot_rows:
+        return _take_while_window(df, part, order, date)
+    return _take_while_ranged(df, part, order, date, num_partitions)
+
+
+def _take_while_window(df: DataFrame, part: str, order: str, date: str) -> DataFrame:
+    from pyspark.sql import Window
     w = Window.partitionBy(part).orderBy(order)
     rose = F.coalesce(F.col(date) > F.lag(date).over(w), F.lit(False)).cast("int")
-    flagged = df.withColumn("_rose", rose)
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (flagged.withColumn("_stop", F.max("_rose").over(w_run))
+    return (df.withColumn("_rose", rose).withColumn("_stop", F.max("_rose").over(w_run))
             .where(F.col("_stop") == 0).drop("_rose", "_stop"))
 
 
+def _take_while_ranged(df: DataFrame, part: str, order: str, date: str,
+                       num_partitions: int | None = None) -> DataFrame:
+    """No window per part: the ``(part, order, date)`` keys are
+    range-partitioned and sorted, so a hot part spreads over many tasks;
+    each task flags rises inside its slice (``mapInPandas``), the first row
+    of a slice is compared with the last row of the previous non-empty
+    slice (one summary row per partition reaches the driver), the first
+    rise per part is a partially aggregated ``min``, and rows before it are
+    kept through a hot-key-safe lookup join."""
+    from tidepool.operators.skew import lookup_join
+    from tidepool.session import checkpoint_dir
+
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = df.select(F.col(part).alias("p"), F.col(order).alias("o"), F.col(date).alias("d"))
+    ranged = keys.repartitionByRange(n, "p", "o").sortWithinPartitions("p", "o")
+    fields = {f.name: f.dataType for f in keys.schema.fields}
+    out_schema = StructType([StructField("kind", StringType()), StructField("pid", IntegerType()),
+                             StructField("p", fields["p"]), StructField("o", fields["o"]),
+                             StructField("d", fields["d"]), StructField("rise", BooleanType())])
+    checkpoint_dir(spark)
+    flagged = ranged.mapInPandas(_flag_rises, out_schema).checkpoint(eager=True)
+
+    lasts = sorted((r.pid, r.p, r.d) for r in flagged.where("kind = 'last'").collect())
+    prev = []  # for each partition holding rows: last row of the previous one
+    for i in range(1, len(lasts)):
+        prev.append((lasts[i][0], lasts[i - 1][1], lasts[i - 1][2]))
+    prev_df = spark.createDataFrame(prev, StructType([
+        StructField("pid", IntegerType()), StructField("lp", fields["p"]), StructField("ld", fields["d"])]))
+    heads = flagged.where("kind = 'head'").join(F.broadcast(prev_df), "pid", "inner") \
+        .where((F.col("lp") == F.col("p")) & (F.col("d") > F.col("ld")))
+    rises = flagged.where("kind = 'row' AND rise").select("p", "o").unionByName(heads.select("p", "o"))
+    first = rises.groupBy("p").agg(F.min("o").alias("_first"))
+    j = lookup_join(df, part, first.withColumnRenamed("p", "_fp"), "_fp", how="left")
+    return j.where(F.col("_first").isNull() | (F.col(order) < F.col("_first"))).drop("_fp", "_first")
+
+
+def _flag_rises(batches):
+    """Rows of one sorted slice: rise = same part as the row before and a
+    later date; the slice's first row is a 'head' (its predecessor lives in
+    an earlier slice); one 'last' row summarises the slice's end."""
+    import pandas as pd
+    from pyspark import TaskContext
+    pid = TaskContext.get().partitionId()
+    carry = None
+    for b in batches:
+        if b.empty:
+            continue
+        pp, pd_ = b["p"].shift(1), b["d"].shift(1)
+        if carry is not None:
+            pp.iloc[0], pd_.iloc[0] = carry
+        rise = (b["p"] == pp) & (b["d"] > pd_)
+        kind = pd.Series("row", index=b.index)
+        if carry is None:
+            kind.iloc[0] = "head"
+        carry = (b["p"].iloc[-1], b["d"].iloc[-1])
+        yield pd.DataFrame({"kind": kind, "pid": pid, "p": b["p"], "o": b["o"], "d": b["d"],
+                            "rise": rise.fillna(False).astype(bool)})
+    if carry is not None:
+        yield pd.DataFrame({"kind": ["last"], "pid": [pid], "p": [carry[0]], "o": [None],
+                            "d": [carry[1]], "rise": [False]})
+
+
 def cond(expr) -> Column:
     return F.expr(expr) if isinstance(expr, str) else as_col(expr)
