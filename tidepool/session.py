@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # raw HTML rows are wide: smaller Arrow batches for the page walker
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

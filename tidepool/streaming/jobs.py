@@ -27,10 +27,19 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def append_keyed(batch: DataFrame, path: str, keys: list[str], order: list[str]) -> None:
     """K1 against a Parquet table: append only rows whose key is new (first
-    per key within the batch). Only the key columns of the table are read."""
+    per key within the batch). Only the key columns of the stored table are
+    read, and only inside the batch's key range: the range predicate reaches
+    the Parquet scan, so row groups whose min/max statistics miss the batch
+    (time-ordered ids: all but the recent ones) are skipped."""
     spark = batch.sparkSession
     if _exists(spark, path):
         stored = spark.read.parquet(path).select(*keys)
+        bounds = batch.agg(*[F.min(k).alias(f"lo_{k}") for k in keys],
+                           *[F.max(k).alias(f"hi_{k}") for k in keys]).collect()[0]
+        for k in keys:
+            lo, hi = bounds[f"lo_{k}"], bounds[f"hi_{k}"]
+            if lo is not None:
+                stored = stored.where(F.col(k).between(F.lit(lo), F.lit(hi)))
         new = append_new(batch, stored, keys, order)
     else:
         new = append_new(batch, batch.limit(0).select(*keys), keys, order)
@@ -96,29 +105,31 @@ def daily_counts(rows: DataFrame, ts_col: str, out: str, checkpoint: str,
 def stream_update(updates: DataFrame, base_path: str, key: str, cols: list[str], seq: list[str],
                   checkpoint: str, trigger: dict | None = None):
     """T5: apply each micro-batch of updates to a keyed table (J9). Each
-    batch writes a new version folder and never overwrites the version it
-    reads; readers take the highest version."""
+    batch writes a new version folder ``v=<epoch+1>`` from the version the
+    pointer names, then moves the pointer; it never overwrites the version
+    it reads, and a retried epoch rewrites the same folder from the same
+    input. (A full rewrite per batch: fine for count tables; a table format
+    with MERGE is the tool for very large ones.)"""
     def _sink(batch: DataFrame, epoch: int):
         spark = batch.sparkSession
-        cur = latest_version(spark, base_path)
-        base = spark.read.parquet(cur)
-        update_by_key(base, batch, key, cols, seq).write.mode("overwrite").parquet(
-            f"{base_path}/v={epoch + 1:08d}")
+        base = spark.read.parquet(latest_version(spark, base_path))
+        name = f"v={epoch + 1:08d}"
+        update_by_key(base, batch, key, cols, seq).write.mode("overwrite").parquet(f"{base_path}/{name}")
+        spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite") \
+            .text(f"{base_path}/_latest")
 
     w = updates.writeStream.foreachBatch(_sink).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def latest_version(spark: SparkSession, base_path: str) -> str:
-    """Path of the newest complete version of a versioned table."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(base_path)
-    fs = p.getFileSystem(conf)
-    names = sorted(s.getPath().getName() for s in fs.listStatus(p)
-                   if s.isDirectory() and s.getPath().getName().startswith("v=")
-                   and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
-    return f"{base_path}/{names[-1]}"
+    """Folder of the current version of a versioned table (``v=00000000``
+    until a first update moved the pointer)."""
+    try:
+        name = spark.read.text(f"{base_path}/_latest").first()[0]
+    except Exception:  # noqa: BLE001 - no pointer yet
+        name = "v=00000000"
+    return f"{base_path}/{name}"
 
 
 def parquet_stream(spark: SparkSession, folder: str, file_glob: str, schema=None) -> DataFrame:
