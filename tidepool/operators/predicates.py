@@ -18,6 +18,27 @@ from tidepool.functions._col import as_col
 from tidepool.functions.text import split_entities
 
 
+def select_where(df: DataFrame, cols: list[str], cond=None) -> DataFrame:
+    """Chosen columns with an optional condition (SQL text or Column);
+    Catalyst prunes the scan to ``cols`` and pushes the condition."""
+    return (df.where(cond if not isinstance(cond, str) else F.expr(cond)) if cond is not None else df).select(*cols)
+
+
+def recent_window(df: DataFrame, ts_col: str, now, days: int = 7, margin_minutes: int = 1) -> DataFrame:
+    """T3 (batch): rows in ``[now - days, now - margin)``, the daily
+    re-collection window; a stream gets the same bound from a
+    ``days``-day watermark."""
+    now_c = F.lit(now).cast("timestamp_ntz") if isinstance(now, str) else F.lit(now)
+    lo = now_c - F.expr(f"INTERVAL {int(days)} DAYS")
+    hi = now_c - F.expr(f"INTERVAL {int(margin_minutes)} MINUTES")
+    return df.where((F.col(ts_col) >= lo) & (F.col(ts_col) < hi))
+
+
+def union_distinct(dfs: list[DataFrame]) -> DataFrame:
+    """Union of several hit lists by column name, duplicates removed."""
+    return reduce(DataFrame.unionByName, dfs).distinct()
+
+
 def lang_is(df: DataFrame, lang: str, col: str = "lang") -> DataFrame:
     """F1."""
     return df.where(F.col(col) == F.lit(lang))

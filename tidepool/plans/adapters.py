@@ -113,7 +113,8 @@ def clean_ids(spark, sf_dir) -> DataFrame:
 
 def article_pages(spark, sf_dir) -> DataFrame:
     """Pages rendered as article rows: source host, <h1> title, paragraphs."""
-    p = table(spark, sf_dir, "pages")
+    from tidepool.sources.files import read_pages
+    p = spread_coarse_input(read_pages(spark, f"{sf_dir.rstrip('/')}/pages.parquet"))
     art = inner_html(F.col("html"), "article")
     return p.select(
         "page_id", "url",

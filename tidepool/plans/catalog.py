@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.functions.dates import normalize_date
-from tidepool.functions.html import hrefs, first_tag_text, inner_html
+from tidepool.functions.html import first_tag_text, inner_html
 from tidepool.functions.text import clean_text as clean_col
-from tidepool.functions.urls import absolute_url, host_of
+from tidepool.functions.urls import host_of
 from tidepool.operators import chains, keyed, predicates as pr, stats, windows
 from tidepool.plans import adapters as ad
 
@@ -71,7 +71,7 @@ def q_mention_top20(spark, sf):
 @query("select_where")
 def q_select_where(spark, sf):
     t = ad.tweets(spark, sf, urls=False)
-    return t.where("like_count >= 25").select("tweet_id", "lang", "like_count")
+    return pr.select_where(t, ["tweet_id", "lang", "like_count"], "like_count >= 25")
 
 
 @query("retweets_only")
@@ -95,18 +95,13 @@ def q_search_rules(spark, sf):
 def q_union_distinct(spark, sf):
     t = ad.tweets(spark, sf, urls=False).select("tweet_id", "lang", "like_count", "kind")
     hits = [pr.lang_is(t, "en"), t.where("like_count >= 40"), t.where("kind = 'reply'")]
-    u = hits[0]
-    for h in hits[1:]:
-        u = u.unionByName(h)
-    return u.select("tweet_id", "lang").distinct()
+    return pr.union_distinct([h.select("tweet_id", "lang") for h in hits])
 
 
 @query("recent_window")
 def q_recent_window(spark, sf):
     t = ad.tweets(spark, sf, urls=False)
-    now = F.lit(RECENT_NOW).cast("timestamp_ntz")
-    w = t.where((F.col("created_at") >= now - F.expr("INTERVAL 7 DAYS"))
-                & (F.col("created_at") < now - F.expr("INTERVAL 1 MINUTE")))
+    w = pr.recent_window(t, "created_at", RECENT_NOW, days=7, margin_minutes=1)
     w = pr.match_rules(pr.non_replies(w), ["-is:retweet"])
     return w.select("tweet_id", _ts("created_at").alias("created_at"))
 
@@ -200,26 +195,23 @@ def q_update_text(spark, sf):
 
 
 def _loaded(spark, sf):
-    batch = ad.articles_in(spark, sf)
-    batch = batch.withColumn("publishedAt", F.date_format(normalize_date("publishedAt", F.col("source")), "yyyy-MM-dd"))
+    from tidepool.operators.articles import load_articles
     existing = ad.articles_existing(spark, sf)
-    new = keyed.new_by_key(batch, existing, ["url"], ["source", "row"])
-    base = existing.count()
-    ided = keyed.assign_ids(new, base, ["source", "row"])
-    return existing, ided
+    new, _ = load_articles(ad.articles_in(spark, sf), existing)
+    return existing, new
 
 
 @query("load_articles")
 def q_load_articles(spark, sf):
-    _, ided = _loaded(spark, sf)
-    return ided.select("article_id", "title", "source", "content", "publishedAt", "url",
-                       F.lit("unknown").alias("label"))
+    _, new = _loaded(spark, sf)
+    return new
 
 
 @query("load_report")
 def q_load_report(spark, sf):
-    existing, ided = _loaded(spark, sf)
-    return stats.load_report(existing, ided, "source")
+    from tidepool.operators.articles import report
+    existing, new = _loaded(spark, sf)
+    return report(existing, new)
 
 
 # --- windows ----------------------------------------------------------------
@@ -267,9 +259,8 @@ def q_page_content(spark, sf):
 
 @query("links")
 def q_links(spark, sf):
-    p = ad.table(spark, sf, "pages")
-    l = p.select(F.explode(hrefs("html")).alias("href"), "url")
-    return stats.distinct_links(l.select(absolute_url("href", "url").alias("link")), "link")
+    from tidepool.operators.html_extract import extract_links
+    return stats.distinct_links(extract_links(ad.table(spark, sf, "pages")), "link")
 
 
 @query("listing_last_wins")
@@ -520,3 +511,21 @@ def q_stream_update(spark, sf):
     upd = _event_stream(spark, sf).select(F.col("user_id").alias("key"), "value", "ts", "event_id")
     _run(stream_update(upd, base, "key", ["value"], ["ts", "event_id"], ck))
     return spark.read.parquet(latest_version(spark, base))
+
+
+
+@query("stream_json_ingest")
+def q_stream_json_ingest(spark, sf):
+    """S9 + P4 + F10 + T1: v2 JSON lines landed in a folder, read as a
+    stream, classified, split into the two keyed tables."""
+    from tidepool.session import scratch_path
+    from tidepool.sources.tweets_json import stream_tweets
+    from tidepool.streaming.jobs import classify_stream, stream_ingest
+    src = scratch_path(spark, "json_stream")
+    ad.v2_json(spark, sf).select("value").write.mode("overwrite").text(src)
+    out, ck = scratch_path(spark, "json_ingest"), scratch_path(spark, "json_ingest_ckpt")
+    rows = classify_stream(stream_tweets(spark, src, version=2))
+    _run(stream_ingest(rows, out, ck))
+    reg = spark.read.parquet(f"{out}/regular").select("tweet_id", F.lit("regular").alias("saved_to"))
+    rts = spark.read.parquet(f"{out}/retweets").select("tweet_id", F.lit("retweets").alias("saved_to"))
+    return reg.unionByName(rts)

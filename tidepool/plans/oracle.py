@@ -373,3 +373,9 @@ ORACLE.update({
     "stream_daily": "SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1",
     "stream_update": ORACLE["update_stats"],
 })
+
+ORACLE.update({
+    "stream_json_ingest": f"""WITH {TWEETS} SELECT tweet_id,
+        CASE WHEN kind = 'retweet' THEN 'retweets' ELSE 'regular' END AS saved_to
+        FROM tweets WHERE doc_id % 11 <> 0 AND kind <> 'reply' AND NOT (kind = 'retweet' AND doc_id % 20 = 18)""",
+})
