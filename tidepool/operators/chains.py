@@ -8,6 +8,8 @@ executor recomputes at most one round and plans do not grow.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -181,7 +183,7 @@ def ingest_closure(seeds: DataFrame, archive: DataFrame, max_rounds: int = 1000)
     arch = archive.select(F.col("tweet_id").alias("_aid"), F.col("parent_tweet_id").alias("_par"),
                           F.col("kind").alias("_kind"))
     frontier = cut_lineage(seeds.select(F.col("tweet_id").alias("fid"), F.lit("R").alias("phase")).distinct())
-    seen = frontier
+    seen_parts = [frontier]  # each round's frontier, checkpointed once, never rewritten
     saved = None
     for _ in range(max_rounds):
         if frontier.isEmpty():
@@ -200,9 +202,9 @@ def ingest_closure(seeds: DataFrame, archive: DataFrame, max_rounds: int = 1000)
         saved = got if saved is None else saved.unionByName(got)
         nxt = (out.where(F.col("next_id").isNotNull())
                .select(F.col("next_id").alias("fid"), F.col("next_phase").alias("phase")).distinct())
-        nxt = nxt.join(seen, ["fid", "phase"], "left_anti")
-        frontier = cut_lineage(nxt)
-        seen = cut_lineage(seen.unionByName(frontier))
+        seen = reduce(DataFrame.unionByName, seen_parts)
+        frontier = cut_lineage(nxt.join(seen, ["fid", "phase"], "left_anti"))
+        seen_parts.append(frontier)
     if saved is None:
         return seeds.sparkSession.createDataFrame([], "tweet_id string, saved_to string")
     return saved.distinct()

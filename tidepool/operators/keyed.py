@@ -52,9 +52,10 @@ def retweet_ids(full: DataFrame, clean: DataFrame, lang: str = "en", key: str =
     """IDs of the ``lang`` rows of the full set missing from the
     ``lang`` rows of the clean set (retweets). A left anti join: duplicate
     IDs of the full set are kept, unlike ``EXCEPT``."""
+    from tidepool.operators.skew import lookup_join
     f = full.where(F.col("lang") == lang).select(key)
-    c = clean.where(F.col("lang") == lang).select(key).distinct()
-    return f.join(c, key, "left_anti")
+    c = clean.where(F.col("lang") == lang).select(F.col(key).alias("_ck")).distinct()
+    return lookup_join(f, key, c, "_ck", how="left_anti")
 
 
 def hydrate(ids: DataFrame, archive: DataFrame, key: str = "tweet_id") -> DataFrame:
@@ -100,8 +101,10 @@ def ensure_column(df: DataFrame, name: str, dtype: DataType | str) -> DataFrame:
 
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str | None = None) -> DataFrame:
     """Child rows whose foreign key has no parent row."""
+    from tidepool.operators.skew import lookup_join
     pk = pk or fk
-    return child.join(parent.select(F.col(pk).alias(fk)).distinct(), fk, "left_anti")
+    keys = parent.select(F.col(pk).alias("_pk")).distinct()
+    return lookup_join(child, fk, keys, "_pk", how="left_anti")
 
 
 def assign_ids(df: DataFrame, base: int, order: list[str], id_col: str = "article_id",

@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     # raw HTML rows are wide: smaller Arrow batches for the page walker
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.ui.enabled": "false",
+    # delete reliable checkpoint files once their frames are unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
