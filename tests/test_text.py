@@ -81,3 +81,13 @@ def test_split_entities(spark):
     assert got == [["#a", "#b"], [], []]
     urls = run(spark, lambda c: split_entities(c, lower=False), ["HTTP://A.b/X,"])
     assert urls == [["HTTP://A.b/X"]]
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.lists(st.text(alphabet=st.sampled_from(list("abcXYZ19_é")), min_size=1, max_size=6),
+                         max_size=5), min_size=1, max_size=5))
+def test_join_then_split_round_trips(spark, lists):
+    from tidepool.functions.text import join_list
+    df = spark.createDataFrame([(x,) for x in lists], "v array<string>")
+    got = [r[0] for r in df.select(split_entities(join_list(F.col("v"), "#"), lower=False)).collect()]
+    assert got == [["#" + t for t in x] for x in lists]

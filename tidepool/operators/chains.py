@@ -61,23 +61,28 @@ def resolve_roots(retweets: DataFrame, regular: DataFrame, max_rounds: int = 64,
     state = cut_lineage(lookup_join(edges, "ptr", look, "_kid", how="left", hot_rows=hot_rows).select(
         "node", "ptr", F.coalesce(F.col("_kind"), F.lit(_MISSING)).alias("ptr_kind")))
 
+    # Finished rows are written once (in the round that finishes them) and
+    # then only read; each round rewrites just the rows still open.
+    finished = [state.where(F.col("ptr_kind") != _PASS)]
+    open_rows = state.where(F.col("ptr_kind") == _PASS)
     open_prev = None
     for _ in range(max_rounds):
-        n_open = state.where(F.col("ptr_kind") == _PASS).count()
+        n_open = open_rows.count()
         if n_open == 0 or (open_prev is not None and n_open >= open_prev):
             break
         open_prev = n_open
-        done = state.where(F.col("ptr_kind") != _PASS)
-        todo = state.where(F.col("ptr_kind") == _PASS)
-        # an open ptr is a pass-through id, hence a node of ``state`` (nodes
-        # are unique); that node's current ptr is the jump
-        hop = state.select(F.col("node").alias("_hn"), F.col("ptr").alias("_hp"),
-                           F.col("ptr_kind").alias("_hk"))
-        moved = lookup_join(todo, "ptr", hop, "_hn", how="inner", hot_rows=hot_rows).select(
-            "node", F.col("_hp").alias("ptr"), F.col("_hk").alias("ptr_kind"))
-        state = cut_lineage(done.unionByName(moved))
-
-    return state.where(F.col("ptr_kind") == _REGULAR).select(
+        # an open ptr is a pass-through id, hence a node (nodes are unique);
+        # that node's current ptr is the jump
+        hop = reduce(DataFrame.unionByName, finished + [open_rows]).select(
+            F.col("node").alias("_hn"), F.col("ptr").alias("_hp"), F.col("ptr_kind").alias("_hk"))
+        moved = cut_lineage(lookup_join(open_rows, "ptr", hop, "_hn", how="inner", hot_rows=hot_rows,
+                                        probe_rows=n_open).select(
+            "node", F.col("_hp").alias("ptr"), F.col("_hk").alias("ptr_kind")))
+        finished.append(moved.where(F.col("ptr_kind") != _PASS))
+        open_rows = moved.where(F.col("ptr_kind") == _PASS)
+
+    done = reduce(DataFrame.unionByName, finished)
+    return done.where(F.col("ptr_kind") == _REGULAR).select(
         F.col("node").alias("tweet_id"), F.col("ptr").alias("root_id"))
 
 
