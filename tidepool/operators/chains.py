@@ -112,6 +112,8 @@ def chain_summary(retweets: DataFrame, regular: DataFrame, roots: DataFrame,
         "direct": kinds.where("parent_kind = 'direct'"),
         "undirect": kinds.where("parent_kind = 'undirect'"),
         "resolved": roots,
+        # undirect includes chains that never reach a stored original
+        "broken": retweets.select("tweet_id").join(roots.select("tweet_id"), "tweet_id", "left_anti"),
     })
 
 

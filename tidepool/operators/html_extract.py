@@ -281,6 +281,15 @@ def extract_links(pages: DataFrame, container: str | None = None) -> DataFrame:
     return ex.select("page_id", absolute_url("href", "url").alias("link"))
 
 
+def listing_links(pages: DataFrame, rules: DataFrame, site_col: str = "site") -> DataFrame:
+    """P13 tier (b): distinct article links of listing pages by each site's
+    item rule, relative ones made absolute (sites that link relative set
+    ``link_root``; absolute links pass through unchanged)."""
+    ex = extract_articles(pages, rules, site_col)
+    links = ex.select("url", F.explode("item_hrefs").alias("href"))
+    return links.select(absolute_url("href", "url").alias("link")).dropDuplicates(["link"])
+
+
 def listing_cards(cards: DataFrame, key: str, seq: str, cols: list[str]) -> DataFrame:
     """Per ``key`` (an article URL or a host), the card fields seen
     last in ``seq`` order win. ``max_by`` aggregates map-side first."""

@@ -265,7 +265,8 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'retweets', count(*) FROM retweets
         UNION ALL SELECT 'direct', count(*) FROM retweets WHERE parent_tweet_id IN (SELECT tweet_id FROM regular)
         UNION ALL SELECT 'undirect', count(*) FROM retweets WHERE parent_tweet_id NOT IN (SELECT tweet_id FROM regular)
-        UNION ALL SELECT 'resolved', count(*) FROM roots""",
+        UNION ALL SELECT 'resolved', count(*) FROM roots
+        UNION ALL SELECT 'broken', count(*) FROM retweets WHERE tweet_id NOT IN (SELECT tweet_id FROM roots)""",
     "topk_words": CHAINS + f""", words AS (
           SELECT k.rank, unnest({tokens_sql('r.text')}) AS word FROM ranked k JOIN regular r ON r.tweet_id = k.root_id),
         per_cut AS (SELECT c.cut, w.word FROM words w JOIN (VALUES (10), (20), (50), (100)) c(cut) ON w.rank <= c.cut),
