@@ -79,20 +79,40 @@ def regular(spark, sf_dir) -> DataFrame:
     )
 
 
+def _parent(tid):
+    """The turn before; in every seventh conversation (conv_id % 7 = 3)
+    turn 2 reshares a post that was never collected (id ...99), so its
+    chain is broken."""
+    lost = (F.col("conv_id") % 7 == 3) & (F.col("turn") == 2)
+    return F.when(lost, F.col("conv_id") * 100 + 99).otherwise(tid - 1).cast("string")
+
+
 def retweets(spark, sf_dir) -> DataFrame:
-    """Reshares: later turns point at the turn before; turn 2 of every
-    seventh conversation (conv_id % 7 = 3) is missing, giving broken chains."""
-    c = table(spark, sf_dir, "conversations").where(
-        "turn > 0 AND NOT (conv_id % 7 = 3 AND turn = 2)")
+    """Reshares: every later turn of a conversation."""
+    c = table(spark, sf_dir, "conversations").where("turn > 0")
     tid = F.col("conv_id") * 100 + F.col("turn")
     return c.select(
         tid.cast("string").alias("tweet_id"),
         ((F.col("conv_id") * 13 + F.col("turn") * 29) % 400).cast("string").alias("author_id"),
-        (tid - 1).cast("string").alias("parent_tweet_id"),
+        _parent(tid).alias("parent_tweet_id"),
         "text",
     )
 
 
+def id_list(spark, sf_dir) -> DataFrame:
+    """A tweet-ID list to hydrate: every labelled document, plus ids taken
+    from the pages (offset by 10^6) that the archive does not hold."""
+    l = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("tweet_id"))
+    p = table(spark, sf_dir, "pages").select((F.col("page_id") + 1000000).cast("string").alias("tweet_id"))
+    return l.unionByName(p)
+
+
+def archive(spark, sf_dir) -> DataFrame:
+    """The hydration archive: every document as a full record."""
+    d = table(spark, sf_dir, "documents")
+    return d.select(F.col("doc_id").cast("string").alias("tweet_id"), "lang", "source")
+
+
 def scores(spark, sf_dir) -> DataFrame:
     l = table(spark, sf_dir, "labels")
     return l.select(F.col("doc_id").cast("string").alias("author_id"),
@@ -178,13 +198,13 @@ def balance_updates(spark, sf_dir) -> DataFrame:
 
 def conversation_archive(spark, sf_dir) -> DataFrame:
     """Every conversation turn as a tweet for the ingest walk: turn 0 is
-    the original, turn % 3 = 1 a reply, other turns reshares; turn 2 of
-    every seventh conversation is missing from the archive."""
-    c = table(spark, sf_dir, "conversations").where("NOT (conv_id % 7 = 3 AND turn = 2)")
+    the original, turn % 3 = 1 a reply, other turns reshares; parents as in
+    ``retweets`` (some never collected)."""
+    c = table(spark, sf_dir, "conversations")
     tid = F.col("conv_id") * 100 + F.col("turn")
     return c.select(
         tid.cast("string").alias("tweet_id"),
-        F.when(F.col("turn") == 0, F.lit(None).cast("string")).otherwise((tid - 1).cast("string"))
+        F.when(F.col("turn") == 0, F.lit(None).cast("string")).otherwise(_parent(tid))
         .alias("parent_tweet_id"),
         F.when(F.col("turn") == 0, "regular").when(F.col("turn") % 3 == 1, "reply")
         .otherwise("retweet").alias("kind"),

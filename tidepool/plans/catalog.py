@@ -143,30 +143,26 @@ def q_daily_retweet_ids(spark, sf):
     return retweet_ids(d.where("variant = 'full'"), d.where("variant = 'clean'"))
 
 
-def _archive(spark, sf):
-    d = ad.table(spark, sf, "documents").where("doc_id % 10 <> 7")
-    return d.select(F.col("doc_id").cast("string").alias("tweet_id"), "lang", "source")
-
-
 def _label_ids(spark, sf):
     return ad.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("tweet_id"))
 
 
 @query("hydrate")
 def q_hydrate(spark, sf):
-    return keyed.hydrate(_label_ids(spark, sf), _archive(spark, sf))
+    return keyed.hydrate(ad.id_list(spark, sf), ad.archive(spark, sf))
 
 
 @query("unhydrated")
 def q_unhydrated(spark, sf):
-    return keyed.unhydrated(_label_ids(spark, sf), _archive(spark, sf))
+    return keyed.unhydrated(ad.id_list(spark, sf), ad.archive(spark, sf))
 
 
 @query("orphans")
 def q_orphans(spark, sf):
-    l = ad.table(spark, sf, "labels")
-    docs = ad.table(spark, sf, "documents").where("doc_id % 10 <> 7").select("doc_id")
-    return keyed.orphans(l, docs, "doc_id")
+    """Reshares whose declared parent (tweet_id of a stored post) is absent."""
+    reg, rts = _chains(spark, sf)
+    stored = reg.select("tweet_id").unionByName(rts.select("tweet_id"))
+    return keyed.orphans(rts.select("tweet_id", "parent_tweet_id"), stored, "parent_tweet_id", "tweet_id")
 
 
 # --- keyed writes -----------------------------------------------------------

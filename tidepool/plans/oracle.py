@@ -70,6 +70,9 @@ def paragraphs_sql(x: str) -> str:
 
 TS = "TIMESTAMP '2024-01-01 00:00:00'"
 
+IDS = """ids AS (SELECT CAST(doc_id AS VARCHAR) AS tweet_id FROM labels
+               UNION ALL SELECT CAST(page_id + 1000000 AS VARCHAR) FROM pages)"""
+
 TWEETS = f"""tweets AS (
   SELECT d.doc_id, CAST(d.doc_id AS VARCHAR) AS tweet_id,
          CAST(d.doc_id % 97 AS VARCHAR) AS author_id,
@@ -93,11 +96,14 @@ REGULAR = """regular AS (
   FROM conversations c LEFT JOIN pages p ON p.page_id = c.conv_id
   WHERE c.turn = 0)"""
 
-RETWEETS = """retweets AS (
+PARENT = ("CAST(CASE WHEN conv_id % 7 = 3 AND turn = 2 THEN conv_id * 100 + 99 "
+          "ELSE conv_id * 100 + turn - 1 END AS VARCHAR)")
+
+RETWEETS = f"""retweets AS (
   SELECT CAST(conv_id * 100 + turn AS VARCHAR) AS tweet_id,
          CAST((conv_id * 13 + turn * 29) % 400 AS VARCHAR) AS author_id,
-         CAST(conv_id * 100 + turn - 1 AS VARCHAR) AS parent_tweet_id, text
-  FROM conversations WHERE turn > 0 AND NOT (conv_id % 7 = 3 AND turn = 2))"""
+         {PARENT} AS parent_tweet_id, text
+  FROM conversations WHERE turn > 0)"""
 
 ROOTS = """walk(tweet_id, cur, steps) AS (
   SELECT tweet_id, parent_tweet_id, 0 FROM retweets
@@ -205,13 +211,12 @@ ORACLE: dict[str, str] = {
         WHERE d.lang = 'en' AND d.doc_id NOT IN (
           SELECT doc_id FROM documents WHERE lang = 'en'
           AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1))""",
-    "hydrate": """SELECT CAST(d.doc_id AS VARCHAR) AS tweet_id, d.lang, d.source
-        FROM (SELECT DISTINCT doc_id FROM labels) l JOIN documents d ON d.doc_id = l.doc_id
-        WHERE d.doc_id % 10 <> 7""",
-    "unhydrated": """SELECT DISTINCT CAST(doc_id AS VARCHAR) AS tweet_id FROM labels
-        WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 10 <> 7)""",
-    "orphans": """SELECT doc_id, quality, toxic FROM labels
-        WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 10 <> 7)""",
+    "hydrate": f"""WITH {IDS} SELECT i.tweet_id, d.lang, d.source
+        FROM (SELECT DISTINCT tweet_id FROM ids) i JOIN documents d ON CAST(d.doc_id AS VARCHAR) = i.tweet_id""",
+    "unhydrated": f"""WITH {IDS} SELECT DISTINCT tweet_id FROM ids
+        WHERE tweet_id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM documents)""",
+    "orphans": f"""WITH {REGULAR}, {RETWEETS} SELECT tweet_id, parent_tweet_id FROM retweets
+        WHERE parent_tweet_id NOT IN (SELECT tweet_id FROM regular UNION ALL SELECT tweet_id FROM retweets)""",
     "append_new": """SELECT tweet_id, turn, role FROM (
           SELECT CAST(conv_id AS VARCHAR) AS tweet_id, turn, role FROM conversations
           QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) = 1)
@@ -284,11 +289,11 @@ ORACLE: dict[str, str] = {
         JOIN retweets t ON t.tweet_id = o.tweet_id
         LEFT JOIN scores s ON s.author_id = t.author_id
         GROUP BY o.root_id""",
-    "ingest_closure": """WITH RECURSIVE arch AS (
+    "ingest_closure": f"""WITH RECURSIVE arch AS (
           SELECT CAST(conv_id * 100 + turn AS VARCHAR) AS tweet_id,
-                 CASE WHEN turn = 0 THEN NULL ELSE CAST(conv_id * 100 + turn - 1 AS VARCHAR) END AS parent_tweet_id,
+                 CASE WHEN turn = 0 THEN NULL ELSE {PARENT} END AS parent_tweet_id,
                  CASE WHEN turn = 0 THEN 'regular' WHEN turn % 3 = 1 THEN 'reply' ELSE 'retweet' END AS kind
-          FROM conversations WHERE NOT (conv_id % 7 = 3 AND turn = 2)),
+          FROM conversations),
         seeds AS (SELECT CAST(conv_id * 100 + max(turn) AS VARCHAR) AS tweet_id FROM conversations GROUP BY conv_id),
         walk(fid, phase) AS (
           SELECT tweet_id, 'R' FROM seeds
