@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.functions.text import split_entities, tokens
 from tidepool.functions.urls import site_of
 from tidepool.operators.skew import DEFAULT_HOT_ROWS, lookup_join
-from tidepool.operators.stats import top_n
+from tidepool.operators.stats import summary, top_n
 from tidepool.session import checkpoint_dir
 
 # kinds of a node id in the forest
@@ -96,7 +96,6 @@ def top_roots(roots: DataFrame, n: int = 100) -> DataFrame:
     to n rows, so it may be broadcast."""
     top = top_n(retweets_per_root(roots), "n_retweets", "root_id", n)
     # a window over at most n rows: one small task
-    from pyspark.sql import Window
     w = Window.orderBy(F.desc("n_retweets"), F.asc("root_id"))
     return top.withColumn("rank", F.row_number().over(w))
 
@@ -104,7 +103,6 @@ def top_roots(roots: DataFrame, n: int = 100) -> DataFrame:
 def chain_summary(retweets: DataFrame, regular: DataFrame, roots: DataFrame,
                   kinds: DataFrame) -> DataFrame:
     """Counts as ``(metric, value)`` rows."""
-    from tidepool.operators.stats import summary
     return summary({
         "roots_with_retweets": roots.select("root_id").distinct(),
         "regular": regular,
@@ -144,7 +142,6 @@ def topk_words(roots: DataFrame, regular: DataFrame, cuts=(10, 20, 50, 100), n:
     words = det.select("rank", F.explode(tokens("text", stopwords)).alias("word"))
     words = words.select(F.explode(F.filter(cut_arr, lambda c: c >= F.col("rank"))).alias("cut"), "word")
     counts = words.groupBy("cut", "word").agg(F.count(F.lit(1)).alias("n"))
-    from pyspark.sql import Window
     w = Window.partitionBy("cut").orderBy(F.desc("n"), F.asc("word"))
     return counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
 

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from tidepool.session import checkpoint_dir, scratch_path
+from tidepool.operators.skew import lookup_join
+from tidepool.session import checkpoint_dir
 
 
 def _order_struct(order: list[str]):
@@ -22,7 +23,7 @@ def _order_struct(order: list[str]):
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key, the one lowest in ``order`` (ties: lowest row
     overall, so the pick is deterministic)."""
-    cols = [c for c in df.columns]
+    cols = list(df.columns)
     picked = df.groupBy(*keys).agg(
         F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(_order_struct(order), F.struct(*cols))).alias("_r"))
     return picked.select("_r.*")
@@ -52,7 +53,6 @@ def retweet_ids(full: DataFrame, clean: DataFrame, lang: str = "en", key: str =
     """IDs of the ``lang`` rows of the full set missing from the
     ``lang`` rows of the clean set (retweets). A left anti join: duplicate
     IDs of the full set are kept, unlike ``EXCEPT``."""
-    from tidepool.operators.skew import lookup_join
     f = full.where(F.col("lang") == lang).select(key)
     c = clean.where(F.col("lang") == lang).select(F.col(key).alias("_ck")).distinct()
     return lookup_join(f, key, c, "_ck", how="left_anti")
@@ -80,15 +80,14 @@ def update_by_key(base: DataFrame, updates: DataFrame, key: str, cols: list[str]
     """``base`` with ``cols`` replaced by the latest update of each key;
     unmatched rows keep their values, update keys absent from ``base`` are
     ignored (an UPDATE, not an upsert)."""
-    base2 = base
     for c in cols:
-        if c not in base2.columns:
+        if c not in base.columns:
             raise ValueError(f"column {c} missing from base; use ensure_column first")
     latest = latest_per_key(updates, key, cols, seq).select(
         F.col(key), F.lit(True).alias("_matched"), *[F.col(c).alias(f"_new_{c}") for c in cols])
-    j = base2.join(latest, key, "left")
+    j = base.join(latest, key, "left")
     out = [F.when(F.col("_matched"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
-           if c in cols else F.col(c) for c in base2.columns]
+           if c in cols else F.col(c) for c in base.columns]
     return j.select(*out)
 
 
@@ -101,7 +100,6 @@ def ensure_column(df: DataFrame, name: str, dtype: DataType | str) -> DataFrame:
 
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str | None = None) -> DataFrame:
     """Child rows whose foreign key has no parent row."""
-    from tidepool.operators.skew import lookup_join
     pk = pk or fk
     keys = parent.select(F.col(pk).alias("_pk")).distinct()
     return lookup_join(child, fk, keys, "_pk", how="left_anti")
@@ -136,10 +134,3 @@ def assign_ids(df: DataFrame, base: int, order: list[str], id_col: str = "articl
     return sorted_df.withColumn(id_col, F.lit(base) + off_map[part] + pos).drop("_mid")
 
 
-def table_count(df: DataFrame) -> int:
-    return df.count()
-
-
-__all__ = ["append_new", "new_by_key", "hydrate", "unhydrated", "update_by_key",
-           "ensure_column", "orphans", "assign_ids", "first_per_key", "latest_per_key",
-           "write_append", "scratch_path"]

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
-from tidepool.functions._col import as_col
 from tidepool.functions.text import split_entities
 
 
@@ -204,7 +203,3 @@ def _flag_rises(batches):
     if carry is not None:
         yield pd.DataFrame({"kind": ["last"], "pid": [pid], "p": [carry[0]], "o": [None],
                             "d": [carry[1]], "rise": [False]})
-
-
-def cond(expr) -> Column:
-    return F.expr(expr) if isinstance(expr, str) else as_col(expr)
