@@ -525,3 +525,20 @@ def q_stream_json_ingest(spark, sf):
     reg = spark.read.parquet(f"{out}/regular").select("tweet_id", F.lit("regular").alias("saved_to"))
     rts = spark.read.parquet(f"{out}/retweets").select("tweet_id", F.lit("retweets").alias("saved_to"))
     return reg.unionByName(rts)
+
+
+@query("stream_closure")
+def q_stream_closure(spark, sf):
+    """T1 + J11: every conversation turn arrives on the stream; each
+    micro-batch walks its chains against the archive and stores what the
+    walk saves."""
+    from tidepool.session import scratch_path
+    from tidepool.streaming.jobs import parquet_stream, stream_ingest
+    arch = ad.conversation_archive(spark, sf).withColumn("created_at", F.lit(None).cast("timestamp"))
+    turns = parquet_stream(spark, sf, "conversations.parquet")
+    seeds = turns.select((F.col("conv_id") * 100 + F.col("turn")).cast("string").alias("tweet_id"))
+    out, ck = scratch_path(spark, "closure"), scratch_path(spark, "closure_ckpt")
+    _run(stream_ingest(seeds, out, ck, archive=arch))
+    reg = spark.read.parquet(f"{out}/regular").select("tweet_id", F.lit("regular").alias("saved_to"))
+    rts = spark.read.parquet(f"{out}/retweets").select("tweet_id", F.lit("retweets").alias("saved_to"))
+    return reg.unionByName(rts)

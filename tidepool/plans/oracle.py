@@ -385,3 +385,8 @@ ORACLE.update({
         CASE WHEN kind = 'retweet' THEN 'retweets' ELSE 'regular' END AS saved_to
         FROM tweets WHERE doc_id % 11 <> 0 AND kind <> 'reply' AND NOT (kind = 'retweet' AND doc_id % 20 = 18)""",
 })
+
+ORACLE["stream_closure"] = ORACLE["ingest_closure"].replace(
+    "seeds AS (SELECT CAST(conv_id * 100 + max(turn) AS VARCHAR) AS tweet_id FROM conversations GROUP BY conv_id)",
+    "seeds AS (SELECT CAST(conv_id * 100 + turn AS VARCHAR) AS tweet_id FROM conversations)")
+assert ORACLE["stream_closure"] != ORACLE["ingest_closure"]

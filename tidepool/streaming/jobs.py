@@ -54,14 +54,27 @@ def classify_stream(raw: DataFrame, rules: list[str] | None = None) -> DataFrame
 
 
 def stream_ingest(rows: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-                  order: str = "created_at"):
+                  order: str = "created_at", archive: DataFrame | None = None):
     """Split a stream of classified tweets into the ``regular`` and
     ``retweets`` tables; first write wins per ``tweet_id`` across batches.
-    Replies are not stored (their roots are found by the ingest closure)."""
+
+    Without ``archive`` the batch's own retweets and regular tweets are
+    stored and replies skipped. With ``archive`` (all known tweets:
+    ``tweet_id, parent_tweet_id, kind`` and the stored columns) each
+    micro-batch runs the ingest closure (J11) from its tweets: retweet
+    chains are saved up to the first non-retweet, replies are followed to
+    the regular tweet they answer, which is saved."""
     def _sink(batch: DataFrame, epoch: int):
         batch = batch.persist()
-        append_keyed(batch.where("kind = 'regular'"), f"{out}/regular", ["tweet_id"], [order, "tweet_id"])
-        append_keyed(batch.where("kind = 'retweet'"), f"{out}/retweets", ["tweet_id"], [order, "tweet_id"])
+        if archive is not None:
+            from tidepool.operators.chains import ingest_closure
+            reached = ingest_closure(batch.select("tweet_id"), archive)
+            rows_ = archive.join(reached, "tweet_id", "inner").withColumn(
+                "kind", F.when(F.col("saved_to") == "retweets", "retweet").otherwise("regular")).drop("saved_to")
+        else:
+            rows_ = batch
+        append_keyed(rows_.where("kind = 'regular'"), f"{out}/regular", ["tweet_id"], [order, "tweet_id"])
+        append_keyed(rows_.where("kind = 'retweet'"), f"{out}/retweets", ["tweet_id"], [order, "tweet_id"])
         batch.unpersist()
 
     w = rows.writeStream.foreachBatch(_sink).option("checkpointLocation", checkpoint)
