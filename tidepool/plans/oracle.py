@@ -390,3 +390,20 @@ ORACLE["stream_closure"] = ORACLE["ingest_closure"].replace(
     "seeds AS (SELECT CAST(conv_id * 100 + max(turn) AS VARCHAR) AS tweet_id FROM conversations GROUP BY conv_id)",
     "seeds AS (SELECT CAST(conv_id * 100 + turn AS VARCHAR) AS tweet_id FROM conversations)")
 assert ORACLE["stream_closure"] != ORACLE["ingest_closure"]
+
+
+def _raw_text_sql(x: str) -> str:
+    """Text of an HTML fragment as a tag walker sees it: tags dropped,
+    references decoded, nothing trimmed."""
+    return decode_sql(f"regexp_replace({x}, {_q(r'<[^>]*>')}, '', 'g')")
+
+
+_ART = inner_sql("html", "article")
+_NAV_HREFS = f"regexp_extract_all({inner_sql('html', 'nav')}, 'href=\"([^\"]+)\"', 1)"
+_PIECES = f"(string_split_regex({_ART}, {_q(r'<p(\s[^>]*)?>')}))[2:]"
+ORACLE["page_rules"] = f"""SELECT page_id, 'generic' AS site,
+    {_raw_text_sql(inner_sql('html', 'h1'))} AS title,
+    array_to_string(list_transform({_PIECES}, lambda s: {_raw_text_sql("split_part(s, '</p>', 1)")}), chr(10)) AS content,
+    {_NAV_HREFS}[-1] AS next_href,
+    CAST(len({_NAV_HREFS}) AS INTEGER) AS n_items
+  FROM pages"""
