@@ -17,7 +17,7 @@ TS0 = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
 
 
 # Tables whose rows carry long text (regex work per row dominates).
-TEXT_TABLES = {"documents", "pages", "conversations"}
+TEXT_TABLES = {"documents", "pages"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,11 +65,15 @@ def tweets(spark, sf_dir, urls: bool = True) -> DataFrame:
     )
 
 
-def regular(spark, sf_dir) -> DataFrame:
-    """Original tweets: first turn of each conversation."""
+def regular(spark, sf_dir, urls: bool = True) -> DataFrame:
+    """Original tweets: first turn of each conversation; the linked URL is
+    the page with the conversation's id (joined only when asked for)."""
     c = table(spark, sf_dir, "conversations").where("turn = 0")
-    p = table(spark, sf_dir, "pages").select("page_id", "url")
-    j = c.join(p, c.conv_id == p.page_id, "left")
+    if urls:
+        p = table(spark, sf_dir, "pages").select("page_id", "url")
+        j = c.join(p, c.conv_id == p.page_id, "left")
+    else:
+        j = c.withColumn("url", F.lit(None).cast("string"))
     return j.select(
         (F.col("conv_id") * 100).cast("string").alias("tweet_id"),
         ((F.col("conv_id") * 13) % 400).cast("string").alias("author_id"),

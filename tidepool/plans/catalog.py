@@ -270,8 +270,8 @@ def q_listing_last_wins(spark, sf):
 
 # --- chains -----------------------------------------------------------------
 
-def _chains(spark, sf):
-    reg = ad.regular(spark, sf)
+def _chains(spark, sf, urls: bool = False):
+    reg = ad.regular(spark, sf, urls=urls)
     rts = ad.retweets(spark, sf)
     return reg, rts
 
@@ -315,7 +315,7 @@ def q_topk_words(spark, sf):
 
 @query("site_top20")
 def q_site_top20(spark, sf):
-    reg, rts = _chains(spark, sf)
+    reg, rts = _chains(spark, sf, urls=True)
     return chains.site_top(chains.resolve_roots(rts, reg), reg, 100, 20)
 
 
