@@ -31,7 +31,10 @@ def spread_coarse_input(df: DataFrame) -> DataFrame:
     group). A large table arrives as many files and is left alone: no
     shuffle of the text at scale."""
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, leave as read
+        return df
     if len(df.inputFiles()) * 4 < cores:
         return df.repartition(cores)
     return df
