@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidepool.functions.text import split_entities, tokens
 from tidepool.functions.urls import site_of
 from tidepool.operators.skew import DEFAULT_HOT_ROWS, lookup_join
-from tidepool.operators.stats import summary, top_n
+from tidepool.operators.stats import top_n
 from tidepool.session import checkpoint_dir
 
 # kinds of a node id in the forest
@@ -102,17 +102,23 @@ def top_roots(roots: DataFrame, n: int = 100) -> DataFrame:
 
 def chain_summary(retweets: DataFrame, regular: DataFrame, roots: DataFrame,
                   kinds: DataFrame) -> DataFrame:
-    """Counts as ``(metric, value)`` rows."""
-    return summary({
-        "roots_with_retweets": roots.select("root_id").distinct(),
-        "regular": regular,
-        "retweets": retweets,
-        "direct": kinds.where("parent_kind = 'direct'"),
-        "undirect": kinds.where("parent_kind = 'undirect'"),
-        "resolved": roots,
-        # undirect includes chains that never reach a stored original
-        "broken": retweets.select("tweet_id").join(roots.select("tweet_id"), "tweet_id", "left_anti"),
-    })
+    """Counts as ``(metric, value)`` rows, from two passes: one over
+    the regular tweets, one over the retweets with their parent kind and
+    root (a join on the unique ``tweet_id``). ``undirect`` includes chains
+    that never reach a stored original; those are also ``broken`` (D8)."""
+    per_rt = kinds.join(roots.select("tweet_id", "root_id"), "tweet_id", "left")
+    rt = per_rt.agg(
+        F.count(F.lit(1)).alias("retweets"),
+        F.count_if(F.col("parent_kind") == "direct").alias("direct"),
+        F.count_if(F.col("parent_kind") == "undirect").alias("undirect"),
+        F.count("root_id").alias("resolved"),
+        F.count_if(F.col("root_id").isNull()).alias("broken"),
+        F.count_distinct("root_id").alias("roots_with_retweets"))
+    names = ["retweets", "direct", "undirect", "resolved", "broken", "roots_with_retweets"]
+    stacked = rt.select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("value"))
+                                            for n in names])).alias("m")).select("m.*")
+    reg = regular.agg(F.count(F.lit(1)).alias("value")).select(F.lit("regular").alias("metric"), "value")
+    return stacked.unionByName(reg)
 
 
 def collection_gap(roots: DataFrame, regular: DataFrame) -> DataFrame:

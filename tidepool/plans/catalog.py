@@ -124,9 +124,9 @@ def _landed_daily(spark, sf) -> DataFrame:
     t = ad.tweets(spark, sf, urls=False).select("tweet_id", "lang", day)
     good = ad.table(spark, sf, "labels").where("quality = 1").select(
         F.col("doc_id").cast("string").alias("tweet_id"))
-    write_daily_tsv(t.repartition("day"), f"{root}/full", mode="overwrite")
-    write_daily_tsv(t.join(good, "tweet_id", "left_semi").repartition("day"), f"{root}/ids_clean",
-                    mode="overwrite")
+    # no repartition by day before writing: a day may hold a third of all rows
+    write_daily_tsv(t, f"{root}/full", mode="overwrite")
+    write_daily_tsv(t.join(good, "tweet_id", "left_semi"), f"{root}/ids_clean", mode="overwrite")
     return read_daily_tsv(spark, root)
 
 
