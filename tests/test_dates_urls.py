@@ -38,3 +38,15 @@ def test_absolute_url(spark):
                                 ("https://z/", "https://a.b/")], "l string, p string")
     got = [r[0] for r in df.select(absolute_url("l", "p")).collect()]
     assert got == ["https://a.b/x", "//cdn/x", "https://z/"]
+
+
+def test_tweet_time_both_shapes(spark):
+    from tidepool.functions.dates import tweet_time
+    from tidepool.operators.predicates import time_range_utc
+    df = spark.createDataFrame([("Wed Oct 10 20:19:24 +0000 2018",), ("2018-10-10T20:19:24.000Z",),
+                                ("Wed Oct 10 21:19:24 +0100 2018",), ("junk",)], "c string")
+    secs = [r[0] for r in df.select(F.unix_timestamp(tweet_time("c"))).collect()]
+    assert secs == [1539202764, 1539202764, 1539202764, None]
+    t = df.withColumn("t", tweet_time("c"))
+    assert time_range_utc(t, "t", "2018-10-10 20:19:24", "2018-10-10 20:19:25").count() == 3
+    assert time_range_utc(t, "t", "2018-10-10 20:19:25", "2018-10-11 00:00:00").count() == 0

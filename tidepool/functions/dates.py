@@ -19,6 +19,9 @@ SITE_AT_SUFFIX = "WND"            # keep the text before " at"
 SITE_TWO_COMMA_PARTS = "WorldHealth"  # keep the first two comma parts
 SITE_WEEKDAY_PREFIX = "ZeroHedge"   # keep the part after ", " and before " -"
 DATE_FORMATS = ["yyyy-M-d", "MMMM d, yyyy", "MMM d, yyyy", "M/d/yyyy"]
+# Tweet creation times: v1.1 "Wed Oct 10 20:19:24 +0000 2018" (parsed after
+# the weekday, which Spark's parser does not accept) and v2 ISO-8601.
+V1_TIME_FORMAT = "MMM dd HH:mm:ss Z yyyy"
 # ISO date-time with a numeric offset or Z; the date is taken as written.
 ISO_OFFSET = r"^(\d{4}-\d{1,2}-\d{1,2})T\d{1,2}:\d{1,2}:\d{1,2}(Z|[+-]\d{2}:?\d{2})$"
 # ---------------------------------------------------------------------------
@@ -55,3 +58,11 @@ def date_reject(c, source=None) -> Column:
     """True where a non-empty date text fits no known format."""
     s = as_col(c)
     return (F.coalesce(s, F.lit("")) != "") & normalize_date(s, source).isNull()
+
+
+def tweet_time(c) -> Column:
+    """``created_at`` of a v1.1 or v2 tweet as a TIMESTAMP instant (the
+    written offset honoured); NULL when it is neither."""
+    s = as_col(c)
+    return F.coalesce(F.try_to_timestamp(F.substring(s, 5, 64), F.lit(V1_TIME_FORMAT)),
+                      F.try_to_timestamp(s))

@@ -83,6 +83,18 @@ def time_range(df: DataFrame, col: str, start, end) -> DataFrame:
     return df.where((F.col(col) >= F.lit(start)) & (F.col(col) < F.lit(end)))
 
 
+def time_range_utc(df: DataFrame, col: str, start: str, end: str) -> DataFrame:
+    """F8 for TIMESTAMP instants: ``start <= col < end`` with bounds written
+    as UTC ``YYYY-MM-DD HH:MM:SS``, compared as epoch microseconds so the
+    result does not depend on the session time zone."""
+    import datetime as dt
+
+    def micros(t):
+        return int(dt.datetime.fromisoformat(t).replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
+    us = F.unix_micros(F.col(col))
+    return df.where((us >= F.lit(micros(start))) & (us < F.lit(micros(end))))
+
+
 def any_term(df: DataFrame, col: str, terms: list[str]) -> DataFrame:
     """any of the terms occurs, case-blind."""
     pattern = "(?i)" + "|".join(re.escape(t) for t in terms)

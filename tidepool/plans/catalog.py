@@ -27,6 +27,7 @@ RECENT_NOW = "2024-01-15 00:00:00"
 MISSING_MONTH = "2024-01"
 CAP_PER_DAY = 20
 PAGE_SIZE = 7
+RT_START, RT_END = "2024-01-02 00:00:00", "2024-01-09 00:00:00"
 # ---------------------------------------------------------------------------
 
 QUERIES: dict[str, callable] = {}
@@ -355,6 +356,18 @@ def q_parse_retweet_v1(spark, sf):
     return parse_retweet_v1(_landed_json(spark, sf, 1))
 
 
+@query("retweet_search")
+def q_retweet_search(spark, sf):
+    """A window search that keeps only retweets (P3 F6 F8 K1): v1.1 JSON,
+    retweets created in [RT_START, RT_END) UTC, not already stored."""
+    from tidepool.functions.dates import tweet_time
+    from tidepool.operators.parse import parse_retweet_v1
+    rts = parse_retweet_v1(_landed_json(spark, sf, 1)).where("is_retweet")
+    win = pr.time_range_utc(rts.withColumn("_t", tweet_time("created_at")), "_t", RT_START, RT_END).drop("_t")
+    new = keyed.append_new(win, _label_ids(spark, sf), ["tweet_id"], ["created_at", "tweet_id"])
+    return new.select("tweet_id", "author_id", "parent_tweet_id", "parent_tweet_author_id")
+
+
 @query("parse_v2_split")
 def q_parse_v2_split(spark, sf):
     from tidepool.operators.parse import parse_tweet_v2, split_valid

@@ -407,3 +407,9 @@ ORACLE["page_rules"] = f"""SELECT page_id, 'generic' AS site,
     {_NAV_HREFS}[-1] AS next_href,
     CAST(len({_NAV_HREFS}) AS INTEGER) AS n_items
   FROM pages"""
+
+ORACLE["retweet_search"] = f"""WITH {TWEETS} SELECT tweet_id, author_id,
+    CAST(doc_id - 1 AS VARCHAR) AS parent_tweet_id, CAST((doc_id - 1) % 97 AS VARCHAR) AS parent_tweet_author_id
+  FROM tweets WHERE kind = 'retweet'
+   AND created_at >= TIMESTAMP '{cat.RT_START}' AND created_at < TIMESTAMP '{cat.RT_END}'
+   AND doc_id NOT IN (SELECT doc_id FROM labels)"""
