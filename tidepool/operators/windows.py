@@ -18,14 +18,19 @@ def _day(ts_col: str):
     return F.to_date(F.col(ts_col))
 
 
-def cap_per_day(df: DataFrame, ts_col: str, n: int, tie: str) -> DataFrame:
-    """The first n rows of each day by ``(ts, tie)``."""
-    w = Window.partitionBy(_day(ts_col)).orderBy(F.col(ts_col), F.col(tie))
+def cap_per_day(df: DataFrame, ts_col: str, n: int, tie: str, newest_first: bool = False) -> DataFrame:
+    """The first n rows of each day by ``(ts, tie)`` (a search API
+    pages newest first: ``newest_first=True``)."""
+    order = [F.col(ts_col), F.col(tie)]
+    if newest_first:
+        order = [c.desc() for c in order]
+    w = Window.partitionBy(_day(ts_col)).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def cap_pages_per_day(df: DataFrame, ts_col: str, page_size: int, n: int, tie: str) -> DataFrame:
+def cap_pages_per_day(df: DataFrame, ts_col: str, page_size: int, n: int, tie: str,
+                      newest_first: bool = False) -> DataFrame:
     """Whole pages of ``page_size`` rows per day, taken while the day's
     running total is below n (the last page may overshoot n)."""
     keep = math.ceil(n / page_size) * page_size
-    return cap_per_day(df, ts_col, keep, tie)
+    return cap_per_day(df, ts_col, keep, tie, newest_first)

@@ -28,6 +28,11 @@ MISSING_MONTH = "2024-01"
 CAP_PER_DAY = 20
 PAGE_SIZE = 7
 RT_START, RT_END = "2024-01-02 00:00:00", "2024-01-09 00:00:00"
+# hashtag searches: target table -> tags (all required), English only;
+# result pages of SEARCH_PAGE rows per day until SEARCH_PER_DAY are reached
+HASHTAG_TABLES = {"covid19_truncated": ["#covid19"], "election2020_truncated": ["#2020election"],
+                  "both_truncated": ["#covid19", "#2020election"]}
+SEARCH_PAGE, SEARCH_PER_DAY = 5, 12
 # ---------------------------------------------------------------------------
 
 QUERIES: dict[str, callable] = {}
@@ -225,6 +230,22 @@ def q_cap_pages_per_day(spark, sf):
     return windows.cap_pages_per_day(e, "ts", PAGE_SIZE, CAP_PER_DAY, "event_id").select("event_id")
 
 
+@query("hashtag_search")
+def q_hashtag_search(spark, sf):
+    """Per-table hashtag searches (F1 F2 W3): English tweets holding all
+    of a table's tags, newest first, whole pages per day up to the daily
+    target; one frame with the target table named per row."""
+    t = pr.lang_is(ad.tweets(spark, sf, urls=False), "en")
+    parts = [windows.cap_pages_per_day(pr.has_all_tags(t, tags), "created_at", SEARCH_PAGE, SEARCH_PER_DAY,
+                                       "tweet_id", newest_first=True)
+             .select(F.lit(name).alias("table"), "tweet_id")
+             for name, tags in HASHTAG_TABLES.items()]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
+
+
 # --- dates ------------------------------------------------------------------
 
 @query("date_normalize")

@@ -413,3 +413,19 @@ ORACLE["retweet_search"] = f"""WITH {TWEETS} SELECT tweet_id, author_id,
   FROM tweets WHERE kind = 'retweet'
    AND created_at >= TIMESTAMP '{cat.RT_START}' AND created_at < TIMESTAMP '{cat.RT_END}'
    AND doc_id NOT IN (SELECT doc_id FROM labels)"""
+
+
+def _hashtag_search() -> str:
+    parts = []
+    for name, tags in cat.HASHTAG_TABLES.items():
+        have = split_sql("hashtags_str")
+        arr = "[" + ", ".join(_q(t.lower()) for t in tags) + "]"
+        parts.append(f"""SELECT '{name}' AS "table", tweet_id FROM (
+            SELECT tweet_id, (row_number() OVER (PARTITION BY CAST(created_at AS DATE)
+                   ORDER BY created_at DESC, tweet_id DESC) - 1) // {cat.SEARCH_PAGE} AS page
+            FROM tweets WHERE lang = 'en' AND list_has_all({have}, {arr}))
+          WHERE page * {cat.SEARCH_PAGE} < {cat.SEARCH_PER_DAY}""")
+    return f"WITH {TWEETS} " + " UNION ALL ".join(parts)
+
+
+ORACLE["hashtag_search"] = _hashtag_search()
