@@ -102,6 +102,7 @@ SITE_RULES = [
          title_path=_p("h1"), body_path=_p("article"), body_tags=["p"]),
 ]
 DEFAULT_BODY_TAGS = ["p", "li", "h1", "h2", "h3"]
+MAX_PAGES_PER_BATCH = 1000
 # Start tags that close an open <p> (HTML rule); void elements never open.
 P_CLOSERS = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset",
              "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
@@ -261,6 +262,12 @@ def extract_articles(pages: DataFrame, rules: DataFrame, site_col: str = "site")
     """P12 tier (b): title, content, raw date, next link and listing links
     of every page by its site's rule. Pages without a rule are dropped.
     The rule table is one row per site, so broadcasting it is bounded."""
+    spark = pages.sparkSession
+    # raw pages are wide: cap Arrow batches so one batch stays small in the
+    # Python worker (a session setting, read when the job runs)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > MAX_PAGES_PER_BATCH:
+        spark.conf.set(key, str(MAX_PAGES_PER_BATCH))
     r = rules.select(F.col("site").alias(site_col), F.to_json(F.struct(*rules.columns)).alias("_rule"))
     j = pages.select("page_id", "url", site_col, "html").join(F.broadcast(r), site_col, "inner")
     return j.mapInPandas(_extract_batches, EXTRACTED)
