@@ -177,6 +177,17 @@ def bot_share(roots: DataFrame, retweets: DataFrame, scores: DataFrame, k: int =
         .alias("bot_share"))
 
 
+def prepare_archive(archive: DataFrame) -> DataFrame:
+    """The walk's view of an archive ``(tweet_id, parent_tweet_id, kind)``:
+    hash-partitioned by id and checkpointed once. The checkpoint keeps that
+    partitioning, so every later join on the id shuffles only the other
+    (small, deduplicated) side. Prepare once, reuse across rounds and
+    micro-batches."""
+    n = int(archive.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(archive.select(F.col("tweet_id").alias("_aid"), F.col("parent_tweet_id").alias("_par"),
+                                      F.col("kind").alias("_kind")).repartition(n, "_aid"))
+
+
 def ingest_closure(seeds: DataFrame, archive: DataFrame, max_rounds: int = 1000) -> DataFrame:
     """What the stream ingester saves for a set of seed tweets.
 
@@ -190,8 +201,7 @@ def ingest_closure(seeds: DataFrame, archive: DataFrame, max_rounds: int = 1000)
     so no hot key) and drops pairs seen before. Returns distinct
     ``(tweet_id, saved_to)`` with ``saved_to`` in {retweets, regular}.
     """
-    arch = archive.select(F.col("tweet_id").alias("_aid"), F.col("parent_tweet_id").alias("_par"),
-                          F.col("kind").alias("_kind"))
+    arch = archive if "_aid" in archive.columns else prepare_archive(archive)
     frontier = cut_lineage(seeds.select(F.col("tweet_id").alias("fid"), F.lit("R").alias("phase")).distinct())
     seen_parts = [frontier]  # each round's frontier, checkpointed once, never rewritten
     saved = None

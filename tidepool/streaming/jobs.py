@@ -64,11 +64,15 @@ def stream_ingest(rows: DataFrame, out: str, checkpoint: str, trigger: dict | No
     micro-batch runs the ingest closure (J11) from its tweets: retweet
     chains are saved up to the first non-retweet, replies are followed to
     the regular tweet they answer, which is saved."""
+    walk_view = None
+    if archive is not None:
+        from tidepool.operators.chains import ingest_closure, prepare_archive
+        walk_view = prepare_archive(archive)  # once, shared by every micro-batch
+
     def _sink(batch: DataFrame, epoch: int):
         batch = batch.persist()
         if archive is not None:
-            from tidepool.operators.chains import ingest_closure
-            reached = ingest_closure(batch.select("tweet_id"), archive)
+            reached = ingest_closure(batch.select("tweet_id"), walk_view)
             rows_ = archive.join(reached, "tweet_id", "inner").withColumn(
                 "kind", F.when(F.col("saved_to") == "retweets", "retweet").otherwise("regular")).drop("saved_to")
         else:
