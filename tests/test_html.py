@@ -4,7 +4,7 @@ from tidepool.functions.html import paragraphs
 from tidepool.operators.html_extract import extract_articles, extract_one, listing_cards, next_link, rules_frame
 
 BLP = """<html><body><li class="mvp-blog-story-wrap left relative infinite-post"><a href="/a1">x</a></li>
-<div class="pagination"><a href="/p1">Prev</a><a href="/p3">Next &rsaquo;</a></div>
+<div class="pagination"><a href="/p1">Prev</a><a href="/p3">Next &rsaquo;</a><a href="/last">Last</a></div>
 <div id="mvp-post-main"><h1 class="mvp-post-title left entry-title">Title &amp; more</h1>
 <span class="mvp-post-date updated"><time datetime="2020-03-25T20:07:28+00:00">Mar</time></span>
 <div id="mvp-content-main"><p>one</p><div><p>nested</p></div><p>two <b>bold</b></p></div></div></body></html>"""
@@ -56,3 +56,9 @@ def test_listing_cards_last_wins(spark):
                                   "url string, seq int, title string")
     got = sorted(tuple(r) for r in listing_cards(cards, "url", "seq", ["title"]).collect())
     assert got == [("u", "new"), ("v", "v1")]
+
+
+def test_next_link_by_child_icon():
+    html = ('<div class="page-nav td-pb-padding-side"><a href="/1"><i class="td-icon-menu-left"></i></a>'
+            '<a href="/3"><i class="td-icon-menu-right"></i></a><a href="/9">9</a></div>')
+    assert extract_one(html, rule("DCClothesline"))[3] == "/3"

@@ -27,6 +27,7 @@ PATH = ArrayType(STEP)
 RULE = StructType([
     StructField("site", StringType()), StructField("item_path", PATH),
     StructField("link_root", BooleanType()), StructField("next_path", PATH),
+    StructField("next_text", StringType()), StructField("next_child", PATH),
     StructField("title_path", PATH), StructField("body_path", PATH),
     StructField("body_tags", ArrayType(StringType())), StructField("direct_only", BooleanType()),
     StructField("date_path", PATH), StructField("date_attr", StringType()),
@@ -49,15 +50,18 @@ def _p(*steps):
 # body, date), and the rule for generic article pages.
 SITE_RULES = [
     dict(site="BigLeaguePolitics", item_path=_p("li.mvp-blog-story-wrap left relative infinite-post", "a"),
-         next_path=_p("div.pagination", "a"), title_path=_p("div#mvp-post-main", "h1.mvp-post-title left entry-title"),
+         next_path=_p("div.pagination", "a"), next_text="Next \u203a",
+         title_path=_p("div#mvp-post-main", "h1.mvp-post-title left entry-title"),
          body_path=_p("div#mvp-content-main"), body_tags=["p"], direct_only=True,
          date_path=_p("span.mvp-post-date updated", "time"), date_attr="datetime"),
     dict(site="DCClothesline", item_path=_p("div.td-block-span6", "h3.entry-title td-module-title", "a"),
-         next_path=_p("div.page-nav td-pb-padding-side", "a"), title_path=_p("header.td-post-title", "h1.entry-title"),
+         next_path=_p("div.page-nav td-pb-padding-side", "a"), next_child=_p("i.td-icon-menu-right"),
+         title_path=_p("header.td-post-title", "h1.entry-title"),
          body_path=_p("div.td-post-content tagdiv-type"), body_tags=["p"], direct_only=True,
          date_path=_p("span.td-post-date", "time"), date_attr="datetime"),
     dict(site="GreatGameIndia", item_path=_p("div.td_module_10", "a.td-image-wrap"),
-         next_path=_p("div.page-nav td-pb-padding-side", "a"), title_path=_p("header.td-post-title", "h1"),
+         next_path=_p("div.page-nav td-pb-padding-side", "a"), next_child=_p("i.td-icon-menu-right"),
+         title_path=_p("header.td-post-title", "h1"),
          body_path=_p("div.td-post-content"), date_path=_p("header.td-post-title", "time"), date_attr="datetime"),
     dict(site="HealthImpactNews", item_path=_p("div.acs_search_results_items", "div.entry-permalink", "a"),
          title_path=_p("h2.entry-title"), body_path=_p("div.post-content"),
@@ -69,7 +73,8 @@ SITE_RULES = [
          next_path=_p("nav.jellywp_pagination", "a.next page-numbers"), title_path=_p("h1.single_post_title_main"),
          body_path=_p("div.post_content"), date_path=_p("span.post-date updated"), date_attr="datetime"),
     dict(site="Intellihub", item_path=_p("div.td-block-span6", "h3", "a"),
-         next_path=_p("div.page-nav td-pb-padding-side", "a"), title_path=_p("h3", "a"),
+         next_path=_p("div.page-nav td-pb-padding-side", "a"), next_child=_p("i.td-icon-menu-right"),
+         title_path=_p("h3", "a"),
          body_path=_p("div.td-post-content"), date_path=_p("div.td-post-date", "time"), date_attr="datetime"),
     dict(site="JimBakkerShow", item_path=_p("article", "h1.entry-title", "a"),
          next_path=_p("div.nav-previous alignleft button", "a"), title_path=_p("header.entry-header", "h1.entry-title"),
@@ -119,7 +124,7 @@ def rules_frame(spark, rules=None) -> DataFrame:
     for r in rules or SITE_RULES:
         full = {f.name: None for f in RULE.fields}
         full.update({"body_tags": DEFAULT_BODY_TAGS, "direct_only": False, "link_root": False,
-                     "item_path": [], "next_path": [], "date_path": []})
+                     "item_path": [], "next_path": [], "next_child": [], "date_path": []})
         full.update(r)
         rows.append(full)
     return spark.createDataFrame(rows, RULE)
@@ -231,6 +236,11 @@ def extract_one(html: str, rule: dict) -> tuple:
             date = date.split(after, 1)[1]
         date = date.strip() if date is not None else None
     nxt = _find_all_path(root, rule.get("next_path"))
+    if rule.get("next_text"):
+        nxt = [n for n in nxt if rule["next_text"] in _text(n)]
+    if rule.get("next_child"):
+        nxt = [n for n in nxt if _find_path(n, rule["next_child"]) is not None]
+    # the last matching anchor wins
     nxt_href = next((n.attrs.get("href") for n in reversed(nxt) if n.attrs.get("href")), None)
     items = [n.attrs.get("href") for n in _find_all_path(root, rule.get("item_path")) if n.attrs.get("href")]
     return title, content, date, nxt_href, items
