@@ -152,20 +152,25 @@ def article_pages(spark, sf_dir) -> DataFrame:
 
 
 def articles_in(spark, sf_dir) -> DataFrame:
-    """A scraped batch: every page, plus a re-scrape of every fifth page
-    under a new row number (duplicate URLs inside the batch)."""
+    """A scraped batch: every page from the site listings, plus the pages
+    that conversations link to, scraped again from a second listing under
+    a new row number (duplicate URLs inside the batch)."""
     a = article_pages(spark, sf_dir)
-    again = a.where("page_id % 5 = 0").withColumn("page_id", F.col("page_id") + 1000000)
+    linked = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("page_id")).distinct()
+    again = a.join(linked, "page_id", "left_semi").withColumn("page_id", F.col("page_id") + 1000000)
     return a.unionByName(again).withColumnRenamed("page_id", "row") \
         .withColumn("publishedAt", F.lit(None).cast("string"))
 
 
 def articles_existing(spark, sf_dir) -> DataFrame:
-    """The store before the load: every fourth page, ids 0..n-1 by page."""
-    a = article_pages(spark, sf_dir).where("page_id % 4 = 0")
-    return a.select((F.col("page_id") / 4).cast("long").alias("article_id"), "title",
-                    "source", "content", F.lit(None).cast("string").alias("publishedAt"),
-                    "url", F.lit("unknown").alias("label"))
+    """The store before the load: the pages already labelled (a label row
+    with the page's id), with ids 0..n-1 in page order."""
+    a = article_pages(spark, sf_dir)
+    labelled = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"))
+    from tidepool.operators.keyed import assign_ids
+    stored = assign_ids(a.join(labelled, "page_id", "left_semi"), 0, ["page_id"])
+    return stored.select("article_id", "title", "source", "content",
+                         F.lit(None).cast("string").alias("publishedAt"), "url", F.lit("unknown").alias("label"))
 
 
 # ---------------------------------------------------------------------------

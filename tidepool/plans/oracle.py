@@ -127,8 +127,9 @@ ARTICLE_PAGES = f"""article_pages AS (
 ARTICLES = f"""{ARTICLE_PAGES},
 ai AS (SELECT page_id AS "row", url, source, title, content FROM article_pages
        UNION ALL
-       SELECT page_id + 1000000, url, source, title, content FROM article_pages WHERE page_id % 5 = 0),
-ex AS (SELECT * FROM article_pages WHERE page_id % 4 = 0),
+       SELECT page_id + 1000000, url, source, title, content FROM article_pages
+       WHERE page_id IN (SELECT conv_id FROM conversations)),
+ex AS (SELECT * FROM article_pages WHERE page_id IN (SELECT doc_id FROM labels)),
 firsts AS (SELECT * FROM ai QUALIFY row_number() OVER (PARTITION BY url ORDER BY source, "row") = 1),
 new AS (SELECT * FROM firsts WHERE url NOT IN (SELECT url FROM ex)),
 ided AS (SELECT (SELECT count(*) FROM ex) + row_number() OVER (ORDER BY source, "row") - 1 AS article_id,
