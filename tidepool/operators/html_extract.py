@@ -118,16 +118,17 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 # ---------------------------------------------------------------------------
 
 
+def _full_rule(r: dict) -> dict:
+    full = {f.name: None for f in RULE.fields}
+    full.update({"body_tags": DEFAULT_BODY_TAGS, "direct_only": False, "link_root": False,
+                 "item_path": [], "next_path": [], "next_child": [], "date_path": []})
+    full.update(r)
+    return full
+
+
 def rules_frame(spark, rules=None) -> DataFrame:
-    """The rule table (one row per site; small and fixed-size)."""
-    rows = []
-    for r in rules or SITE_RULES:
-        full = {f.name: None for f in RULE.fields}
-        full.update({"body_tags": DEFAULT_BODY_TAGS, "direct_only": False, "link_root": False,
-                     "item_path": [], "next_path": [], "next_child": [], "date_path": []})
-        full.update(r)
-        rows.append(full)
-    return spark.createDataFrame(rows, RULE)
+    """The rule table as a DataFrame (one row per site; small and fixed)."""
+    return spark.createDataFrame([_full_rule(r) for r in rules or SITE_RULES], RULE)
 
 
 class _Node:
@@ -268,18 +269,37 @@ def _extract_batches(batches):
         yield pd.DataFrame(out, columns=[f.name for f in EXTRACTED.fields])
 
 
-def extract_articles(pages: DataFrame, rules: DataFrame, site_col: str = "site") -> DataFrame:
+def _rule_map(rules) -> "F.Column":
+    """site -> rule JSON as a map literal. The rule table is configuration,
+    one row per site, so it travels inside the plan (no join)."""
+    if isinstance(rules, DataFrame):
+        rows = [r.asDict(recursive=True) for r in rules.collect()]  # bounded: one row per site
+    else:
+        rows = list(rules)
+    pairs = []
+    for r in rows:
+        pairs += [F.lit(r["site"]), F.lit(json.dumps(r))]
+    return F.create_map(*pairs)
+
+
+def extract_articles(pages: DataFrame, rules=None, site_col: str = "site") -> DataFrame:
     """P12 tier (b): title, content, raw date, next link and listing links
-    of every page by its site's rule. Pages without a rule are dropped.
-    The rule table is one row per site, so broadcasting it is bounded."""
+    of every page by its site's rule (``rules``: the rule table or a list of
+    rule dicts; default ``SITE_RULES``). Pages without a rule are dropped.
+    The rule is looked up from a map literal, so pages are never joined or
+    shuffled for it."""
     spark = pages.sparkSession
     # raw pages are wide: cap Arrow batches so one batch stays small in the
     # Python worker (a session setting, read when the job runs)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key, "10000")) > MAX_PAGES_PER_BATCH:
         spark.conf.set(key, str(MAX_PAGES_PER_BATCH))
-    r = rules.select(F.col("site").alias(site_col), F.to_json(F.struct(*rules.columns)).alias("_rule"))
-    j = pages.select("page_id", "url", site_col, "html").join(F.broadcast(r), site_col, "inner")
+    if rules is None:
+        rules = [_full_rule(r) for r in SITE_RULES]
+    elif not isinstance(rules, DataFrame):
+        rules = [_full_rule(r) for r in rules]
+    rule = F.element_at(_rule_map(rules), F.col(site_col))
+    j = pages.select("page_id", "url", site_col, "html", rule.alias("_rule")).where(F.col("_rule").isNotNull())
     return j.mapInPandas(_extract_batches, EXTRACTED)
 
 
