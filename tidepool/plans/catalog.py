@@ -49,6 +49,23 @@ def _ts(c):
     return F.date_format(F.col(c), TS_FMT)
 
 
+_LANDINGS: dict = {}
+
+
+def _landing(spark, name: str, sf: str, write) -> str:
+    """Input files a check reads (JSON lines, ID lists, TSVs) are landed once
+    per scale factor and session folder, then only read: the operators under
+    test run in full every time, the test setup does not repeat."""
+    from tidepool.session import scratch_path
+    key = (name, sf.rstrip("/"), spark.conf.get("spark.checkpoint.dir", ""))
+    path = _LANDINGS.get(key)
+    if path is None:
+        path = scratch_path(spark, name)
+        write(path)
+        _LANDINGS[key] = path
+    return path
+
+
 # --- text and rankings ------------------------------------------------------
 
 @query("clean_text")
@@ -123,17 +140,17 @@ def q_take_while_sorted(spark, sf):
 def _landed_daily(spark, sf) -> DataFrame:
     """Land ``full`` and ``clean`` ID sets as daily TSVs (one folder per
     day; the clean set under a ``_clean`` name) and read them back (S3)."""
-    from tidepool.session import scratch_path
     from tidepool.sources.files import read_daily_tsv, write_daily_tsv
-    root = scratch_path(spark, "daily")
-    day = F.date_format("created_at", "yyyy-MM-dd").alias("day")
-    t = ad.tweets(spark, sf, urls=False).select("tweet_id", "lang", day)
-    good = ad.table(spark, sf, "labels").where("quality = 1").select(
-        F.col("doc_id").cast("string").alias("tweet_id"))
-    # no repartition by day before writing: a day may hold a third of all rows
-    write_daily_tsv(t, f"{root}/full", mode="overwrite")
-    write_daily_tsv(t.join(good, "tweet_id", "left_semi"), f"{root}/ids_clean", mode="overwrite")
-    return read_daily_tsv(spark, root)
+
+    def write(root):
+        day = F.date_format("created_at", "yyyy-MM-dd").alias("day")
+        t = ad.tweets(spark, sf, urls=False).select("tweet_id", "lang", day)
+        good = ad.table(spark, sf, "labels").where("quality = 1").select(
+            F.col("doc_id").cast("string").alias("tweet_id"))
+        # no repartition by day before writing: a day may hold a third of all rows
+        write_daily_tsv(t, f"{root}/full", mode="overwrite")
+        write_daily_tsv(t.join(good, "tweet_id", "left_semi"), f"{root}/ids_clean", mode="overwrite")
+    return read_daily_tsv(spark, _landing(spark, "daily", sf, write))
 
 
 @query("daily_source_ids")
@@ -357,11 +374,12 @@ def q_ingest_closure(spark, sf):
 def _landed_json(spark, sf, version: int) -> DataFrame:
     """Land the adapter's JSON lines as files in the shared scratch folder
     and read them back through the JSON source (S5)."""
-    from tidepool.session import scratch_path
     from tidepool.sources.tweets_json import read_tweets_v1, read_tweets_v2
-    src = ad.v1_json(spark, sf) if version == 1 else ad.v2_json(spark, sf)
-    path = scratch_path(spark, f"tweets_v{version}")
-    src.select("value").write.mode("overwrite").text(path)
+
+    def write(path):
+        src = ad.v1_json(spark, sf) if version == 1 else ad.v2_json(spark, sf)
+        src.select("value").write.mode("overwrite").text(path)
+    path = _landing(spark, f"tweets_v{version}", sf, write)
     return read_tweets_v1(spark, path) if version == 1 else read_tweets_v2(spark, path)
 
 
@@ -442,12 +460,13 @@ def q_articles_roundtrip(spark, sf):
 
 
 def _landed_ids(spark, sf) -> str:
-    from tidepool.session import scratch_path
     from tidepool.sources.files import write_id_files
-    path = scratch_path(spark, "id_files")
-    t = ad.tweets(spark, sf, urls=False).select("tweet_id", F.date_format("created_at", "yyyy-MM").alias("month"))
-    write_id_files(t, path, mode="overwrite")
-    return path
+
+    def write(path):
+        t = ad.tweets(spark, sf, urls=False).select(
+            "tweet_id", F.date_format("created_at", "yyyy-MM").alias("month"))
+        write_id_files(t, path, mode="overwrite")
+    return _landing(spark, "id_files", sf, write)
 
 
 @query("id_files_month")
@@ -551,8 +570,8 @@ def q_stream_json_ingest(spark, sf):
     from tidepool.session import scratch_path
     from tidepool.sources.tweets_json import stream_tweets
     from tidepool.streaming.jobs import classify_stream, stream_ingest
-    src = scratch_path(spark, "json_stream")
-    ad.v2_json(spark, sf).select("value").write.mode("overwrite").text(src)
+    src = _landing(spark, "json_stream", sf,
+                   lambda path: ad.v2_json(spark, sf).select("value").write.mode("overwrite").text(path))
     out, ck = scratch_path(spark, "json_ingest"), scratch_path(spark, "json_ingest_ckpt")
     rows = classify_stream(stream_tweets(spark, src, version=2))
     _run(stream_ingest(rows, out, ck))
