@@ -58,8 +58,18 @@ def resolve_roots(retweets: DataFrame, regular: DataFrame, max_rounds: int = 64,
     kinds = (reg.unionByName(edges.select(F.col("node").alias("id"), F.lit(_PASS).alias("k")))
              .groupBy("id").agg(F.min("k").alias("kind")))
     look = kinds.select(F.col("id").alias("_kid"), F.col("kind").alias("_kind"))
-    state = cut_lineage(lookup_join(edges, "ptr", look, "_kid", how="left", hot_rows=hot_rows).select(
-        "node", "ptr", F.coalesce(F.col("_kind"), F.lit(_MISSING)).alias("ptr_kind")))
+    first = lookup_join(edges, "ptr", look, "_kid", how="left", hot_rows=hot_rows).select(
+        "node", "ptr", F.coalesce(F.col("_kind"), F.lit(_MISSING)).alias("ptr_kind"))
+    # Inner nodes: retweets that are themselves reshared through (the
+    # pass-through parent of some row). Every pointer still open is an
+    # inner node, so only inner rows are ever looked up; in reshare forests
+    # they are a small share (most reshares point straight at the original),
+    # which keeps each round's lookup side small (AQE may then broadcast it
+    # after checking its size) while the many leaf rows are only probed.
+    inner = first.where(F.col("ptr_kind") == _PASS).select(F.col("ptr").alias("node")).distinct() \
+        .withColumn("inner", F.lit(True))
+    state = cut_lineage(first.join(inner, "node", "left").select(
+        "node", "ptr", "ptr_kind", F.coalesce("inner", F.lit(False)).alias("inner")))
 
     # Finished rows are written once (in the round that finishes them) and
     # then only read; each round rewrites just the rows still open.
@@ -71,13 +81,13 @@ def resolve_roots(retweets: DataFrame, regular: DataFrame, max_rounds: int = 64,
         if n_open == 0 or (open_prev is not None and n_open >= open_prev):
             break
         open_prev = n_open
-        # an open ptr is a pass-through id, hence a node (nodes are unique);
-        # that node's current ptr is the jump
-        hop = reduce(DataFrame.unionByName, finished + [open_rows]).select(
+        # an open ptr is an inner node (nodes are unique); that node's
+        # current ptr is the jump
+        hop = reduce(DataFrame.unionByName, finished + [open_rows]).where("inner").select(
             F.col("node").alias("_hn"), F.col("ptr").alias("_hp"), F.col("ptr_kind").alias("_hk"))
         moved = cut_lineage(lookup_join(open_rows, "ptr", hop, "_hn", how="inner", hot_rows=hot_rows,
                                         probe_rows=n_open).select(
-            "node", F.col("_hp").alias("ptr"), F.col("_hk").alias("ptr_kind")))
+            "node", F.col("_hp").alias("ptr"), F.col("_hk").alias("ptr_kind"), "inner"))
         finished.append(moved.where(F.col("ptr_kind") != _PASS))
         open_rows = moved.where(F.col("ptr_kind") == _PASS)
 
