@@ -14,9 +14,11 @@ from tidepool.functions._col import as_col
 
 # ---------------------------------------------------------------------------
 # The character references decoded in extracted text.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"),
-            ("&amp;", "&")]
+# Each is also recognised without its semicolon, as HTML parsers read these
+# legacy references in text ("&amp" at the end of a cut title is "&").
+ENTITIES = [("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"),
+            ("nbsp", "\u00a0"), ("copy", "\u00a9"), ("middot", "\u00b7"),
+            ("amp", "&")]
 # A paragraph opens with <p> or <p attr...>; it ends at </p> or at the next
 # paragraph start (unclosed <p> are common in real pages).
 P_OPEN = r"<p(\s[^>]*)?>"
@@ -29,8 +31,8 @@ def strip_tags(c) -> Column:
 
 def decode_entities(c) -> Column:
     out = as_col(c)
-    for ent, ch in ENTITIES:  # &amp; last, so "&amp;lt;" stays "&lt;"
-        out = F.replace(out, F.lit(ent), F.lit(ch))
+    for name, ch in ENTITIES:  # &amp last, so "&amp;lt;" stays "&lt;"
+        out = F.regexp_replace(out, f"&{name};?", ch)
     return out
 
 

@@ -48,8 +48,8 @@ def host_sql(x: str) -> str:
 
 def decode_sql(x: str) -> str:
     out = x
-    for ent, ch in ENTITIES:
-        out = f"replace({out}, {_q(ent)}, {_q(ch)})"
+    for name, ch in ENTITIES:
+        out = f"regexp_replace({out}, {_q('&' + name + ';?')}, {_q(ch)}, 'g')"
     return out
 
 
