@@ -70,6 +70,11 @@ def test_tokens_fixture(spark):
     assert got == [["covid", "19", "b2b", "19abc"]]
 
 
+def test_tokens_phone_and_emoticon_rules(spark):
+    got = run(spark, tokens, ["Call 555 1234 now, 8days dog d8 1-800-555-1234x"])
+    assert got == [["call", "555 1234", "8d", "ays", "dog", "d8", "18005551234", "x"]]
+
+
 def test_tokens_drop_stopwords_case_blind(spark):
     got = run(spark, tokens, ["The THE theory of Them abc12"])
     assert got == [["theory", "abc", "12"]]

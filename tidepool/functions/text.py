@@ -49,8 +49,12 @@ URL_TAIL = r"[^\s\x0B\x1C-\x1F\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\
 CLEAN_PATTERN = r"([^0-9A-Za-z \t])|([\p{L}\p{N}_]+://" + URL_TAIL + ")"
 URL_PATTERN = r"[0-9A-Za-z][\p{L}\p{N}_]*://" + URL_TAIL
 KEEP_RUNS = r"[0-9A-Za-z \t]+"
-# Tokens of cleaned text: a run of 3+ letters, else any alphanumeric run.
-TOKEN_PATTERN = r"([a-z]{3,}|[0-9a-z]+)"
+# Tokens of cleaned text (only [0-9a-z], space and tab are left), the tweet
+# tokenizer's rules in its order, first match wins: a phone number (optional
+# 0/1 prefix, optional 3-digit area code, 3 + 4 digits, blanks allowed
+# between the parts), an "8d"/"d8"-style emoticon, a run of 3+ letters, any
+# other alphanumeric run.
+TOKEN_PATTERN = r"(?:[01] *)?(?:[0-9]{3} *)?[0-9]{3} *[0-9]{4}|8o?[dp]|[dp]o?8|[a-z]{3,}|[0-9a-z]+"
 # ---------------------------------------------------------------------------
 
 
@@ -80,7 +84,7 @@ def tokens(c, stopwords: list[str] | None = None, clean: bool = True) -> Column:
     """Tokens of cleaned text with stopwords removed, as array<string>.
     Blank runs do not change the tokens, so the squeeze step is skipped."""
     text = _kept_text(c) if clean else as_col(c)
-    words = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 1)
+    words = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 0)
     stop = STOPWORDS_EN if stopwords is None else stopwords
     if not stop:
         return words

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from tidepool.functions.html import ENTITIES
 from tidepool.functions.text import CLEAN_PATTERN as CLEAN_RE
-from tidepool.functions.text import STOPWORDS_EN
+from tidepool.functions.text import STOPWORDS_EN, TOKEN_PATTERN
 from tidepool.plans import catalog as cat
 
 
@@ -26,7 +26,7 @@ def clean_sql(x: str) -> str:
 
 
 def tokens_sql(x: str) -> str:
-    return (f"list_filter(regexp_extract_all({clean_sql(x)}, '([a-z]{{3,}}|[0-9a-z]+)', 1), "
+    return (f"list_filter(regexp_extract_all({clean_sql(x)}, {_q(TOKEN_PATTERN)}, 0), "
             f"lambda w: NOT list_contains({STOP_LIST}, w))")
 
 
