@@ -66,3 +66,23 @@ def test_v2_classification(spark):
     assert got["t"].kind == "retweet" and got["t"].parent_tweet_author_id == "pa"
     reasons = sorted(r.reject_reason for r in rejects.collect())
     assert reasons == ["malformed", "parent not included"]
+
+
+def test_route_media_partitions_by_table(spark, tmp_path):
+    from tidepool.operators.parse import route_media
+    media = spark.createDataFrame([("1", "photo", "p"), ("2", "video", "v"), ("3", "animated_gif", "g"),
+                                   ("4", "other", "o")], "tweet_id string, media_type string, media_url string")
+    out = str(tmp_path / "media")
+    route_media(media, out, mode="overwrite")
+    import os
+    assert sorted(d for d in os.listdir(out) if d.startswith("table=")) == [
+        "table=externals", "table=gifs", "table=images", "table=videos"]
+    back = spark.read.parquet(out).where("table = 'images'").collect()
+    assert [(r.tweet_id, r.media_url) for r in back] == [("1", "p")]
+
+
+def test_cli_lists_queries(capsys):
+    from tidepool.__main__ import main
+    assert main(["list"]) == 0
+    names = capsys.readouterr().out.split()
+    assert "topk_words" in names and "word_top20" in names
