@@ -62,3 +62,12 @@ def test_next_link_by_child_icon():
     html = ('<div class="page-nav td-pb-padding-side"><a href="/1"><i class="td-icon-menu-left"></i></a>'
             '<a href="/3"><i class="td-icon-menu-right"></i></a><a href="/9">9</a></div>')
     assert extract_one(html, rule("DCClothesline"))[3] == "/3"
+
+
+def test_date_after_marker_and_nth_span():
+    wnd = ('<div class="entry-meta"><span>By A</span><span>Published March 25, 2020 at 1:40pm</span></div>'
+           '<header class="entry-header"><h1 class="entry-title">T</h1></header>')
+    assert extract_one(wnd, rule("WND"))[2] == "March 25, 2020 at 1:40pm"
+    hin = '<h2 class="entry-title">T</h2><div class="entry-date">Posted on March 18, 2020 on site</div>'
+    assert extract_one(hin, rule("HealthImpactNews"))[2] == "March 18, 2020"
+    assert extract_one('<div class="entry-date">no marker</div>', rule("HealthImpactNews"))[2] is None

@@ -15,8 +15,8 @@ from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BooleanType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import (ArrayType, BooleanType, IntegerType, LongType, StringType,
+                               StructField, StructType)
 
 from tidepool.functions.html import hrefs, inner_html
 from tidepool.functions.urls import absolute_url
@@ -31,7 +31,7 @@ RULE = StructType([
     StructField("title_path", PATH), StructField("body_path", PATH),
     StructField("body_tags", ArrayType(StringType())), StructField("direct_only", BooleanType()),
     StructField("date_path", PATH), StructField("date_attr", StringType()),
-    StructField("date_after", StringType()),
+    StructField("date_after", StringType()), StructField("date_nth", IntegerType()),
 ])
 
 
@@ -96,7 +96,7 @@ SITE_RULES = [
          date_path=_p("p.entry-meta")),
     dict(site="WND", item_path=_p("article", "div.entry-image", "a"),
          title_path=_p("header.entry-header", "h1.entry-title"), body_path=_p("div.entry-content"),
-         date_path=_p("div.entry-meta"), date_after="Published "),
+         date_path=_p("div.entry-meta", "span"), date_nth=1, date_after="Published "),
     dict(site="WorldHealth", item_path=_p("ul.item card result-item", "li.titleItem", "a"), link_root=True,
          title_path=_p("div.wrapper", "h1"), body_path=_p("div.oneNesBox"),
          date_path=_p("div.oneNesBox", "h5"), date_after="Posted on "),
@@ -229,13 +229,19 @@ def extract_one(html: str, rule: dict) -> tuple:
             parts = [n for n in _walk(body) if n.tag in tags]
         content = "\n".join(_text(n) for n in parts)
     date = None
-    d = _find_path(root, rule.get("date_path")) if rule.get("date_path") else None
-    if d is not None:
-        date = d.attrs.get(rule["date_attr"]) if rule.get("date_attr") else _text(d)
-        after = rule.get("date_after")
-        if date is not None and after and after in date:
-            date = date.split(after, 1)[1]
-        date = date.strip() if date is not None else None
+    if rule.get("date_path"):
+        found = _find_all_path(root, rule["date_path"])
+        nth = rule.get("date_nth") or 0
+        d = found[nth] if len(found) > nth else None
+        if d is not None:
+            date = d.attrs.get(rule["date_attr"]) if rule.get("date_attr") else _text(d)
+            after = rule.get("date_after")
+            if date is not None and after:
+                # the text between the marker and its next occurrence; no
+                # marker -> no date
+                parts = date.split(after)
+                date = parts[1] if len(parts) > 1 else None
+            date = date.strip() if date is not None else None
     nxt = _find_all_path(root, rule.get("next_path"))
     if rule.get("next_text"):
         nxt = [n for n in nxt if rule["next_text"] in _text(n)]
