@@ -1,6 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
 
 from tidepool.operators.parse import (extract_media, parse_retweet_v1, parse_tweet_v1, parse_tweet_v2,
                                       split_valid)

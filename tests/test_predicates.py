@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tidepool.operators.predicates import (any_term, has_all_tags, has_links, match_rules, non_replies,
                                            not_retweet, only_retweets, select_where, union_distinct)

@@ -2,7 +2,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidepool.operators.keyed import assign_ids
 from tidepool.operators.skew import hot_keys, lookup_join
