@@ -213,6 +213,19 @@ def q_update_text(spark, sf):
     return keyed.update_by_key(base, upd, "key", ["text"], ["ts", "event_id"])
 
 
+@query("retweet_text_update")
+def q_retweet_text_update(spark, sf):
+    """P17 + J9 on the reshare store: the table lacks ``text``; it is added,
+    then filled from fetched records by ``tweet_id`` (rows without a fetched
+    record keep NULL)."""
+    reg, rts = _chains(spark, sf)
+    store = keyed.ensure_column(rts.select("tweet_id", "author_id", "parent_tweet_id"), "text", "string")
+    c = ad.table(spark, sf, "conversations")
+    fetched = c.select((F.col("conv_id") * 100 + F.col("turn")).cast("string").alias("tweet_id"), "text",
+                       F.lit(0).alias("seq"))
+    return keyed.update_by_key(store, fetched, "tweet_id", ["text"], ["seq"])
+
+
 def _loaded(spark, sf):
     from tidepool.operators.articles import load_articles
     existing = ad.articles_existing(spark, sf)

@@ -430,3 +430,7 @@ def _hashtag_search() -> str:
 
 
 ORACLE["hashtag_search"] = _hashtag_search()
+
+ORACLE["retweet_text_update"] = f"""WITH {RETWEETS}
+SELECT r.tweet_id, r.author_id, r.parent_tweet_id, c.text
+FROM retweets r LEFT JOIN conversations c ON CAST(c.conv_id * 100 + c.turn AS VARCHAR) = r.tweet_id"""
