@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.text import split_entities, tokens
 from tidepool.functions.urls import site_of
-from tidepool.operators.skew import DEFAULT_HOT_ROWS, lookup_join
+from tidepool.operators.skew import DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT, lookup_join
 from tidepool.operators.stats import top_n
 from tidepool.session import checkpoint_dir
 
@@ -53,12 +53,18 @@ def resolve_roots(retweets: DataFrame, regular: DataFrame, max_rounds: int = 64,
     falling only cycles are left.
     """
     edges = retweets.select(F.col("tweet_id").alias("node"), F.col("parent_tweet_id").alias("ptr"))
-    reg = regular.select(F.col("tweet_id").alias("id"), F.lit(_REGULAR).alias("k"))
-    # kind of every id a walk may stand on: regular wins over pass-through
-    kinds = (reg.unionByName(edges.select(F.col("node").alias("id"), F.lit(_PASS).alias("k")))
-             .groupBy("id").agg(F.min("k").alias("kind")))
-    look = kinds.select(F.col("id").alias("_kid"), F.col("kind").alias("_kind"))
-    first = lookup_join(edges, "ptr", look, "_kid", how="left", hot_rows=hot_rows).select(
+    # One aggregation over every id: the kind a walk may stand on (regular
+    # wins over pass-through) and how many reshares point at it; the latter
+    # names the hot parents for the split join without a second pass.
+    no_kind = F.lit(None).cast("int")
+    ids = (regular.select(F.col("tweet_id").alias("id"), F.lit(_REGULAR).alias("k"), F.lit(0).alias("c"))
+           .unionByName(edges.select(F.col("node").alias("id"), F.lit(_PASS).alias("k"), F.lit(0).alias("c")))
+           .unionByName(edges.select(F.col("ptr").alias("id"), no_kind.alias("k"), F.lit(1).alias("c"))))
+    kinds = ids.groupBy("id").agg(F.min("k").alias("kind"), F.sum("c").alias("children"))
+    look = kinds.where(F.col("kind").isNotNull()).select(F.col("id").alias("_kid"), F.col("kind").alias("_kind"))
+    hot = (kinds.where(F.col("children") >= hot_rows).orderBy(F.desc("children")).limit(DEFAULT_MAX_HOT)
+           .select(F.col("id").alias("_hot")))
+    first = lookup_join(edges, "ptr", look, "_kid", how="left", hot_rows=hot_rows, hot=hot).select(
         "node", "ptr", F.coalesce(F.col("_kind"), F.lit(_MISSING)).alias("ptr_kind"))
     # Inner nodes: retweets that are themselves reshared through (the
     # pass-through parent of some row). Every pointer still open is an

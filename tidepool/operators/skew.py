@@ -29,18 +29,21 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = DEFAULT_HOT_ROWS,
 
 def lookup_join(probe: DataFrame, probe_key: str, lookup: DataFrame, lookup_key: str,
                 how: str = "inner", hot_rows: int = DEFAULT_HOT_ROWS,
-                max_hot: int = DEFAULT_MAX_HOT, probe_rows: int | None = None) -> DataFrame:
+                max_hot: int = DEFAULT_MAX_HOT, probe_rows: int | None = None,
+                hot: DataFrame | None = None) -> DataFrame:
     """``probe JOIN lookup ON probe_key = lookup_key`` where ``lookup_key``
     is unique in ``lookup``. ``how`` is inner, left, left_semi or left_anti.
     ``probe`` is read up to three times: pass a materialised or cheap frame.
     When the caller knows the probe has fewer than ``hot_rows`` rows
-    (``probe_rows``), no key can be hot and the plain join is used.
+    (``probe_rows``), no key can be hot and the plain join is used. A caller
+    that already counted the probe keys passes the hot set (column
+    ``_hot``, at most ``max_hot`` rows) as ``hot``.
 
     Output columns: those of ``probe`` (plus those of ``lookup`` for inner
     and left joins)."""
     if probe_rows is not None and probe_rows < hot_rows:
         return probe.join(lookup, probe[probe_key] == lookup[lookup_key], how)
-    hot = F.broadcast(hot_keys(probe, probe_key, hot_rows, max_hot))
+    hot = F.broadcast(hot if hot is not None else hot_keys(probe, probe_key, hot_rows, max_hot))
     is_hot = probe[probe_key] == hot["_hot"]
     probe_hot = probe.join(hot, is_hot, "left_semi")
     probe_cold = probe.join(hot, is_hot, "left_anti")
