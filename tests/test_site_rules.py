@@ -60,13 +60,25 @@ def page_for(rule):
         else:
             tree.add(rule["date_path"], (rule.get("date_after") or "") + raw)
         date = raw
+    if rule.get("item_path"):
+        tree.add(rule["item_path"], "item", ' href="/item-1"')
+    if rule.get("next_path"):
+        label = rule.get("next_text") or "more"
+        if rule.get("next_child"):
+            o, c = _open(rule["next_child"][-1])
+            label = o + c
+        tree.add(rule["next_path"], label, ' href="/page-2"')
     return "<html><body>" + tree.render() + "</body></html>", title, tags, date
 
 
 @pytest.mark.parametrize("rule", SITE_RULES, ids=[r["site"] for r in SITE_RULES])
 def test_rule_reads_its_own_page(rule):
     html, title, tags, date = page_for(rule)
-    got_title, content, got_date, _, _ = extract_one(html, rule)
+    got_title, content, got_date, nxt, items = extract_one(html, rule)
+    if rule.get("item_path"):
+        assert "/item-1" in items
+    if rule.get("next_path"):
+        assert nxt == "/page-2"
     assert got_title is not None and title in got_title
     lines = content.split("\n")
     assert "para 0" in lines
