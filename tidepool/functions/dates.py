@@ -66,3 +66,17 @@ def tweet_time(c) -> Column:
     s = as_col(c)
     return F.coalesce(F.try_to_timestamp(F.substring(s, 5, 64), F.lit(V1_TIME_FORMAT)),
                       F.try_to_timestamp(s))
+
+
+def ntz_as_utc(c) -> Column:
+    """A TIMESTAMP_NTZ wall-clock value read as UTC, as a TIMESTAMP instant
+    (event-time watermarks need instants); independent of the session time
+    zone."""
+    return F.to_timestamp(F.concat(F.date_format(as_col(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")))
+
+
+def utc_day(c) -> Column:
+    """``yyyy-MM-dd`` UTC day of a TIMESTAMP instant, by epoch arithmetic
+    (no session time zone involved)."""
+    days = F.floor(F.unix_seconds(as_col(c)) / 86400).cast("int")
+    return F.date_format(F.date_add(F.to_date(F.lit("1970-01-01")), days), "yyyy-MM-dd")

@@ -564,6 +564,19 @@ def q_stream_daily(spark, sf):
     return spark.read.parquet(out)
 
 
+@query("stream_daily_closed")
+def q_stream_daily_closed(spark, sf):
+    """T4 in production form: a one-day watermark, append mode; only days
+    the watermark has closed are written, once each."""
+    from tidepool.functions.dates import ntz_as_utc
+    from tidepool.session import scratch_path
+    from tidepool.streaming.jobs import daily_counts
+    out, ck = scratch_path(spark, "daily_closed"), scratch_path(spark, "daily_closed_ckpt")
+    ev = _event_stream(spark, sf).withColumn("ts", ntz_as_utc("ts"))
+    _run(daily_counts(ev, "ts", out, ck, watermark="1 day"))
+    return spark.read.parquet(out)
+
+
 @query("stream_update")
 def q_stream_update(spark, sf):
     from tidepool.session import scratch_path

@@ -434,3 +434,7 @@ ORACLE["hashtag_search"] = _hashtag_search()
 ORACLE["retweet_text_update"] = f"""WITH {RETWEETS}
 SELECT r.tweet_id, r.author_id, r.parent_tweet_id, c.text
 FROM retweets r LEFT JOIN conversations c ON CAST(c.conv_id * 100 + c.turn AS VARCHAR) = r.tweet_id"""
+
+ORACLE["stream_daily_closed"] = """SELECT strftime(d, '%Y-%m-%d') AS day, count(*) AS n
+FROM (SELECT CAST(ts AS DATE) AS d FROM events)
+GROUP BY d HAVING CAST(d AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""

@@ -105,11 +105,16 @@ def daily_counts(rows: DataFrame, ts_col: str, out: str, checkpoint: str,
     """T4: rows per one-day tumbling window. Without a watermark the whole
     (small: one row per day) result is rewritten each batch (complete mode);
     with one, closed days are appended once and state is dropped."""
+    from pyspark.sql.types import TimestampNTZType
+    from tidepool.functions.dates import utc_day
     keyed = rows
     if watermark:
         keyed = keyed.withWatermark(ts_col, watermark)
     agg = keyed.groupBy(F.window(ts_col, "1 day").alias("w")).agg(F.count(F.lit(1)).alias("n"))
-    agg = agg.select(F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("day"), "n")
+    # tumbling windows are aligned to the epoch (UTC days); name them so
+    ntz = isinstance(rows.schema[ts_col].dataType, TimestampNTZType)
+    day = F.date_format(F.col("w.start"), "yyyy-MM-dd") if ntz else utc_day(F.col("w.start"))
+    agg = agg.select(day.alias("day"), "n")
 
     def _sink(batch: DataFrame, epoch: int):
         batch.write.mode("append" if watermark else "overwrite").parquet(out)
