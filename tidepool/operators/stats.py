@@ -1,4 +1,4 @@
-"""Frequency rankings and summary counts.
+"""Frequency rankings and summary counts.
 
 Every ranking explodes to one row per item, aggregates with a map-side
 partial count before the shuffle (so a hot item costs one row per map

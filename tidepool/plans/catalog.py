@@ -577,6 +577,26 @@ def q_stream_daily_closed(spark, sf):
     return spark.read.parquet(out)
 
 
+@query("stream_late_arrivals")
+def q_stream_late_arrivals(spark, sf):
+    """T3 on a stream (T2 with a delay): posts arrive in two deliveries to
+    one folder - first the click/view/purchase feed, later the error and
+    signup feed - and the job runs after each (resuming from its
+    checkpoint). A 7-day watermark keeps a later post only if it is at most
+    7 days older than the newest post already seen."""
+    from tidepool.functions.dates import ntz_as_utc
+    from tidepool.session import scratch_path
+    from tidepool.streaming.jobs import stream_dedup
+    ev = ad.table(spark, sf, "events")
+    late = F.col("event_type").isin("error", "signup")
+    src, out, ck = scratch_path(spark, "deliveries"), scratch_path(spark, "late"), scratch_path(spark, "late_ckpt")
+    for delivery in (ev.where(~late), ev.where(late)):
+        delivery.write.mode("append").parquet(src)
+        rows = spark.readStream.schema(ev.schema).parquet(src).select("event_id", ntz_as_utc("ts").alias("ts"))
+        _run(stream_dedup(rows, "event_id", ["ts", "event_id"], out, ck, delay="7 days", ts_col="ts"))
+    return spark.read.parquet(out).select("event_id")
+
+
 @query("stream_update")
 def q_stream_update(spark, sf):
     from tidepool.session import scratch_path

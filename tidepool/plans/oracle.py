@@ -438,3 +438,8 @@ FROM retweets r LEFT JOIN conversations c ON CAST(c.conv_id * 100 + c.turn AS VA
 ORACLE["stream_daily_closed"] = """SELECT strftime(d, '%Y-%m-%d') AS day, count(*) AS n
 FROM (SELECT CAST(ts AS DATE) AS d FROM events)
 GROUP BY d HAVING CAST(d AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""
+
+ORACLE["stream_late_arrivals"] = """SELECT event_id FROM events WHERE event_type NOT IN ('error', 'signup')
+UNION ALL
+SELECT event_id FROM events WHERE event_type IN ('error', 'signup')
+  AND ts >= (SELECT max(ts) FROM events WHERE event_type NOT IN ('error', 'signup')) - INTERVAL 7 DAY"""
