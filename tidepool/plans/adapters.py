@@ -1,8 +1,9 @@
 """Adapters: give the driver's tables the shapes of the reference's stores.
 
 Each adapter reads whole tables; arithmetic on ids only derives attribute
-values (tags, kinds, chain holes) that the synthetic tables lack. The SQL
-twins in ``tidepool.plans.oracle`` use the same expressions.
+values (tags, kinds, reshare parents, uncollected parents, JSON media) that
+the synthetic tables lack, and store states come from joins with other
+tables. The SQL twins in ``tidepool.plans.oracle`` use the same expressions.
 """
 
 from __future__ import annotations
