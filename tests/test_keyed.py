@@ -96,4 +96,4 @@ def test_take_while_sorted_hot_part_spread(spark):
 def test_calendar(spark):
     assert expected_days(spark, "2020-02").count() == 29
     have = spark.createDataFrame([(dt.date(2020, 2, 3),)], "day date")
-    assert missing_days(spark, have, "2020-02").count() == 28
+    assert missing_days(have, "2020-02").count() == 28

@@ -290,7 +290,7 @@ def q_missing_days(spark, sf):
     from tidepool.sources.calendar import missing_days
     e = ad.table(spark, sf, "events").where("event_type = 'purchase' AND value > 250")
     have = e.select(F.to_date("ts").alias("day"))
-    return missing_days(spark, have, MISSING_MONTH).select(F.date_format("day", "yyyy-MM-dd").alias("day"))
+    return missing_days(have, MISSING_MONTH).select(F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
 # --- pages ------------------------------------------------------------------
