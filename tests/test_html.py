@@ -71,3 +71,9 @@ def test_date_after_marker_and_nth_span():
     hin = '<h2 class="entry-title">T</h2><div class="entry-date">Posted on March 18, 2020 on site</div>'
     assert extract_one(hin, rule("HealthImpactNews"))[2] == "March 18, 2020"
     assert extract_one('<div class="entry-date">no marker</div>', rule("HealthImpactNews"))[2] is None
+
+
+def test_next_link_by_rules(spark):
+    pages = spark.createDataFrame([(1, "https://x.org/list", "BigLeaguePolitics", BLP)],
+                                  "page_id long, url string, site string, html string")
+    assert next_link(pages, rules=rules_frame(spark)).first().next_url == "https://x.org/p3"

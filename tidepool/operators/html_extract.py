@@ -309,9 +309,15 @@ def extract_articles(pages: DataFrame, rules=None, site_col: str = "site") -> Da
     return j.mapInPandas(_extract_batches, EXTRACTED)
 
 
-def next_link(pages: DataFrame, container: str = "nav") -> DataFrame:
-    """P14 tier (a): the last link inside the page's ``container`` element,
-    made absolute; NULL when there is none."""
+def next_link(pages: DataFrame, container: str = "nav", rules=None, site_col: str = "site") -> DataFrame:
+    """``(page_id, next_url)``, the page's "next" link made absolute
+    (NULL when there is none). Tier (a): the last link inside
+    ``container``. With ``rules``: each site's next-page rule (tier b; the
+    last matching anchor wins)."""
+    if rules is not None:
+        ex = extract_articles(pages, rules, site_col)
+        nxt = F.col("next_href")
+        return ex.select("page_id", F.when(nxt.isNotNull(), absolute_url(nxt, F.col("url"))).alias("next_url"))
     last = F.element_at(hrefs(inner_html("html", container)), -1)
     return pages.select("page_id", F.when(last.isNotNull(), absolute_url(last, F.col("url"))).alias("next_url"))
 
