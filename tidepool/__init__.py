@@ -5,6 +5,17 @@ Plain DataFrame -> DataFrame functions; import what you need::
     from tidepool import clean_text, top_words, resolve_roots, topk_words
 """
 
+import sys as _sys
+
+# The few Python task functions (mapInPandas) are shipped by value, so
+# executors need not have the package installed; on a cluster the package
+# can still be shipped with --py-files.
+try:  # pragma: no cover - depends on the PySpark build
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001
+    pass
+
 from tidepool.functions.dates import normalize_date, trim_date, tweet_time
 from tidepool.functions.text import clean_text, join_list, split_entities, tokens
 from tidepool.functions.urls import site_of
