@@ -105,3 +105,12 @@ def test_ingest_closure_matches_walk(spark):
     s = spark.createDataFrame([(x,) for x in seeds], "tweet_id string")
     got = {(r.tweet_id, r.saved_to) for r in ingest_closure(s, a).collect()}
     assert got == brute_closure(seeds, arch)
+
+
+def test_ingest_closure_long_chain_has_no_round_cap(spark):
+    # 60 retweets in a row above one original: more rounds than one compaction period
+    arch = [(str(i), str(i - 1) if i else None, "retweet" if i else "regular") for i in range(61)]
+    a = spark.createDataFrame(arch, "tweet_id string, parent_tweet_id string, kind string")
+    s = spark.createDataFrame([("60",)], "tweet_id string")
+    got = {(r.tweet_id, r.saved_to) for r in ingest_closure(s, a).collect()}
+    assert got == {(str(i), "retweets") for i in range(1, 61)} | {("0", "regular")}

@@ -21,6 +21,8 @@ from tidepool.session import checkpoint_dir
 
 # kinds of a node id in the forest
 _REGULAR, _PASS, _MISSING = 0, 1, 2
+# the ingest closure folds its per-round parts into one table this often
+COMPACT_EVERY = 16
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -204,7 +206,7 @@ def prepare_archive(archive: DataFrame) -> DataFrame:
                                       F.col("kind").alias("_kind")).repartition(n, "_aid"))
 
 
-def ingest_closure(seeds: DataFrame, archive: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def ingest_closure(seeds: DataFrame, archive: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """What the stream ingester saves for a set of seed tweets.
 
     From each seed: while the tweet is a retweet, save it and fetch its
@@ -219,9 +221,13 @@ def ingest_closure(seeds: DataFrame, archive: DataFrame, max_rounds: int = 1000)
     """
     arch = archive if "_aid" in archive.columns else prepare_archive(archive)
     frontier = cut_lineage(seeds.select(F.col("tweet_id").alias("fid"), F.lit("R").alias("phase")).distinct())
-    seen_parts = [frontier]  # each round's frontier, checkpointed once, never rewritten
-    saved = None
-    for _ in range(max_rounds):
+    seen_parts = [frontier]  # each round's frontier, checkpointed once
+    saved_parts = []
+    # no round cap by default: every (id, phase) pair enters the frontier at
+    # most once, so the walk ends after the longest chain, however long
+    rounds = 0
+    while max_rounds is None or rounds < max_rounds:
+        rounds += 1
         if frontier.isEmpty():
             break
         hit = frontier.join(arch, frontier.fid == arch._aid, "inner")
@@ -235,12 +241,15 @@ def ingest_closure(seeds: DataFrame, archive: DataFrame, max_rounds: int = 1000)
             F.when(kd == "reply", "P").otherwise("R").alias("next_phase"))
         out = cut_lineage(out)
         got = out.where(F.col("saved_to").isNotNull()).select("tweet_id", "saved_to")
-        saved = got if saved is None else saved.unionByName(got)
+        saved_parts.append(got)
         nxt = (out.where(F.col("next_id").isNotNull())
                .select(F.col("next_id").alias("fid"), F.col("next_phase").alias("phase")).distinct())
         seen = reduce(DataFrame.unionByName, seen_parts)
         frontier = cut_lineage(nxt.join(seen, ["fid", "phase"], "left_anti"))
         seen_parts.append(frontier)
-    if saved is None:
+        if len(seen_parts) > COMPACT_EVERY:  # long chains: keep plans small
+            seen_parts = [cut_lineage(reduce(DataFrame.unionByName, seen_parts))]
+            saved_parts = [cut_lineage(reduce(DataFrame.unionByName, saved_parts))]
+    if not saved_parts:
         return seeds.sparkSession.createDataFrame([], "tweet_id string, saved_to string")
-    return saved.distinct()
+    return reduce(DataFrame.unionByName, saved_parts).distinct()
