@@ -330,7 +330,7 @@ def extract_links(pages: DataFrame, container: str | None = None) -> DataFrame:
     return ex.select("page_id", absolute_url("href", "url").alias("link"))
 
 
-def listing_links(pages: DataFrame, rules: DataFrame, site_col: str = "site") -> DataFrame:
+def listing_links(pages: DataFrame, rules=None, site_col: str = "site") -> DataFrame:
     """P13 tier (b): distinct article links of listing pages by each site's
     item rule, relative ones made absolute (sites that link relative set
     ``link_root``; absolute links pass through unchanged)."""

@@ -505,6 +505,15 @@ def q_page_rules(spark, sf):
                      F.size("item_hrefs").alias("n_items"))
 
 
+@query("listing_links")
+def q_listing_links(spark, sf):
+    """P13 tier (b): listing links by the site rule (generic rule: the
+    navigation anchors), made absolute, distinct."""
+    from tidepool.operators.html_extract import listing_links
+    p = ad.table(spark, sf, "pages").withColumn("site", F.lit("generic"))
+    return listing_links(p, None)
+
+
 @query("next_link")
 def q_next_link(spark, sf):
     from tidepool.operators.html_extract import next_link

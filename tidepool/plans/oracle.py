@@ -443,3 +443,9 @@ ORACLE["stream_late_arrivals"] = """SELECT event_id FROM events WHERE event_type
 UNION ALL
 SELECT event_id FROM events WHERE event_type IN ('error', 'signup')
   AND ts >= (SELECT max(ts) FROM events WHERE event_type NOT IN ('error', 'signup')) - INTERVAL 7 DAY"""
+
+ORACLE["listing_links"] = f"""WITH h AS (
+    SELECT url, unnest({_NAV_HREFS}) AS href FROM pages)
+  SELECT DISTINCT CASE WHEN starts_with(href, '/') AND NOT starts_with(href, '//')
+                       THEN regexp_replace({site_sql('url')}, '/$', '') || href ELSE href END AS link
+  FROM h"""
