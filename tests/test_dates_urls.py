@@ -50,3 +50,19 @@ def test_tweet_time_both_shapes(spark):
     t = df.withColumn("t", tweet_time("c"))
     assert time_range_utc(t, "t", "2018-10-10 20:19:24", "2018-10-10 20:19:25").count() == 3
     assert time_range_utc(t, "t", "2018-10-10 20:19:25", "2018-10-11 00:00:00").count() == 0
+
+
+def test_utc_helpers_ignore_session_zone(spark):
+    import datetime as dt
+    from tidepool.functions.dates import ntz_as_utc, utc_day
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 23, 30),)], "t timestamp_ntz")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        got = set()
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            r = df.select(F.unix_seconds(ntz_as_utc("t")).alias("s"), utc_day(ntz_as_utc("t")).alias("d")).first()
+            got.add((r.s, r.d))
+        assert got == {(1704151800, "2024-01-01")}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
