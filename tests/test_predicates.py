@@ -50,3 +50,18 @@ def test_union_distinct_and_tags(posts):
     assert top == [("#2020election", 5)]
     ties = [tuple(r) for r in top_items(posts, split_entities("hashtags_str"), 2).collect()]
     assert ties == [("#2020election", 5), ("#covid19", 1)]
+
+
+def test_top_sites_and_write_append(spark, tmp_path):
+    from tidepool.operators.keyed import write_append
+    from tidepool.operators.stats import top_sites
+    df = spark.createDataFrame([("1", "https://A.com/x,http://b.org/y?q"), ("2", "HTTPS://A.com/z,noscheme"),
+                                ("3", "")], "tweet_id string, expanded_urls string")
+    got = [tuple(r) for r in top_sites(df, "expanded_urls", 5).collect()]
+    assert got == [("https://A.com/", 2), ("http://b.org/", 1)]
+    out = str(tmp_path / "t")
+    write_append(df, out)
+    write_append(df, out)
+    assert spark.read.parquet(out).count() == 6
+    write_append(df, out, mode="overwrite")
+    assert spark.read.parquet(out).count() == 3
