@@ -66,3 +66,17 @@ def test_id_files_and_daily_tsv(spark):
             f.write("tweet_id\tlang\n" + "\n".join(rows) + "\n")
     v = sorted((r.variant, r.tweet_id) for r in read_daily_tsv(spark, t).collect())
     assert v == [("clean", "1"), ("full", "1"), ("full", "2")]
+
+
+def test_spread_only_coarse_inputs(spark, tmp_path):
+    from tidepool.plans.adapters import spread_coarse_input
+    one = str(tmp_path / "one")
+    many = str(tmp_path / "many")
+    spark.range(1000).coalesce(1).write.parquet(one)
+    spark.range(1000).repartition(64).write.parquet(many)
+    cores = spark.sparkContext.defaultParallelism
+
+    def shuffles(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+    assert shuffles(spread_coarse_input(spark.read.parquet(one))) == (1 if cores > 4 else 0)
+    assert shuffles(spread_coarse_input(spark.read.parquet(many))) == 0
