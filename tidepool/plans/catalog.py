@@ -135,6 +135,14 @@ def q_take_while_sorted(spark, sf):
     return pr.take_while_sorted(o, "o_custkey", "o_orderkey", "o_orderdate").select("o_orderkey")
 
 
+@query("take_while_sorted_spread")
+def q_take_while_sorted_spread(spark, sf):
+    """F12 through its hot-part path (range-partitioned ordered scan),
+    forced with ``hot_rows=0``: must equal the window path."""
+    o = ad.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return pr.take_while_sorted(o, "o_custkey", "o_orderkey", "o_orderdate", hot_rows=0).select("o_orderkey")
+
+
 # --- ID sets ----------------------------------------------------------------
 
 def _landed_daily(spark, sf) -> DataFrame:

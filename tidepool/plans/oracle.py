@@ -449,3 +449,5 @@ ORACLE["listing_links"] = f"""WITH h AS (
   SELECT DISTINCT CASE WHEN starts_with(href, '/') AND NOT starts_with(href, '//')
                        THEN regexp_replace({site_sql('url')}, '/$', '') || href ELSE href END AS link
   FROM h"""
+
+ORACLE["take_while_sorted_spread"] = ORACLE["take_while_sorted"]
