@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.shared import pick
+from tidepool.llm.shared import pick, written
 
 # Training reads at most this many documents of each class; scoring reads all.
 PER_CLASS = 3000
@@ -27,3 +28,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, usable:
     chosen = F.broadcast(some[0].unionByName(some[1]))  # at most 2 x per_class rows
     base = pick(docs, {"doc_id": id_col, "text": text_col})
     return base.join(chosen, "doc_id").dropDuplicates(["doc_id"])
+
+
+def fetch(sample: DataFrame, dtypes: dict[str, type]) -> list[tuple]:
+    """(label, array, ...) of the sample's rows in order of doc_id.
+
+    The sample is written first and passes the driver's JVM a part at a time;
+    the arrays are views of one growing buffer a column, so that the driver
+    holds them once and gives the memory back afterwards."""
+    ids, labels, ends = [], [], [0]
+    room = {c: np.empty(1 << 20, t) for c, t in dtypes.items()}
+    for row in written(sample, "sample").toLocalIterator():
+        ids.append(row["doc_id"])
+        labels.append(row["label"])
+        for c, t in dtypes.items():
+            part = np.frombuffer(row[c], t)
+            stop = ends[-1] + len(part)
+            if stop > len(room[c]):
+                room[c] = np.concatenate([room[c][:ends[-1]], np.empty(max(len(room[c]) // 2, stop - ends[-1]), t)])
+            room[c][ends[-1]:stop] = part
+        ends.append(stop)
+    return [(labels[i], *[room[c][ends[i]:ends[i + 1]] for c in dtypes]) for i in sorted(range(len(ids)), key=ids.__getitem__)]

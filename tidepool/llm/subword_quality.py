@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm import textkernel as tk
-from tidepool.llm.labelled import PER_CLASS, labelled_sample
+from tidepool.llm.labelled import PER_CLASS, fetch, labelled_sample
 from tidepool.llm.shared import with_scores
 
 BITS, DIM, EPOCHS, RATE, SEED = 18, 16, 6, 0.3, 3
@@ -104,10 +104,12 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], bits: int = BITS, dim:
     weights, so that a document moves its own average equally far whether it
     has ten features or ten thousand."""
     rng = np.random.Generator(np.random.PCG64(seed))
-    vectors = rng.uniform(-1 / dim, 1 / dim, (1 << bits, dim)).astype(np.float32)
+    vectors = rng.random((1 << bits, dim), np.float32)
+    vectors -= 0.5
+    vectors *= 2 / dim
     out = np.zeros((2, dim), np.float32)
     bias = np.zeros(2, np.float32)
-    rows = [(y, b, (c / c.sum()).astype(np.float32)) for y, b, c in rows if len(b)]
+    rows = [r for r in rows if len(r[1])]
     if rows:
         share = np.array([1 + sum(y == k for y, _, _ in rows) for k in (0, 1)], float)
         bias[:] = np.log(share / share.sum())
@@ -115,7 +117,8 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], bits: int = BITS, dim:
     total, done = max(1, epochs * len(rows)), 0
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            y, b, w = rows[i]
+            y, b, c = rows[i]
+            w = c.astype(np.float32) / np.float32(c.sum())
             step = rate * (1 - done / total)
             done += 1
             h = w @ vectors[b]
@@ -134,9 +137,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
                 text_col: str = "text", per_class: int = PER_CLASS) -> tuple[np.ndarray, float]:
     """Model from at most ``per_class`` labelled documents of each class."""
     usable = usable or (lambda key: F.lit(True))
-    got = hashed_counts(labelled_sample(docs, labels, label_col, usable, id_col, text_col, per_class)).collect()
-    got.sort(key=lambda r: r["doc_id"])
-    return train([(r["label"], np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32)) for r in got])
+    sample = hashed_counts(labelled_sample(docs, labels, label_col, usable, id_col, text_col, per_class))
+    return train(fetch(sample, {"buckets": np.int32, "counts": np.int32}))
 
 
 def score_quality(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", score_col: str = "score",

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm import textkernel as tk
-from tidepool.llm.labelled import PER_CLASS, labelled_sample
+from tidepool.llm.labelled import PER_CLASS, fetch, labelled_sample
 from tidepool.llm.shared import with_scores
 
 BITS, MIN_DOCS, EPOCHS = 40, 3, 10
@@ -67,13 +67,18 @@ def train_ftrl(rows: list[tuple[int, np.ndarray]], epochs: int = EPOCHS, alpha:
     """(sorted features, their weights, bias) from (label, features) rows."""
     if not rows:
         return np.zeros(0, np.uint64), np.zeros(0, np.float32), 0.0
-    names, seen = np.unique(np.concatenate([f for _, f in rows]), return_counts=True)
-    names = names[seen >= min_docs]
-    index = []
+    every = np.concatenate([f for _, f in rows])
+    every.sort()
+    first = np.flatnonzero(np.append(True, every[1:] != every[:-1])) if len(every) else np.zeros(0, np.int64)
+    names = every[first[np.diff(np.append(first, len(every))) >= min_docs]]
+    del every, first
+    index, cut = np.empty(sum(len(f) for _, f in rows), np.int32), [0]
     for _, f in rows:
-        at = np.searchsorted(names, f)
-        at = at[(at < len(names))]
-        index.append(at[np.isin(names[at], f, assume_unique=False)] if len(names) else at)
+        at = np.minimum(np.searchsorted(names, f), max(len(names) - 1, 0))
+        at = at[names[at] == f] if len(names) else at[:0]
+        index[cut[-1]:cut[-1] + len(at)] = at
+        cut.append(cut[-1] + len(at))
+    label = [y for y, _ in rows]
     n_f = len(names) + 1  # the last coordinate is the bias, without L1
     z, n = np.zeros(n_f), np.zeros(n_f)
     pull = np.full(n_f, l1)
@@ -86,10 +91,10 @@ def train_ftrl(rows: list[tuple[int, np.ndarray]], epochs: int = EPOCHS, alpha:
 
     rng = np.random.Generator(np.random.PCG64(seed))
     for _ in range(epochs):
-        for k in rng.permutation(len(rows)):
-            i = np.append(index[k], n_f - 1)
+        for k in rng.permutation(len(label)):
+            i = np.append(index[cut[k]:cut[k + 1]], n_f - 1)
             w = weights(i)
-            g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - rows[k][0]
+            g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - label[k]
             sigma = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha
             z[i] += g - sigma * w
             n[i] += g * g
@@ -102,9 +107,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", u
                  text_col: str = "text", per_class: int = PER_CLASS):
     """Model from at most ``per_class`` labelled documents of each class."""
     usable = usable or (lambda key: F.lit(True))
-    got = hashed_features(labelled_sample(docs, labels, label_col, usable, id_col, text_col, per_class)).collect()
-    got.sort(key=lambda r: r["doc_id"])
-    return train_ftrl([(r["label"], np.frombuffer(r["features"], np.uint64)) for r in got])
+    sample = hashed_features(labelled_sample(docs, labels, label_col, usable, id_col, text_col, per_class))
+    return train_ftrl(fetch(sample, {"features": np.uint64}))
 
 
 def score_toxicity(docs: DataFrame, model, text_col: str = "text", score_col: str = "score") -> DataFrame:
