@@ -52,7 +52,7 @@ def encoder(path: str):
 
         import tiktoken
         from tokenizers import Tokenizer
-        exact = Tokenizer.from_file(path)
+        exact: list[Tokenizer] = []  # loaded when a text needs it
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -69,7 +69,9 @@ def encoder(path: str):
         def encode(text: str) -> np.ndarray:
             if fast is not None and _PLAIN.fullmatch(text) and (len(text) < 1000 or max(map(len, text.split()), default=0) < 1000):
                 return np.asarray(fast.encode_to_numpy(text, allowed_special=allowed, disallowed_special=()), np.uint32)
-            return np.array(exact.encode(text, add_special_tokens=False).ids, np.uint32)
+            if not exact:
+                exact.append(Tokenizer.from_file(path))
+            return np.array(exact[0].encode(text, add_special_tokens=False).ids, np.uint32)
 
         _LOADED[path] = encode
     return _LOADED[path]

@@ -5,9 +5,9 @@ characters, lower-cased, where the characters U+0080-U+00BF, U+2000-U+207F
 and U+3000-U+303F (signs, spaces, dashes, quotes, CJK punctuation) separate
 words like ASCII punctuation does. ``WORD_RE`` says the same as a pattern.
 
-Whole texts are processed, in slices of about a megabyte so that the
+Whole texts are processed, in slices of about 256 KB so that the
 temporary arrays stay bounded whatever the size of a text. Words longer than
-one slice (a megabyte without any separator) are cut at the slice end.
+one slice (256 KB without any separator) are cut at the slice end.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 
 WORD_RE = r"[0-9a-z\x{C0}-\x{1FFF}\x{2080}-\x{2FFF}\x{3040}-\x{10FFFF}]+"
 
-SLICE = 1 << 20
+SLICE = 1 << 18
 _P = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64
 _TABLES: dict = {}
@@ -153,8 +153,9 @@ def _cuts(data: np.ndarray, limit: int) -> list[int]:
 
 def word_slices(col, limit: int = SLICE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, word hashes, offsets by row) of whole texts."""
-    col = pc.utf8_lower(as_text(col))
-    for lo, hi, data, off in slices(col, limit):
+    col = as_text(col)
+    for lo, hi, _, _ in slices(col, limit):
+        data, off = buffers(pc.utf8_lower(col.slice(lo, hi - lo)))
         if len(data) <= 2 * limit:
             yield lo, hi, *_hash_words(data, off)
             continue
@@ -162,6 +163,7 @@ def word_slices(col, limit: int = SLICE) -> Iterator[tuple[int, int, np.ndarray,
         parts = [_hash_words(data[a:b], np.array([0, b - a]))[0] for a, b in zip(cuts, cuts[1:], strict=False)]
         h = np.concatenate(parts)
         yield lo, hi, h, np.array([0, len(h)], np.int64)
+    pa.default_memory_pool().release_unused()
 
 
 def row_ids(off: np.ndarray) -> np.ndarray:
