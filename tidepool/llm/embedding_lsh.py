@@ -4,9 +4,10 @@ A vector is rotated by three rounds of random signs and a fast Hadamard
 transform; its cross-polytope hash is the axis (with sign) nearest to the
 rotated vector. One table joins ``hashes`` such codes to a bucket. Every
 vector enters, per table, its own bucket and the next best ones (multiprobe,
-ordered by how much the rotated vector would have to move). With the
-production values - 8 tables of 3 codes, 8 probes - a pair at cosine 0.9 in
-64 dimensions meets with probability above 0.999 (tests measure it).
+ordered by how much the rotated vector would have to move). The number of
+codes follows the number of vectors, so that unrelated vectors rarely share a
+bucket, and tables and probes follow the codes, so that a pair at cosine 0.9
+in 64 dimensions meets with probability above 0.999 (tests measure it).
 
 Exactly equal vectors are grouped first (partial aggregation), so a common
 vector is one node with a weight. Buckets with equal members are looked at
@@ -33,10 +34,17 @@ from tidepool.llm.graph import components
 from tidepool.llm.grouped import by_group, forest
 from tidepool.llm.shared import block_pairs, pick, semi_join, written
 
-TABLES, CODES, PROBES, BLOCK = 8, 3, 8, 512
+TABLES, PROBES = {3: 8, 4: 12, 5: 16}, {3: 8, 4: 16, 5: 32}  # by the number of codes
+BLOCK = 512
 _DEPTH = 6  # axes a code considers for probing
 
 
+def codes_for(n: int, dim: int) -> int:
+    """Codes a bucket joins: enough that n unrelated vectors rarely meet."""
+    d = 1 << max(int(dim - 1).bit_length(), 1)
+    return next((k for k in (3, 4) if (2 * d) ** k >= 16 * n), 5)
+
+
 def hadamard(x: np.ndarray) -> np.ndarray:
     """Normalised Walsh-Hadamard transform of the rows (a power of two wide)."""
     n, d = x.shape
@@ -48,15 +56,16 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(d)
 
 
-def bucket_codes(x: np.ndarray, tables: int = TABLES, codes: int = CODES, probes: int = PROBES,
+def bucket_codes(x: np.ndarray, codes: int = 3, tables: int | None = None, probes: int | None = None,
                  seed: int = 5) -> np.ndarray:
     """Bucket keys (n, tables, probes) of unit vectors, best bucket first."""
+    tables, probes = tables or TABLES[codes], probes or PROBES[codes]
     n, dim = x.shape
     d = 1 << max(int(dim - 1).bit_length(), 1)
     x = np.pad(x, ((0, 0), (0, d - dim)))
     depth = min(_DEPTH, d)
     combos = np.stack(np.meshgrid(*[np.arange(depth)] * codes, indexing="ij"), -1).reshape(-1, codes)
-    combos = combos[np.argsort(combos.sum(1), kind="stable")][: 64 if codes > 1 else depth]
+    combos = combos[np.argsort(combos.sum(1), kind="stable")][:128]
     out = np.empty((n, tables, min(probes, len(combos))), np.int64)
     rows = np.arange(n)[:, None]
     for t in range(tables):
@@ -84,12 +93,12 @@ def _unit(col, dim: int) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def _buckets(nodes: DataFrame, dim: int, tables: int, codes: int, probes: int, seed: int) -> DataFrame:
+def _buckets(nodes: DataFrame, dim: int, codes: int, seed: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
-                k = bucket_codes(_unit(part.column("v"), dim), tables, codes, probes, seed)
+                k = bucket_codes(_unit(part.column("v"), dim), codes, seed=seed)
                 k = k.reshape(len(k), -1)
                 ids = np.repeat(np.asarray(part.column("node")), k.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(k.ravel()), pa.array(ids)], names=["key", "node"])
@@ -119,8 +128,8 @@ def _weights(members: DataFrame, dim: int, threshold: float) -> DataFrame:
 
 
 def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                              threshold: float = 0.9, tables: int = TABLES, codes: int = CODES,
-                              probes: int = PROBES, block: int = BLOCK, seed: int = 5) -> DataFrame:
+                              threshold: float = 0.9, codes: int | None = None, block: int = BLOCK,
+                              seed: int = 5) -> DataFrame:
     """One row per vec_id: vec_id, n_links (other vectors with cosine of at
     least ``threshold``), component_id (smallest vec_id reachable by links),
     kept (vec_id = component_id)."""
@@ -142,7 +151,7 @@ def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector
     classes = written(usable.groupBy("k1", "k2").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "classes")
     reps = written(classes.join(usable.select(F.col("vec_id").alias("node"), "v"), "node")
                    .select("node", "copies", "v"), "representatives")
-    buckets = _buckets(reps, dim, tables, codes, probes, seed)
+    buckets = _buckets(reps, dim, codes or codes_for(reps.count(), dim), seed)
     shared = (buckets.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"),
                                          F.bit_xor(F.xxhash64("node")).alias("x")).where("n > 1")
               .groupBy("n", "lo", "hi", "x").agg(F.min("key").alias("key")).select("key", "n"))
