@@ -36,12 +36,19 @@ def op1_sql(rules: dict[str, str]) -> str:
     masked = (f"m0 as (select host, t1, t2, t3, deep, t1 as m1, t2 as m2, t3 as m3, count(bad) as labelled, "
               f"coalesce(sum(bad), 0) as bad from (select p{ut.LEVELS}.*, bad from p{ut.LEVELS} left join lab using (key)) group by all), ")
     for k, i in enumerate(range(ut.LEVELS, 0, -1), 1):
-        others = ", ".join(["host", "deep", *[f"m{j}" for j in range(1, ut.LEVELS + 1) if j != i], f"m{i} = ''"])
-        cond = (f"n > 0 and a - n > 0 and (b * (a - n) - (c - b) * n)::double * (b * (a - n) - (c - b) * n)::double * a "
-                f"> {ut.CHI2}::double * c * (a - c) * n * (a - n)")
-        masked += (f"m{k} as (select * exclude (n, b, a, c) replace (case when {cond} or m{i} in ('', '*') then m{i} else '*' end as m{i}) from "
-                   f"(select *, sum(labelled) over (partition by {others}, m{i}) as n, sum(bad) over (partition by {others}, m{i}) as b, "
-                   f"sum(labelled) over (partition by {others}) as a, sum(bad) over (partition by {others}) as c from {last})), ")
+        names = ["host", "deep", *[f"m{j}" for j in range(1, ut.LEVELS + 1) if j != i]]
+        others, on = ", ".join([*names, f"m{i} = ''"]), ", ".join([*names, f"m{i}"])
+        differs = (f"n > 0 and pn > 0 and (b * pn - pb * n)::double * (b * pn - pb * n)::double * (n + pn) "
+                   f"> {ut.CHI2}::double * (b + pb) * (n + pn - b - pb) * n * pn")
+        masked += (
+            f"b{k} as (select *, sum(case when {differs} then 1 else 0 end) over (partition by {others} order by rate, m{i} rows unbounded preceding) as cl "
+            f"from (select *, lag(n) over o as pn, lag(b) over o as pb from (select {on}, sum(labelled) as n, sum(bad) as b, "
+            f"case when sum(labelled) > 0 then sum(bad) / sum(labelled) else -1 end as rate from {last} group by all) "
+            f"window o as (partition by {others} order by rate, m{i}))), "
+            f"c{k} as (select {on}, case when count(*) over (partition by {others}, cl) = 1 then m{i} "
+            f"when count(*) over (partition by {others}, cl) = count(*) over (partition by {others}) then '*' "
+            f"else '{{' || array_to_string(list_sort(list(m{i}) over (partition by {others}, cl)), '|') || '}}' end as named from b{k}), "
+            f"m{k} as (select {last}.* replace (named as m{i}) from {last} join c{k} using ({on})), ")
         last = f"m{k}"
     parts = " || ".join(f"case when m{i} = '' then '' else '/' || m{i} end" for i in range(1, ut.LEVELS + 1))
     return f"""
@@ -89,9 +96,12 @@ OP5 = (f"with known as (select digest, min(licence) as licence from (select md5(
 
 def _shingles(table: str, key: str) -> str:
     """Distinct five-word shingles (key, s) of a table's texts."""
-    return (f"(select distinct {key}, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), "
-            f"lambda i: array_to_string(w[i:i + 4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s "
-            f"from (select {key}, regexp_extract_all(lower(text), {_q(WORD_RE)}) as w from {table} where {key} is not null and text is not null))")
+    rest = ", ".join(f"lead(w, {i}) over o" for i in range(1, 5))
+    return (f"(select distinct {key}, s from (select {key}, pos, n, concat_ws(' ', w, {rest}) as s from "
+            f"(select {key}, rid, unnest(ws) as w, unnest(range(1, len(ws) + 1)) as pos, len(ws) as n from "
+            f"(select {key}, row_number() over () as rid, regexp_extract_all(lower(text), {_q(WORD_RE)}) as ws from {table} "
+            f"where {key} is not null and text is not null)) window o as (partition by rid order by pos)) "
+            f"where pos + 4 <= n or (n < 5 and pos = 1))")
 
 
 OP6 = f"""

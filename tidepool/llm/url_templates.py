@@ -86,22 +86,30 @@ def templated(pages: DataFrame) -> DataFrame:
 
 def merged_templates(counts: DataFrame) -> DataFrame:
     """Template counts (host, t1.., deep, labelled, bad) with m1.. after
-    merging similar branches."""
+    merging similar branches. A node has few branches, so the windows are
+    small whatever the number of pages."""
     out = counts
     for i in range(1, LEVELS + 1):
         out = out.withColumn(f"m{i}", F.col(f"t{i}"))
     for i in range(LEVELS, 0, -1):
-        others = ["host", "deep", *[f"m{j}" for j in range(1, LEVELS + 1) if j != i], F.col(f"m{i}") == ""]
-        own, group = Window.partitionBy(*others, f"m{i}"), Window.partitionBy(*others)
-        n, b = F.sum("labelled").over(own), F.sum("bad").over(own)
-        out = out.withColumns({"_own": n, "_own_bad": b, "_all": F.sum("labelled").over(group), "_all_bad": F.sum("bad").over(group)})
-        rest, rest_bad = F.col("_all") - F.col("_own"), F.col("_all_bad") - F.col("_own_bad")
-        # (p1 - p2)^2 / (p (1 - p) (1/n1 + 1/n2)), without divisions
-        gap = F.col("_own_bad").cast("double") * rest - rest_bad.cast("double") * F.col("_own")
-        differs = (F.col("_own") > 0) & (rest > 0) & (
-            gap * gap * F.col("_all") > F.lit(CHI2) * F.col("_all_bad") * (F.col("_all") - F.col("_all_bad")) * F.col("_own") * rest)
-        out = out.withColumn(f"m{i}", F.when(differs | F.col(f"m{i}").isin("", "*"), F.col(f"m{i}")).otherwise("*"))
-        out = out.drop("_own", "_own_bad", "_all", "_all_bad")
+        own = f"m{i}"
+        names = ["host", "deep", *[f"m{j}" for j in range(1, LEVELS + 1) if j != i]]
+        siblings = [*names, F.col(own) == ""]  # the node itself is not a branch
+        branch = out.groupBy(*names, own).agg(F.sum("labelled").alias("_n"), F.sum("bad").alias("_bad"))
+        # branches without labels come first and join the cleanest
+        branch = branch.withColumn("_rate", F.when(F.col("_n") > 0, F.col("_bad") / F.col("_n")).otherwise(-1))
+        order = Window.partitionBy(*siblings).orderBy("_rate", own)
+        n, bad, n0, bad0 = F.col("_n"), F.col("_bad"), F.lag("_n").over(order), F.lag("_bad").over(order)
+        gap = bad.cast("double") * n0 - bad0.cast("double") * n
+        differs = (n > 0) & (n0 > 0) & (gap * gap * (n + n0) > F.lit(CHI2) * (bad + bad0) * (n + n0 - bad - bad0) * n * n0)
+        branch = branch.withColumn("_new", F.when(differs, 1).otherwise(0)).withColumn(
+            "_cluster", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        alike, every = Window.partitionBy(*siblings, "_cluster"), Window.partitionBy(*siblings)
+        size = F.count("*").over(alike)
+        several = F.concat(F.lit("{"), F.array_join(F.sort_array(F.collect_list(own).over(alike)), "|"), F.lit("}"))
+        named = F.when(size == 1, F.col(own)).when(size == F.count("*").over(every), "*").otherwise(several)
+        branch = branch.select(*names, own, named.alias("_named"))
+        out = out.join(branch, [*names, own]).drop(own).withColumnRenamed("_named", own)
     return out
 
 
