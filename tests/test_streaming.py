@@ -2,10 +2,12 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tidepool.sources.tweets_json import stream_tweets
-from tidepool.streaming.jobs import (append_keyed, classify_stream, daily_counts, latest_version,
+from tidepool.streaming.jobs import (append_keyed, classify_stream, current_table, daily_counts,
                                      stream_dedup, stream_ingest, stream_update)
 
 
@@ -72,5 +74,88 @@ def test_dedup_daily_and_update_streams(spark):
     base.write.parquet(f"{root}/bal/v=00000000")
     upd = stream.select(F.col("user_id").alias("key"), "value", "ts", "event_id")
     stream_update(upd, f"{root}/bal", "key", ["value"], ["ts", "event_id"], f"{root}/ck3").awaitTermination()
-    got = sorted(tuple(r) for r in spark.read.parquet(latest_version(spark, f"{root}/bal")).collect())
+    got = sorted(tuple(r) for r in current_table(spark, f"{root}/bal", "key").collect())
     assert got == [("u1", 5.0), ("u3", 3.0)]
+
+
+def uncommit(ck):
+    """Forget the commit of the last epoch, as if the driver died before it."""
+    last = max((f for f in os.listdir(f"{ck}/commits") if f.isdigit()), key=int)
+    for f in (last, f".{last}.crc"):
+        if os.path.exists(f"{ck}/commits/{f}"):
+            os.remove(f"{ck}/commits/{f}")
+
+
+def test_retried_and_late_updates(spark, tmp_path):
+    base, src, ck = f"{tmp_path}/t", f"{tmp_path}/u", f"{tmp_path}/ck"
+    spark.createDataFrame([(k, 0.0) for k in "abcdef"], "key string, value double").write.parquet(f"{base}/v=00000000")
+    schema = "key string, value double, seq long"
+
+    def deliver(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        run()
+
+    def run():
+        s = spark.readStream.schema(schema).parquet(src)
+        stream_update(s, base, "key", ["value"], ["seq"], ck).awaitTermination()
+
+    def now():
+        return sorted(tuple(r) for r in current_table(spark, base, "key").collect())
+    deliver([("a", 10.0, 10), ("b", 1.0, 1), ("zz", 9.0, 9)])
+    deliver([("a", 5.0, 5), ("c", 2.0, 2)])  # an older update of a comes later
+    want = [("a", 10.0), ("b", 1.0), ("c", 2.0), ("d", 0.0), ("e", 0.0), ("f", 0.0)]
+    assert now() == want
+    uncommit(ck)
+    run()
+    assert now() == want
+    assert len(os.listdir(f"{base}/v=00000002")) < 8  # only touched buckets
+    with pytest.raises(Exception, match="another checkpoint"):
+        stream_update(spark.readStream.schema(schema).parquet(src), base, "key", ["value"], ["seq"], f"{ck}2").awaitTermination()
+
+
+def test_retried_closed_days_and_dedup(spark, tmp_path):
+    src = f"{tmp_path}/ev"
+    ev = spark.createDataFrame([(i, f"u{i % 3}", f"2024-01-0{1 + i % 6} 10:00:00") for i in range(30)],
+                               "id long, u string, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+    ev.write.parquet(src)
+
+    def rows():
+        return spark.readStream.schema(ev.schema).parquet(src)
+
+    def days():
+        return sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/days").select("day", "n").collect())
+    daily_counts(rows(), "ts", f"{tmp_path}/days", f"{tmp_path}/c1", watermark="1 day").awaitTermination()
+    first = days()
+    assert len(first) == len(set(first)) == 4
+    uncommit(f"{tmp_path}/c1")
+    daily_counts(rows(), "ts", f"{tmp_path}/days", f"{tmp_path}/c1", watermark="1 day").awaitTermination()
+    assert days() == first
+    stream_dedup(rows(), "u", ["ts", "id"], f"{tmp_path}/dd", f"{tmp_path}/c2").awaitTermination()
+    uncommit(f"{tmp_path}/c2")
+    stream_dedup(rows(), "u", ["ts", "id"], f"{tmp_path}/dd", f"{tmp_path}/c2").awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/dd").count() == 3
+
+
+def test_read_faults_are_not_taken_for_an_empty_table(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        append_keyed(spark.createDataFrame([("a", 1)], "k string, seq int"), f"{tmp_path}/t", ["k"], ["seq"])
+
+
+def test_unseen_tweets_and_their_parents_are_stored(spark, tmp_path):
+    cols = "tweet_id string, parent_tweet_id string, kind string, created_at string"
+    archive = spark.createDataFrame([("old", None, "regular", "0"), ("oldrt", "old", "retweet", "0"), ("answered", None, "regular", "0")], cols)
+    src, out, ck = f"{tmp_path}/s", f"{tmp_path}/o", f"{tmp_path}/ck"
+
+    def deliver(rows):
+        spark.createDataFrame(rows, cols).coalesce(1).write.mode("append").parquet(src)
+        stream_ingest(spark.readStream.schema(cols).parquet(src), out, ck, archive=archive).awaitTermination()
+        return saved(spark, out)
+    got = deliver([("new", None, "regular", "1"), ("newrt", "oldrt", "retweet", "1"), ("reply", "answered", "reply", "1"),
+                   ("early", "later", "retweet", "1")])
+    assert got == [("answered", "regular"), ("early", "retweets"), ("new", "regular"), ("newrt", "retweets"), ("old", "regular"),
+                   ("oldrt", "retweets")]
+    got = deliver([("later", None, "regular", "2"), ("rt2", "reply2", "retweet", "2"), ("reply2", "new2", "reply", "2"),
+                   ("new2", None, "regular", "2")])
+    assert [t for t in got if t[0] in ("later", "rt2", "new2")] == [("later", "regular"), ("new2", "regular"), ("rt2", "retweets")]

@@ -9,20 +9,25 @@ use ``availableNow`` so a stream over landed files equals its batch twin.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.operators.keyed import append_new, update_by_key
+from tidepool.operators.keyed import append_new
 from tidepool.operators.parse import parse_tweet_v2, split_valid
 from tidepool.operators.predicates import match_rules
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written. Only a missing path, or a folder without
+    data files, counts as no table; any other fault is raised."""
     try:
-        spark.read.parquet(path).limit(0).collect()
+        spark.read.parquet(path)
         return True
-    except Exception:  # noqa: BLE001 - missing or empty table
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def append_keyed(batch: DataFrame, path: str, keys: list[str], order: list[str]) -> None:
@@ -59,24 +64,37 @@ def stream_ingest(rows: DataFrame, out: str, checkpoint: str, trigger: dict | No
     ``retweets`` tables; first write wins per ``tweet_id`` across batches.
 
     Without ``archive`` the batch's own retweets and regular tweets are
-    stored and replies skipped. With ``archive`` (all known tweets:
-    ``tweet_id, parent_tweet_id, kind`` and the stored columns) each
-    micro-batch runs the ingest closure (J11) from its tweets: retweet
-    chains are saved up to the first non-retweet, replies are followed to
-    the regular tweet they answer, which is saved."""
+    stored and replies skipped. With ``archive`` (known tweets: ``tweet_id,
+    parent_tweet_id, kind`` and the stored columns) each micro-batch runs the
+    ingest closure (J11) from its tweets: retweet chains are saved up to the
+    first non-retweet, replies are followed to the regular tweet they answer,
+    which is saved. The walk goes over the archive, the batch itself and
+    every tweet an earlier batch brought (their edges are kept in
+    ``{out}/seen``), so tweets that no archive holds are stored too. A stream
+    of bare ids (no ``kind`` column) only walks the archive."""
     walk_view = None
     if archive is not None:
-        from tidepool.operators.chains import ingest_closure, prepare_archive
+        from tidepool.operators.chains import cut_lineage, ingest_closure, prepare_archive
         walk_view = prepare_archive(archive)  # once, shared by every micro-batch
 
+    def _walk(batch: DataFrame) -> DataFrame:
+        spark, view, source = batch.sparkSession, walk_view, archive
+        edge = ["tweet_id", "parent_tweet_id", "kind"]
+        if set(edge) <= set(batch.columns):
+            seen = f"{out}/seen"
+            fresh = batch.dropDuplicates(["tweet_id"]).join(archive.select("tweet_id"), "tweet_id", "left_anti")
+            append_keyed(fresh.select(*edge), seen, ["tweet_id"], ["tweet_id"])
+            known = spark.read.parquet(seen)
+            view = walk_view.unionByName(known.select(F.col("tweet_id").alias("_aid"), F.col("parent_tweet_id").alias("_par"),
+                                                      F.col("kind").alias("_kind")))
+            source = archive.unionByName(fresh, allowMissingColumns=True)
+        reached = ingest_closure(batch.select("tweet_id"), view)
+        return cut_lineage(source.join(reached, "tweet_id", "inner").withColumn(
+            "kind", F.when(F.col("saved_to") == "retweets", "retweet").otherwise("regular")).drop("saved_to"))
+
     def _sink(batch: DataFrame, epoch: int):
         batch = batch.persist()
-        if archive is not None:
-            reached = ingest_closure(batch.select("tweet_id"), walk_view)
-            rows_ = archive.join(reached, "tweet_id", "inner").withColumn(
-                "kind", F.when(F.col("saved_to") == "retweets", "retweet").otherwise("regular")).drop("saved_to")
-        else:
-            rows_ = batch
+        rows_ = batch if archive is None else _walk(batch)
         append_keyed(rows_.where("kind = 'regular'"), f"{out}/regular", ["tweet_id"], [order, "tweet_id"])
         append_keyed(rows_.where("kind = 'retweet'"), f"{out}/retweets", ["tweet_id"], [order, "tweet_id"])
         batch.unpersist()
@@ -94,7 +112,9 @@ def stream_dedup(rows: DataFrame, key: str, order: list[str], out: str, checkpoi
         rows = rows.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark([key])
 
     def _sink(batch: DataFrame, epoch: int):
+        batch = batch.persist()  # read for its key range and again for the write
         append_keyed(batch, out, [key], order)
+        batch.unpersist()
 
     w = rows.writeStream.foreachBatch(_sink).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
@@ -104,7 +124,9 @@ def daily_counts(rows: DataFrame, ts_col: str, out: str, checkpoint: str,
                  watermark: str | None = None, trigger: dict | None = None):
     """T4: rows per one-day tumbling window. Without a watermark the whole
     (small: one row per day) result is rewritten each batch (complete mode);
-    with one, closed days are appended once and state is dropped."""
+    with one, closed days are written once, into a folder of their epoch
+    (``out/epoch=N``: a retried epoch replaces its own folder), and state is
+    dropped."""
     from pyspark.sql.types import TimestampNTZType
     from tidepool.functions.dates import utc_day
     keyed = rows
@@ -117,43 +139,86 @@ def daily_counts(rows: DataFrame, ts_col: str, out: str, checkpoint: str,
     agg = agg.select(day.alias("day"), "n")
 
     def _sink(batch: DataFrame, epoch: int):
-        batch.write.mode("append" if watermark else "overwrite").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}" if watermark else out)
 
     mode = "append" if watermark else "complete"
     w = agg.writeStream.outputMode(mode).foreachBatch(_sink).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+BUCKETS = 64  # of a versioned table; fixed for the life of a table
+
+
+def _bucket(key: str):
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(BUCKETS)).cast("int")
+
+
+def _committed(spark: SparkSession, base_path: str) -> dict[int, list[int]]:
+    """Versions whose write has committed, with the key buckets they hold.
+    Read faults are raised."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    root = path(base_path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = {}
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("v=") and fs.exists(path(st.getPath(), "_SUCCESS")):
+            parts = [x.getPath().getName() for x in fs.listStatus(st.getPath())]
+            out[int(name[2:])] = [int(x.split("=")[1]) for x in parts if x.startswith("keybucket=")]
+    return out
+
+
+def _state(spark: SparkSession, base_path: str, key: str, below: int | None = None) -> DataFrame:
+    """Rows of a versioned table as of the versions under ``below``: each
+    bucket from the newest version that holds it, the others from the base."""
+    owner = {}
+    for v, buckets in sorted(_committed(spark, base_path).items()):
+        if below is None or v < below:
+            owner.update(dict.fromkeys(buckets, v))
+    rows = spark.read.parquet(f"{base_path}/v={0:08d}")
+    if owner:
+        newer = spark.read.parquet(*[f"{base_path}/v={v:08d}/keybucket={b}" for b, v in sorted(owner.items())])
+        rows = rows.where(~_bucket(key).isin(sorted(owner))).unionByName(newer, allowMissingColumns=True)
+    return rows
+
+
+def current_table(spark: SparkSession, base_path: str, key: str) -> DataFrame:
+    """The versioned table as it is now."""
+    return _state(spark, base_path, key).drop("_seq")
+
+
 def stream_update(updates: DataFrame, base_path: str, key: str, cols: list[str], seq: list[str],
                   checkpoint: str, trigger: dict | None = None):
-    """T5: apply each micro-batch of updates to a keyed table (J9). Each
-    batch writes a new version folder ``v=<epoch+1>`` from the version the
-    pointer names, then moves the pointer; it never overwrites the version
-    it reads, and a retried epoch rewrites the same folder from the same
-    input. (A full rewrite per batch: fine for count tables; a table format
-    with MERGE is the tool for very large ones.)"""
+    """T5: apply each micro-batch of updates to a keyed table (J9) whose base
+    is ``base_path/v=00000000``. Epoch N writes version N + 1, which holds
+    only the key buckets it touches, from the newest committed versions below
+    N + 1. So a retried epoch rewrites its own folder from the same input and
+    never reads it. The sequence of the update is stored with the row
+    (``_seq``): an older update that arrives later changes nothing, and the
+    stream ends equal to its batch twin. One checkpoint belongs to a table."""
     def _sink(batch: DataFrame, epoch: int):
-        spark = batch.sparkSession
-        base = spark.read.parquet(latest_version(spark, base_path))
-        name = f"v={epoch + 1:08d}"
-        update_by_key(base, batch, key, cols, seq).write.mode("overwrite").parquet(f"{base_path}/{name}")
-        spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite") \
-            .text(f"{base_path}/_latest")
+        spark, version = batch.sparkSession, epoch + 1
+        if any(v > version for v in _committed(spark, base_path)):
+            raise ValueError(f"{base_path} has versions after {version}: it belongs to another checkpoint")
+        latest = batch.groupBy(key).agg(
+            F.max_by(F.struct(*cols), F.struct(*seq)).alias("_new"), F.max(F.struct(*seq)).alias("_at")).persist()
+        touched = [r[0] for r in latest.select(_bucket(key)).distinct().collect()]  # at most BUCKETS rows
+        if touched:
+            state = _state(spark, base_path, key, below=version).where(_bucket(key).isin(touched))
+            if "_seq" not in state.columns:
+                state = state.withColumn("_seq", F.lit(None).cast(latest.schema["_at"].dataType))
+            newer = F.col("_at").isNotNull() & (F.col("_seq").isNull() | (F.col("_at") >= F.col("_seq")))
+            out = [F.when(newer, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c)
+                   for c in state.columns if c != "_seq"]
+            (state.join(latest, key, "left").select(*out, F.when(newer, F.col("_at")).otherwise(F.col("_seq")).alias("_seq"))
+             .withColumn("keybucket", _bucket(key)).repartition("keybucket")
+             .write.partitionBy("keybucket").mode("overwrite").parquet(f"{base_path}/v={version:08d}"))
+        latest.unpersist()
 
     w = updates.writeStream.foreachBatch(_sink).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def latest_version(spark: SparkSession, base_path: str) -> str:
-    """Folder of the current version of a versioned table (``v=00000000``
-    until a first update moved the pointer)."""
-    try:
-        name = spark.read.text(f"{base_path}/_latest").first()[0]
-    except Exception:  # noqa: BLE001 - no pointer yet
-        name = "v=00000000"
-    return f"{base_path}/{name}"
-
-
 def parquet_stream(spark: SparkSession, folder: str, file_glob: str, schema=None) -> DataFrame:
     """A folder of Parquet files as a stream (one file or many; the glob
     picks which)."""
