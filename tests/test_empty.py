@@ -22,4 +22,4 @@ def test_empty_inputs(spark):
     assert update_by_key(base, spark.createDataFrame([], "k string, v double, s int"), "k", ["v"], ["s"]).count() == 0
     od = spark.createDataFrame([], "p int, o int, d int")
     assert take_while_sorted(od, "p", "o", "d").count() == 0
-    assert take_while_sorted(od, "p", "o", "d", hot_rows=0).count() == 0
+    assert take_while_sorted(od, "p", "o", "d", num_partitions=3).count() == 0

@@ -63,8 +63,8 @@ def test_cap_pages_overshoots(spark):
 
 def test_take_while_sorted(spark):
     df = spark.createDataFrame([("c", i, d) for i, d in enumerate([5, 4, 4, 6, 3])], "p string, o int, d int")
-    for hot in (10, 0):
-        got = take_while_sorted(df, "p", "o", "d", hot_rows=hot).orderBy("o").collect()
+    for hot in (10, 1):
+        got = take_while_sorted(df, "p", "o", "d", num_partitions=hot).orderBy("o").collect()
         assert [r.d for r in got] == [5, 4, 4]
 
 
@@ -88,8 +88,8 @@ def test_take_while_sorted_hot_part_spread(spark):
                 break
             want.add((p, o))
             prev = d
-    for hot in (10**9, 100):
-        got = {(r.p, r.o) for r in take_while_sorted(df, "p", "o", "d", hot_rows=hot, num_partitions=13).collect()}
+    for hot in (1, 13):
+        got = {(r.p, r.o) for r in take_while_sorted(df, "p", "o", "d", num_partitions=hot).collect()}
         assert got == want
 
 
@@ -97,3 +97,23 @@ def test_calendar(spark):
     assert expected_days(spark, "2020-02").count() == 29
     have = spark.createDataFrame([(dt.date(2020, 2, 3),)], "day date")
     assert missing_days(have, "2020-02").count() == 28
+
+
+def test_take_while_sorted_is_exact_for_large_ids_and_null_parts(spark):
+    big = 2**60
+    rows = [(p, o, d) for p in (big + 1, big + 2, None) for o, d in ((1, 9), (2, 8), (3, 8), (4, 9), (5, 1))]
+    rows += [(7, 1, big), (7, 2, big + 1), (7, 3, big)]
+    df = spark.createDataFrame(rows, "p long, o long, d long")
+    for n in (1, 5):
+        got = {(r.p, r.o) for r in take_while_sorted(df, "p", "o", "d", num_partitions=n).collect()}
+        assert got == {(p, o) for p in (big + 1, big + 2, None) for o in (1, 2, 3)} | {(7, 1)}
+
+
+def test_large_day_caps_rank_parts_first(spark):
+    from pyspark.sql import functions as F
+    from tidepool.operators.windows import cap_per_day
+    df = spark.range(5000).select(F.col("id"), F.timestamp_seconds(F.col("id") % 7 + 1000).alias("ts"))
+    got = cap_per_day(df, "ts", 1500, "id")
+    want = df.orderBy("ts", "id").limit(1500)
+    assert got.exceptAll(want).count() == 0 and got.count() == 1500
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Window ") == 2

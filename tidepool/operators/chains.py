@@ -42,8 +42,7 @@ def parent_kind(retweets: DataFrame, regular: DataFrame, hot_rows: int = DEFAULT
                     .otherwise("undirect").alias("parent_kind"))
 
 
-def resolve_roots(retweets: DataFrame, regular: DataFrame, max_rounds: int = 64,
-                  hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+def resolve_roots(retweets: DataFrame, regular: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """``(tweet_id, root_id)`` for every retweet whose parent walk
     reaches a stored regular tweet; broken and cyclic chains are dropped.
 
@@ -84,7 +83,7 @@ def resolve_roots(retweets: DataFrame, regular: DataFrame, max_rounds: int = 64,
     finished = [state.where(F.col("ptr_kind") != _PASS)]
     open_rows = state.where(F.col("ptr_kind") == _PASS)
     open_prev = None
-    for _ in range(max_rounds):
+    while True:
         n_open = open_rows.count()
         if n_open == 0 or (open_prev is not None and n_open >= open_prev):
             break
@@ -206,7 +205,7 @@ def prepare_archive(archive: DataFrame) -> DataFrame:
                                       F.col("kind").alias("_kind")).repartition(n, "_aid"))
 
 
-def ingest_closure(seeds: DataFrame, archive: DataFrame, max_rounds: int | None = None) -> DataFrame:
+def ingest_closure(seeds: DataFrame, archive: DataFrame) -> DataFrame:
     """What the stream ingester saves for a set of seed tweets.
 
     From each seed: while the tweet is a retweet, save it and fetch its
@@ -223,13 +222,9 @@ def ingest_closure(seeds: DataFrame, archive: DataFrame, max_rounds: int | None
     frontier = cut_lineage(seeds.select(F.col("tweet_id").alias("fid"), F.lit("R").alias("phase")).distinct())
     seen_parts = [frontier]  # each round's frontier, checkpointed once
     saved_parts = []
-    # no round cap by default: every (id, phase) pair enters the frontier at
-    # most once, so the walk ends after the longest chain, however long
-    rounds = 0
-    while max_rounds is None or rounds < max_rounds:
-        rounds += 1
-        if frontier.isEmpty():
-            break
+    # every (id, phase) pair enters the frontier at most once, so the walk
+    # ends after the longest chain, however long
+    while not frontier.isEmpty():
         hit = frontier.join(arch, frontier.fid == arch._aid, "inner")
         ph, kd = F.col("phase"), F.col("_kind")
         out = hit.select(

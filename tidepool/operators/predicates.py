@@ -131,38 +131,18 @@ def match_rules(df: DataFrame, rules: list[str], **cols) -> DataFrame:
 
 
 def take_while_sorted(df: DataFrame, part: str, order: str, date: str,
-                      hot_rows: int = 1_000_000, num_partitions: int | None = None) -> DataFrame:
-    """per ``part``, rows in ``order`` up to (not including) the first
-    row whose ``date`` is later than the row before it.
-
-    The largest part is measured first (a partially aggregated count).
-    Parts below ``hot_rows`` rows use a window per part (one sort). A
-    larger part would be one task's whole input, so then the ordered scan
-    is spread instead (``_take_while_ranged``)."""
-    biggest = df.groupBy(part).count().agg(F.max("count")).collect()[0][0] or 0
-    if biggest < hot_rows:
-        return _take_while_window(df, part, order, date)
-    return _take_while_ranged(df, part, order, date, num_partitions)
-
-
-def _take_while_window(df: DataFrame, part: str, order: str, date: str) -> DataFrame:
-    from pyspark.sql import Window
-    w = Window.partitionBy(part).orderBy(order)
-    rose = F.coalesce(F.col(date) > F.lag(date).over(w), F.lit(False)).cast("int")
-    w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (df.withColumn("_rose", rose).withColumn("_stop", F.max("_rose").over(w_run))
-            .where(F.col("_stop") == 0).drop("_rose", "_stop"))
-
-
-def _take_while_ranged(df: DataFrame, part: str, order: str, date: str,
-                       num_partitions: int | None = None) -> DataFrame:
-    """No window per part: the ``(part, order, date)`` keys are
-    range-partitioned and sorted, so a hot part spreads over many tasks;
-    each task flags rises inside its slice (``mapInPandas``), the first row
-    of a slice is compared with the last row of the previous non-empty
-    slice (one summary row per partition reaches the driver), the first
-    rise per part is a partially aggregated ``min``, and rows before it are
-    kept through a hot-key-safe lookup join."""
+                      num_partitions: int | None = None) -> DataFrame:
+    """per ``part`` (NULL is a part of its own), rows in ``order`` up to
+    (not including) the first row whose ``date`` is later than the row before
+    it.
+
+    No window per part, so a part of any size spreads over many tasks: the
+    ``(part, order, date)`` keys are range-partitioned and sorted; each task
+    flags rises inside its slice with Arrow's exact comparisons; the first
+    row of a slice is compared with the last row of the previous non-empty
+    slice (one summary row per partition reaches the driver); the first rise
+    per part is a partially aggregated ``min``, and rows before it are kept
+    through a hot-key-safe lookup join."""
     from tidepool.operators.skew import lookup_join
     from tidepool.session import checkpoint_dir
 
@@ -175,43 +155,50 @@ def _take_while_ranged(df: DataFrame, part: str, order: str, date: str,
                              StructField("p", fields["p"]), StructField("o", fields["o"]),
                              StructField("d", fields["d"]), StructField("rise", BooleanType())])
     checkpoint_dir(spark)
-    flagged = ranged.mapInPandas(_flag_rises, out_schema).checkpoint(eager=True)
+    flagged = ranged.mapInArrow(_flag_rises, out_schema).checkpoint(eager=True)
 
-    lasts = sorted((r.pid, r.p, r.d) for r in flagged.where("kind = 'last'").collect())
-    prev = []  # for each partition holding rows: last row of the previous one
-    for i in range(1, len(lasts)):
-        prev.append((lasts[i][0], lasts[i - 1][1], lasts[i - 1][2]))
+    lasts = sorted(((r.pid, r.p, r.d) for r in flagged.where("kind = 'last'").collect()), key=lambda r: r[0])
+    # for each partition holding rows: last row of the previous one
+    prev = [(lasts[i][0], lasts[i - 1][1], lasts[i - 1][2]) for i in range(1, len(lasts))]
     prev_df = spark.createDataFrame(prev, StructType([
         StructField("pid", IntegerType()), StructField("lp", fields["p"]), StructField("ld", fields["d"])]))
     heads = flagged.where("kind = 'head'").join(F.broadcast(prev_df), "pid", "inner") \
-        .where((F.col("lp") == F.col("p")) & (F.col("d") > F.col("ld")))
+        .where(F.col("lp").eqNullSafe(F.col("p")) & (F.col("d") > F.col("ld")))
     rises = flagged.where("kind = 'row' AND rise").select("p", "o").unionByName(heads.select("p", "o"))
     first = rises.groupBy("p").agg(F.min("o").alias("_first"))
-    j = lookup_join(df, part, first.withColumnRenamed("p", "_fp"), "_fp", how="left")
-    return j.where(F.col("_first").isNull() | (F.col(order) < F.col("_first"))).drop("_fp", "_first")
+    # the NULL part matches no join key: its one row travels as a broadcast
+    none = F.broadcast(first.where("p IS NULL").select(F.col("_first").alias("_null_first")))
+    j = lookup_join(df, part, first.where("p IS NOT NULL").withColumnRenamed("p", "_fp"), "_fp", how="left") \
+        .join(none, F.col(part).isNull(), "left")
+    stop = F.coalesce("_first", "_null_first")
+    return j.where(stop.isNull() | F.col(order).isNull() | (F.col(order) < stop)).drop("_fp", "_first", "_null_first")
 
 
 def _flag_rises(batches):
     """Rows of one sorted slice: rise = same part as the row before and a
     later date; the slice's first row is a 'head' (its predecessor lives in
     an earlier slice); one 'last' row summarises the slice's end."""
-    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.compute as pc
     from pyspark import TaskContext
     pid = TaskContext.get().partitionId()
     carry = None
     for b in batches:
-        if b.empty:
+        n = b.num_rows
+        if not n:
             continue
-        pp, pd_ = b["p"].shift(1), b["d"].shift(1)
-        if carry is not None:
-            pp.iloc[0], pd_.iloc[0] = carry
-        rise = (b["p"] == pp) & (b["d"] > pd_)
-        kind = pd.Series("row", index=b.index)
+        p, o, d = b.column("p"), b.column("o"), b.column("d")
+        before = carry or (p.slice(0, 1), d.slice(0, 1))
+        pp, dd = (pa.concat_arrays([x, y.slice(0, n - 1)]) for x, y in zip(before, (p, d), strict=True))
+        same = pc.or_(pc.fill_null(pc.equal(p, pp), False), pc.and_(pc.is_null(p), pc.is_null(pp)))
+        rise = pc.and_(same, pc.fill_null(pc.greater(d, dd), False))
+        kind = ["row"] * n
         if carry is None:
-            kind.iloc[0] = "head"
-        carry = (b["p"].iloc[-1], b["d"].iloc[-1])
-        yield pd.DataFrame({"kind": kind, "pid": pid, "p": b["p"], "o": b["o"], "d": b["d"],
-                            "rise": rise.fillna(False).astype(bool)})
+            kind[0] = "head"
+        carry = (p.slice(n - 1, 1), d.slice(n - 1, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array([pid] * n, pa.int32()), p, o, d, rise],
+                                         names=["kind", "pid", "p", "o", "d", "rise"])
+        last_o = pa.nulls(1, o.type)
     if carry is not None:
-        yield pd.DataFrame({"kind": ["last"], "pid": [pid], "p": [carry[0]], "o": [None],
-                            "d": [carry[1]], "rise": [False]})
+        yield pa.RecordBatch.from_arrays([pa.array(["last"]), pa.array([pid], pa.int32()), carry[0], last_o, carry[1],
+                                          pa.array([False])], names=["kind", "pid", "p", "o", "d", "rise"])

@@ -3,7 +3,10 @@
 Both are ``row_number() <= limit`` over a day partition, a shape Spark plans
 as a partial ``WindowGroupLimit`` before the shuffle and a final one after:
 a day holding a third of all rows sends at most ``limit`` rows per map
-task, never the whole day, to the reducer.
+task, never the whole day, to the reducer. Spark does so for small limits
+only (``GROUP_LIMIT``, its default setting); for larger ones the rows of a
+day are first ranked in ``SALTS`` parts, and at most ``limit`` of each part
+meet in the day's final ranking.
 """
 
 from __future__ import annotations
@@ -14,6 +17,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+GROUP_LIMIT, SALTS = 1000, 64
+
+
 def _day(ts_col: str):
     return F.to_date(F.col(ts_col))
 
@@ -25,6 +31,9 @@ def cap_per_day(df: DataFrame, ts_col: str, n: int, tie: str, newest_first: bool
     if newest_first:
         order = [c.desc() for c in order]
     w = Window.partitionBy(_day(ts_col)).orderBy(*order)
+    if n > GROUP_LIMIT:
+        part = Window.partitionBy(_day(ts_col), F.pmod(F.xxhash64(ts_col, tie), F.lit(SALTS))).orderBy(*order)
+        df = df.withColumn("_rn", F.row_number().over(part)).where(F.col("_rn") <= n).drop("_rn")
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
