@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from tidepool.functions.html import paragraphs
 from tidepool.operators.html_extract import extract_articles, extract_one, listing_cards, next_link, rules_frame
 
-BLP = """<html><body><li class="mvp-blog-story-wrap left relative infinite-post"><a href="/a1">x</a></li>
+BLP = """<html><body><div class="mvp-main-blog-body left relative"><li class="mvp-blog-story-wrap left relative infinite-post"><a href="/a1">x</a></li></div>
 <div class="pagination"><a href="/p1">Prev</a><a href="/p3">Next &rsaquo;</a><a href="/last">Last</a></div>
 <div id="mvp-post-main"><h1 class="mvp-post-title left entry-title">Title &amp; more</h1>
 <span class="mvp-post-date updated"><time datetime="2020-03-25T20:07:28+00:00">Mar</time></span>
@@ -21,7 +21,7 @@ def rule(site):
 
 
 def test_direct_children_only_and_date_attr():
-    title, content, date, nxt, items = extract_one(BLP, rule("BigLeaguePolitics"))
+    title, content, date, nxt, items, _ = extract_one(BLP, rule("BigLeaguePolitics"))
     assert title == "Title & more"
     assert content == "one\ntwo bold"
     assert date == "2020-03-25T20:07:28+00:00"
@@ -29,7 +29,7 @@ def test_direct_children_only_and_date_attr():
 
 
 def test_nested_tags_repeat_and_unclosed_p():
-    title, content, date, _, _ = extract_one(GGI, rule("GreatGameIndia"))
+    title, content, date, _, _, _ = extract_one(GGI, rule("GreatGameIndia"))
     assert title == "T" and date == "2020-01-02"
     # li and its p both count (nested text repeats); an open <p> ends at the next block
     assert content.split("\n") == ["item", "item", "open para", "next", "sub"]
@@ -77,3 +77,27 @@ def test_next_link_by_rules(spark):
     pages = spark.createDataFrame([(1, "https://x.org/list", "BigLeaguePolitics", BLP)],
                                   "page_id long, url string, site string, html string")
     assert next_link(pages, rules=rules_frame(spark)).first().next_url == "https://x.org/p3"
+
+
+def test_cards_first_next_and_deep_pages(spark):
+    from tidepool.operators.html_extract import cut_cards
+    card = ('<div class="td-block-span6"><h3 class="entry-title td-module-title"><a href="/c{0}">T{0}</a></h3>'
+            '<div class="td-post-date"><time datetime="2020-01-0{0}">x</time></div></div>')
+    page = '<div class="td-ss-main-content">' + "".join(card.format(i) for i in (1, 2, 3)) + "</div>"
+    pages = spark.createDataFrame([(1, "https://i.org/list", "Intellihub", page)], "page_id long, url string, site string, html string")
+    got = [tuple(r) for r in cut_cards(pages, rules=rules_frame(spark)).orderBy("pos").select("link", "title", "date").collect()]
+    assert got == [(f"https://i.org/c{i}", f"T{i}", f"2020-01-0{i}") for i in (1, 2, 3)]
+    two = '<nav class="pager"><li class="pager__item pager__item--next"><a href="/n1">a</a><a href="/n2">b</a></li></nav>'
+    assert extract_one(two, rule("ZeroHedge"))[3] == "/n1"
+    deep = "<h1>T</h1><article><p>one</p>" + "<li>" * 5000 + "end"
+    assert extract_one(deep, rule("generic"))[:2] == ("T", "one")
+
+
+def test_character_references(spark):
+    from pyspark.sql import functions as F
+    from tidepool.functions.html import decode_entities
+    cases = {"a &#8217; b&rsquo;c": "a \u2019 b\u2019c", "caf&eacute; &#xE9;&#233": "caf\u00e9 \u00e9\u00e9", "&amp;lt; &amp": "&lt; &",
+             "&unknown; & &": "&unknown; & &", "&#0;&#x110000;": "\ufffd\ufffd", "&#128512;&Omega;&hellip;": "\U0001f600\u03a9\u2026", "": "", "plain": "plain",
+             "&copy 1 &nbsp;x&#99999999999999999999;": "\u00a9 1 \u00a0x\ufffd", "&": "&", "x&;": "x&;"}
+    got = {r.c: r.d for r in spark.createDataFrame([(c,) for c in cases], "c string").select("c", decode_entities(F.col("c")).alias("d")).collect()}
+    assert got == cases

@@ -58,25 +58,41 @@ def page_for(rule):
         if rule.get("date_attr"):
             tree.add(rule["date_path"], "x", f' {rule["date_attr"]}="{raw}"')
         else:
-            tree.add(rule["date_path"], (rule.get("date_after") or "") + raw)
+            mark = f'early<{rule["date_after_tag"]}>' if rule.get("date_after_tag") else ""
+            tree.add(rule["date_path"], mark + (rule.get("date_after") or "") + raw)
         date = raw
-    if rule.get("item_path"):
-        tree.add(rule["item_path"], "item", ' href="/item-1"')
     if rule.get("next_path"):
         label = rule.get("next_text") or "more"
         if rule.get("next_child"):
             o, c = _open(rule["next_child"][-1])
             label = o + c
         tree.add(rule["next_path"], label, ' href="/page-2"')
-    return "<html><body>" + tree.render() + "</body></html>", title, tags, date
+    items = "".join(item(rule, i) for i in range(1, 4))
+    body = tree.render()
+    if rule.get("item_scope") and rule["item_scope"] == (rule.get("next_path") or [])[:-1]:  # one element holds both
+        o, _ = _open(rule["item_scope"][0])
+        return "<html><body>" + body.replace(o, o + items, 1) + "</body></html>", title, tags, date
+    for step in reversed(rule.get("item_scope") or []):
+        o, c = _open(step)
+        items = o + items + c
+    return "<html><body>" + body + items + "</body></html>", title, tags, date
+
+
+def item(rule, i):
+    """One listing item: its container with the link in it."""
+    html = f"item {i}"
+    for k, step in enumerate(reversed(rule["item_path"])):
+        o, c = _open(step)
+        html = (o[:-1] + f' href="/item-{i}">' if k == 0 else o) + html + c
+    return html
 
 
 @pytest.mark.parametrize("rule", SITE_RULES, ids=[r["site"] for r in SITE_RULES])
 def test_rule_reads_its_own_page(rule):
     html, title, tags, date = page_for(rule)
-    got_title, content, got_date, nxt, items = extract_one(html, rule)
-    if rule.get("item_path"):
-        assert "/item-1" in items
+    got_title, content, got_date, nxt, items, cards = extract_one(html, rule)
+    assert [i for i in items if i.startswith("/item-")] == ["/item-1", "/item-2", "/item-3"]
+    assert [c[0] for c in cards] == items
     if rule.get("next_path"):
         assert nxt == "/page-2"
     assert got_title is not None and title in got_title

@@ -11,6 +11,7 @@ in Arrow batches; the walker is a small helper, not a library.
 from __future__ import annotations
 
 import json
+from collections import Counter
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -25,7 +26,9 @@ STEP = StructType([StructField("tag", StringType()), StructField("id", StringTyp
                    StructField("cls", StringType())])
 PATH = ArrayType(STEP)
 RULE = StructType([
-    StructField("site", StringType()), StructField("item_path", PATH),
+    StructField("site", StringType()), StructField("item_scope", PATH), StructField("item_path", PATH),
+    StructField("card_title", PATH), StructField("card_date", PATH), StructField("card_date_attr", StringType()),
+    StructField("next_first", BooleanType()), StructField("date_after_tag", StringType()),
     StructField("link_root", BooleanType()), StructField("next_path", PATH),
     StructField("next_text", StringType()), StructField("next_child", PATH),
     StructField("title_path", PATH), StructField("body_path", PATH),
@@ -49,7 +52,8 @@ def _p(*steps):
 # Per-site extraction rules (listing item, next page, title,
 # body, date), and the rule for generic article pages.
 SITE_RULES = [
-    dict(site="BigLeaguePolitics", item_path=_p("li.mvp-blog-story-wrap left relative infinite-post", "a"),
+    dict(site="BigLeaguePolitics", item_scope=_p("div.mvp-main-blog-body left relative"),
+         item_path=_p("li.mvp-blog-story-wrap left relative infinite-post", "a"),
          next_path=_p("div.pagination", "a"), next_text="Next \u203a",
          title_path=_p("div#mvp-post-main", "h1.mvp-post-title left entry-title"),
          body_path=_p("div#mvp-content-main"), body_tags=["p"], direct_only=True,
@@ -63,37 +67,40 @@ SITE_RULES = [
          next_path=_p("div.page-nav td-pb-padding-side", "a"), next_child=_p("i.td-icon-menu-right"),
          title_path=_p("header.td-post-title", "h1"),
          body_path=_p("div.td-post-content"), date_path=_p("header.td-post-title", "time"), date_attr="datetime"),
-    dict(site="HealthImpactNews", item_path=_p("div.acs_search_results_items", "div.entry-permalink", "a"),
+    dict(site="HealthImpactNews", item_scope=_p("div.acs_search_results_items"), item_path=_p("div.entry-permalink", "a"),
          title_path=_p("h2.entry-title"), body_path=_p("div.post-content"),
          date_path=_p("div.entry-date"), date_after="on "),
     dict(site="HealthNutNews", item_path=_p("article", "div.header", "a"),
-         next_path=_p("div.archive-pagination", "li.next", "a"), title_path=_p("div.post-header", "h1.entry-title"),
+         next_first=True, next_path=_p("div.archive-pagination", "li.next", "a"), title_path=_p("div.post-header", "h1.entry-title"),
          body_path=_p("div.post-content entry-content"), date_path=_p("span.updated")),
     dict(site="HumansAreFree", item_path=_p("div.post_grid_content_wrapper", "div.image-post-thumb", "a"),
-         next_path=_p("nav.jellywp_pagination", "a.next page-numbers"), title_path=_p("h1.single_post_title_main"),
+         next_first=True, next_path=_p("nav.jellywp_pagination", "a.next page-numbers"), title_path=_p("h1.single_post_title_main"),
          body_path=_p("div.post_content"), date_path=_p("span.post-date updated"), date_attr="datetime"),
-    dict(site="Intellihub", item_path=_p("div.td-block-span6", "h3", "a"),
+    dict(site="Intellihub", item_scope=_p("div.td-ss-main-content"),
+         item_path=_p("div.td-block-span6", "h3.entry-title td-module-title", "a"),
+         card_title=_p("h3.entry-title td-module-title", "a"), card_date=_p("div.td-post-date", "time"),
+         card_date_attr="datetime",
          next_path=_p("div.page-nav td-pb-padding-side", "a"), next_child=_p("i.td-icon-menu-right"),
          title_path=_p("h3", "a"),
          body_path=_p("div.td-post-content"), date_path=_p("div.td-post-date", "time"), date_attr="datetime"),
-    dict(site="JimBakkerShow", item_path=_p("article", "h1.entry-title", "a"),
-         next_path=_p("div.nav-previous alignleft button", "a"), title_path=_p("header.entry-header", "h1.entry-title"),
+    dict(site="JimBakkerShow", item_scope=_p("div.site-content"), item_path=_p("article", "h1.entry-title", "a"),
+         next_first=True, next_path=_p("div.nav-previous alignleft button", "a"), title_path=_p("header.entry-header", "h1.entry-title"),
          body_path=_p("div.entry-content"), date_path=_p("footer.entry-meta", "time"), date_attr="datetime"),
     dict(site="Medicine-Today", item_path=_p("div.mvp-main-blog-out relative", "a"),
          title_path=_p("header#mvp-post-head", "h1.mvp-post-title entry-title"),
          body_path=_p("section#mvp-content-main"), date_path=_p("span.post-date updated", "time"), date_attr="datetime"),
     dict(site="NaturalHealth365", item_path=_p("div.article-container left", "div.title-meta-box", "a"),
-         next_path=_p("nav.navigation", "div.nav-previous", "a"), title_path=_p("h1.entry-title"),
+         next_first=True, next_path=_p("nav.navigation", "div.nav-previous", "a"), title_path=_p("h1.entry-title"),
          body_path=_p("div.pf-content"), date_path=_p("span.entry-date")),
-    dict(site="RealFarmacy", item_path=_p("div.entry-blog", "h2.page-title", "a"),
-         next_path=_p("ul.post-nav", "li.nav-previous previous", "a"), title_path=_p("h2.page-title", "a"),
+    dict(site="RealFarmacy", item_scope=_p("div.main-content-inner clearfix"), item_path=_p("div.entry-blog", "h2.page-title", "a"),
+         next_first=True, next_path=_p("ul.post-nav", "li.nav-previous previous", "a"), title_path=_p("h2.page-title", "a"),
          body_path=_p("div.entry-summary blog-entry-summary")),
     dict(site="TheMindUnleashed", item_path=_p("div.article-card", "h3.article-card-title", "a"),
          title_path=_p("header", "h1.entry-title"), body_path=_p("div.article-copy"),
          date_path=_p("div.entry-meta-top", "time"), date_attr="datetime"),
     dict(site="TheTruthAboutCancer", item_path=_p("article", "header.entry-header", "a"),
          title_path=_p("header.entry-header", "h1.entry-title"), body_path=_p("div.entry-content"),
-         date_path=_p("p.entry-meta")),
+         date_path=_p("p.entry-meta"), date_after_tag="br"),
     dict(site="WND", item_path=_p("article", "div.entry-image", "a"),
          title_path=_p("header.entry-header", "h1.entry-title"), body_path=_p("div.entry-content"),
          date_path=_p("div.entry-meta", "span"), date_nth=1, date_after="Published "),
@@ -101,13 +108,12 @@ SITE_RULES = [
          title_path=_p("div.wrapper", "h1"), body_path=_p("div.oneNesBox"),
          date_path=_p("div.oneNesBox", "h5"), date_after="Posted on "),
     dict(site="ZeroHedge", item_path=_p("div.views-row", "span.views-field views-field-title", "a"), link_root=True,
-         next_path=_p("nav.pager", "li.pager__item pager__item--next", "a"), title_path=_p("h1.page-title", "span"),
+         next_first=True, next_path=_p("nav.pager", "li.pager__item pager__item--next", "a"), title_path=_p("h1.page-title", "span"),
          body_path=_p("div.node__content"), date_path=_p("div.submitted-datetime", "span")),
-    dict(site="generic", item_path=_p("nav", "a"), link_root=True, next_path=_p("nav", "a"),
+    dict(site="generic", item_scope=_p("nav"), item_path=_p("a"), link_root=True, next_path=_p("nav", "a"),
          title_path=_p("h1"), body_path=_p("article"), body_tags=["p"]),
 ]
 DEFAULT_BODY_TAGS = ["p", "li", "h1", "h2", "h3"]
-MAX_PAGES_PER_BATCH = 1000
 # Start tags that close an open <p> (HTML rule); void elements never open.
 P_CLOSERS = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset",
              "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
@@ -121,7 +127,7 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 def _full_rule(r: dict) -> dict:
     full = {f.name: None for f in RULE.fields}
     full.update({"body_tags": DEFAULT_BODY_TAGS, "direct_only": False, "link_root": False,
-                 "item_path": [], "next_path": [], "next_child": [], "date_path": []})
+                 "item_scope": [], "item_path": [], "card_title": [], "card_date": [], "next_first": False, "next_path": [], "next_child": [], "date_path": []})
     full.update(r)
     return full
 
@@ -145,25 +151,30 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = _Node("#root", {}, None)
         self.stack = [self.root]
+        self.open = Counter()  # tags on the stack
 
     def handle_starttag(self, tag, attrs):
-        if tag in P_CLOSERS and any(n.tag == "p" for n in self.stack):
-            while self.stack[-1].tag != "p":
-                self.stack.pop()
-            self.stack.pop()
+        if tag in P_CLOSERS and self.open["p"]:
+            self._close("p")
         node = _Node(tag, dict(attrs), self.stack[-1])
         self.stack[-1].children.append(node)
         if tag not in VOID:
             self.stack.append(node)
+            self.open[tag] += 1
+
+    def _close(self, tag):
+        while True:
+            last = self.stack.pop().tag
+            self.open[last] -= 1
+            if last == tag:
+                return
 
     def handle_startendtag(self, tag, attrs):
         self.stack[-1].children.append(_Node(tag, dict(attrs), self.stack[-1]))
 
     def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                del self.stack[i:]
-                return
+        if self.open[tag]:
+            self._close(tag)
 
     def handle_data(self, data):
         self.stack[-1].children.append(data)
@@ -182,10 +193,15 @@ def _matches(node, step) -> bool:
 
 
 def _walk(node):
-    for c in node.children:
-        if isinstance(c, _Node):
+    """Elements below a node in page order, without recursion."""
+    todo = [iter(node.children)]
+    while todo:
+        c = next(todo[-1], None)
+        if c is None:
+            todo.pop()
+        elif isinstance(c, _Node):
             yield c
-            yield from _walk(c)
+            todo.append(iter(c.children))
 
 
 def _find(node, step):
@@ -209,11 +225,40 @@ def _find_all_path(node, path):
 
 
 def _text(node) -> str:
-    return "".join(c if isinstance(c, str) else _text(c) for c in node.children)
+    out, todo = [], [iter(node.children)]
+    while todo:
+        c = next(todo[-1], None)
+        if c is None:
+            todo.pop()
+        elif isinstance(c, str):
+            out.append(c)
+        else:
+            todo.append(iter(c.children))
+    return "".join(out)
+
+
+def _items(root, rule: dict) -> list[tuple]:
+    """(href, title, date) of every item container of a listing: its first
+    anchor, and the card's own title and date where the rule names them."""
+    out = []
+    scope = _find_path(root, rule.get("item_scope"))
+    path = rule.get("item_path") or []
+    if scope is None or not path:
+        return out
+    for box in (n for n in _walk(scope) if _matches(n, path[0])):
+        link = _find_path(box, path[1:])
+        if link is None or not link.attrs.get("href"):
+            continue
+        title = _find_path(box, rule["card_title"]) if rule.get("card_title") else None
+        date = _find_path(box, rule["card_date"]) if rule.get("card_date") else None
+        attr = rule.get("card_date_attr")
+        out.append((link.attrs["href"], _text(title) if title is not None else None,
+                    None if date is None else date.attrs.get(attr) if attr else _text(date).strip()))
+    return out
 
 
 def extract_one(html: str, rule: dict) -> tuple:
-    """(title, content, raw date, next href, item hrefs) of one page."""
+    """(title, content, raw date, next href, item hrefs, item cards) of one page."""
     tree = _Tree()
     tree.feed(html or "")
     root = tree.root
@@ -234,6 +279,11 @@ def extract_one(html: str, rule: dict) -> tuple:
         nth = rule.get("date_nth") or 0
         d = found[nth] if len(found) > nth else None
         if d is not None:
+            mark = rule.get("date_after_tag") and _find(d, {"tag": rule["date_after_tag"]})
+            if mark:  # the text that follows this element
+                rest = mark.parent.children
+                d = _Node(d.tag, d.attrs, d.parent)
+                d.children = rest[next(i for i, c in enumerate(rest) if c is mark) + 1:]
             date = d.attrs.get(rule["date_attr"]) if rule.get("date_attr") else _text(d)
             after = rule.get("date_after")
             if date is not None and after:
@@ -247,10 +297,11 @@ def extract_one(html: str, rule: dict) -> tuple:
         nxt = [n for n in nxt if rule["next_text"] in _text(n)]
     if rule.get("next_child"):
         nxt = [n for n in nxt if _find_path(n, rule["next_child"]) is not None]
-    # the last matching anchor wins
-    nxt_href = next((n.attrs.get("href") for n in reversed(nxt) if n.attrs.get("href")), None)
-    items = [n.attrs.get("href") for n in _find_all_path(root, rule.get("item_path")) if n.attrs.get("href")]
-    return title, content, date, nxt_href, items
+    # the last matching anchor wins, or the first where the rule says so
+    nxt = nxt if rule.get("next_first") else nxt[::-1]
+    nxt_href = next((n.attrs.get("href") for n in nxt if n.attrs.get("href")), None)
+    cards = _items(root, rule)
+    return title, content, date, nxt_href, [c[0] for c in cards], cards
 
 
 EXTRACTED = StructType([
@@ -258,6 +309,8 @@ EXTRACTED = StructType([
     StructField("site", StringType()), StructField("title", StringType()),
     StructField("content", StringType()), StructField("published_raw", StringType()),
     StructField("next_href", StringType()), StructField("item_hrefs", ArrayType(StringType())),
+    StructField("item_cards", ArrayType(StructType([
+        StructField("href", StringType()), StructField("title", StringType()), StructField("date", StringType())]))),
 ])
 
 
@@ -294,12 +347,6 @@ def extract_articles(pages: DataFrame, rules=None, site_col: str = "site") -> Da
     rule dicts; default ``SITE_RULES``). Pages without a rule are dropped.
     The rule is looked up from a map literal, so pages are never joined or
     shuffled for it."""
-    spark = pages.sparkSession
-    # raw pages are wide: cap Arrow batches so one batch stays small in the
-    # Python worker (a session setting, read when the job runs)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > MAX_PAGES_PER_BATCH:
-        spark.conf.set(key, str(MAX_PAGES_PER_BATCH))
     if rules is None:
         rules = [_full_rule(r) for r in SITE_RULES]
     elif not isinstance(rules, DataFrame):
@@ -339,6 +386,14 @@ def listing_links(pages: DataFrame, rules=None, site_col: str = "site") -> DataF
     return links.select(absolute_url("href", "url").alias("link")).dropDuplicates(["link"])
 
 
+def cut_cards(pages: DataFrame, rules=None, site_col: str = "site") -> DataFrame:
+    """P15, first half: ``(page_id, site, pos, link, title, date)`` for every
+    item of a listing page, cut by the site's item rule."""
+    ex = extract_articles(pages, rules, site_col)
+    cards = ex.select("page_id", "site", "url", F.posexplode("item_cards").alias("pos", "c"))
+    return cards.select("page_id", "site", "pos", absolute_url(F.col("c.href"), F.col("url")).alias("link"), "c.title", "c.date")
+
+
 def listing_cards(cards: DataFrame, key: str, seq: str, cols: list[str]) -> DataFrame:
     """Per ``key`` (an article URL or a host), the card fields seen
     last in ``seq`` order win. ``max_by`` aggregates map-side first."""
