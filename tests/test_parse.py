@@ -85,3 +85,25 @@ def test_cli_lists_queries(capsys):
     assert main(["list"]) == 0
     names = capsys.readouterr().out.split()
     assert "topk_words" in names and "word_top20" in names
+
+
+def test_required_fields_are_rejected_with_a_reason(spark):
+    from tidepool.operators.parse import reject_reason, reject_reason_v1
+    m = {"like_count": 0, "quote_count": 0, "reply_count": 0, "retweet_count": 0}
+    full = {"id": "1", "author_id": "a", "text": "t", "created_at": "2024-01-01T00:00:00.000Z", "public_metrics": m}
+    objs = [{"data": full}] + [{"data": {k: v for k, v in full.items() if k != gone}} for gone in full] + ["{broken"]
+    p = parse_tweet_v2(v2(spark, objs))
+    got = sorted(r[0] or "valid" for r in p.select(reject_reason(p)).collect())
+    assert got == sorted(["valid", "no id", "no author", "no text", "no time", "no metrics", "malformed"])
+    one = {"id_str": "1", "text": "t", "created_at": "Wed Jan 01 00:00:00 +0000 2020", "user": {"id_str": "u"}}
+    raw = v1(spark, [one] + [{k: v for k, v in one.items() if k != gone} for gone in one])
+    got = sorted(r[0] or "valid" for r in raw.select(reject_reason_v1(raw)).collect())
+    assert got == sorted(["valid", "no id", "no author", "no text", "no time"])
+
+
+def test_media_is_keyed_by_tweet_and_url(spark, tmp_path):
+    from tidepool.operators.parse import route_media
+    media = spark.createDataFrame([("1", "photo", "a"), ("1", "photo", "a"), ("1", "video", "b")], "tweet_id string, media_type string, media_url string")
+    route_media(media, f"{tmp_path}/m")
+    route_media(media, f"{tmp_path}/m")  # the same rows again
+    assert sorted(r["table"] for r in spark.read.parquet(f"{tmp_path}/m").collect()) == ["images", "videos"]

@@ -68,15 +68,23 @@ def test_id_files_and_daily_tsv(spark):
     assert v == [("clean", "1"), ("full", "1"), ("full", "2")]
 
 
-def test_spread_only_coarse_inputs(spark, tmp_path):
+def test_text_tables_are_spread_only_where_the_caller_asks(spark, tmp_path):
     from tidepool.plans.adapters import spread_coarse_input
-    one = str(tmp_path / "one")
-    many = str(tmp_path / "many")
-    spark.range(1000).coalesce(1).write.parquet(one)
-    spark.range(1000).repartition(64).write.parquet(many)
-    cores = spark.sparkContext.defaultParallelism
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/one")
 
-    def shuffles(df):
+    def shuffles():
+        df = spread_coarse_input(spark.read.parquet(f"{tmp_path}/one"))
         return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
-    assert shuffles(spread_coarse_input(spark.read.parquet(one))) == (1 if cores > 4 else 0)
-    assert shuffles(spread_coarse_input(spark.read.parquet(many))) == 0
+    assert shuffles() == 0
+    spark.conf.set("spark.tidepool.textPartitions", "6")
+    try:
+        assert shuffles() == 1
+    finally:
+        spark.conf.unset("spark.tidepool.textPartitions")
+
+
+def test_daily_tsv_columns_by_name(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("tweet_id\tdate\tlang\n1\t2020-03-01\ten\n2\t\tfr\n")
+    (tmp_path / "a_clean.tsv").write_text("lang\ttweet_id\nen\t1\n")
+    got = sorted((r.variant, r.tweet_id, r.lang, r.date) for r in read_daily_tsv(spark, str(tmp_path)).collect())
+    assert got == [("clean", "1", "en", None), ("full", "1", "en", "2020-03-01"), ("full", "2", "fr", None)]

@@ -96,3 +96,9 @@ def test_join_then_split_round_trips(spark, lists):
     df = spark.createDataFrame([(x,) for x in lists], "v array<string>")
     got = [r[0] for r in df.select(split_entities(join_list(F.col("v"), "#"), lower=False)).collect()]
     assert got == [["#" + t for t in x] for x in lists]
+
+
+def test_tokens_squeeze_blank_runs_first(spark):
+    got = spark.createDataFrame([("123  4567 123\t4567 end",)], "t string").select(tokens("t", []).alias("x")).first().x
+    one = spark.createDataFrame([("123 4567 123 4567 end",)], "t string").select(tokens("t", []).alias("x")).first().x
+    assert got == one

@@ -81,9 +81,8 @@ def clean_text(c) -> Column:
 
 
 def tokens(c, stopwords: list[str] | None = None, clean: bool = True) -> Column:
-    """Tokens of cleaned text with stopwords removed, as array<string>.
-    Blank runs do not change the tokens, so the squeeze step is skipped."""
-    text = _kept_text(c) if clean else as_col(c)
+    """Tokens of cleaned text with stopwords removed, as array<string>."""
+    text = clean_text(c) if clean else as_col(c)
     words = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 0)
     stop = STOPWORDS_EN if stopwords is None else stopwords
     if not stop:

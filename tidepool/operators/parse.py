@@ -75,11 +75,20 @@ def extract_media(df: DataFrame) -> DataFrame:
 
 def route_media(media: DataFrame, path: str, mode: str = "append") -> None:
     """one write, partitioned by target table (images/videos/gifs/
-    externals) instead of four filtered passes."""
+    externals) instead of four filtered passes. Rows are keyed by table,
+    ``tweet_id`` and ``media_url``: repeats, and on append keys already
+    stored, are left out."""
     table = F.lit(None).cast("string")
     for t, name in MEDIA_TABLES.items():
         table = F.when(F.col("media_type") == t, F.lit(name)).otherwise(table)
     out = media.withColumn("table", F.coalesce(table, F.lit("externals")))
+    out = out.dropDuplicates(["table", "tweet_id", "media_url"])
+    if mode == "append":
+        from tidepool.streaming.jobs import _exists
+        spark = media.sparkSession
+        if _exists(spark, path):
+            keys = ["table", "tweet_id", "media_url"]
+            out = out.join(spark.read.parquet(path).select(*keys), keys, "left_anti")
     out.write.mode(mode).partitionBy("table").parquet(path)
 
 
@@ -146,10 +155,33 @@ def reject_reason(parsed: DataFrame) -> Column:
     """Why a parsed v2 row is unusable, NULL when it is fine."""
     return (F.when(F.col("_corrupt_record").isNotNull(), "malformed")
             .when(F.col("tweet_id").isNull(), "no id")
+            .when(F.col("author_id").isNull(), "no author")
+            .when(F.col("text").isNull(), "no text")
+            .when(F.col("created_at").isNull(), "no time")
+            .when(F.col("like_count").isNull() | F.col("quote_count").isNull() | F.col("reply_count").isNull()
+                  | F.col("retweet_count").isNull(), "no metrics")
             .when((F.col("kind") == "retweet") & F.col("parent_tweet_author_id").isNull(),
                   "parent not included"))
 
 
+def reject_reason_v1(raw: DataFrame, extended: bool = False) -> Column:
+    """Why a v1.1 object lacks what P1 and P3 read, NULL when it is fine."""
+    text = "full_text" if extended else "text"
+    reason = (F.when(F.col("_corrupt_record").isNotNull(), "malformed")
+              .when(F.col("id_str").isNull(), "no id")
+              .when(F.col("user.id_str").isNull(), "no author")
+              .when(F.col(text).isNull(), "no text")
+              .when(F.col("created_at").isNull(), "no time"))
+    return reason.when(F.size("display_text_range") != 2, "no text range") if extended else reason
+
+
+def split_valid_v1(raw: DataFrame, extended: bool = False) -> tuple[DataFrame, DataFrame]:
+    """F10 for v1.1: (objects that P1 and P3 can read, rejects with a reason)."""
+    tagged = raw.withColumn("reject_reason", reject_reason_v1(raw, extended))
+    return (tagged.where(F.col("reject_reason").isNull()).drop("reject_reason"),
+            tagged.where(F.col("reject_reason").isNotNull()))
+
+
 def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejects with a reason)."""
     tagged = parsed.withColumn("reject_reason", reject_reason(parsed))

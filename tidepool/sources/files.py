@@ -70,12 +70,27 @@ def month_ids(spark: SparkSession, path: str, month: str) -> DataFrame:
 
 def read_daily_tsv(spark: SparkSession, path: str) -> DataFrame:
     """S3: daily TSVs with a header (at least ``tweet_id``, ``lang``); the
-    ``clean`` variant has ``_clean`` in its name or folder. ``.gz`` files
-    are read directly (one task per file)."""
-    t = (spark.read.option("sep", "\t").option("header", "true")
-         .option("recursiveFileLookup", "true").csv(path))
-    variant = F.when(F.col("_metadata.file_path").contains("_clean"), "clean").otherwise("full")
-    return t.withColumn("variant", variant)
+    ``clean`` variant has ``_clean`` in its name or folder. Each file is read
+    by its own header, whatever the order of its columns; a column that a
+    file lacks is NULL there. ``.gz`` files are read directly (one task per
+    file)."""
+    lines = (spark.read.option("recursiveFileLookup", "true").text(path)
+             .select("value", F.col("_metadata.file_path").alias("_file")).where("value <> ''"))
+    cells = F.split("value", "\t", -1)
+    header = F.array_contains(cells, "tweet_id") & F.array_contains(cells, "lang")
+    heads = lines.where(header).groupBy("_file").agg(F.min("value").alias("_head"))  # one row a file
+    kinds = [r["_head"] for r in heads.select("_head").distinct().collect()]  # one row a variant of the header
+    names = list(dict.fromkeys(c for h in kinds for c in h.split("\t")))
+    rows = lines.where(~header).join(heads, "_file")
+    cols = []
+    for name in names:
+        value = F.lit(None).cast("string")
+        for h in kinds:
+            if name in h.split("\t"):
+                value = F.when(F.col("_head") == h, F.nullif(F.get(cells, F.lit(h.split("\t").index(name))), F.lit(""))).otherwise(value)
+        cols.append(value.alias(name))
+    variant = F.when(F.col("_file").contains("_clean"), "clean").otherwise("full")
+    return rows.select(*cols, variant.alias("variant"))
 
 
 def write_daily_tsv(df: DataFrame, path: str, mode: str = "append") -> None:
