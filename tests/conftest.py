@@ -21,9 +21,7 @@ def spark():
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):  # tests only: set one where unset
-        d = tempfile.mkdtemp(prefix="tidepool-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidepool-test-ckpt-"))
     yield s
     s.stop()
 

@@ -27,18 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_coarse_input(df: DataFrame) -> DataFrame:
-    """Spread a text table over all cores when its input is too coarse to
-    do so by itself (fewer files than cores, e.g. one file with one row
-    group). A large table arrives as many files and is left alone: no
-    shuffle of the text at scale."""
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, leave as read
-        return df
-    if len(df.inputFiles()) * 4 < cores:
-        return df.repartition(cores)
-    return df
+    """As read, unless the caller sets ``spark.tidepool.textPartitions``
+    (the bench does: its small tables are one file each)."""
+    n = df.sparkSession.conf.get("spark.tidepool.textPartitions", None)
+    return df.repartition(int(n)) if n else df
 
 
 def tweets(spark, sf_dir, urls: bool = True) -> DataFrame:
@@ -55,7 +47,7 @@ def tweets(spark, sf_dir, urls: bool = True) -> DataFrame:
         "doc_id",
         i.cast("string").alias("tweet_id"),
         (i % 97).cast("string").alias("author_id"),
-        F.expr(f"timestampadd(MINUTE, cast(doc_id * 20 as int), {TS0})").alias("created_at"),
+        F.expr(f"{TS0} + doc_id * INTERVAL '20' MINUTE").alias("created_at"),
         "text", "lang", "source",
         F.concat_ws(",", F.when(i % 3 == 0, F.lit("#Covid19")),
                     F.when(i % 4 == 0, F.lit("#2020Election")),

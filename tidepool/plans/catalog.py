@@ -138,9 +138,9 @@ def q_take_while_sorted(spark, sf):
 @query("take_while_sorted_spread")
 def q_take_while_sorted_spread(spark, sf):
     """F12 through its hot-part path (range-partitioned ordered scan),
-    forced with ``hot_rows=0``: must equal the window path."""
+    over more slices than the session's partitions."""
     o = ad.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return pr.take_while_sorted(o, "o_custkey", "o_orderkey", "o_orderdate", hot_rows=0).select("o_orderkey")
+    return pr.take_while_sorted(o, "o_custkey", "o_orderkey", "o_orderdate", num_partitions=13).select("o_orderkey")
 
 
 # --- ID sets ----------------------------------------------------------------
@@ -296,7 +296,7 @@ def q_date_normalize(spark, sf):
 @query("missing_days")
 def q_missing_days(spark, sf):
     from tidepool.sources.calendar import missing_days
-    e = ad.table(spark, sf, "events").where("event_type = 'purchase' AND value > 250")
+    e = ad.table(spark, sf, "events")
     have = e.select(F.to_date("ts").alias("day"))
     return missing_days(have, MISSING_MONTH).select(F.date_format("day", "yyyy-MM-dd").alias("day"))
 
@@ -591,7 +591,7 @@ def q_stream_daily_closed(spark, sf):
     out, ck = scratch_path(spark, "daily_closed"), scratch_path(spark, "daily_closed_ckpt")
     ev = _event_stream(spark, sf).withColumn("ts", ntz_as_utc("ts"))
     _run(daily_counts(ev, "ts", out, ck, watermark="1 day"))
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select("day", "n")
 
 
 @query("stream_late_arrivals")
@@ -617,12 +617,12 @@ def q_stream_late_arrivals(spark, sf):
 @query("stream_update")
 def q_stream_update(spark, sf):
     from tidepool.session import scratch_path
-    from tidepool.streaming.jobs import latest_version, stream_update
+    from tidepool.streaming.jobs import current_table, stream_update
     base, ck = scratch_path(spark, "balances"), scratch_path(spark, "balances_ckpt")
     ad.base_balances(spark, sf).write.mode("overwrite").parquet(f"{base}/v=00000000")
     upd = _event_stream(spark, sf).select(F.col("user_id").alias("key"), "value", "ts", "event_id")
     _run(stream_update(upd, base, "key", ["value"], ["ts", "event_id"], ck))
-    return spark.read.parquet(latest_version(spark, base))
+    return current_table(spark, base, "key")
 
 
 

