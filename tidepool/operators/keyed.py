@@ -31,9 +31,10 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 
 def append_new(batch: DataFrame, existing: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """K1: rows of ``batch`` to append - first per key within the batch,
-    and only keys not already stored (insert-or-ignore, no loss)."""
-    first = first_per_key(batch, keys, order)
-    return first.join(existing.select(*keys), keys, "left_anti")
+    and only keys not already stored (insert-or-ignore, no loss). Stored keys
+    go first, so the wide aggregation only sees new rows."""
+    fresh = batch.join(existing.select(*keys), keys, "left_anti")
+    return first_per_key(fresh.select(*batch.columns), keys, order)
 
 
 def new_by_key(batch: DataFrame, existing: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ local runs (tests, bench) and resolves where lineage may be cut.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -70,8 +71,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for a written table."""
+    """A fresh path under the shared checkpoint folder for a written table;
+    removed when the driver's Python ends, or by ``purge_scratch``."""
     base = checkpoint_dir(spark)
-    token = os.urandom(6).hex()
-    return f"{base.rstrip('/')}/tidepool/{name}-{token}"
+    path = f"{base.rstrip('/')}/tidepool/{name}-{os.urandom(6).hex()}"
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the session's file systems, if it is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def purge_scratch() -> None:
+    """Remove the scratch tables written so far; call when no result that
+    reads them is used any more."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        try:
+            delete_path(spark, path)
+        except Exception:  # noqa: BLE001 - the session may be gone at exit
+            return
+
+
+atexit.register(purge_scratch)
