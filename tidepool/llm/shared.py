@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -16,8 +15,6 @@ from tidepool.session import scratch_path
 # beyond it the same join is shuffled.
 BROADCAST_ROWS = 2_000_000
 
-_WRITTEN: list[tuple[SparkSession, str]] = []
-
 
 def session(df: DataFrame) -> SparkSession:
     return df.sparkSession
@@ -29,34 +26,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = session(df)
     path = scratch_path(spark, f"llm/{name}")
     df.write.parquet(path)
-    _WRITTEN.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def remember(spark: SparkSession, path: str) -> None:
-    """Have ``purge`` remove this folder too."""
-    _WRITTEN.append((spark, path))
-
-
-def purge() -> None:
-    """Remove the folders written so far; call when no result of this
-    package is read any more. Also called when the driver's Python ends."""
-    while _WRITTEN:
-        spark, path = _WRITTEN.pop()
-        try:
-            delete_path(spark, path)
-        except Exception:  # noqa: BLE001 - the session may be gone at exit
-            return
-
-
-atexit.register(purge)
-
-
 def semi_join(df: DataFrame, key: str, ids: DataFrame, n_ids: int, extra: bool = False) -> DataFrame:
     """Rows of ``df`` whose ``key`` is in ``ids`` (columns ``key`` and, with
     ``extra``, others to attach; keys unique). ``n_ids`` is the counted size of

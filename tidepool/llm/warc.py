@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm.shared import pick, written
-from tidepool.session import scratch_path
+from tidepool.session import delete_path, scratch_path
 
 ROLL_BYTES = 256 << 20  # of uncompressed records in one archive
 LEVEL = 6
@@ -245,12 +245,10 @@ def archive_pages(pages: DataFrame, folder: str | None = None, id_col: str = "pa
                   html_col: str = "html", min_bytes: int = 0, level: int = LEVEL) -> tuple[DataFrame, str]:
     """Write all pages as normalised archives with sidecar indexes; gives the
     index and the folder (by default below the shared checkpoint folder)."""
-    from tidepool.llm.shared import delete_path, remember
     spark = pages.sparkSession
     mono = scratch_path(spark, "llm/warc-streams")
     if folder is None:
         folder = scratch_path(spark, "llm/warc")
-        remember(spark, folder)
     make_folder(spark, mono)
     make_folder(spark, folder)
     base = pick(pages, {"page_id": id_col, "url": url_col, "html": html_col}).withColumn("page_id", F.col("page_id").cast("long"))
