@@ -49,20 +49,12 @@ def _ts(c):
     return F.date_format(F.col(c), TS_FMT)
 
 
-_LANDINGS: dict = {}
-
-
 def _landing(spark, name: str, sf: str, write) -> str:
-    """Input files a check reads (JSON lines, ID lists, TSVs) are landed once
-    per scale factor and session folder, then only read: the operators under
-    test run in full every time, the test setup does not repeat."""
+    """Input files a check reads (JSON lines, ID lists, TSVs), landed anew
+    from the given tables by every run."""
     from tidepool.session import scratch_path
-    key = (name, sf.rstrip("/"), spark.conf.get("spark.checkpoint.dir", ""))
-    path = _LANDINGS.get(key)
-    if path is None:
-        path = scratch_path(spark, name)
-        write(path)
-        _LANDINGS[key] = path
+    path = scratch_path(spark, name)
+    write(path)
     return path
 
 

@@ -7,10 +7,17 @@ expressions of ``tidepool.plans.adapters``.
 
 from __future__ import annotations
 
-from tidepool.functions.text import CLEAN_PATTERN as CLEAN_RE
-from tidepool.functions.text import STOPWORDS_EN, TOKEN_PATTERN
+from tidepool.functions.text import STOPWORDS_EN
 from tidepool.plans import catalog as cat
 
+# Stated here on their own, as RE2 reads them. Removed from texts: all but
+# ASCII letters, digits, spaces and tabs, and words followed by "://" and
+# text up to white space (Unicode) or a separator control.
+CLEAN_RE = (r"([^0-9A-Za-z \t])|([\p{L}\p{N}_]+://[^\s\x0B\x1C-\x1F\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
+            r"\x{202F}\x{205F}\x{3000}]+)")
+# Tokens: a phone number, a letter-eight sign, three letters or more, or a run.
+TOKEN_PATTERN = r"(?:[01] *)?(?:[0-9]{3} *)?[0-9]{3} *[0-9]{4}|8o?[dp]|[dp]o?8|[a-z]{3,}|[0-9a-z]+"
+
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
