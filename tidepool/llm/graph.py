@@ -26,10 +26,11 @@ def components(edges: DataFrame, src: str, dst: str) -> DataFrame:
     e = written(e, "edges")
     have = _state(e)
     while have[0]:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = (both.join(low, "u").where(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        down = e.select(F.col("v").alias("u"), F.col("u").alias("v"))
+        # written, so that AQE can split the rows of a node with many
+        # neighbours when they are joined with its one row here
+        low = written(e.unionByName(down).groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "lowest")
+        large = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").where(F.col("v") != F.col("m"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")))
