@@ -147,12 +147,24 @@ def article_pages(spark, sf_dir) -> DataFrame:
 def articles_in(spark, sf_dir) -> DataFrame:
     """A scraped batch: every page from the site listings, plus the pages
     that conversations link to, scraped again from a second listing under
-    a new row number (duplicate URLs inside the batch)."""
+    a new row number (duplicate URLs inside the batch). The publish date is
+    raw text whose shape goes with ``row % 7``: ISO day, ISO time, long and
+    short month names, one named site's decorated form, none, and a text
+    without a date (rejected by the load)."""
     a = article_pages(spark, sf_dir)
     linked = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("page_id")).distinct()
     again = a.join(linked, "page_id", "left_semi").withColumn("page_id", F.col("page_id") + 1000000)
-    return a.unionByName(again).withColumnRenamed("page_id", "row") \
-        .withColumn("publishedAt", F.lit(None).cast("string"))
+    both = a.unionByName(again).withColumnRenamed("page_id", "row")
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("row") % 1000).cast("int"))
+    shape = F.col("row") % 7
+    raw = (F.when(shape == 0, F.date_format(day, "yyyy-MM-dd"))
+           .when(shape == 1, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T08:30:00-05:00")))
+           .when(shape == 2, F.date_format(day, "MMMM d, yyyy"))
+           .when(shape == 3, F.date_format(day, "MMM d, yyyy"))
+           .when(shape == 4, F.concat(F.date_format(day, "EEE, MM/dd/yyyy"), F.lit(" - 17:48")))
+           .when(shape == 6, F.lit("3 hours ago")))
+    return both.withColumn("source", F.when(shape == 4, "ZeroHedge").otherwise(F.col("source"))) \
+        .withColumn("publishedAt", raw)
 
 
 def articles_existing(spark, sf_dir) -> DataFrame:

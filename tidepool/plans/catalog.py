@@ -239,6 +239,13 @@ def q_load_articles(spark, sf):
     return new
 
 
+@query("load_rejects")
+def q_load_rejects(spark, sf):
+    from tidepool.operators.articles import load_articles
+    _, rejects = load_articles(ad.articles_in(spark, sf), ad.articles_existing(spark, sf))
+    return rejects.select(F.col("row").alias("listing_row"), "source", "url", "publishedAt")
+
+
 @query("load_report")
 def q_load_report(spark, sf):
     from tidepool.operators.articles import report

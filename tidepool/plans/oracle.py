@@ -7,7 +7,6 @@ expressions of ``tidepool.plans.adapters``.
 
 from __future__ import annotations
 
-from tidepool.functions.text import STOPWORDS_EN
 from tidepool.plans import catalog as cat
 
 # Stated here on their own, as RE2 reads them. Removed from texts: all but
@@ -23,7 +22,32 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-STOP_LIST = "[" + ", ".join(_q(w) for w in STOPWORDS_EN) + "]"
+# The English stopwords, stated here apart from the code under test.
+STOPWORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you",
+    "you're", "you've", "you'll", "you'd", "your", "yours", "yourself",
+    "yourselves", "he", "him", "his", "himself", "she", "she's", "her",
+    "hers", "herself", "it", "it's", "its", "itself", "they", "them",
+    "their", "theirs", "themselves", "what", "which", "who", "whom", "this",
+    "that", "that'll", "these", "those", "am", "is", "are", "was", "were",
+    "be", "been", "being", "have", "has", "had", "having", "do", "does",
+    "did", "doing", "a", "an", "the", "and", "but", "if", "or", "because",
+    "as", "until", "while", "of", "at", "by", "for", "with", "about",
+    "against", "between", "into", "through", "during", "before", "after",
+    "above", "below", "to", "from", "up", "down", "in", "out", "on", "off",
+    "over", "under", "again", "further", "then", "once", "here", "there",
+    "when", "where", "why", "how", "all", "any", "both", "each", "few",
+    "more", "most", "other", "some", "such", "no", "nor", "not", "only",
+    "own", "same", "so", "than", "too", "very", "s", "t", "can", "will",
+    "just", "don", "don't", "should", "should've", "now", "d", "ll", "m",
+    "o", "re", "ve", "y", "ain", "aren", "aren't", "couldn", "couldn't",
+    "didn", "didn't", "doesn", "doesn't", "hadn", "hadn't", "hasn",
+    "hasn't", "haven", "haven't", "isn", "isn't", "ma", "mightn",
+    "mightn't", "mustn", "mustn't", "needn", "needn't", "shan", "shan't",
+    "shouldn", "shouldn't", "wasn", "wasn't", "weren", "weren't", "won",
+    "won't", "wouldn", "wouldn't",
+]
+STOP_LIST = "[" + ", ".join(_q(w) for w in STOPWORDS) + "]"
 
 
 def clean_sql(x: str) -> str:
@@ -132,16 +156,41 @@ ARTICLE_PAGES = f"""article_pages AS (
          array_to_string({paragraphs_sql(inner_sql('html', 'article'))}, chr(10)) AS content
   FROM pages)"""
 
+def published_sql(raw: str, source: str) -> str:
+    """The ``YYYY-MM-DD`` day of a raw publish date, or NULL."""
+    s = f"""(CASE {source} WHEN 'WND' THEN split_part({raw}, ' at', 1)
+                     WHEN 'WorldHealth' THEN array_to_string(string_split({raw}, ',')[1:2], ',')
+                     WHEN 'ZeroHedge' THEN split_part(split_part({raw}, ', ', 2), ' -', 1)
+                     ELSE {raw} END)"""
+    return f"""CASE WHEN coalesce({raw}, '') = '' THEN NULL ELSE strftime(coalesce(
+         CAST(try_strptime({s}, '%Y-%m-%d') AS DATE),
+         CAST(try_strptime(nullif(regexp_extract({s}, '^(\\d{{4}}-\\d{{1,2}}-\\d{{1,2}})T\\d{{1,2}}:\\d{{1,2}}:\\d{{1,2}}(Z|[+-]\\d{{2}}:?\\d{{2}})$', 1), ''), '%Y-%m-%d') AS DATE),
+         CAST(try_strptime({s}, '%B %d, %Y') AS DATE),
+         CAST(try_strptime({s}, '%b %d, %Y') AS DATE),
+         CAST(try_strptime({s}, '%m/%d/%Y') AS DATE)), '%Y-%m-%d') END"""
+
+
 ARTICLES = f"""{ARTICLE_PAGES},
-ai AS (SELECT page_id AS "row", url, source, title, content FROM article_pages
+scraped AS (SELECT page_id AS "row", url, source, title, content FROM article_pages
        UNION ALL
        SELECT page_id + 1000000, url, source, title, content FROM article_pages
        WHERE page_id IN (SELECT conv_id FROM conversations)),
+dated AS (SELECT *, DATE '2020-01-01' + CAST("row" % 1000 AS INTEGER) AS day FROM scraped),
+ai AS (SELECT "row", url, CASE WHEN "row" % 7 = 4 THEN 'ZeroHedge' ELSE source END AS source, title, content,
+              CASE "row" % 7 WHEN 0 THEN strftime(day, '%Y-%m-%d')
+                             WHEN 1 THEN strftime(day, '%Y-%m-%d') || 'T08:30:00-05:00'
+                             WHEN 2 THEN strftime(day, '%B %-d, %Y')
+                             WHEN 3 THEN strftime(day, '%b %-d, %Y')
+                             WHEN 4 THEN strftime(day, '%a, %m/%d/%Y') || ' - 17:48'
+                             WHEN 6 THEN '3 hours ago' END AS raw_date
+       FROM dated),
+parsed AS (SELECT *, {published_sql('raw_date', 'source')} AS published FROM ai),
 ex AS (SELECT * FROM article_pages WHERE page_id IN (SELECT doc_id FROM labels)),
-firsts AS (SELECT * FROM ai QUALIFY row_number() OVER (PARTITION BY url ORDER BY source, "row") = 1),
+firsts AS (SELECT * FROM parsed WHERE raw_date IS NULL OR published IS NOT NULL
+           QUALIFY row_number() OVER (PARTITION BY url ORDER BY source, "row") = 1),
 new AS (SELECT * FROM firsts WHERE url NOT IN (SELECT url FROM ex)),
 ided AS (SELECT (SELECT count(*) FROM ex) + row_number() OVER (ORDER BY source, "row") - 1 AS article_id,
-                title, source, content, CAST(NULL AS VARCHAR) AS publishedAt, url
+                title, source, content, published AS "publishedAt", url
          FROM new)"""
 
 
@@ -160,23 +209,6 @@ def _raw_dates() -> str:
             f"CASE o_orderkey % 7 {txt} END AS raw_date FROM orders)")
 
 
-DATE_SQL = """trimmed AS (
-  SELECT o_orderkey, raw_date,
-         CASE source WHEN 'WND' THEN split_part(raw_date, ' at', 1)
-                     WHEN 'WorldHealth' THEN array_to_string(string_split(raw_date, ',')[1:2], ',')
-                     WHEN 'ZeroHedge' THEN split_part(split_part(raw_date, ', ', 2), ' -', 1)
-                     ELSE raw_date END AS s
-  FROM raw)
-SELECT o_orderkey,
-       CASE WHEN coalesce(raw_date, '') = '' THEN NULL ELSE strftime(coalesce(
-         CAST(try_strptime(s, '%Y-%m-%d') AS DATE),
-         CAST(try_strptime(nullif(regexp_extract(s, '^(\\d{4}-\\d{1,2}-\\d{1,2})T\\d{1,2}:\\d{1,2}:\\d{1,2}(Z|[+-]\\d{2}:?\\d{2})$', 1), ''), '%Y-%m-%d') AS DATE),
-         CAST(try_strptime(s, '%B %d, %Y') AS DATE),
-         CAST(try_strptime(s, '%b %d, %Y') AS DATE),
-         CAST(try_strptime(s, '%m/%d/%Y') AS DATE)), '%Y-%m-%d') END AS published
-FROM trimmed"""
-
-
 def _rules_sql() -> str:
     tags = split_sql("hashtags_str")
     urls = split_sql("expanded_urls", lower=False)
@@ -241,6 +273,9 @@ ORACLE: dict[str, str] = {
         FROM customer c LEFT JOIN latest l ON l.user_id = c.c_custkey""",
     "load_articles": f"""WITH {ARTICLES}
         SELECT article_id, title, source, content, publishedAt, url, 'unknown' AS label FROM ided""",
+    "load_rejects": f"""WITH {ARTICLES}
+        SELECT "row" AS listing_row, source, url, raw_date AS "publishedAt" FROM parsed
+        WHERE raw_date IS NOT NULL AND published IS NULL""",
     "load_report": f"""WITH {ARTICLES}
         SELECT source, count(*) AS n FROM ided GROUP BY source
         UNION ALL SELECT '<before>', count(*) FROM ex
@@ -252,7 +287,7 @@ ORACLE: dict[str, str] = {
           SELECT event_id, (row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) - 1)
                  // {cat.PAGE_SIZE} AS page FROM events)
         WHERE page * {cat.PAGE_SIZE} < {cat.CAP_PER_DAY}""",
-    "date_normalize": f"WITH {_raw_dates()}, {DATE_SQL}",
+    "date_normalize": f"WITH {_raw_dates()} SELECT o_orderkey, {published_sql('raw_date', 'source')} AS published FROM raw",
     "missing_days": f"""WITH days AS (
           SELECT CAST(unnest(generate_series(DATE '{cat.MISSING_MONTH}-01',
                  CAST(last_day(DATE '{cat.MISSING_MONTH}-01') AS DATE), INTERVAL 1 DAY)) AS DATE) AS day)
@@ -367,7 +402,7 @@ ORACLE.update({
 })
 
 ORACLE.update({
-    "articles_roundtrip": f"""WITH {ARTICLES} SELECT source, title, content, CAST(NULL AS VARCHAR) AS publishedAt, url
+    "articles_roundtrip": f"""WITH {ARTICLES} SELECT source, title, content, raw_date AS publishedAt, url
         FROM ai""",
     "id_files_month": f"WITH {TWEETS} SELECT strftime(created_at, '%Y-%m') AS month, tweet_id FROM tweets",
     "month_union": f"WITH {TWEETS} SELECT tweet_id FROM tweets WHERE strftime(created_at, '%Y-%m') = '2024-01'",
