@@ -17,12 +17,14 @@ from tidepool.functions.text import split_entities, tokens
 from tidepool.functions.urls import site_of
 from tidepool.operators.skew import DEFAULT_HOT_ROWS, DEFAULT_MAX_HOT, lookup_join
 from tidepool.operators.stats import top_n
-from tidepool.session import checkpoint_dir
+from tidepool.session import checkpoint_dir, scratch_path
 
 # kinds of a node id in the forest
 _REGULAR, _PASS, _MISSING = 0, 1, 2
 # the ingest closure folds its per-round parts into one table this often
 COMPACT_EVERY = 16
+# (id, phase) rows of a frontier that may be broadcast (some 50 MB)
+FRONTIER_ROWS = 500_000
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -75,34 +77,44 @@ def resolve_roots(retweets: DataFrame, regular: DataFrame, hot_rows: int = DEFAU
     # after checking its size) while the many leaf rows are only probed.
     inner = first.where(F.col("ptr_kind") == _PASS).select(F.col("ptr").alias("node")).distinct() \
         .withColumn("inner", F.lit(True))
-    state = cut_lineage(first.join(inner, "node", "left").select(
-        "node", "ptr", "ptr_kind", F.coalesce("inner", F.lit(False)).alias("inner")))
-
-    # Finished rows are written once (in the round that finishes them) and
-    # then only read; each round rewrites just the rows still open.
-    finished = [state.where(F.col("ptr_kind") != _PASS)]
-    open_rows = state.where(F.col("ptr_kind") == _PASS)
-    open_prev = None
-    while True:
-        n_open = open_rows.count()
-        if n_open == 0 or (open_prev is not None and n_open >= open_prev):
-            break
-        open_prev = n_open
+    state = first.join(inner, "node", "left").select(
+        "node", "ptr", "ptr_kind", F.coalesce("inner", F.lit(False)).alias("inner"))
+    # written in two parts, so that the rounds scan the inner nodes alone
+    path = scratch_path(state.sparkSession, "roots")
+    state.write.partitionBy("inner").parquet(path)
+    state = state.sparkSession.read.schema(state.schema).parquet(path)
+    is_open, is_inner = F.col("ptr_kind") == _PASS, F.col("inner")
+    n_open, n_leaves = state.agg(F.count_if(is_inner & is_open), F.count_if(~is_inner & is_open)).first()
+
+    # A finished node is written once, in the round that finishes it.
+    nodes = state.where(is_inner).select("node", "ptr", "ptr_kind")
+    finished, open_rows, open_prev = [nodes.where(~is_open)], nodes.where(is_open), None
+    while n_open and (open_prev is None or n_open < open_prev):
         # an open ptr is an inner node (nodes are unique); that node's
         # current ptr is the jump
-        hop = reduce(DataFrame.unionByName, finished + [open_rows]).where("inner").select(
-            F.col("node").alias("_hn"), F.col("ptr").alias("_hp"), F.col("ptr_kind").alias("_hk"))
-        moved = cut_lineage(lookup_join(open_rows, "ptr", hop, "_hn", how="inner", hot_rows=hot_rows,
-                                        probe_rows=n_open).select(
-            "node", F.col("_hp").alias("ptr"), F.col("_hk").alias("ptr_kind"), "inner"))
-        finished.append(moved.where(F.col("ptr_kind") != _PASS))
-        open_rows = moved.where(F.col("ptr_kind") == _PASS)
-
-    done = reduce(DataFrame.unionByName, finished)
+        moved = cut_lineage(lookup_join(open_rows, "ptr", _hops(finished + [open_rows]), "_hn", how="inner",
+                                        hot_rows=hot_rows, probe_rows=n_open)
+                            .select("node", F.col("_hp").alias("ptr"), F.col("_hk").alias("ptr_kind")))
+        finished.append(moved.where(~is_open))
+        open_rows = moved.where(is_open)
+        open_prev, n_open = n_open, open_rows.count()
+
+    # the leaves whose parent is an inner node: one probe of where it ended
+    leaves = lookup_join(state.where(~is_inner & is_open), "ptr", _hops(finished), "_hn", how="inner",
+                         hot_rows=hot_rows, probe_rows=n_leaves)
+    done = reduce(DataFrame.unionByName, [
+        state.where(~is_inner & ~is_open).select("node", "ptr", "ptr_kind"), *finished,
+        leaves.select("node", F.col("_hp").alias("ptr"), F.col("_hk").alias("ptr_kind"))])
     return done.where(F.col("ptr_kind") == _REGULAR).select(
         F.col("node").alias("tweet_id"), F.col("ptr").alias("root_id"))
 
 
+def _hops(parts: list[DataFrame]) -> DataFrame:
+    """Where each node's pointer now stands, as a lookup side."""
+    return reduce(DataFrame.unionByName, parts).select(
+        F.col("node").alias("_hn"), F.col("ptr").alias("_hp"), F.col("ptr_kind").alias("_hk"))
+
+
 def retweets_per_root(roots: DataFrame) -> DataFrame:
     """Collected retweets per root (partial counts before the shuffle)."""
     return roots.groupBy("root_id").agg(F.count(F.lit(1)).alias("n_retweets"))
@@ -196,13 +208,10 @@ def bot_share(roots: DataFrame, retweets: DataFrame, scores: DataFrame, k: int =
 
 def prepare_archive(archive: DataFrame) -> DataFrame:
     """The walk's view of an archive ``(tweet_id, parent_tweet_id, kind)``:
-    hash-partitioned by id and checkpointed once. The checkpoint keeps that
-    partitioning, so every later join on the id shuffles only the other
-    (small, deduplicated) side. Prepare once, reuse across rounds and
-    micro-batches."""
-    n = int(archive.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    its narrow edges, checkpointed once. Prepare once, reuse across rounds
+    and micro-batches."""
     return cut_lineage(archive.select(F.col("tweet_id").alias("_aid"), F.col("parent_tweet_id").alias("_par"),
-                                      F.col("kind").alias("_kind")).repartition(n, "_aid"))
+                                      F.col("kind").alias("_kind")))
 
 
 def ingest_closure(seeds: DataFrame, archive: DataFrame) -> DataFrame:
@@ -215,7 +224,9 @@ def ingest_closure(seeds: DataFrame, archive: DataFrame) -> DataFrame:
 
     Breadth-first over a deduplicated frontier of ``(id, phase)``: every
     round joins the frontier with the archive (unique ids on both sides,
-    so no hot key) and drops pairs seen before. Returns distinct
+    so no hot key) and drops pairs seen before. A frontier counted at no more
+    than ``FRONTIER_ROWS`` rows is broadcast, so that the archive stays where
+    it is; a larger one is joined by a shuffle. Returns distinct
     ``(tweet_id, saved_to)`` with ``saved_to`` in {retweets, regular}.
     """
     arch = archive if "_aid" in archive.columns else prepare_archive(archive)
@@ -224,8 +235,9 @@ def ingest_closure(seeds: DataFrame, archive: DataFrame) -> DataFrame:
     saved_parts = []
     # every (id, phase) pair enters the frontier at most once, so the walk
     # ends after the longest chain, however long
-    while not frontier.isEmpty():
-        hit = frontier.join(arch, frontier.fid == arch._aid, "inner")
+    while n_front := frontier.count():
+        near = F.broadcast(frontier) if n_front <= FRONTIER_ROWS else frontier
+        hit = arch.join(near, F.col("fid") == F.col("_aid"), "inner")
         ph, kd = F.col("phase"), F.col("_kind")
         out = hit.select(
             F.col("fid").alias("tweet_id"),
