@@ -105,6 +105,26 @@ def test_templates_generalise_merge_and_reject(spark):
     assert {got[i]["verdict"] for i in range(0, 300, 3)} == {"allow"}
 
 
+def test_supported_sections_of_a_wide_host_stay(spark):
+    # 100 equal sections, each 1 % of the host: at the first level and at the fifth
+    for top in ("", "/a/b/c/d"):
+        rows = [(i, f"https://wide.example.com{top}/s{i % 100:02d}/{10_000 + i}.html") for i in range(2000)]
+        pages = spark.createDataFrame(rows, "page_id long, url string")
+        lab = spark.createDataFrame([(i, int(i % 100 == 42)) for i in range(2000)], "key long, bad int")
+        got = {r["page_id"]: r for r in filter_urls(pages, lab, {}).collect()}
+        assert len(got) == 2000
+        assert {i % 100 for i in got if got[i]["verdict"] == "block"} == {42}, top
+        assert sum(r["verdict"] == "block" for r in got.values()) == 20
+        assert got[42]["template"] == f"wide.example.com{top}/s42/*"
+    # a level of identifiers above the sections, and sections without support
+    rows = [(i, f"https://deep.example.com/a/b/c/{i}/{('good', 'fine', 'spam')[i % 3]}/{i}/z") for i in range(60)]
+    rows += [(100 + i, f"https://deep.example.com/a/b/c/{i}/few{i}") for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    lab = spark.createDataFrame([(i, int(i % 3 == 2)) for i in range(60)], "key long, bad int")
+    got = {r["page_id"]: r for r in filter_urls(pages, lab, {}).collect()}
+    assert len(got) == 80 and {i for i in got if got[i]["verdict"] == "block"} == set(range(2, 60, 3))
+
+
 def test_templates_match_sql(spark):
     pages, lab = site(spark)
     more = spark.createDataFrame([(1000 + i, u) for i, u in enumerate(URLS)] + [(7, "http://dup/x")] * 3, "page_id long, url string")

@@ -2,10 +2,12 @@
 only].
 
 Level by level below each host, a path segment stays literal if it holds a
-fair share of its parent's pages; all other values of that level become
-``*``. So identifiers turn into wildcards and sections stay. A node has at
-most 1 / ``SHARE`` literal children, which bounds the tree of a host. Then,
-from the deepest level up, literal branches whose rate of bad labels does not
+fair share of its parent's pages, or, whatever its share, ``SUPPORT`` labelled
+pages: as many as can be judged on their own. All other values of that level
+become ``*``. So identifiers turn into wildcards and sections stay, also the
+many small ones of a large host. Below level ``LEVELS`` a node is split
+further, by support alone, while its deeper pages have support; what is left
+is ``**``. Then, from the deepest level up, literal branches whose rate of bad labels does not
 differ from their siblings' (two-proportion test) are merged into ``*``.
 A template is blocked if its smoothed share of bad labels,
 (bad + WEIGHT * overall share) / (labelled + WEIGHT), reaches ``LIMIT``.
@@ -29,10 +31,11 @@ from pyspark.sql import functions as F
 
 from tidepool.llm.shared import pick, written
 
-LEVELS = 3  # deeper segments are one '**'
+LEVELS = 3  # deeper segments are split only where labels support it
 SHARE, LEAST = 0.05, 3  # a literal child holds this share, and rows, of its parent
 CHI2 = 3.841  # two-proportion test at 5 %
 WEIGHT, LIMIT = 10.0, 0.5
+SUPPORT = 10  # or this many labelled pages, which weigh as much as the overall share does
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -58,42 +61,77 @@ def rule_of(host: Column, path: Column, rules: dict[str, str]) -> Column:
     return out
 
 
+def _levels(n: int, stem: str = "t") -> list[str]:
+    return [f"{stem}{i}" for i in range(1, n + 1)]
+
+
+def _segments(path: str = "path") -> Column:
+    return F.filter(F.split(path, "/"), lambda x: x != "")
+
+
 def _literals(pages: DataFrame, level: int) -> DataFrame:
     """(host, t1 .. t(level-1), s_level) of the segments that stay."""
-    parent = ["host", *[f"t{i}" for i in range(1, level)]]
+    parent = ["host", *_levels(level - 1)]
     seg = f"s{level}"
-    values = pages.groupBy(*parent, seg).agg(F.count("*").alias("_n"))
+    values = pages.groupBy(*parent, seg).agg(F.count("*").alias("_n"), F.count("bad").alias("_labelled"))
     total = values.groupBy(*parent).agg(F.sum("_n").alias("_all"))
     return (values.where((F.col("_n") >= LEAST) & (F.col(seg) != "")).join(total, parent)
-            .where(F.col("_n") >= F.col("_all") * SHARE).select(*parent, seg, F.lit(True).alias("_lit")))
+            .where((F.col("_n") >= F.col("_all") * SHARE) | (F.col("_labelled") >= SUPPORT))
+            .select(*parent, seg, F.lit(True).alias("_lit")))
 
 
 def templated(pages: DataFrame) -> DataFrame:
-    """``pages`` (host, path) with t1 .. t3 (a segment, '*' or '' if none)
-    and ``deep`` (more segments follow)."""
-    segs = F.filter(F.split("path", "/"), lambda x: x != "")
-    out = pages.withColumn("_segs", segs)
+    """``pages`` (host, path, bad or null) with t1 .. t3 (a segment, '*' or ''
+    if none) and ``deep`` (more segments follow)."""
+    out = pages.withColumn("_segs", _segments())
     for i in range(1, LEVELS + 1):
         out = out.withColumn(f"s{i}", F.coalesce(F.get("_segs", F.lit(i - 1)), F.lit("")))
     out = out.withColumn("deep", F.size("_segs") > LEVELS).drop("_segs")
     for i in range(1, LEVELS + 1):
-        keys = ["host", *[f"t{j}" for j in range(1, i)], f"s{i}"]
+        keys = ["host", *_levels(i - 1), f"s{i}"]
         out = (out.join(_literals(out, i), keys, "left")
                .withColumn(f"t{i}", F.when(F.col(f"s{i}") == "", "").when(F.col("_lit"), F.col(f"s{i}")).otherwise("*"))
                .drop("_lit"))
-    return out.drop(*[f"s{i}" for i in range(1, LEVELS + 1)])
-
-
-def merged_templates(counts: DataFrame) -> DataFrame:
+    return out.drop(*_levels(LEVELS, "s"))
+
+
+def deeper(spots: DataFrame) -> tuple[DataFrame, int]:
+    """``spots`` with t4, t5, ... as deep as any node's deeper pages hold
+    ``SUPPORT`` labels, and the number of levels. A round writes only the pages
+    of such nodes; ``deep`` stays where segments below the last level remain."""
+    rest, level, parts = spots, LEVELS, []
+    while True:
+        node = ["host", *_levels(level)]
+        split = written(rest.where("deep").groupBy(*node).agg(F.count("bad").alias("_n")).where(F.col("_n") >= SUPPORT)
+                        .select(*node, F.lit(True).alias("_split")), "url-split")
+        if split.isEmpty():
+            break
+        flagged = rest.join(split, node, "left")
+        goes = F.col("deep") & F.coalesce("_split", F.lit(False))
+        parts.append((flagged.where(~goes).drop("_split"), level))
+        level += 1
+        own = flagged.where(goes).drop("_split").withColumn("_seg", F.get(_segments(), F.lit(level - 1)))
+        stays = (own.groupBy(*node, "_seg").agg(F.count("bad").alias("_n")).where(F.col("_n") >= SUPPORT)
+                 .select(*node, "_seg", F.lit(True).alias("_lit")))
+        rest = written(own.join(stays, [*node, "_seg"], "left")
+                       .withColumn(f"t{level}", F.when(F.col("_lit"), F.col("_seg")).otherwise("*"))
+                       .withColumn("deep", F.size(_segments()) > level).drop("_seg", "_lit"), "url-deeper")
+    out = rest
+    for part, have in parts:
+        out = out.unionByName(part.withColumns({f"t{i}": F.lit("") for i in range(have + 1, level + 1)}))
+    return out, level
+
+
+def merged_templates(counts: DataFrame, levels: int = LEVELS) -> DataFrame:
     """Template counts (host, t1.., deep, labelled, bad) with m1.. after
     merging similar branches. A node has few branches, so the windows are
     small whatever the number of pages."""
     out = counts
-    for i in range(1, LEVELS + 1):
+    for i in range(1, levels + 1):
         out = out.withColumn(f"m{i}", F.col(f"t{i}"))
-    for i in range(LEVELS, 0, -1):
+    for i in range(levels, 0, -1):
         own = f"m{i}"
-        names = ["host", "deep", *[f"m{j}" for j in range(1, LEVELS + 1) if j != i]]
+        names = ["host", "deep", *[f"m{j}" for j in range(1, levels + 1) if j != i]]
         siblings = [*names, F.col(own) == ""]  # the node itself is not a branch
         branch = out.groupBy(*names, own).agg(F.sum("labelled").alias("_n"), F.sum("bad").alias("_bad"))
         # branches without labels come first and join the cleanest
@@ -110,6 +148,8 @@ def merged_templates(counts: DataFrame) -> DataFrame:
         named = F.when(size == 1, F.col(own)).when(size == F.count("*").over(every), "*").otherwise(several)
         branch = branch.select(*names, own, named.alias("_named"))
         out = out.join(branch, [*names, own]).drop(own).withColumnRenamed("_named", own)
+        if i > LEVELS:
+            out = written(out, "url-merged")  # one plan holds LEVELS levels, however deep the paths
     return out
 
 
@@ -120,18 +160,18 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules: dict[str, str], labe
     default its page_id); verdicts are 'allow' and 'block'."""
     host, path = host_path(F.col("url"))
     base = pick(pages, {"page_id": id_col, "url": url_col}).select("page_id", host.alias("host"), path.alias("path"))
-    spots = written(templated(base), "url-templates")
     lab = (labels.where("key is not null and bad is not null").groupBy("key").agg(F.max("bad").cast("long").alias("bad")))
-    keyed = spots.withColumn("key", label_key if label_key is not None else F.col("page_id"))
-    names = ["host", "t1", "t2", "t3", "deep"]
-    counts = (keyed.join(lab, "key", "left").groupBy(*names)
-              .agg(F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")))
-    merged = written(merged_templates(counts), "url-merged")
-    own = Window.partitionBy("host", "deep", "m1", "m2", "m3")
+    keyed = base.withColumn("key", label_key if label_key is not None else F.col("page_id"))
+    keyed = written(keyed.join(lab, "key", "left").drop("key"), "url-labels")
+    spots, levels = deeper(written(templated(keyed), "url-templates"))
+    names = ["host", *_levels(levels), "deep"]
+    counts = spots.groupBy(*names).agg(F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    merged = written(merged_templates(counts, levels), "url-merged")
+    own = Window.partitionBy("host", "deep", *_levels(levels, "m"))
     all_n, all_b = merged.agg(F.coalesce(F.sum("labelled"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
     prior = all_b / all_n if all_n else 0.0
     purity = ((F.sum("bad").over(own) + F.lit(WEIGHT * prior)) / (F.sum("labelled").over(own) + F.lit(WEIGHT)))
-    parts = [F.when(F.col(f"m{i}") == "", "").otherwise(F.concat(F.lit("/"), F.col(f"m{i}"))) for i in range(1, LEVELS + 1)]
+    parts = [F.when(F.col(f"m{i}") == "", "").otherwise(F.concat(F.lit("/"), F.col(f"m{i}"))) for i in range(1, levels + 1)]
     judged = merged.select(*names, F.when(purity >= LIMIT, "block").otherwise("allow").alias("_method"),
                            F.concat("host", *parts, F.when(F.col("deep"), "/**").otherwise("")).alias("template"))
     rule = rule_of(F.col("host"), F.col("path"), rules)
