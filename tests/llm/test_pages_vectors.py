@@ -125,6 +125,18 @@ def test_supported_sections_of_a_wide_host_stay(spark):
     assert len(got) == 80 and {i for i in got if got[i]["verdict"] == "block"} == set(range(2, 60, 3))
 
 
+def test_graded_rates_do_not_chain(spark):
+    # eleven sections with 0, 2, 4 .. 20 bad ones of 20, and a clean host
+    rows = [(i, f"https://graded.example.com/s{i % 11:02d}/{1000 + i}.html") for i in range(220)]
+    rows += [(1000 + i, f"https://clean.example.org/x/{i}") for i in range(80)]
+    lab = [(i, int(i // 11 < 2 * (i % 11))) for i in range(220)] + [(1000 + i, 0) for i in range(80)]
+    got = {r["page_id"]: r for r in filter_urls(spark.createDataFrame(rows, "page_id long, url string"),
+                                                spark.createDataFrame(lab, "key long, bad int"), {}).collect()}
+    worst, best = {got[i]["verdict"] for i in range(10, 220, 11)}, {got[i]["verdict"] for i in range(0, 220, 11)}
+    assert (worst, best) == ({"block"}, {"allow"})
+    assert len({got[i]["template"] for i in range(11)}) > 2
+
+
 def test_templates_match_sql(spark):
     pages, lab = site(spark)
     more = spark.createDataFrame([(1000 + i, u) for i, u in enumerate(URLS)] + [(7, "http://dup/x")] * 3, "page_id long, url string")

@@ -7,8 +7,10 @@ pages: as many as can be judged on their own. All other values of that level
 become ``*``. So identifiers turn into wildcards and sections stay, also the
 many small ones of a large host. Below level ``LEVELS`` a node is split
 further, by support alone, while its deeper pages have support; what is left
-is ``**``. Then, from the deepest level up, literal branches whose rate of bad labels does not
-differ from their siblings' (two-proportion test) are merged into ``*``.
+is ``**``. Then, from the deepest level up, sibling branches are merged as long
+as their rates of bad labels do not differ (two-proportion test): the closest
+clusters first, each tested by its pooled counts and by its outermost members,
+so that near steps do not chain unlike ends. All of a node are ``*``.
 A template is blocked if its smoothed share of bad labels,
 (bad + WEIGHT * overall share) / (labelled + WEIGHT), reaches ``LIMIT``.
 
@@ -36,6 +38,7 @@ SHARE, LEAST = 0.05, 3  # a literal child holds this share, and rows, of its par
 CHI2 = 3.841  # two-proportion test at 5 %
 WEIGHT, LIMIT = 10.0, 0.5
 SUPPORT = 10  # or this many labelled pages, which weigh as much as the overall share does
+SHOWN = 21  # branches named in a merged template: all of a node that has no literals by support
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -122,31 +125,71 @@ def deeper(spots: DataFrame) -> tuple[DataFrame, int]:
     return out, level
 
 
+def _unlike(n: Column, bad: Column, n0: Column, bad0: Column) -> Column:
+    """Chi-square of two proportions; 0 where there is nothing to compare."""
+    gap, both = bad * n0 - bad0 * n, bad + bad0
+    scale = both * (n + n0 - both) * n * n0
+    return F.when(scale > 0, gap * gap * (n + n0) / scale).otherwise(F.lit(0.0))
+
+
+def _cluster_starts(branches: Column) -> Column:
+    """Lowest rate of each cluster of ``branches``, structs (rate, n, bad) in
+    order of rate. The neighbouring clusters that differ least are joined
+    first, until all that are left differ: by their pooled counts, or by the
+    first member of the one and the last of the other."""
+    first = F.transform(branches, lambda x: F.struct(
+        x["rate"].alias("rate"), x["n"].alias("n"), x["bad"].alias("bad"), x["n"].alias("n1"), x["bad"].alias("bad1"),
+        x["n"].alias("n2"), x["bad"].alias("bad2")))
+
+    def unlike(a: Column, b: Column) -> Column:
+        return F.greatest(_unlike(a["n"], a["bad"], b["n"], b["bad"]), _unlike(a["n1"], a["bad1"], b["n2"], b["bad2"]))
+
+    def joined(a: Column, b: Column) -> Column:
+        return F.struct(a["rate"].alias("rate"), (a["n"] + b["n"]).alias("n"), (a["bad"] + b["bad"]).alias("bad"),
+                        a["n1"].alias("n1"), a["bad1"].alias("bad1"), b["n2"].alias("n2"), b["bad2"].alias("bad2"))
+
+    def step(acc: Column, _: Column) -> Column:
+        pairs = F.transform(F.sequence(F.lit(1), F.size(acc) - 1), lambda j: F.struct(
+            unlike(F.get(acc, j - 1), F.get(acc, j)).alias("unlike"), j.alias("at")))
+        merge = lambda p: F.when(p["unlike"] <= CHI2, F.concat(
+            F.slice(acc, 1, p["at"] - 1), F.array(joined(F.get(acc, p["at"] - 1), F.get(acc, p["at"]))),
+            F.slice(acc, p["at"] + 2, F.size(acc)))).otherwise(acc)
+        closest = F.transform(F.array(F.array_min(pairs)), merge)  # names the pair, so that it is sought once
+        return F.when(F.size(acc) > 1, F.get(closest, F.lit(0))).otherwise(acc)
+
+    return F.transform(F.aggregate(F.sequence(F.lit(1), F.size(branches)), first, step), lambda c: c["rate"])
+
+
 def merged_templates(counts: DataFrame, levels: int = LEVELS) -> DataFrame:
     """Template counts (host, t1.., deep, labelled, bad) with m1.. after
-    merging similar branches. A node has few branches, so the windows are
-    small whatever the number of pages."""
+    merging similar branches. Branches of equal rate are pooled before a
+    node's rates are put in order in one row, so the row is as long as the
+    node has distinct rates, whatever the number of pages."""
     out = counts
     for i in range(1, levels + 1):
         out = out.withColumn(f"m{i}", F.col(f"t{i}"))
     for i in range(levels, 0, -1):
         own = f"m{i}"
         names = ["host", "deep", *[f"m{j}" for j in range(1, levels + 1) if j != i]]
-        siblings = [*names, F.col(own) == ""]  # the node itself is not a branch
+        siblings = [*names, "_self"]  # the node itself is not a branch
         branch = out.groupBy(*names, own).agg(F.sum("labelled").alias("_n"), F.sum("bad").alias("_bad"))
-        # branches without labels come first and join the cleanest
-        branch = branch.withColumn("_rate", F.when(F.col("_n") > 0, F.col("_bad") / F.col("_n")).otherwise(-1))
-        order = Window.partitionBy(*siblings).orderBy("_rate", own)
-        n, bad, n0, bad0 = F.col("_n"), F.col("_bad"), F.lag("_n").over(order), F.lag("_bad").over(order)
-        gap = bad.cast("double") * n0 - bad0.cast("double") * n
-        differs = (n > 0) & (n0 > 0) & (gap * gap * (n + n0) > F.lit(CHI2) * (bad + bad0) * (n + n0 - bad - bad0) * n * n0)
-        branch = branch.withColumn("_new", F.when(differs, 1).otherwise(0)).withColumn(
-            "_cluster", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        alike, every = Window.partitionBy(*siblings, "_cluster"), Window.partitionBy(*siblings)
-        size = F.count("*").over(alike)
-        several = F.concat(F.lit("{"), F.array_join(F.sort_array(F.collect_list(own).over(alike)), "|"), F.lit("}"))
-        named = F.when(size == 1, F.col(own)).when(size == F.count("*").over(every), "*").otherwise(several)
-        branch = branch.select(*names, own, named.alias("_named"))
+        branch = branch.withColumn("_self", F.col(own) == "").withColumn("_rate", F.col("_bad") / F.when(F.col("_n") > 0, F.col("_n")))
+        rates = (branch.where("_n > 0").groupBy(*siblings, F.col("_rate").alias("rate"))
+                 .agg(F.sum("_n").cast("double").alias("n"), F.sum("_bad").cast("double").alias("bad"))
+                 .groupBy(*siblings).agg(F.sort_array(F.collect_list(F.struct("rate", "n", "bad"))).alias("_rates")))
+        starts = rates.select(*siblings, _cluster_starts(F.col("_rates")).alias("_starts"))
+        # branches without labels join the cleanest
+        at = F.coalesce(F.array_max(F.filter("_starts", lambda x: x <= F.col("_rate"))), F.get("_starts", F.lit(0)), F.lit(-1.0))
+        cluster = (branch.join(starts, siblings, "left").select(*siblings, own, at.alias("_cluster"))
+                   .groupBy(*siblings, "_cluster").agg(F.sort_array(F.collect_list(own)).alias("_own")))
+        size, every = F.size("_own"), F.sum(F.size("_own")).over(Window.partitionBy(*siblings))
+        whole = F.array_join("_own", "|")
+        # a long list of names is cut in the name alone, the digest keeps it unique
+        name = F.when(size <= SHOWN, whole).otherwise(
+            F.concat(F.array_join(F.slice("_own", 1, SHOWN), "|"), F.lit("|+"), (size - SHOWN).cast("string"), F.lit("#"), F.md5(whole)))
+        named = (F.when(size == 1, F.get("_own", F.lit(0))).when(size == every, "*")
+                 .otherwise(F.concat(F.lit("{"), name, F.lit("}"))))
+        branch = (cluster.withColumn("_named", named).select(*names, F.explode("_own").alias(own), "_named"))
         out = out.join(branch, [*names, own]).drop(own).withColumnRenamed("_named", own)
         if i > LEVELS:
             out = written(out, "url-merged")  # one plan holds LEVELS levels, however deep the paths
