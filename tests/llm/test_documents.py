@@ -10,7 +10,7 @@ from tests.llm.helpers import norm, same_as_sql
 from tidepool.llm import oracle
 from tidepool.llm.decontaminate import contaminated_pairs, drop_contaminated
 from tidepool.llm.labelled import labelled_sample
-from tidepool.llm.license_digest import KNOWN, license_scan, line_notices
+from tidepool.llm.license_digest import KNOWN, license_report, license_scan, line_notices
 from tidepool.llm.ngram_join import least_matches, ngram_jaccard_join
 from tidepool.llm.packing import encoder, pack_block, pack_documents
 from tidepool.llm.sharding import shard_documents
@@ -122,6 +122,24 @@ def test_licence_digests(spark, odd):
     assert license_scan(odd.limit(0)).count() == 0 and license_scan(odd).count() == odd.count()
 
 
+def test_notices_and_full_texts_are_reported(spark):
+    from tidepool.llm.queries import QUERIES
+    full = {}
+    for name, text in KNOWN:
+        full.setdefault(name, text)
+    names = ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense"]
+    rows = [(i, full[n].replace("\n", "\r\n")) for i, n in enumerate(names)]
+    rows += [(50, "a\nLicensed under CC BY-NC 4.0.\nb\nReleased under the MIT License.\nLicensed under CC BY-NC 4.0."),
+             (51, None), (None, "x\nReleased under the MIT License.")]
+    d = docs(spark, rows)
+    got = {r["doc_id"]: (r["licence"], r["notices"]) for r in license_report(d).collect()}
+    assert [got[i][0] for i in range(len(names))] == names
+    assert got[50] == (None, ["CC-BY-NC-4.0-notice", "MIT-notice"]) and got[51] == (None, [])
+    assert got[None] == (None, ["MIT-notice"]) and len(got) == len(rows)
+    same_as_sql(spark, oracle.OP5, license_scan(d), documents=d.select("doc_id", "text"))
+    assert QUERIES["op5_license_notices"](spark, SF001).count() == spark.read.parquet(f"{SF001}/documents.parquet").count()
+
+
 def test_shards_are_contiguous_and_balanced(spark, odd):
     d = spark.read.parquet(f"{SF01}/documents.parquet")
     got = shard_documents(d).toPandas().sort_values("doc_id")

@@ -6,7 +6,9 @@ The digest of the whole canonical text is joined with the digests of the
 known licences, which are made canonical by the same expression. The known
 table is a parameter with a fixed number of rows, so it is broadcast; the
 documents are only scanned. ``line_notices`` does the same for every whole
-line, which finds notices inside longer documents.
+line, which finds notices inside longer documents, and ``license_report``
+gives both for every document. A full licence text of several lines inside a
+longer document is not found.
 
 Defined cases: null and empty texts, and texts of copyright lines alone, have
 the digest of the empty text and no licence; equal canonical texts of two
@@ -17,6 +19,7 @@ not read; an empty table gives no rows.
 from __future__ import annotations
 
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,6 +72,34 @@ KNOWN = [
     ("MIT-notice", "Released under the MIT License."),
 ]
 
+_BSD_1 = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+          "following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of "
+          "conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, "
+          "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+          "distribution.\n\n")
+_BSD_3 = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+          "derived from this software without specific prior written permission.\n\n")
+_BSD_END = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+            "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+            "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+            "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+            "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+            "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+            "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+
+
+def _full_texts() -> list[tuple[str, str]]:
+    """The texts in ``licences/``, and without what follows their terms."""
+    out = []
+    for f in sorted((Path(__file__).parent / "licences").glob("*.txt")):
+        text = f.read_text(encoding="utf-8")
+        terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+        out += [(f.stem, t) for t in dict.fromkeys([text, terms + end, terms])]
+    return out
+
+
+KNOWN += [("BSD-2-Clause", _BSD_1 + _BSD_END), ("BSD-3-Clause", _BSD_1 + _BSD_3 + _BSD_END), *_full_texts()]
+
 # A line that begins, but for signs, with a copyright word.
 COPYRIGHT_LINE = r"\n[^a-z0-9\n]*(copyright |\(c\) |©)[^\n]*"
 SIGNS = r"[^0-9a-z\x{C0}-\x{10FFFF}]+"
@@ -108,3 +139,15 @@ def line_notices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     table = F.broadcast(known_digests(docs.sparkSession, known))
     return (lines.select("doc_id", "line_no", F.md5(canonical(F.col("line"))).alias("digest"))
             .join(table, "digest").select("doc_id", "line_no", "licence"))
+
+
+def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   known: list[tuple[str, str]] = KNOWN) -> DataFrame:
+    """``license_scan`` with ``notices``, the sorted distinct licences of the
+    ``line_notices`` of the doc_id (empty if none; rows that repeat a doc_id
+    have those of all its rows)."""
+    lines = (line_notices(docs, id_col, text_col, known).groupBy(F.col("doc_id").alias("_id"))
+             .agg(F.sort_array(F.collect_set("licence")).alias("_found")))
+    whole = license_scan(docs, id_col, text_col, known)
+    return (whole.join(lines, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+            .select("doc_id", "digest", "licence", F.coalesce("_found", F.array().cast("array<string>")).alias("notices")))

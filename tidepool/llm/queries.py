@@ -55,6 +55,11 @@ def op5(spark, sf):
     return license_scan(_read(spark, sf, "documents"))
 
 
+def op5_notices(spark, sf):
+    from tidepool.llm.license_digest import license_report
+    return license_report(_read(spark, sf, "documents"))
+
+
 def op6(spark, sf):
     from tidepool.llm.ngram_join import ngram_jaccard_join
     return ngram_jaccard_join(_read(spark, sf, "documents"))
@@ -95,7 +100,8 @@ def pipeline(spark, sf):
 
 QUERIES = {
     "op1_url_templates": op1, "op2_embedding_near_duplicates": op2, "op3_byte_shards": op3, "op4_subword_quality": op4,
-    "op5_license_digest": op5, "op6_ngram_jaccard_join": op6, "op7_hierarchical_packing": op7, "op8_toxicity_ftrl": op8,
+    "op5_license_digest": op5, "op5_license_notices": op5_notices,
+    "op6_ngram_jaccard_join": op6, "op7_hierarchical_packing": op7, "op8_toxicity_ftrl": op8,
     "op9_decontamination": op9, "op10_warc_normaliser": op10, "pipeline": pipeline,
 }
 
