@@ -2,7 +2,8 @@
 Parquet and read again as the next one's input.
 
 1. toxicity: documents scored 0.7 or more go (operator 8);
-2. quality: documents scored below 0.7 go (operator 4);
+2. quality: documents scored below 0.7 go (operator 4); all stay if the
+   labelled documents with text are not of both classes (or there are none);
 3. near_duplicates: one document of each group of links stays (operator 6);
 4. decontamination: documents that hold a benchmark item go (operator 9);
 5. packing: the rest becomes sequences of tokens (operator 7).
@@ -20,7 +21,7 @@ from tidepool.llm.decontaminate import drop_contaminated
 from tidepool.llm.ngram_join import ngram_jaccard_join
 from tidepool.llm.packing import pack_documents
 from tidepool.llm.shared import BROADCAST_ROWS, new_name, written
-from tidepool.llm.subword_quality import fit_quality, score_quality
+from tidepool.llm.subword_quality import score_quality, train, training_rows
 from tidepool.llm.toxicity_ftrl import fit_toxicity, score_toxicity
 from tidepool.session import scratch_path
 
@@ -34,7 +35,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rows = training_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    if len({label for label, buckets, _ in rows if len(buckets)}) < 2:  # nothing to tell the classes by
+        return docs.select(*docs.columns)
+    model = train(rows)
     name = new_name(docs, "quality_score")
     return score_quality(docs, model, score_col=name).where(F.col(name) >= REJECT_AT).select(*docs.columns)
 

@@ -41,3 +41,14 @@ def test_one_document_of_each_group_stays(spark):
 def test_run_returns_packed_rows(spark):
     out = corpus_pipeline.run(spark, SF001)
     assert out.count() > 0 and "ids_crc32" in out.columns
+
+
+def test_quality_keeps_its_input_without_both_classes(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    labels = spark.read.parquet(f"{SF001}/labels.parquet")
+    cases = {"empty": labels.limit(0), "null": labels.selectExpr("doc_id", "cast(null as int) as quality", "toxic"),
+             "unknown": labels.selectExpr("-1 - doc_id as doc_id", "quality", "toxic"),
+             "bad": labels.where("quality = 0"), "good": labels.where("quality = 1")}
+    for name, some in cases.items():
+        some.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        assert corpus_pipeline.quality(spark, docs, f"{tmp_path}/{name}").count() == docs.count(), name

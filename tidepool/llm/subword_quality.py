@@ -136,9 +136,15 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], bits: int = BITS, dim:
 def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", usable=None, id_col: str = "doc_id",
                 text_col: str = "text", per_class: int = PER_CLASS) -> tuple[np.ndarray, float]:
     """Model from at most ``per_class`` labelled documents of each class."""
+    return train(training_rows(docs, labels, label_col, usable, id_col, text_col, per_class))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label_col: str = "quality", usable=None, id_col: str = "doc_id",
+                  text_col: str = "text", per_class: int = PER_CLASS) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(label, buckets, counts) of the sample ``fit_quality`` trains on."""
     usable = usable or (lambda key: F.lit(True))
     sample = hashed_counts(labelled_sample(docs, labels, label_col, usable, id_col, text_col, per_class))
-    return train(fetch(sample, {"buckets": np.int32, "counts": np.int32}))
+    return fetch(sample, {"buckets": np.int32, "counts": np.int32})
 
 
 def score_quality(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", score_col: str = "score",
