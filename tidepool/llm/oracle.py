@@ -137,3 +137,9 @@ select page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lamb
   case when page_id <> best then 'revisit' else 'response' end as record_type,
   case when page_id <> best then best end as refers_to from g
 """
+
+OP12 = r"""
+with t as (select doc_id, length(coalesce(text, '')) as n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as x from documents),
+g as (select doc_id, x, first_value(doc_id) over (partition by x order by n desc, doc_id) as keep_id, count(*) over (partition by x) as group_size from t)
+select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(x) as text_sha256 from g
+"""

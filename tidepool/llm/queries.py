@@ -93,6 +93,24 @@ def op10(spark, sf):
     return read_records(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11(spark, sf):
+    from tidepool.llm.whitening import whiten
+    return whiten(_read(spark, sf, "embeddings"))
+
+
+def op12(spark, sf):
+    from tidepool.llm.stream_dedup import exact_duplicates
+    return exact_duplicates(spark, f"{sf}/documents.parquet")
+
+
+def op13(spark, sf):
+    import public_tokenizers
+
+    from tidepool.llm.token_alignment import align_tokenizers
+    return align_tokenizers(_read(spark, sf, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")),
+                            str(public_tokenizers.path("piece_bpe_32k.model")))
+
+
 def pipeline(spark, sf):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf)
@@ -102,11 +120,13 @@ QUERIES = {
     "op1_url_templates": op1, "op2_embedding_near_duplicates": op2, "op3_byte_shards": op3, "op4_subword_quality": op4,
     "op5_license_digest": op5, "op5_license_notices": op5_notices,
     "op6_ngram_jaccard_join": op6, "op7_hierarchical_packing": op7, "op8_toxicity_ftrl": op8,
-    "op9_decontamination": op9, "op10_warc_normaliser": op10, "pipeline": pipeline,
+    "op9_decontamination": op9, "op10_warc_normaliser": op10,
+    "op11_embedding_whitening": op11, "op12_stream_exact_dedup": op12, "op13_token_alignment": op13, "pipeline": pipeline,
 }
 
 
 def oracle() -> dict[str, str]:
     from tidepool.llm import oracle as o
     return {"op1_url_templates": o.op1_sql(RULES), "op2_embedding_near_duplicates": o.OP2, "op5_license_digest": o.OP5,
-            "op6_ngram_jaccard_join": o.OP6, "op9_decontamination": o.OP9, "op10_warc_normaliser": o.OP10}
+            "op6_ngram_jaccard_join": o.OP6, "op9_decontamination": o.OP9, "op10_warc_normaliser": o.OP10,
+            "op12_stream_exact_dedup": o.OP12}
