@@ -365,7 +365,7 @@ def next_link(pages: DataFrame, container: str = "nav", rules=None, site_col: st
         ex = extract_articles(pages, rules, site_col)
         nxt = F.col("next_href")
         return ex.select("page_id", F.when(nxt.isNotNull(), absolute_url(nxt, F.col("url"))).alias("next_url"))
-    last = F.element_at(hrefs(inner_html("html", container)), -1)
+    last = F.try_element_at(hrefs(inner_html("html", container)), F.lit(-1))
     return pages.select("page_id", F.when(last.isNotNull(), absolute_url(last, F.col("url"))).alias("next_url"))
 
 
@@ -377,6 +377,13 @@ def extract_links(pages: DataFrame, container: str | None = None) -> DataFrame:
     return ex.select("page_id", absolute_url("href", "url").alias("link"))
 
 
+def ordered_links(pages: DataFrame, container: str | None = None) -> DataFrame:
+    """P13 tier (a) in page order: ``(url, link_pos, link)``."""
+    src = inner_html("html", container) if container else F.col("html")
+    ex = pages.select("url", F.posexplode(hrefs(src)).alias("link_pos", "href"))
+    return ex.select("url", "link_pos", absolute_url("href", "url").alias("link"))
+
+
 def listing_links(pages: DataFrame, rules=None, site_col: str = "site") -> DataFrame:
     """P13 tier (b): distinct article links of listing pages by each site's
     item rule, relative ones made absolute (sites that link relative set

@@ -144,6 +144,28 @@ def article_pages(spark, sf_dir) -> DataFrame:
     )
 
 
+def listing_pages(spark, sf_dir) -> DataFrame:
+    """The pages as listings ``(page_id, url, html)``: each has an address of
+    its own and, after its body, a pager with the
+    link to the page that follows, in runs of 40 pages. The last page of a run
+    has no pager, leads back into its run or on to a page that is not there."""
+    p = table(spark, sf_dir, "pages")
+    i, last = F.col("page_id"), F.col("page_id") % 40 == 39
+    turn = F.floor(i / 40) % 3
+    to = F.when(~last, i + 1).when(turn == 1, i - 17).when(turn == 2, i + 10_000_000)
+    pager = F.concat(F.lit('<aside><a href="/list/1">first</a><a href="https://lists.example/list/'), to.cast("string"), F.lit('">next</a></aside>'))
+    return p.select("page_id", F.concat(F.lit("https://lists.example/list/"), i.cast("string")).alias("url"),
+                    F.concat("html", F.coalesce(pager, F.lit(""))).alias("html"))
+
+
+def listing_starts(spark, sf_dir) -> DataFrame:
+    """The addresses the walks begin at: the first page of each run, one
+    inside it, and one page that is not there."""
+    p = table(spark, sf_dir, "pages").where("page_id % 40 IN (0, 25)")
+    i = F.when(F.col("page_id") % 400 == 25, F.col("page_id") + 10_000_000).otherwise(F.col("page_id"))
+    return p.select(F.concat(F.lit("https://lists.example/list/"), i.cast("string")).alias("url"))
+
+
 def articles_in(spark, sf_dir) -> DataFrame:
     """A scraped batch: every page from the site listings, plus the pages
     that conversations link to, scraped again from a second listing under

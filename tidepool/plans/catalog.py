@@ -527,6 +527,30 @@ def q_next_link(spark, sf):
     return next_link(ad.table(spark, sf, "pages"), "nav")
 
 
+def _walk(spark, sf) -> tuple[DataFrame, DataFrame]:
+    from tidepool.operators.html_extract import next_link
+    from tidepool.operators.listing_walk import walk_pages
+    p = ad.listing_pages(spark, sf)
+    nexts = next_link(p, "aside").join(p.select("page_id", "url"), "page_id").select("url", "next_url")
+    return p, walk_pages(nexts, ad.listing_starts(spark, sf))
+
+
+@query("listing_walk")
+def q_listing_walk(spark, sf):
+    """P14 to its end: every page each walk meets, with its position."""
+    return _walk(spark, sf)[1]
+
+
+@query("listing_walk_links")
+def q_listing_walk_links(spark, sf):
+    """P13 + A12 along the walk: the distinct links of each walk and where
+    each is met first."""
+    from tidepool.operators.html_extract import ordered_links
+    from tidepool.operators.listing_walk import walk_links
+    p, walk = _walk(spark, sf)
+    return walk_links(walk, ordered_links(p, "nav"))
+
+
 # --- streaming (availableNow over the landed events file) -------------------
 
 def _event_stream(spark, sf):

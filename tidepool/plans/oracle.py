@@ -494,3 +494,23 @@ ORACLE["listing_links"] = f"""WITH h AS (
   FROM h"""
 
 ORACLE["take_while_sorted_spread"] = ORACLE["take_while_sorted"]
+
+LISTING_WALK = """pager AS (SELECT page_id, html, 'https://lists.example/list/' || page_id AS url, 'https://lists.example/list/' ||
+    CASE WHEN page_id % 40 <> 39 THEN page_id + 1 WHEN page_id // 40 % 3 = 1 THEN page_id - 17
+         WHEN page_id // 40 % 3 = 2 THEN page_id + 10000000 END AS next_url FROM pages),
+  starts AS (SELECT 'https://lists.example/list/' || (page_id + CASE WHEN page_id % 400 = 25 THEN 10000000 ELSE 0 END) AS url
+             FROM pages WHERE page_id % 40 IN (0, 25)),
+  steps(start, pos, url, met) AS (
+    SELECT s.url, CAST(0 AS BIGINT), s.url, [s.url] FROM starts s JOIN pager p ON p.url = s.url
+    UNION ALL
+    SELECT w.start, w.pos + 1, n.url, list_append(w.met, n.url)
+    FROM steps w JOIN pager p ON p.url = w.url JOIN pager n ON n.url = p.next_url
+    WHERE NOT list_contains(w.met, n.url))"""
+ORACLE["listing_walk"] = f"WITH RECURSIVE {LISTING_WALK} SELECT start, pos, url FROM steps"
+ORACLE["listing_walk_links"] = f"""WITH RECURSIVE {LISTING_WALK},
+  hrefs AS (SELECT url, unnest({_NAV_HREFS}) AS href, generate_subscripts({_NAV_HREFS}, 1) - 1 AS i FROM pager),
+  links AS (SELECT url, i, CASE WHEN starts_with(href, '/') AND NOT starts_with(href, '//') THEN 'https://lists.example' || href
+                                ELSE href END AS link FROM hrefs)
+  SELECT start, link, pos, CAST(i AS INTEGER) AS link_pos
+  FROM (SELECT start, link, pos, i, row_number() OVER (PARTITION BY start, link ORDER BY pos, i) AS k FROM steps JOIN links USING (url))
+  WHERE k = 1"""
