@@ -214,6 +214,19 @@ def prepare_archive(archive: DataFrame) -> DataFrame:
                                       F.col("kind").alias("_kind")))
 
 
+def follow(hit: DataFrame) -> DataFrame:
+    """One step of the ingest walk for frontier rows ``(fid, phase)`` joined
+    with their edge ``(_par, _kind)``: what is saved and where it goes on."""
+    ph, kd = F.col("phase"), F.col("_kind")
+    return hit.select(
+        F.col("fid").alias("tweet_id"),
+        F.when((ph == "R") & (kd == "retweet"), "retweets")
+         .when(kd == "regular", "regular").alias("saved_to"),
+        F.when(kd == "reply", F.col("_par"))
+         .when((ph == "R") & (kd == "retweet"), F.col("_par")).alias("next_id"),
+        F.when(kd == "reply", "P").otherwise("R").alias("next_phase"))
+
+
 def ingest_closure(seeds: DataFrame, archive: DataFrame) -> DataFrame:
     """What the stream ingester saves for a set of seed tweets.
 
@@ -238,14 +251,7 @@ def ingest_closure(seeds: DataFrame, archive: DataFrame) -> DataFrame:
     while n_front := frontier.count():
         near = F.broadcast(frontier) if n_front <= FRONTIER_ROWS else frontier
         hit = arch.join(near, F.col("fid") == F.col("_aid"), "inner")
-        ph, kd = F.col("phase"), F.col("_kind")
-        out = hit.select(
-            F.col("fid").alias("tweet_id"),
-            F.when((ph == "R") & (kd == "retweet"), "retweets")
-             .when(kd == "regular", "regular").alias("saved_to"),
-            F.when(kd == "reply", F.col("_par"))
-             .when((ph == "R") & (kd == "retweet"), F.col("_par")).alias("next_id"),
-            F.when(kd == "reply", "P").otherwise("R").alias("next_phase"))
+        out = follow(hit)
         out = cut_lineage(out)
         got = out.where(F.col("saved_to").isNotNull()).select("tweet_id", "saved_to")
         saved_parts.append(got)

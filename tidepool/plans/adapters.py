@@ -99,6 +99,12 @@ def retweets(spark, sf_dir) -> DataFrame:
     )
 
 
+def posts(spark, sf_dir) -> DataFrame:
+    """Originals and reshares as one table ``(tweet_id, parent_tweet_id, kind)``."""
+    reg = regular(spark, sf_dir, urls=False).select("tweet_id", F.lit(None).cast("string").alias("parent_tweet_id"), F.lit("regular").alias("kind"))
+    return reg.unionByName(retweets(spark, sf_dir).select("tweet_id", "parent_tweet_id", F.lit("retweet").alias("kind")))
+
+
 def id_list(spark, sf_dir) -> DataFrame:
     """A tweet-ID list to hydrate: every labelled document, plus ids taken
     from the pages (offset by 10^6) that the archive does not hold."""

@@ -681,3 +681,68 @@ def q_stream_closure(spark, sf):
     reg = spark.read.parquet(f"{out}/regular").select("tweet_id", F.lit("regular").alias("saved_to"))
     rts = spark.read.parquet(f"{out}/retweets").select("tweet_id", F.lit("retweets").alias("saved_to"))
     return reg.unionByName(rts)
+
+
+# --- chains kept up by a stream ----------------------------------------------
+
+CHAIN_BUCKETS = 16
+
+
+def _rooted(spark, sf) -> str:
+    """Posts in two deliveries to one folder, replies to others' posts first
+    and their parents later; the job runs after each."""
+    from tidepool.session import scratch_path
+    from tidepool.streaming.chains import stream_roots
+    posts = ad.posts(spark, sf)
+    late = F.col("tweet_id").cast("long") % 100 < 2
+    src, out, ck = (scratch_path(spark, f"roots_{x}") for x in ("posts", "state", "ckpt"))
+    for delivery in (posts.where(~late), posts.where(late)):
+        delivery.write.mode("append").parquet(src)
+        _run(stream_roots(spark.readStream.schema(posts.schema).parquet(src), out, ck, buckets=CHAIN_BUCKETS))
+    return out
+
+
+@query("stream_roots")
+def q_stream_roots(spark, sf):
+    """J5 by epoch: each reshare's root, kept up over two deliveries."""
+    from tidepool.streaming.chains import current_roots
+    return current_roots(spark, _rooted(spark, sf))
+
+
+@query("stream_root_counts")
+def q_stream_root_counts(spark, sf):
+    """A6 by epoch: reshares per root from what each epoch added."""
+    from tidepool.streaming.chains import current_root_counts
+    return current_root_counts(spark, _rooted(spark, sf))
+
+
+@query("indexed_closure")
+def q_indexed_closure(spark, sf):
+    """J11 over an edge index of the archive: a hop reads the buckets its
+    frontier touches."""
+    from tidepool.operators.edge_index import index_edges, saved_posts, walk_delivery
+    from tidepool.session import scratch_path
+    index, out = scratch_path(spark, "edge_index"), scratch_path(spark, "indexed_walk")
+    index_edges(ad.conversation_archive(spark, sf), index, "archive", CHAIN_BUCKETS)
+    walk_delivery(spark, index, out, "seeds", None, ad.conversation_seeds(spark, sf), CHAIN_BUCKETS)
+    return saved_posts(spark, out)
+
+
+@query("stream_walks")
+def q_stream_walks(spark, sf):
+    """T1 + J11 with parked walks: every turn arrives as a bare id while the
+    archive lacks the first two turns of each conversation; the walks that
+    stop there go on when the archive brings them."""
+    from tidepool.operators.edge_index import index_edges, refresh_archive, saved_posts
+    from tidepool.session import scratch_path
+    from tidepool.streaming.chains import stream_walks
+    from tidepool.streaming.jobs import parquet_stream
+    arch = ad.conversation_archive(spark, sf)
+    late = F.col("tweet_id").cast("long") % 100 < 2
+    index, out, ck = (scratch_path(spark, f"walks_{x}") for x in ("index", "state", "ckpt"))
+    index_edges(arch.where(~late), index, "archive-0", CHAIN_BUCKETS)
+    turns = parquet_stream(spark, sf, "conversations.parquet")
+    seeds = turns.select((F.col("conv_id") * 100 + F.col("turn")).cast("string").alias("tweet_id"))
+    _run(stream_walks(seeds, index, out, ck, CHAIN_BUCKETS))
+    refresh_archive(arch.where(late), index, out, "archive-1", CHAIN_BUCKETS)
+    return saved_posts(spark, out)

@@ -514,3 +514,9 @@ ORACLE["listing_walk_links"] = f"""WITH RECURSIVE {LISTING_WALK},
   SELECT start, link, pos, CAST(i AS INTEGER) AS link_pos
   FROM (SELECT start, link, pos, i, row_number() OVER (PARTITION BY start, link ORDER BY pos, i) AS k FROM steps JOIN links USING (url))
   WHERE k = 1"""
+
+# kept up by streams: equal to the whole tables at once
+ORACLE["stream_roots"] = ORACLE["retweet_roots"]
+ORACLE["stream_root_counts"] = ORACLE["retweets_per_root"]
+ORACLE["indexed_closure"] = ORACLE["ingest_closure"]
+ORACLE["stream_walks"] = ORACLE["stream_closure"]
