@@ -151,6 +151,10 @@ def parse_tweet_v2(df: DataFrame) -> DataFrame:
     )
 
 
+# what ``reject_reason`` can say
+REJECT_REASONS = ("malformed", "no id", "no author", "no text", "no time", "no metrics", "parent not included")
+
+
 def reject_reason(parsed: DataFrame) -> Column:
     """Why a parsed v2 row is unusable, NULL when it is fine."""
     return (F.when(F.col("_corrupt_record").isNotNull(), "malformed")

@@ -175,6 +175,18 @@ def q_hydrate(spark, sf):
     return keyed.hydrate(ad.id_list(spark, sf), ad.archive(spark, sf))
 
 
+@query("hydrate_slices")
+def q_hydrate_slices(spark, sf):
+    """J3 + T6: a run that a quota stops after a few slices, then one that
+    does the rest."""
+    from tidepool.operators.hydration import hydrate_slices, hydrated
+    from tidepool.session import scratch_path
+    out, archive = scratch_path(spark, "hydration"), ad.archive(spark, sf)
+    for quota in (5, None):
+        hydrate_slices(ad.id_list(spark, sf), archive, out, slices=16, wave=8, stop_after=quota)
+    return hydrated(spark, out, "tweet_id string, lang string, source string")
+
+
 @query("unhydrated")
 def q_unhydrated(spark, sf):
     return keyed.unhydrated(ad.id_list(spark, sf), ad.archive(spark, sf))
@@ -666,6 +678,19 @@ def q_stream_json_ingest(spark, sf):
     return reg.unionByName(rts)
 
 
+@query("stream_rejects")
+def q_stream_rejects(spark, sf):
+    """F10 on the stream: rows by status, counted while each epoch is stored."""
+    from tidepool.session import scratch_path
+    from tidepool.sources.tweets_json import stream_tweets
+    from tidepool.streaming.jobs import status_counts, stream_split
+    src = _landing(spark, "json_split", sf,
+                   lambda path: ad.v2_json(spark, sf).select("value").write.mode("overwrite").text(path))
+    out, ck = scratch_path(spark, "json_split_out"), scratch_path(spark, "json_split_ckpt")
+    _run(stream_split(stream_tweets(spark, src, version=2), out, ck))
+    return status_counts(spark, out)
+
+
 @query("stream_closure")
 def q_stream_closure(spark, sf):
     """T1 + J11: every conversation turn arrives on the stream; each

@@ -520,3 +520,5 @@ ORACLE["stream_roots"] = ORACLE["retweet_roots"]
 ORACLE["stream_root_counts"] = ORACLE["retweets_per_root"]
 ORACLE["indexed_closure"] = ORACLE["ingest_closure"]
 ORACLE["stream_walks"] = ORACLE["stream_closure"]
+ORACLE["stream_rejects"] = ORACLE["rejects"]
+ORACLE["hydrate_slices"] = ORACLE["hydrate"]

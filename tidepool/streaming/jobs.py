@@ -58,6 +58,55 @@ def classify_stream(raw: DataFrame, rules: list[str] | None = None) -> DataFrame
     return match_rules(valid, rules) if rules else valid
 
 
+def stream_split(raw: DataFrame, out: str, checkpoint: str, rules: list[str] | None = None, order: str = "created_at",
+                 trigger: dict | None = None):
+    """F10 on a stream of v2 envelopes: valid rows (of the rules, if given) go
+    to the keyed tables as in ``stream_ingest``; rejects are kept with their
+    reason and how many rows had each status is counted. An epoch's rejects and
+    counts are folders of its own, which a retried epoch writes again. Counts
+    are observed while the epoch's rows are written, not by a pass of their own."""
+    from pyspark.sql import Observation
+
+    from tidepool.operators.parse import REJECT_REASONS, reject_reason
+
+    def _sink(batch: DataFrame, epoch: int):
+        spark = batch.sparkSession
+        status = F.coalesce(reject_reason(batch), F.lit("valid"))
+        seen = Observation()
+        # one pass over the envelopes: all rows with their status, counted as they are written
+        tagged = batch.withColumn("status", status).observe(
+            seen, *[F.count_if(F.col("status") == s).alias(s) for s in ("valid", *REJECT_REASONS)])
+        path = f"{out}/parsed/epoch={epoch}"
+        tagged.write.mode("overwrite").partitionBy("status").parquet(path)
+        counts = [(s, n) for s, n in seen.get.items() if n]
+        spark.createDataFrame(counts, "status string, n long").coalesce(1).write.mode("overwrite").parquet(f"{out}/counts/epoch={epoch}")
+        if any(s == "valid" for s, _ in counts):
+            valid = spark.read.schema(batch.schema).parquet(f"{path}/status=valid").drop("_corrupt_record")
+            valid = match_rules(valid, rules) if rules else valid
+            for kind, name in (("regular", "regular"), ("retweet", "retweets")):
+                append_keyed(valid.where(F.col("kind") == kind), f"{out}/{name}", ["tweet_id"], [order, "tweet_id"])
+
+    w = parse_tweet_v2(raw).writeStream.foreachBatch(_sink).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def status_counts(spark: SparkSession, out: str) -> DataFrame:
+    """``(status, n)`` over the epochs of ``stream_split``."""
+    if not _exists(spark, f"{out}/counts"):
+        return spark.createDataFrame([], "status string, n long")
+    return spark.read.parquet(f"{out}/counts").groupBy("status").agg(F.sum("n").alias("n"))
+
+
+def stream_rejects(spark: SparkSession, out: str, schema) -> DataFrame:
+    """The rejected rows of ``stream_split`` with their ``status`` and epoch;
+    ``schema`` is that of the parsed rows."""
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+    if not _exists(spark, f"{out}/counts"):
+        return spark.createDataFrame([], StructType([*schema.fields, StructField("epoch", IntegerType()), StructField("status", StringType())]))
+    full = StructType([*schema.fields, StructField("epoch", IntegerType()), StructField("status", StringType())])
+    return spark.read.schema(full).parquet(f"{out}/parsed").where("status <> 'valid'")
+
+
 def stream_ingest(rows: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
                   order: str = "created_at", archive: DataFrame | None = None):
     """Split a stream of classified tweets into the ``regular`` and
