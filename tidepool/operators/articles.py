@@ -17,11 +17,12 @@ def load_articles(batch: DataFrame, existing: DataFrame, order=("source", "row")
                   label: str = "unknown") -> tuple[DataFrame, DataFrame]:
     """Returns ``(new_rows, rejects)``. A publish date is normalised to
     ``YYYY-MM-DD`` text (empty -> NULL); a date in no known format sends the
-    row to ``rejects`` with its raw text (D11). One row per URL not yet
+    row to ``rejects`` with its raw text (D11), as does a missing URL. One row per URL not yet
     stored, the first by ``order`` (D2); ids continue from the stored
     count."""
     d = normalize_date("publishedAt", F.col("source"))
     bad = date_reject("publishedAt", F.col("source"))
+    bad = bad | F.col("url").isNull()
     rejects = batch.where(bad)
     ok = batch.where(~bad).withColumn("publishedAt", F.date_format(d, "yyyy-MM-dd"))
     new = new_by_key(ok, existing.select("url"), ["url"], list(order))

@@ -193,14 +193,14 @@ def site_top(roots: DataFrame, regular: DataFrame, k: int = 100, n: int = 20) ->
 def bot_share(roots: DataFrame, retweets: DataFrame, scores: DataFrame, k: int = 100,
               cut: float = 0.5) -> DataFrame:
     """Per top-k root, share of its collected retweets whose author
-    scores above ``cut`` (missing score = not a bot; an author counts once
-    per retweet). Retweets are first counted per (root, author), so a
+    scores above ``cut`` (missing score = not a bot; of several scores of an
+    author the greatest counts). Retweets are first counted per (root, author), so a
     prolific account is one row per root before the score join."""
     ranked = top_roots(roots, k).select("root_id")
     mine = roots.join(F.broadcast(ranked), "root_id", "left_semi")
     authored = mine.join(retweets.select("tweet_id", "author_id"), "tweet_id", "inner")
     per_author = authored.groupBy("root_id", "author_id").agg(F.count(F.lit(1)).alias("c"))
-    scored = per_author.join(scores.select("author_id", "score"), "author_id", "left")
+    scored = per_author.join(scores.groupBy("author_id").agg(F.max("score").alias("score")), "author_id", "left")
     return scored.groupBy("root_id").agg(
         F.round(F.sum(F.when(F.col("score") > cut, F.col("c")).otherwise(0)) / F.sum("c"), 6)
         .alias("bot_share"))

@@ -24,7 +24,7 @@ def plan_slices(ids: DataFrame, out: str, slices: int, key: str = "tweet_id") ->
         return
     ranged = ids.where(F.col(key).isNotNull()).select(key).distinct().repartitionByRange(slices, key)
     (ranged.withColumn("slice", F.spark_partition_id()).sortWithinPartitions(key)
-     .write.partitionBy("slice").mode("overwrite").parquet(f"{out}/plan"))
+     .write.partitionBy("slice").mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out}/plan"))
 
 
 def _done(spark: SparkSession, path: str) -> bool:

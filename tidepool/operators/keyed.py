@@ -8,6 +8,8 @@ costs one row per map task in the shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
@@ -29,12 +31,25 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return picked.select("_r.*")
 
 
+def has_key(keys: list[str]):
+    """Rows whose key columns are all there."""
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
 def append_new(batch: DataFrame, existing: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """K1: rows of ``batch`` to append - first per key within the batch,
-    and only keys not already stored (insert-or-ignore, no loss). Stored keys
-    go first, so the wide aggregation only sees new rows."""
-    fresh = batch.join(existing.select(*keys), keys, "left_anti")
-    return first_per_key(fresh.select(*batch.columns), keys, order)
+    and only keys not already stored (insert-or-ignore, no loss). The first per
+    key is combined in the tasks before any shuffle, so a hot key is one row a
+    task there and one row in the join. A row without a key (any key column
+    NULL) cannot be told from others: it is never appended; ``without_key``
+    gives these rows."""
+    first = first_per_key(batch.where(has_key(keys)), keys, order)
+    return first.join(existing.select(*keys), keys, "left_anti").select(*batch.columns)
+
+
+def without_key(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``batch`` that ``append_new`` leaves out for want of a key."""
+    return batch.where(~has_key(keys))
 
 
 def new_by_key(batch: DataFrame, existing: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -70,9 +85,10 @@ def unhydrated(ids: DataFrame, archive: DataFrame, key: str = "tweet_id") -> Dat
 
 
 def latest_per_key(updates: DataFrame, key: str, cols: list[str], seq: list[str]) -> DataFrame:
-    """Latest update per key: greatest ``seq`` wins."""
+    """Latest update per key: greatest ``seq`` wins, of equal ones the greatest
+    values."""
     agg = updates.groupBy(key).agg(
-        F.max_by(F.struct(*[F.col(c) for c in cols]), _order_struct(seq)).alias("_u"))
+        F.max_by(F.struct(*[F.col(c) for c in cols]), _order_struct([*seq, *cols])).alias("_u"))
     return agg.select(key, *[F.col(f"_u.{c}").alias(c) for c in cols])
 
 

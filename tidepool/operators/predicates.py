@@ -10,9 +10,8 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 from tidepool.functions.text import split_entities
 
@@ -134,71 +133,35 @@ def take_while_sorted(df: DataFrame, part: str, order: str, date: str,
                       num_partitions: int | None = None) -> DataFrame:
     """per ``part`` (NULL is a part of its own), rows in ``order`` up to
     (not including) the first row whose ``date`` is later than the row before
-    it.
+    it. Rows of equal order go by date, NULL first; a NULL date is never later
+    and no date is later than it. Rows without ``order`` are kept and are no
+    part of the scan.
 
     No window per part, so a part of any size spreads over many tasks: the
-    ``(part, order, date)`` keys are range-partitioned and sorted; each task
-    flags rises inside its slice with Arrow's exact comparisons; the first
-    row of a slice is compared with the last row of the previous non-empty
-    slice (one summary row per partition reaches the driver); the first rise
-    per part is a partially aggregated ``min``, and rows before it are kept
-    through a hot-key-safe lookup join."""
+    ``(part, order, date)`` keys are range-partitioned into slices and written;
+    a window over each slice flags rises inside it; the first row of a slice
+    is compared with the last row of the slice before (one summary row a
+    slice); the first rise per part is a partially aggregated ``min``, and rows
+    before it are kept through a hot-key-safe lookup join."""
+    from tidepool.operators.chains import cut_lineage
     from tidepool.operators.skew import lookup_join
-    from tidepool.session import checkpoint_dir
 
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = df.select(F.col(part).alias("p"), F.col(order).alias("o"), F.col(date).alias("d"))
-    ranged = keys.repartitionByRange(n, "p", "o").sortWithinPartitions("p", "o")
-    fields = {f.name: f.dataType for f in keys.schema.fields}
-    out_schema = StructType([StructField("kind", StringType()), StructField("pid", IntegerType()),
-                             StructField("p", fields["p"]), StructField("o", fields["o"]),
-                             StructField("d", fields["d"]), StructField("rise", BooleanType())])
-    checkpoint_dir(spark)
-    flagged = ranged.mapInArrow(_flag_rises, out_schema).checkpoint(eager=True)
-
-    lasts = sorted(((r.pid, r.p, r.d) for r in flagged.where("kind = 'last'").collect()), key=lambda r: r[0])
-    # for each partition holding rows: last row of the previous one
-    prev = [(lasts[i][0], lasts[i - 1][1], lasts[i - 1][2]) for i in range(1, len(lasts))]
-    prev_df = spark.createDataFrame(prev, StructType([
-        StructField("pid", IntegerType()), StructField("lp", fields["p"]), StructField("ld", fields["d"])]))
-    heads = flagged.where("kind = 'head'").join(F.broadcast(prev_df), "pid", "inner") \
-        .where(F.col("lp").eqNullSafe(F.col("p")) & (F.col("d") > F.col("ld")))
-    rises = flagged.where("kind = 'row' AND rise").select("p", "o").unionByName(heads.select("p", "o"))
-    first = rises.groupBy("p").agg(F.min("o").alias("_first"))
+    keys = df.select(F.col(part).alias("p"), F.col(order).alias("o"), F.col(date).alias("d")).where("o IS NOT NULL")
+    slices = cut_lineage(keys.repartitionByRange(n, "p", "o").withColumn("slice", F.spark_partition_id()))
+    at = Window.partitionBy("slice").orderBy("p", "o", "d")
+    before = slices.withColumn("_b", F.lag(F.struct("p", "d")).over(at))
+    later = F.col("_b").isNotNull() & F.col("_b.p").eqNullSafe(F.col("p")) & (F.col("d") > F.col("_b.d"))
+    inside = before.where(later).groupBy("p").agg(F.min(F.struct("o", "d")).alias("f"))
+    # one row a slice: its first row beside the last row of the slice before
+    ends = slices.groupBy("slice").agg(F.min(F.struct("p", "o", "d")).alias("head"), F.max(F.struct("p", "o", "d")).alias("last"))
+    ends = ends.withColumn("_b", F.lag("last").over(Window.orderBy("slice"))).select("head.*", "_b")
+    first = inside.unionByName(ends.where(later).select("p", F.struct("o", "d").alias("f"))).groupBy("p").agg(F.min("f").alias("_first"))
     # the NULL part matches no join key: its one row travels as a broadcast
     none = F.broadcast(first.where("p IS NULL").select(F.col("_first").alias("_null_first")))
     j = lookup_join(df, part, first.where("p IS NOT NULL").withColumnRenamed("p", "_fp"), "_fp", how="left") \
         .join(none, F.col(part).isNull(), "left")
     stop = F.coalesce("_first", "_null_first")
-    return j.where(stop.isNull() | F.col(order).isNull() | (F.col(order) < stop)).drop("_fp", "_first", "_null_first")
-
-
-def _flag_rises(batches):
-    """Rows of one sorted slice: rise = same part as the row before and a
-    later date; the slice's first row is a 'head' (its predecessor lives in
-    an earlier slice); one 'last' row summarises the slice's end."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
-    from pyspark import TaskContext
-    pid = TaskContext.get().partitionId()
-    carry = None
-    for b in batches:
-        n = b.num_rows
-        if not n:
-            continue
-        p, o, d = b.column("p"), b.column("o"), b.column("d")
-        before = carry or (p.slice(0, 1), d.slice(0, 1))
-        pp, dd = (pa.concat_arrays([x, y.slice(0, n - 1)]) for x, y in zip(before, (p, d), strict=True))
-        same = pc.or_(pc.fill_null(pc.equal(p, pp), False), pc.and_(pc.is_null(p), pc.is_null(pp)))
-        rise = pc.and_(same, pc.fill_null(pc.greater(d, dd), False))
-        kind = ["row"] * n
-        if carry is None:
-            kind[0] = "head"
-        carry = (p.slice(n - 1, 1), d.slice(n - 1, 1))
-        yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array([pid] * n, pa.int32()), p, o, d, rise],
-                                         names=["kind", "pid", "p", "o", "d", "rise"])
-        last_o = pa.nulls(1, o.type)
-    if carry is not None:
-        yield pa.RecordBatch.from_arrays([pa.array(["last"]), pa.array([pid], pa.int32()), carry[0], last_o, carry[1],
-                                          pa.array([False])], names=["kind", "pid", "p", "o", "d", "rise"])
+    here = F.struct(F.col(order).alias("o"), F.col(date).alias("d"))
+    return j.where(stop.isNull() | F.col(order).isNull() | (here < stop)).drop("_fp", "_first", "_null_first")

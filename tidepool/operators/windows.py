@@ -15,13 +15,16 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
+from tidepool.functions.dates import utc_day
 
 GROUP_LIMIT, SALTS = 1000, 64
 
 
-def _day(ts_col: str):
-    return F.to_date(F.col(ts_col))
+def _day(df: DataFrame, ts_col: str):
+    """UTC day of an instant; the written day of any other time."""
+    return utc_day(ts_col) if isinstance(df.schema[ts_col].dataType, TimestampType) else F.to_date(F.col(ts_col))
 
 
 def cap_per_day(df: DataFrame, ts_col: str, n: int, tie: str, newest_first: bool = False) -> DataFrame:
@@ -30,9 +33,9 @@ def cap_per_day(df: DataFrame, ts_col: str, n: int, tie: str, newest_first: bool
     order = [F.col(ts_col), F.col(tie)]
     if newest_first:
         order = [c.desc() for c in order]
-    w = Window.partitionBy(_day(ts_col)).orderBy(*order)
+    w = Window.partitionBy(_day(df, ts_col)).orderBy(*order)
     if n > GROUP_LIMIT:
-        part = Window.partitionBy(_day(ts_col), F.pmod(F.xxhash64(ts_col, tie), F.lit(SALTS))).orderBy(*order)
+        part = Window.partitionBy(_day(df, ts_col), F.pmod(F.xxhash64(ts_col, tie), F.lit(SALTS))).orderBy(*order)
         df = df.withColumn("_rn", F.row_number().over(part)).where(F.col("_rn") <= n).drop("_rn")
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 

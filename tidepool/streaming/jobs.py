@@ -250,13 +250,14 @@ def stream_update(updates: DataFrame, base_path: str, key: str, cols: list[str],
         if any(v > version for v in _committed(spark, base_path)):
             raise ValueError(f"{base_path} has versions after {version}: it belongs to another checkpoint")
         latest = batch.groupBy(key).agg(
-            F.max_by(F.struct(*cols), F.struct(*seq)).alias("_new"), F.max(F.struct(*seq)).alias("_at")).persist()
+            F.max_by(F.struct(*cols), F.struct(*seq, *cols)).alias("_new"), F.max(F.struct(*seq)).alias("_at")).persist()
         touched = [r[0] for r in latest.select(_bucket(key)).distinct().collect()]  # at most BUCKETS rows
         if touched:
             state = _state(spark, base_path, key, below=version).where(_bucket(key).isin(touched))
             if "_seq" not in state.columns:
                 state = state.withColumn("_seq", F.lit(None).cast(latest.schema["_at"].dataType))
-            newer = F.col("_at").isNotNull() & (F.col("_seq").isNull() | (F.col("_at") >= F.col("_seq")))
+            # of equal sequences the greatest values, as in the batch
+            newer = F.col("_at").isNotNull() & (F.col("_seq").isNull() | (F.struct("_at", "_new") > F.struct("_seq", F.struct(*cols))))
             out = [F.when(newer, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c)
                    for c in state.columns if c != "_seq"]
             (state.join(latest, key, "left").select(*out, F.when(newer, F.col("_at")).otherwise(F.col("_seq")).alias("_seq"))
