@@ -26,18 +26,38 @@ def test_rotation_keeps_lengths():
     assert np.allclose((x**2).sum(1), (y**2).sum(1)) and np.allclose(hadamard(y), x)
 
 
-@pytest.mark.parametrize("codes", [3, 4, 5])
-def test_recall_at_the_threshold(codes):
+@pytest.mark.parametrize("codes,dim,n", [(3, 64, 1000), (4, 64, 1000), (5, 64, 1000), (3, 256, 1000), (4, 256, 600), (3, 768, 400)])
+def test_recall_at_the_threshold(codes, dim, n):
     rng = np.random.default_rng(codes)
-    x = rng.normal(size=(1000, 64))
+    x = rng.normal(size=(n, dim))
     e = rng.normal(size=x.shape)
     x /= np.linalg.norm(x, axis=1)[:, None]
     e -= (e * x).sum(1)[:, None] * x
     y = 0.9 * x + np.sqrt(1 - 0.81) * e / np.linalg.norm(e, axis=1)[:, None]
-    a, b = (bucket_codes(z, codes).reshape(1000, -1) for z in (x, y))
+    a, b = (bucket_codes(z, codes).reshape(n, -1) for z in (x, y))
     assert np.mean([len(np.intersect1d(p, q)) > 0 for p, q in zip(a, b)]) >= 0.998
 
 
+def test_every_width_links(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for w, n in ((8, 90), (3, 40), (70, 30), (1, 5)):
+        base = rng.normal(size=(6, w))
+        rows += [(len(rows) + i, (base[i % 6] + rng.normal(size=w) * 0.04).tolist()) for i in range(n)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_near_duplicates(vectors(spark, rows), block=16).collect()}
+    link = {i: {j for j, y in rows if j != i and len(x) == len(y) and np.dot(*(np.float32(z).astype(float) / np.linalg.norm(np.float32(z).astype(float))
+            for z in (x, y))) >= 0.9} for i, x in rows}
+    for i, _ in rows:
+        met, todo = {i}, [i]
+        while todo:
+            new = link[todo.pop()] - met
+            met |= new
+            todo += new
+        assert got[i] == (len(link[i]), min(met))
+    few = vectors(spark, [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0]), (4, [1.0, 0.0, 0.0]), (5, [1.0, 0.0, 0.0])])
+    assert {r["vec_id"]: r["n_links"] for r in embedding_near_duplicates(few).collect()} == {1: 1, 2: 1, 3: 0, 4: 1, 5: 1}
+
+
 def test_vectors_match_sql(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(40, 8))

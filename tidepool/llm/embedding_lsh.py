@@ -6,8 +6,10 @@ rotated vector. One table joins ``hashes`` such codes to a bucket. Every
 vector enters, per table, its own bucket and the next best ones (multiprobe,
 ordered by how much the rotated vector would have to move). The number of
 codes follows the number of vectors, so that unrelated vectors rarely share a
-bucket, and tables and probes follow the codes, so that a pair at cosine 0.9
-in 64 dimensions meets with probability above 0.999 (tests measure it).
+bucket; probes follow the codes and tables the codes and the width
+(``tables_for``), so that a pair at cosine 0.9 meets with probability above
+0.999 (tests measure it at 64, 256 and 768 dimensions). Vectors of each width
+are compared among themselves, all by the same method.
 
 Exactly equal vectors are grouped first (partial aggregation), so a common
 vector is one node with a weight. Buckets with equal members are looked at
@@ -16,15 +18,17 @@ by their cosine in double precision and only a spanning forest leaves the
 task. Links are then counted within the components of that forest, in blocks
 of dot products: no list of pairs is ever made, and what is counted is exact.
 
-Defined cases: a vector that is null, empty, zero, holds a null or
-non-finite component, or whose length differs from the most common one (the
-largest of ties) links with nothing and is its own component; rows that
+Defined cases: a vector that is null, empty, zero, or holds a null or
+non-finite component links with nothing and is its own component; vectors of
+different widths do not link; rows that
 repeat a vec_id count once (the least vector of them is taken); null vec_ids
 give a row with null component. Labels and other columns are not read.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,7 +38,7 @@ from tidepool.llm.graph import components
 from tidepool.llm.grouped import by_group, forest
 from tidepool.llm.shared import block_pairs, pick, semi_join, written
 
-TABLES, PROBES = {3: 8, 4: 12, 5: 16}, {3: 8, 4: 16, 5: 32}  # by the number of codes
+TABLES, PROBES = {3: 8, 4: 12, 5: 16}, {3: 8, 4: 16, 5: 32}  # by the number of codes, at up to 64 dimensions
 BLOCK = 512
 _DEPTH = 6  # axes a code considers for probing
 
@@ -45,6 +49,11 @@ def codes_for(n: int, dim: int) -> int:
     return next((k for k in (3, 4) if (2 * d) ** k >= 16 * n), 5)
 
 
+def tables_for(codes: int, dim: int) -> int:
+    """Half as many tables again for each fourfold width beyond 64."""
+    return ceil(TABLES[codes] * 1.5 ** max(0.0, ((int(dim - 1).bit_length()) - 6) / 2))
+
+
 def hadamard(x: np.ndarray) -> np.ndarray:
     """Normalised Walsh-Hadamard transform of the rows (a power of two wide)."""
     n, d = x.shape
@@ -59,8 +68,8 @@ def hadamard(x: np.ndarray) -> np.ndarray:
 def bucket_codes(x: np.ndarray, codes: int = 3, tables: int | None = None, probes: int | None = None,
                  seed: int = 5) -> np.ndarray:
     """Bucket keys (n, tables, probes) of unit vectors, best bucket first."""
-    tables, probes = tables or TABLES[codes], probes or PROBES[codes]
     n, dim = x.shape
+    tables, probes = tables or tables_for(codes, dim), probes or PROBES[codes]
     d = 1 << max(int(dim - 1).bit_length(), 1)
     x = np.pad(x, ((0, 0), (0, d - dim)))
     depth = min(_DEPTH, d)
@@ -86,39 +95,43 @@ def bucket_codes(x: np.ndarray, codes: int = 3, tables: int | None = None, probe
     return out
 
 
-def _unit(col, dim: int) -> np.ndarray:
+def _unit(col) -> np.ndarray:
+    """Unit vectors of a column whose vectors have one width."""
     v = np.asarray(col.combine_chunks().flatten() if isinstance(col, pa.ChunkedArray) else col.flatten(), np.float64)
-    v = v.reshape(-1, dim)
+    v = v.reshape(len(col), -1)
     v = v / np.abs(v).max(axis=1, keepdims=True)  # no overflow of the squares
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def _buckets(nodes: DataFrame, dim: int, codes: int, seed: int) -> DataFrame:
+def _buckets(nodes: DataFrame, codes: dict[int, int], seed: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
-                k = bucket_codes(_unit(part.column("v"), dim), codes, seed=seed)
-                k = k.reshape(len(k), -1)
-                ids = np.repeat(np.asarray(part.column("node")), k.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(k.ravel()), pa.array(ids)], names=["key", "node"])
-    return nodes.select("node", "v").mapInArrow(run, "key long, node long")
-
-
-def _edges(buckets: DataFrame, dim: int, threshold: float) -> DataFrame:
+            widths = np.asarray(batch.column("v").value_lengths())
+            for w in np.unique(widths).tolist():
+                own = batch.take(pa.array(np.flatnonzero(widths == w)))
+                for lo in range(0, own.num_rows, 1024):
+                    part = own.slice(lo, 1024)
+                    k = bucket_codes(_unit(part.column("v")), codes[w], seed=seed).reshape(part.num_rows, -1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(k.size, w, np.int32)), pa.array(k.ravel()),
+                         pa.array(np.repeat(np.asarray(part.column("node")), k.shape[1]))], names=["width", "key", "node"])
+    return nodes.select("node", "v").mapInArrow(run, "width int, key long, node long")
+
+
+def _edges(buckets: DataFrame, threshold: float) -> DataFrame:
     def one(group: pa.Table):
-        ids, v = np.asarray(group.column("node")), _unit(group.column("v"), dim)
+        ids, v = np.asarray(group.column("node")), _unit(group.column("v"))
         e = forest(len(ids), lambda i, others: v[others] @ v[i] >= threshold)
         if e:
             e = np.array(e)
             yield pa.RecordBatch.from_arrays([pa.array(ids[e[:, 0]]), pa.array(ids[e[:, 1]])], names=["a", "b"])
-    return by_group(buckets, ["key", "_bi", "_bj"], one, "a long, b long")
+    return by_group(buckets, ["width", "key", "_bi", "_bj"], one, "a long, b long")
 
 
-def _weights(members: DataFrame, dim: int, threshold: float) -> DataFrame:
+def _weights(members: DataFrame, threshold: float) -> DataFrame:
     def one(group: pa.Table):
         ids, copies, own = (np.asarray(group.column(c)) for c in ("node", "copies", "_b"))
-        v = _unit(group.column("v"), dim)
+        v = _unit(group.column("v"))
         link = v @ v.T >= threshold
         np.fill_diagonal(link, False)
         if group.column("_bi")[0].as_py() != group.column("_bj")[0].as_py():
@@ -144,28 +157,25 @@ def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector
     base = base.withColumn("v", F.when(good, plain))
     base = written(base.withColumn("k1", F.xxhash64("v")).withColumn("k2", F.xxhash64(F.lit(7), F.col("v"))), "vectors")
     usable = base.where("v is not null and vec_id is not null")
-    dims = usable.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    dim = dims["d"] if dims else 1
-    usable = usable.where(F.size("v") == dim)
-
     classes = written(usable.groupBy("k1", "k2").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "classes")
     reps = written(classes.join(usable.select(F.col("vec_id").alias("node"), "v"), "node")
                    .select("node", "copies", "v"), "representatives")
-    buckets = _buckets(reps, dim, codes or codes_for(reps.count(), dim), seed)
-    shared = (buckets.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"),
-                                         F.bit_xor(F.xxhash64("node")).alias("x")).where("n > 1")
-              .groupBy("n", "lo", "hi", "x").agg(F.min("key").alias("key")).select("key", "n"))
-    inside = block_pairs(buckets.join(shared, "key"), ["key"], "n", "node", block)
-    inside = inside.select("key", "_bi", "_bj", "node").join(reps.select("node", "v"), "node")
-    comp = components(_edges(inside, dim, threshold), "a", "b")
+    widths = {r["w"]: r["n"] for r in reps.groupBy(F.size("v").alias("w")).agg(F.count("*").alias("n")).collect()}  # a row a width
+    buckets = _buckets(reps, {w: codes or codes_for(n, w) for w, n in widths.items()}, seed)
+    shared = (buckets.groupBy("width", "key").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"),
+                                                  F.bit_xor(F.xxhash64("node")).alias("x")).where("n > 1")
+              .groupBy("width", "n", "lo", "hi", "x").agg(F.min("key").alias("key")).select("width", "key", "n"))
+    inside = block_pairs(buckets.join(shared, ["width", "key"]), ["width", "key"], "n", "node", block)
+    inside = inside.select("width", "key", "_bi", "_bj", "node").join(reps.select("node", "v"), "node")
+    comp = components(_edges(inside, threshold), "a", "b")
     sized = written(comp.join(comp.groupBy("root").agg(F.count("*").alias("size")), "root"), "members")
     members = semi_join(reps, "node", sized, sized.count(), extra=True)
-    weights = _weights(block_pairs(members, ["root"], "size", "node", block), dim, threshold)
+    weights = _weights(block_pairs(members, ["root"], "size", "node", block), threshold)
     weights = weights.groupBy("node").agg(F.sum("weight").alias("weight"))
     full = (classes.join(weights, "node", "left").join(comp, "node", "left")
             .select("k1", "k2", (F.col("copies") - 1 + F.coalesce("weight", F.lit(0))).alias("n_links"),
                     F.coalesce("root", "node").alias("component_id")))
-    fits = (F.size("v") == dim) & F.col("vec_id").isNotNull()
+    fits = F.col("v").isNotNull() & F.col("vec_id").isNotNull()
     keyed = base.select("vec_id", F.when(fits, F.col("k1")).alias("k1"), F.when(fits, F.col("k2")).alias("k2"))
     return (keyed.join(full, ["k1", "k2"], "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
