@@ -38,7 +38,9 @@ from tidepool.operators.skew import lookup_join
 from tidepool.session import scratch_path
 
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+# read when a query starts; no room is set aside for logs before they are written
+STATE = {"spark.sql.streaming.stateStore.providerClass": STORE,
+         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 BLANKS = " \t\n\x0b\f\r"
 LOCATORS = 200_000  # (file, row, digest) that may be broadcast, some 40 MB; more are shuffled
 
@@ -87,13 +89,18 @@ def ingest(spark: SparkSession, source: str, folder: str, id_col: str = "doc_id"
     def keep(touched: DataFrame, epoch: int) -> None:
         touched.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{folder}/groups/{epoch:08d}")
 
-    before = spark.conf.get(_PROVIDER)
-    spark.conf.set(_PROVIDER, STORE)  # read when a query starts
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         _ended(state.writeStream.outputMode("update").foreachBatch(keep)
                .option("checkpointLocation", f"{folder}/progress/groups").trigger(availableNow=True).start())
     finally:
-        spark.conf.set(_PROVIDER, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def groups(spark: SparkSession, folder: str) -> DataFrame:
