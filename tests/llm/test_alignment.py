@@ -1,6 +1,7 @@
 """Operator 13 against a plain alignment of whole texts, token by token."""
 
 import hashlib
+import json
 from collections import Counter
 
 import public_tokenizers
@@ -10,6 +11,7 @@ from tokenizers import Tokenizer
 
 from tests.conftest import SF001
 from tidepool.llm import token_alignment as ta
+from tidepool.llm.packing import byte_ranks
 
 A, B = str(public_tokenizers.path("byte_bpe_50k.json")), str(public_tokenizers.path("piece_bpe_32k.model"))
 COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
@@ -103,6 +105,17 @@ def test_whole_texts_where_units_are_not_safe(plain):
     assert all((p == q).all() for k in x[2] for p, q in zip(x[2][k], y[2][k], strict=True))
 
 
+def test_only_a_file_in_merge_order_is_read_by_ranks():
+    with open(A, encoding="utf-8") as f:
+        spec = json.load(f)
+    assert len(byte_ranks(spec)) == 50256
+    model = spec["model"]
+    for change in ({"merges": [*model["merges"][1:], model["merges"][0]]}, {"merges": model["merges"][:-1]}, {"byte_fallback": True},
+                   {"unk_token": "?"}, {"ignore_merges": True}, {"continuing_subword_prefix": "##"}):
+        assert byte_ranks({**spec, "model": model | change}) is None
+    assert byte_ranks({**spec, "normalizer": {"type": "NFC"}}) is None
+
+
 def test_hot_text_and_empty_table(spark, plain):
     docs = [(i, "the same words, again and again") for i in range(300)] + [(i, f"text number {i}") for i in range(300, 420)]
     d = spark.createDataFrame(docs, "doc_id long, text string")

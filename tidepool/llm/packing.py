@@ -56,13 +56,9 @@ def encoder(path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        plain = spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True,
-                                          "use_regex": True} and spec["normalizer"] is None and not any(
-            t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"])
+        ranks = byte_ranks(spec)
         fast = None
-        if plain:
-            back = {c: b for b, c in _byte_characters().items()}
-            ranks = {bytes(back[c] for c in word): i for word, i in spec["model"]["vocab"].items() if word not in special}
+        if ranks is not None:
             fast = tiktoken.Encoding("vocabulary", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens=special)
         allowed = set(special)
 
@@ -77,6 +73,29 @@ def encoder(path: str):
     return _LOADED[path]
 
 
+def byte_ranks(spec: dict) -> dict[bytes, int] | None:
+    """Id of each word's bytes, if the vocabulary file is such that merging by
+    lowest id first is the file's own rule: plain byte-level BPE whose merges
+    come in the order of their ids; else None."""
+    model = spec["model"]
+    special = {t["content"] for t in spec["added_tokens"]}
+    plain = spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} \
+        and spec["normalizer"] is None and model.get("type", "BPE") == "BPE" \
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"]) \
+        and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix",
+                                           "fuse_unk", "byte_fallback", "ignore_merges"))
+    if not plain:
+        return None
+    vocab = model["vocab"]
+    made = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    ids = [vocab.get(w, -1) for w in made]
+    back = {c: b for b, c in _byte_characters().items()}
+    words = {w: i for w, i in vocab.items() if w not in special}
+    if any(a >= b for a, b in zip(ids, ids[1:])) or min(ids, default=0) < 0 or set(words) - set(made) != set(back):
+        return None
+    return {bytes(back[c] for c in w): i for w, i in words.items()}
+
+
 # Byte-level vocabularies write each byte as a printable character: printable
 # Latin-1 bytes as themselves, the others from U+0100 on, in order.
 def _byte_characters() -> dict[int, str]:

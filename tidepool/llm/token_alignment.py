@@ -17,8 +17,10 @@ Texts are encoded in units: a text is cut before a single space between two
 other characters. No piece of B goes on after a space and A's words end there
 (``_Pair`` checks both in the files and takes whole texts where they don't
 hold), so tokens, groups and links of a text are those of its units in order.
-A worker keeps the units it knows, up to ``UNITS``, and encodes new ones with
-the two libraries. Documents are encoded once; what is needed later is written.
+A worker keeps the units it knows, up to ``UNITS``, and encodes new ones: for
+B with sentencepiece, for A, if they are of plain characters only, with the
+faster of the two libraries that read its vocabulary (see ``packing``; tests
+compare the ids), else with ``tokenizers``. Documents are encoded once; what is needed later is written.
 
 Defined cases: a null or empty text, or one whose joined token bytes differ
 from space+text in either tokenizer (an unknown token, a normalised or literal
@@ -41,11 +43,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.packing import _byte_characters
+from tidepool.llm.packing import _PLAIN, _SPLIT, _byte_characters, byte_ranks
 from tidepool.llm.shared import pick, semi_join, session, written
 from tidepool.session import scratch_path
 
-UNITS, UNIT_CHARS = 150_000, 16_000_000  # units a worker keeps; beyond either it starts anew
+UNITS, UNIT_CHARS = 300_000, 16_000_000  # units a worker keeps; beyond either it starts anew
 SLICE_CHARS = 1_000_000  # texts aligned at a time (one text at least)
 PAIRS = 200_000  # distinct irregular pairs a task combines before it hands them on
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -59,6 +61,7 @@ class _Pair:
         self.most = units
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
@@ -76,6 +79,9 @@ class _Pair:
             spec = json.load(f)
         byte_level = spec["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True,
                                                "use_regex": True} and spec["normalizer"] is None
+        self.decimal = [str(i) for i in range(max(len(self.bytes_a), self.n_b))]
+        ranks = byte_ranks(spec)
+        self.fast = tiktoken.Encoding("vocabulary", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={}) if ranks else None
         self.by_unit = byte_level and not any(re.search("[^▁]▁", p) for p in pieces)
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         self.same = identity_map(self.bytes_a, self.bytes_b)
@@ -92,15 +98,28 @@ class _Pair:
         return _CUT.split(" " + text) if self.by_unit else [" " + text]
 
     def learn(self, units: list[str]) -> None:
-        """Encode and align these new units."""
+        """Encode and align these new units. Plain ones are joined and encoded
+        together: they start with a space before another character and end
+        without one, so tokens end where units end."""
         at = len(self.known)
-        ids_a = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
-        ids_b = self.b.encode([u[1:] for u in units])
-        good = [b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b))
-                for a, b, raw in zip(ids_a, ids_b, (u.encode() for u in units), strict=True)]
-        ids_a, ids_b = ([x if ok else [] for x, ok in zip(ids, good, strict=True)] for ids in (ids_a, ids_b))
-        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
-        flat_a, flat_b = (np.array([i for x in ids for i in x], np.int64) for ids in (ids_a, ids_b))
+        joined = [u for u in units if self.fast and len(u) < 1000 and not u[1:2].isspace() and not u[-1].isspace() and _PLAIN.fullmatch(u)]
+        found, rest = [], sorted(set(units).difference(joined))
+        for lo in range(0, len(joined), 4096):
+            some = joined[lo:lo + 4096]
+            got = self._joined(some)
+            found += [(some, *got)] if got else []
+            rest += [] if got else some
+        if rest:
+            ids_a = [e.ids for e in self.a.encode_batch(rest, add_special_tokens=False)]
+            ids_b = self.b.encode([u[1:] for u in rest])
+            good = [b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b))
+                    for a, b, raw in zip(ids_a, ids_b, (u.encode() for u in rest), strict=True)]
+            ids_a, ids_b = ([x if ok else [] for x, ok in zip(ids, good, strict=True)] for ids in (ids_a, ids_b))
+            n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b))
+            flat_a, flat_b = (np.array([i for x in ids for i in x], np.int64) for ids in (ids_a, ids_b))
+            found.append((rest, flat_a, flat_b, n_a, n_b, np.array(good, bool)))
+        units = [u for f in found for u in f[0]]
+        flat_a, flat_b, n_a, n_b, good = (np.concatenate([f[i] for f in found]) for i in range(1, 6))
         end_a, end_b = np.cumsum(self.size_a[flat_a]), np.cumsum(self.size_b[flat_b])
         ends = np.intersect1d(end_a, end_b, assume_unique=True)  # each unit's end is one of them
         group_a, group_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
@@ -114,13 +133,13 @@ class _Pair:
         mark_a[last_a], mark_b[last_b] = "|", ";"
         order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
         ids = np.concatenate([flat_a, flat_b])[order].tolist()
-        words = [f"{i}{m}" for i, m in zip(ids, np.concatenate([mark_a, mark_b])[order].tolist(), strict=True)]
+        words = [self.decimal[i] + m for i, m in zip(ids, np.concatenate([mark_a, mark_b])[order].tolist(), strict=True)]
         cut = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
         self.groups += ["".join(words[lo:hi])[:-1] for lo, hi in zip(cut, cut[1:])]
 
         stop = at + len(units)
         self.sums = _room(self.sums, stop)
-        self.sums[:, at:stop] = n_a, n_b, np.bincount(unit_of, minlength=len(units)), ~np.array(good, bool)
+        self.sums[:, at:stop] = n_a, n_b, np.bincount(unit_of, minlength=len(units)), ~good
         for kind, take, value in (("regular", regular, link_a), ("irregular", ~regular, link_a * self.n_b + link_b)):
             start, flat = self.links[kind]
             start = _room(start, stop + 1)
@@ -132,6 +151,23 @@ class _Pair:
             self.known[u] = at + k
             self.chars += len(u)
 
+    def _joined(self, units: list[str]):
+        """(ids of A, of B, tokens a unit of A, of B, True), or None if the
+        bytes differ or a token goes over the end of a unit."""
+        text = "".join(units)
+        raw, ends = text.encode(), np.cumsum([len(u.encode()) for u in units])
+        out = []
+        for ids, of, size in ((self.fast.encode_to_numpy(text, allowed_special=set(), disallowed_special=()), self.bytes_a, self.size_a),
+                              (self.b.encode(text[1:]), self.bytes_b, self.size_b)):
+            flat = np.asarray(ids, np.int64)
+            end = np.cumsum(size[flat])
+            n = np.searchsorted(end, ends)
+            if b"".join(map(of.__getitem__, flat.tolist())) != raw or (end[n] != ends).any():
+                return None
+            out.append((flat, np.diff(n + 1, prepend=0)))
+        (a, n_a), (b, n_b) = out
+        return a, b, n_a, n_b, np.ones(len(units), bool)
+
     def align(self, texts: list[str | None]):
         """Per text: (tokens of A, of B, groups) as an array, the digest of
         its groups, and its (text, link, times) of either kind, by text."""
