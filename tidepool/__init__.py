@@ -23,10 +23,13 @@ from tidepool.operators.articles import load_articles
 from tidepool.operators.chains import (bot_share, chain_summary, collection_gap, ingest_closure,
                                        parent_kind, resolve_roots, retweets_per_root, root_details,
                                        site_top, top_roots, topk_words)
+from tidepool.operators.edge_index import index_edges, refresh_archive, saved_posts, walk_indexed
 from tidepool.operators.html_extract import (extract_articles, extract_links, listing_cards,
-                                             listing_links, next_link, rules_frame)
+                                             listing_links, next_link, ordered_links, rules_frame)
+from tidepool.operators.hydration import hydrate_slices, hydrated
 from tidepool.operators.keyed import (append_new, assign_ids, ensure_column, hydrate, new_by_key,
-                                      orphans, retweet_ids, unhydrated, update_by_key, write_append)
+                                      orphans, retweet_ids, unhydrated, update_by_key, without_key, write_append)
+from tidepool.operators.listing_walk import walk_links, walk_pages
 from tidepool.operators.parse import (extract_media, join_entities, parse_retweet_v1, parse_tweet_v1,
                                       parse_tweet_v2, route_media, split_valid)
 from tidepool.operators.predicates import (any_term, has_all_tags, has_links, lang_is, match_rules,
