@@ -49,7 +49,21 @@ def test_very_long_text_is_read_whole():
     whole = next(tk.word_slices(pa.array([text])))[2]
     cut = next(tk.word_slices(pa.array([text]), limit=100))[2]
     assert len(whole) == 3000 and (whole == cut).all()
-    assert len(next(tk.word_slices(pa.array(["x" * 1000]), limit=100))[2]) == 10  # one endless word is cut
+    assert len(next(tk.word_slices(pa.array(["x" * 1000 + " y"]), limit=100))[2]) == 2  # an endless word is one word
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab,。、—日本語é ’Ω 1"), min_size=30, max_size=400), st.integers(3, 64))
+def test_long_texts_are_cut_between_words(text, limit):
+    whole = next(tk.word_slices(pa.array([text])))[2]
+    cut = next(tk.word_slices(pa.array([text]), limit=limit))[2]
+    assert len(whole) == len(words(text)) and (whole == cut).all()
+
+
+def test_long_texts_without_blanks():
+    for text in ("日本語、" * 120_000, "abcde," * 140_000, "漢" * 400_000 + "。字", "é—" * 200_000):
+        got = next(tk.word_slices(pa.array([text])))[2]
+        assert len(got) == len(words(text))
 
 
 def test_minhash_estimates_jaccard_and_blocks_agree():

@@ -6,8 +6,8 @@ and U+3000-U+303F (signs, spaces, dashes, quotes, CJK punctuation) separate
 words like ASCII punctuation does. ``WORD_RE`` says the same as a pattern.
 
 Whole texts are processed, in slices of about 256 KB so that the
-temporary arrays stay bounded whatever the size of a text. Words longer than
-one slice (256 KB without any separator) are cut at the slice end.
+temporary arrays stay bounded whatever the size of a text. Texts are cut only
+between words, so a word longer than a slice is one slice with its surroundings.
 """
 
 from __future__ import annotations
@@ -141,12 +141,20 @@ def _hash_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _cuts(data: np.ndarray, limit: int) -> list[int]:
-    """Where one long text is cut: after separators, at most ``limit`` apart."""
+    """Where one long text is cut: after whole characters that are in no word,
+    ``limit`` apart or more where a word is longer than that."""
     cuts, at, n = [0], 0, len(data)
     while n - at > limit:
-        stop = at + limit
-        seps = np.flatnonzero(data[at:stop] <= 0x20)
-        at = at + int(seps[-1]) + 1 if len(seps) else stop
+        width, ends = limit, ()
+        while not len(ends) and at + width < n:
+            part = data[at:at + width + 3]  # the last character is seen whole
+            free = ~_is_word(part)
+            free[:-1] &= (part[1:] & 0xC0) != 0x80
+            ends = np.flatnonzero(free[:width])
+            width *= 2
+        if not len(ends):
+            break
+        at += int(ends[-1]) + 1
         cuts.append(at)
     return [*cuts, n]
 
