@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF001, SF01
 from tests.llm.helpers import norm, same_as_sql
@@ -110,6 +111,51 @@ def test_decontamination_in_chunks(spark, odd, monkeypatch):
     assert norm(contaminated_pairs(odd, items).toPandas()) == whole and len(whole[0]) > 20
 
 
+def test_item_texts_under_many_ids_are_indexed_once(spark, odd, monkeypatch):
+    from tidepool.llm import decontaminate as dc
+    long_, short = " ".join(BASE[:30]), " ".join(BASE[5:17])
+    items = spark.range(3000).select(F.col("id").alias("item_id"), F.lit(long_).alias("text")).unionByName(
+        spark.createDataFrame([(9000, short), (9001, short), (None, short), (9002, None)], "item_id long, text string"))
+    texts, members = dc.item_texts(items)
+    monkeypatch.setattr(dc, "CHUNK_BYTES", len(long_))  # each text is a chunk of its own
+    indexes = dc.text_indexes(texts)
+    assert sorted(len(i.value.sets) for i in indexes) == [1, 1] and members.count() == 3003
+    plain = odd.where("doc_id is not null")
+    same_as_sql(spark, oracle.OP9, dc.contaminated_pairs(plain, items.where("item_id is not null")),
+                documents=plain.select("doc_id", "text"), benchmark=items)
+    nulls = dc.contaminated_pairs(plain, items).where("item_id is null")
+    assert 0 < nulls.count() == nulls.select("doc_id").distinct().count()
+
+
+def test_chunks_hold_their_bounds(spark, monkeypatch):
+    from tidepool.llm import decontaminate as dc
+    rows = [(bytes([i]), "w" * (10 * i)) for i in range(40)] + [(b"big", "x" * 5000)]
+    texts = spark.createDataFrame(rows, "key binary, text string")
+    monkeypatch.setattr(dc, "CHUNK_BYTES", 600)
+    monkeypatch.setattr(dc, "CHUNK_ITEMS", 5)
+    parts, used = dc._chunks(texts)
+    got = texts.groupBy(F.pmod(F.xxhash64("key"), F.lit(parts)).alias("p")).agg(
+        F.count("*").alias("n"), F.sum(F.length("text")).alias("size")).collect()
+    assert sorted(r["p"] for r in got) == used and sum(r["n"] for r in got) == 41
+    assert all(r["n"] == 1 or (r["n"] <= 5 and r["size"] <= 600) for r in got)
+    assert dc._chunks(texts.limit(0)) == (1, [])
+
+
+def test_training_sample_keeps_to_its_bytes(spark):
+    from tidepool.llm.labelled import fetch, within_budget
+    assert within_budget([(0, 1, 50), (0, 2, 60), (1, 3, 100), (0, 4, 50), (1, 5, 1), (0, 6, 0)], 100) == [1, 3, 4, 6]
+    rows = [(i, i % 2, np.full(i, i, np.uint64).tobytes()) for i in range(40)] + [(99, 1, np.zeros(10_000, np.uint64).tobytes())]
+    sample = spark.createDataFrame(rows, "doc_id long, label int, f binary")
+    every = fetch(sample, {"f": np.uint64})
+    assert [len(f) for _, f in every] == [*range(40), 10_000]
+    some = fetch(sample, {"f": np.uint64}, budget=800)
+    kept = {(y, len(f)) for y, f in some}
+    assert all(sum(8 * n for y, n in kept if y == k) <= 800 for k in (0, 1)) and {y for y, _ in kept} == {0, 1}
+    assert kept < {(y, len(f)) for y, f in every} and some[0][0] == 0
+    assert [f.tolist() for _, f in fetch(sample.repartition(7), {"f": np.uint64}, budget=800)] == [f.tolist() for _, f in some]
+    assert fetch(sample.limit(0), {"f": np.uint64}) == []
+
+
 def test_licence_digests(spark, odd):
     mit = dict(KNOWN)["MIT"]
     rows = [(1, "Copyright (c) 2020 A. Author\n\n" + mit), (2, mit.upper().replace(",", " ;")), (3, mit + " x"), (4, None), (5, ""),
@@ -138,6 +184,10 @@ def test_notices_and_full_texts_are_reported(spark):
     assert got[None] == (None, ["MIT-notice"]) and len(got) == len(rows)
     same_as_sql(spark, oracle.OP5, license_scan(d), documents=d.select("doc_id", "text"))
     assert QUERIES["op5_license_notices"](spark, SF001).count() == spark.read.parquet(f"{SF001}/documents.parquet").count()
+    joined = license_report(d).withColumn("notices", F.concat_ws(",", "notices"))
+    same_as_sql(spark, oracle.OP5_NOTICES, joined, documents=d.select("doc_id", "text"))
+    same_as_sql(spark, oracle.OP5_NOTICES, QUERIES["op5_license_notices"](spark, SF001), documents=f"{SF001}/documents.parquet")
+    assert license_report(d.limit(0)).count() == 0
 
 
 def test_shards_are_contiguous_and_balanced(spark, odd):

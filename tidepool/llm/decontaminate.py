@@ -11,10 +11,12 @@ block equals the item's with probability above 0.999998. Minima of larger
 blocks are minima of smaller ones, so the text is hashed once.
 
 Any equal value makes a candidate; each candidate is verified exactly by the
-shingles of the whole document. The index of the items is broadcast in
-chunks of bounded size (``CHUNK_ITEMS`` items, ``CHUNK_BYTES`` of text); a
-larger benchmark takes one pass over the documents for each chunk. Documents
-are never shuffled.
+shingles of the whole document. Equal item texts are grouped first (partial
+aggregation), so the index holds each text once, however many ids have it; the
+ids are joined to the texts found. The index is broadcast in chunks whose size
+is counted (``CHUNK_ITEMS`` texts, ``CHUNK_BYTES`` of text; only a single text
+beyond that is a chunk of its own); a larger benchmark takes one pass over the
+documents for each chunk. Documents are never shuffled.
 
 Defined cases: items without words find nothing; an item of one to four
 words has one shingle of all its words and is found only in a document of
@@ -25,6 +27,8 @@ equal result rows are given once. Extra columns are carried or ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.llm import textkernel as tk
-from tidepool.llm.shared import pick
+from tidepool.llm.shared import pick, written
 
 HASHES, SMALLEST = 64, 8
 CHUNK_ITEMS, CHUNK_BYTES = 20_000, 32 << 20
@@ -114,26 +118,44 @@ class Index:
             yield lo, hi - lo, out
 
 
-def item_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text", shingle: int = 5,
-                 threshold: float = 0.8, seed: int = 9) -> list:
-    """Broadcast indexes of the items, in chunks of bounded size."""
+def item_texts(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(key, text) of every distinct text and (key, item_id) of every item; the
+    key is the digest of the text."""
     base = pick(items, {"item_id": id_col, "text": text_col}).where("text is not null")
-    n, size = base.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    chunks = max(1, -(-n // CHUNK_ITEMS), -(-size // CHUNK_BYTES))
+    base = base.withColumn("key", F.unhex(F.sha2("text", 256)))
+    return base.groupBy("key").agg(F.min("text").alias("text")), base.select("key", "item_id").distinct()
+
+
+def _chunks(texts: DataFrame) -> tuple[int, list[int]]:
+    """(parts, parts in use): the fewest parts, doubling, so that the texts of
+    each are within the bounds, or are a single text."""
+    n, size = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    parts = max(1, -(-n // CHUNK_ITEMS), -(-size // CHUNK_BYTES))
+    while True:
+        sizes = (texts.groupBy(F.pmod(F.xxhash64("key"), F.lit(parts)).alias("part"))
+                 .agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size")).collect())  # a row a part
+        if all(r["n"] == 1 or (r["n"] <= CHUNK_ITEMS and r["size"] <= CHUNK_BYTES) for r in sizes):
+            return parts, sorted(r["part"] for r in sizes)
+        parts *= 2
+
+
+def text_indexes(texts: DataFrame, shingle: int = 5, threshold: float = 0.8, seed: int = 9) -> list:
+    """Broadcast indexes of distinct texts, in chunks of bounded size."""
+    texts = written(texts, "items")
+    parts, used = _chunks(texts)
     out = []
-    for c in range(chunks):
-        part = base.where(F.pmod(F.xxhash64("text"), F.lit(chunks)) == c).distinct().collect()
-        index = Index([r["item_id"] for r in part], [r["text"] for r in part], shingle, threshold, seed)
-        out.append(items.sparkSession.sparkContext.broadcast(index))
+    for c in used:
+        part = texts.where(F.pmod(F.xxhash64("key"), F.lit(parts)) == c).collect()
+        index = Index([bytes(r["key"]) for r in part], [r["text"] for r in part], shingle, threshold, seed)
+        out.append(texts.sparkSession.sparkContext.broadcast(index))
     return out
 
 
-def find_items(docs: DataFrame, indexes: list, id_type: T.DataType, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, shared, item_shingles, containment) of every document
-    and item found in it."""
+def find_texts(docs: DataFrame, indexes: list, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, key, shared, item_shingles) of every document and item text
+    found in it."""
     base = pick(docs, {"doc_id": id_col, "text": text_col})
-    schema = T.StructType([T.StructField("doc_id", base.schema["doc_id"].dataType), T.StructField("item_id", id_type),
+    schema = T.StructType([T.StructField("doc_id", base.schema["doc_id"].dataType), T.StructField("key", T.BinaryType()),
                            T.StructField("shared", T.LongType()), T.StructField("item_shingles", T.LongType())])
 
     def one(sent):
@@ -144,24 +166,27 @@ def find_items(docs: DataFrame, indexes: list, id_type: T.DataType, id_col: str
                     if hits:
                         ids = batch.column("doc_id").take(pa.array([lo + r for r, _, _ in hits]))
                         yield pa.RecordBatch.from_arrays(
-                            [ids, pa.array([index.ids[i] for _, i, _ in hits], item_type),
+                            [ids, pa.array([index.ids[i] for _, i, _ in hits], pa.binary()),
                              pa.array([s for _, _, s in hits], pa.int64()),
                              pa.array([len(index.sets[i]) for _, i, _ in hits], pa.int64())], names=schema.names)
         return base.mapInArrow(run, schema)
 
-    from pyspark.sql.pandas.types import to_arrow_type
-    item_type = to_arrow_type(id_type)
-    got = one(indexes[0])
-    for sent in indexes[1:]:
-        got = got.unionByName(one(sent))
-    return got.distinct().withColumn("containment", F.col("shared") / F.col("item_shingles"))
+    if not indexes:
+        return base.limit(0).select("doc_id", F.lit(b"").alias("key"), F.lit(0).cast("long").alias("shared"),
+                                    F.lit(0).cast("long").alias("item_shingles"))
+    return reduce(DataFrame.unionByName, [one(sent) for sent in indexes])
 
 
 def contaminated_pairs(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        item_id: str = "item_id", item_text: str = "text", **options) -> DataFrame:
-    """``find_items`` over all documents and all items."""
-    indexes = item_indexes(items, item_id, item_text, **options)
-    return find_items(docs, indexes, items.schema[item_id].dataType, id_col, text_col)
+    """(doc_id, item_id, shared, item_shingles, containment) of every document
+    and item found in it."""
+    texts, members = item_texts(items, item_id, item_text)
+    found = find_texts(docs, text_indexes(texts, **options), id_col, text_col)
+    # written, so that Spark knows the size by which it chooses the join
+    return (found.distinct().join(written(members, "item_ids"), "key")
+            .select("doc_id", "item_id", "shared", "item_shingles").distinct()
+            .withColumn("containment", F.col("shared") / F.col("item_shingles")))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
@@ -169,7 +194,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
     """``docs``, all columns, without the documents that hold an item. One
     pass for each chunk of items, nothing is shuffled."""
     at = docs.columns.index(text_col)
-    for sent in item_indexes(items, item_id, item_text, **options):
+    texts, _ = item_texts(items, item_id, item_text)
+    for sent in text_indexes(texts, **options):
         def run(batches, sent=sent):
             index = sent.value
             for batch in batches:

@@ -12,6 +12,9 @@ from tidepool.llm.shared import pick, written
 
 # Training reads at most this many documents of each class; scoring reads all.
 PER_CLASS = 3000
+# and at most this many bytes of their features, so that the driver's memory
+# has a bound whatever the length of the texts.
+CLASS_BYTES = 64 << 20
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, usable: Callable[[Column], Column],
@@ -30,15 +33,37 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, usable:
     return base.join(chosen, "doc_id").dropDuplicates(["doc_id"])
 
 
-def fetch(sample: DataFrame, dtypes: dict[str, type]) -> list[tuple]:
-    """(label, array, ...) of the sample's rows in order of doc_id.
+def within_budget(sizes: list[tuple], budget: int) -> list:
+    """Ids of (label, id, bytes) rows: of each label, in the order given, those
+    that fit into what is left of ``budget`` bytes. Documents are taken whole;
+    one that does not fit is passed over."""
+    left, out = {}, []
+    for label, key, size in sizes:
+        room = left.get(label, budget)
+        if size <= room:
+            left[label] = room - size
+            out.append(key)
+    return out
+
+
+def fetch(sample: DataFrame, dtypes: dict[str, type], budget: int | None = None) -> list[tuple]:
+    """(label, array, ...) of the sample's rows in order of doc_id, up to
+    ``budget`` bytes (``CLASS_BYTES``) of each label in the order of a hash of
+    the id.
 
     The sample is written first and passes the driver's JVM a part at a time;
     the arrays are views of one growing buffer a column, so that the driver
     holds them once and gives the memory back afterwards."""
     ids, labels, ends = [], [], [0]
     room = {c: np.empty(1 << 20, t) for c, t in dtypes.items()}
-    for row in written(sample, "sample").toLocalIterator():
+    sample = written(sample, "sample")
+    size = sum((F.octet_length(c).cast("long") for c in dtypes), F.lit(0).cast("long"))
+    sizes = [tuple(r) for r in sample.select("label", "doc_id", size).orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    some = within_budget(sizes, CLASS_BYTES if budget is None else budget)  # sizes: at most 2 x per_class rows
+    if len(some) < len(sizes):
+        chosen = sample.sparkSession.createDataFrame([(k,) for k in some], "doc_id long")
+        sample = sample.join(F.broadcast(chosen), "doc_id", "left_semi")
+    for row in sample.toLocalIterator():
         ids.append(row["doc_id"])
         labels.append(row["label"])
         for c, t in dtypes.items():

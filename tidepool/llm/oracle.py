@@ -89,9 +89,19 @@ def _canonical(text: str) -> str:
     return f"trim({t})"
 
 
-OP5 = (f"with known as (select digest, min(licence) as licence from (select md5({_canonical('t')}) as digest, licence from (values "
-       + ", ".join(f"({_q(n)}, {_q(t)})" for n, t in ld.KNOWN) + ") as k(licence, t)) group by digest) "
-       f"select doc_id, digest, licence from (select doc_id, md5({_canonical('text')}) as digest from documents) left join known using (digest)")
+_KNOWN = (f"known as (select digest, min(licence) as licence from (select md5({_canonical('t')}) as digest, licence from (values "
+          + ", ".join(f"({_q(n)}, {_q(t)})" for n, t in ld.KNOWN) + ") as k(licence, t)) group by digest)")
+_WHOLE = f"(select doc_id, md5({_canonical('text')}) as digest from documents) left join known using (digest)"
+
+OP5 = f"with {_KNOWN} select doc_id, digest, licence from {_WHOLE}"
+
+OP5_NOTICES = f"""
+with {_KNOWN},
+lines as (select doc_id, unnest(string_split(text, chr(10))) as line from documents where text is not null),
+found as (select distinct doc_id, licence from (select doc_id, md5({_canonical("line")}) as digest from lines) join known using (digest)),
+notes as (select doc_id as id, string_agg(licence, ',' order by licence) as notices from found group by doc_id)
+select doc_id, digest, licence, coalesce(notices, '') as notices from {_WHOLE} left join notes on doc_id is not distinct from id
+"""
 
 
 def _shingles(table: str, key: str) -> str:

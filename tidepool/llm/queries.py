@@ -57,7 +57,7 @@ def op5(spark, sf):
 
 def op5_notices(spark, sf):
     from tidepool.llm.license_digest import license_report
-    return license_report(_read(spark, sf, "documents"))
+    return license_report(_read(spark, sf, "documents")).withColumn("notices", F.concat_ws(",", "notices"))
 
 
 def op6(spark, sf):
@@ -128,5 +128,6 @@ QUERIES = {
 def oracle() -> dict[str, str]:
     from tidepool.llm import oracle as o
     return {"op1_url_templates": o.op1_sql(RULES), "op2_embedding_near_duplicates": o.OP2, "op5_license_digest": o.OP5,
+            "op5_license_notices": o.OP5_NOTICES,
             "op6_ngram_jaccard_join": o.OP6, "op9_decontamination": o.OP9, "op10_warc_normaliser": o.OP10,
             "op12_stream_exact_dedup": o.OP12}
