@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.graph import components
+from tidepool.llm.graph import sized_components
 from tidepool.llm.grouped import by_group, forest
 from tidepool.llm.shared import block_pairs, pick, semi_join, written
 
@@ -103,7 +103,7 @@ def _unit(col) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def _buckets(nodes: DataFrame, codes: dict[int, int], seed: int) -> DataFrame:
+def _buckets(nodes: DataFrame, n: int, codes: int | None, seed: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             widths = np.asarray(batch.column("v").value_lengths())
@@ -111,7 +111,7 @@ def _buckets(nodes: DataFrame, codes: dict[int, int], seed: int) -> DataFrame:
                 own = batch.take(pa.array(np.flatnonzero(widths == w)))
                 for lo in range(0, own.num_rows, 1024):
                     part = own.slice(lo, 1024)
-                    k = bucket_codes(_unit(part.column("v")), codes[w], seed=seed).reshape(part.num_rows, -1)
+                    k = bucket_codes(_unit(part.column("v")), codes or codes_for(n, w), seed=seed).reshape(part.num_rows, -1)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(k.size, w, np.int32)), pa.array(k.ravel()),
                          pa.array(np.repeat(np.asarray(part.column("node")), k.shape[1]))], names=["width", "key", "node"])
@@ -136,8 +136,9 @@ def _weights(members: DataFrame, threshold: float) -> DataFrame:
         np.fill_diagonal(link, False)
         if group.column("_bi")[0].as_py() != group.column("_bj")[0].as_py():
             link &= own[:, None] != own[None, :]
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(link @ copies)], names=["node", "weight"])
-    return by_group(members, ["root", "_bi", "_bj"], one, "node long, weight long")
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(link @ copies), pa.array(np.asarray(group.column("root")))],
+                                         names=["node", "weight", "root"])
+    return by_group(members, ["root", "_bi", "_bj"], one, "node long, weight long, root long")
 
 
 def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -160,19 +161,17 @@ def embedding_near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector
     classes = written(usable.groupBy("k1", "k2").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "classes")
     reps = written(classes.join(usable.select(F.col("vec_id").alias("node"), "v"), "node")
                    .select("node", "copies", "v"), "representatives")
-    widths = {r["w"]: r["n"] for r in reps.groupBy(F.size("v").alias("w")).agg(F.count("*").alias("n")).collect()}  # a row a width
-    buckets = _buckets(reps, {w: codes or codes_for(n, w) for w, n in widths.items()}, seed)
+    buckets = _buckets(reps, reps.count(), codes, seed)
     shared = (buckets.groupBy("width", "key").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"),
                                                   F.bit_xor(F.xxhash64("node")).alias("x")).where("n > 1")
               .groupBy("width", "n", "lo", "hi", "x").agg(F.min("key").alias("key")).select("width", "key", "n"))
     inside = block_pairs(buckets.join(shared, ["width", "key"]), ["width", "key"], "n", "node", block)
     inside = inside.select("width", "key", "_bi", "_bj", "node").join(reps.select("node", "v"), "node")
-    comp = components(_edges(inside, threshold), "a", "b")
-    sized = written(comp.join(comp.groupBy("root").agg(F.count("*").alias("size")), "root"), "members")
+    sized = written(sized_components(_edges(inside, threshold), "a", "b"), "members")
     members = semi_join(reps, "node", sized, sized.count(), extra=True)
     weights = _weights(block_pairs(members, ["root"], "size", "node", block), threshold)
-    weights = weights.groupBy("node").agg(F.sum("weight").alias("weight"))
-    full = (classes.join(weights, "node", "left").join(comp, "node", "left")
+    weights = weights.groupBy("node").agg(F.sum("weight").alias("weight"), F.min("root").alias("root"))
+    full = (classes.join(weights, "node", "left")
             .select("k1", "k2", (F.col("copies") - 1 + F.coalesce("weight", F.lit(0))).alias("n_links"),
                     F.coalesce("root", "node").alias("component_id")))
     fits = F.col("v").isNotNull() & F.col("vec_id").isNotNull()

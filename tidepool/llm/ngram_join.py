@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.llm import textkernel as tk
-from tidepool.llm.graph import components
+from tidepool.llm.graph import components, sized_components
 from tidepool.llm.grouped import by_group, forest
 from tidepool.llm.shared import block_pairs, pick, semi_join, written
 
@@ -212,9 +212,8 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     look = F.expr(f"substring(sig, 1, {4 * FIRST_LOOK})").alias("sig")
     buckets = (buckets.select("key", "_bi", "_bj", "class_id")
                .join(reps.select("class_id", look), "class_id"))
-    near = components(_candidate_edges(buckets, threshold, tolerance), "u", "v")
-    sized = near.groupBy("root").agg(F.count("*").alias("size"))
-    members = written(near.join(sized, "root").join(
+    near = sized_components(_candidate_edges(buckets, threshold, tolerance), "u", "v")
+    members = written(near.join(
         classes.groupBy("class_id").agg(F.sum("copies").alias("copies")), near["node"] == F.col("class_id"))
         .select("class_id", "root", "size", "copies"), "candidates")
 
