@@ -79,7 +79,11 @@ def test_odd_vectors(spark):
     assert embedding_near_duplicates(vectors(spark, [(5, None)])).count() == 1
 
 
-def test_components_of_chains_and_rings(spark):
+@pytest.mark.parametrize("rows", [2_000_000, 0])
+def test_components_of_chains_and_rings(spark, monkeypatch, rows):
+    from tidepool.llm import graph, shared
+    monkeypatch.setattr(shared, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(graph, "BROADCAST_ROWS", rows)
     e = [(i, i + 1) for i in range(100, 160)] + [(3, 1), (1, 2), (2, 3), (9, 9), (None, 4)] + [(500, 500 + i) for i in range(1, 30)]
     got = dict(map(tuple, components(spark.createDataFrame(e, "a long, b long"), "a", "b").collect()))
     assert got == {**{i: 100 for i in range(100, 161)}, 1: 1, 2: 1, 3: 1, **{500 + i: 500 for i in range(30)}}

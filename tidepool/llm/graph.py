@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.shared import semi_join, written
+from tidepool.llm.shared import BROADCAST_ROWS, semi_join, written
 
 
 def _is_star(e: DataFrame) -> bool:
@@ -33,9 +33,12 @@ def components(edges: DataFrame, src: str, dst: str) -> DataFrame:
         # written, so that its rows are counted: within the bound a node with
         # many neighbours is not shuffled, beyond it AQE can split its rows
         low = written(e.unionByName(down).groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "lowest")
-        large = semi_join(down, "u", low, low.count(), extra=True).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        n = low.count()  # every node; least has no more rows
+        large = semi_join(down, "u", low, n, extra=True).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        if n > BROADCAST_ROWS:  # combined before it is shuffled
+            large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(least, "u").where(F.col("v") != F.col("m"))
+        small = (semi_join(large, "u", least, n, extra=True).where(F.col("v") != F.col("m"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")))
         e = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
     roots = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
