@@ -103,3 +103,33 @@ def test_days_of_instants_do_not_follow_the_session_zone(spark):
             assert sorted(r["id"] for r in cap_per_day(df, "ts", 1, "id").collect()) == [1, 2]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_load_report_scans_each_side_once(spark):
+    from tidepool.operators.stats import load_report
+    schema = "source string"
+    before = spark.createDataFrame([("a",), (None,), ("<before>",)], schema)
+    new = spark.createDataFrame([("hot",)] * 50 + [("b",), (None,), ("<after>",)], schema)
+    got = sorted(((r["source"] or "", r["n"]) for r in load_report(before, new).collect()))
+    assert got == [("", 1), ("<after>", 1), ("<after>", 56), ("<before>", 3), ("<inserted>", 53), ("b", 1), ("hot", 50)]
+    empty = spark.createDataFrame([], schema)
+    assert sorted(map(tuple, load_report(empty, empty).collect())) == [("<after>", 0), ("<before>", 0), ("<inserted>", 0)]
+    plan = load_report(before, new)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 3  # either side once, and the names of the totals
+
+
+def test_key_buckets_follow_the_size_of_the_base(spark, tmp_path, monkeypatch):
+    from tidepool.streaming import jobs
+    base, src, ck = (str(tmp_path / n) for n in ("base", "src", "ck"))
+    spark.range(2000).selectExpr("id AS key", "0L AS value").write.parquet(f"{base}/v={0:08d}")
+    assert jobs._buckets(spark, base) == jobs.LEAST_BUCKETS
+    monkeypatch.setattr(jobs, "BUCKET_BYTES", 100)
+    n = jobs._buckets(spark, base)
+    assert n > jobs.LEAST_BUCKETS
+    upd = spark.range(0, 2000, 2).selectExpr("id AS key", "id AS value", "1L AS seq")
+    upd.write.parquet(src)
+    for _ in range(2):  # the second run finds nothing to do
+        jobs.stream_update(spark.readStream.schema(upd.schema).parquet(src), base, "key", ["value"], ["seq"], ck).awaitTermination()
+    assert jobs._buckets(spark, base) == n
+    got = {r["key"]: r["value"] for r in jobs.current_table(spark, base, "key").collect()}
+    assert got == {k: k if k % 2 == 0 else 0 for k in range(2000)}

@@ -88,3 +88,14 @@ def test_daily_tsv_columns_by_name(spark, tmp_path):
     (tmp_path / "a_clean.tsv").write_text("lang\ttweet_id\nen\t1\n")
     got = sorted((r.variant, r.tweet_id, r.lang, r.date) for r in read_daily_tsv(spark, str(tmp_path)).collect())
     assert got == [("clean", "1", "en", None), ("full", "1", "en", "2020-03-01"), ("full", "2", "fr", None)]
+
+
+def test_a_row_like_a_header_is_a_row(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("\ntweet_id\tlang\tday\n1\ten\tx\nlang\ttweet_id\tday\n")
+    (tmp_path / "b.tsv").write_text("lang\ttweet_id\n")  # no rows
+    (tmp_path / "c.tsv").write_text("")
+    got = sorted((r.tweet_id, r.lang, r.day) for r in read_daily_tsv(spark, str(tmp_path)).collect())
+    assert got == [("1", "en", "x"), ("lang", "tweet_id", "day")]
+    named = read_daily_tsv(spark, str(tmp_path), ["day", "tweet_id", "absent"])
+    assert named.columns == ["day", "tweet_id", "absent", "variant"]
+    assert sorted((r.tweet_id, r.day, r.absent) for r in named.collect()) == [("1", "x", None), ("lang", "day", None)]

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions.text import split_entities, tokens
@@ -69,10 +69,19 @@ def summary(parts: dict[str, DataFrame]) -> DataFrame:
 
 def load_report(before: DataFrame, inserted: DataFrame, source_col: str = "source") -> DataFrame:
     """A2: rows inserted per source, with ``before``/``inserted``/``after``
-    totals as extra rows (source names them)."""
-    per_source = inserted.groupBy(source_col).agg(F.count(F.lit(1)).alias("n"))
-    n_before = before.agg(F.count(F.lit(1)).alias("n")).select(F.lit("<before>").alias(source_col), "n")
-    n_ins = inserted.agg(F.count(F.lit(1)).alias("n")).select(F.lit("<inserted>").alias(source_col), "n")
-    both = before.select(F.lit(1).alias("one")).unionByName(inserted.select(F.lit(1).alias("one")))
-    n_after = both.agg(F.count(F.lit(1)).alias("n")).select(F.lit("<after>").alias(source_col), "n")
-    return per_source.unionByName(n_before).unionByName(n_ins).unionByName(n_after)
+    totals as extra rows (source names them). Each side is scanned once:
+    rows are counted per side and source, and the few counts are then summed
+    into the rows they belong to. A NULL source is a source of its own; totals
+    of empty sides are 0."""
+    sides = before.select(F.lit(False).alias("_new"), F.lit(None).cast("string").alias("_src")).unionByName(
+        inserted.select(F.lit(True).alias("_new"), F.col(source_col).cast("string").alias("_src")))
+    counts = sides.groupBy("_new", "_src").agg(F.count(F.lit(1)).alias("n"))
+
+    def row(total: bool, name: Column) -> Column:
+        return F.struct(F.lit(total).alias("total"), name.alias("name"))
+
+    into = F.when(F.col("_new"), F.array(row(False, F.col("_src")), row(True, F.lit("<inserted>")), row(True, F.lit("<after>")))) \
+        .otherwise(F.array(row(True, F.lit("<before>")), row(True, F.lit("<after>"))))
+    none = before.sparkSession.sql("SELECT struct(true AS total, name) AS r, 0L AS n FROM VALUES ('<before>'), ('<inserted>'), ('<after>') AS t(name)")
+    return (counts.select(F.explode(into).alias("r"), "n").unionByName(none)
+            .groupBy("r").agg(F.sum("n").alias("n")).select(F.col("r.name").alias(source_col), "n"))

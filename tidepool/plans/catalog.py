@@ -150,7 +150,7 @@ def _landed_daily(spark, sf) -> DataFrame:
         # no repartition by day before writing: a day may hold a third of all rows
         write_daily_tsv(t, f"{root}/full", mode="overwrite")
         write_daily_tsv(t.join(good, "tweet_id", "left_semi"), f"{root}/ids_clean", mode="overwrite")
-    return read_daily_tsv(spark, _landing(spark, "daily", sf, write))
+    return read_daily_tsv(spark, _landing(spark, "daily", sf, write), ["tweet_id", "lang", "day"])
 
 
 @query("daily_source_ids")

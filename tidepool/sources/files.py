@@ -68,29 +68,31 @@ def month_ids(spark: SparkSession, path: str, month: str) -> DataFrame:
     return t.select(F.trim("value").alias("tweet_id")).where(F.col("tweet_id") != "")
 
 
-def read_daily_tsv(spark: SparkSession, path: str) -> DataFrame:
+def read_daily_tsv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """S3: daily TSVs with a header (at least ``tweet_id``, ``lang``); the
-    ``clean`` variant has ``_clean`` in its name or folder. Each file is read
-    by its own header, whatever the order of its columns; a column that a
-    file lacks is NULL there. ``.gz`` files are read directly (one task per
-    file)."""
+    ``clean`` variant has ``_clean`` in its name or folder. A file's header is
+    its first line that is not empty, and each file is read by its own, whatever
+    the order of its columns; a column that a file lacks is NULL there, and so
+    is an empty cell. A data row that looks like a header of another file is a
+    data row. With ``columns`` given the frame is defined without running
+    a job; without it one job looks for the names that the headers hold. ``.gz``
+    files are read directly (one task per file)."""
     lines = (spark.read.option("recursiveFileLookup", "true").text(path)
-             .select("value", F.col("_metadata.file_path").alias("_file")).where("value <> ''"))
-    cells = F.split("value", "\t", -1)
-    header = F.array_contains(cells, "tweet_id") & F.array_contains(cells, "lang")
-    heads = lines.where(header).groupBy("_file").agg(F.min("value").alias("_head"))  # one row a file
-    kinds = [r["_head"] for r in heads.select("_head").distinct().collect()]  # one row a variant of the header
-    names = list(dict.fromkeys(c for h in kinds for c in h.split("\t")))
-    rows = lines.where(~header).join(heads, "_file")
-    cols = []
-    for name in names:
-        value = F.lit(None).cast("string")
-        for h in kinds:
-            if name in h.split("\t"):
-                value = F.when(F.col("_head") == h, F.nullif(F.get(cells, F.lit(h.split("\t").index(name))), F.lit(""))).otherwise(value)
-        cols.append(value.alias(name))
+             .select("value", F.col("_metadata.file_path").alias("_file"),
+                     F.col("_metadata.file_block_start").alias("_start")).where("value <> ''"))
+    # the first line of a file's first split: ids rise along the lines of a split
+    heads = (lines.where("_start = 0").withColumn("_at", F.monotonically_increasing_id())
+             .groupBy("_file").agg(F.min_by("value", "_at").alias("_head")))  # one row a file
+    if columns is None:
+        kinds = [r["_head"] for r in heads.select("_head").distinct().collect()]  # one row a variant of the header
+        columns = list(dict.fromkeys(c for h in sorted(kinds) for c in h.split("\t")))
+    cells, names = F.split("value", "\t", -1), F.split("_head", "\t", -1)
+    at = [F.array_position(names, c).alias(f"_at_{i}") for i, c in enumerate(columns)]
+    rows = lines.join(heads.select("_file", "_head", *at), "_file").where("value <> _head").withColumn("_cells", cells)
+    value = [F.when(F.col(f"_at_{i}") > 0, F.nullif(F.get("_cells", (F.col(f"_at_{i}") - 1).cast("int")), F.lit(""))).alias(c)
+             for i, c in enumerate(columns)]
     variant = F.when(F.col("_file").contains("_clean"), "clean").otherwise("full")
-    return rows.select(*cols, variant.alias("variant"))
+    return rows.select(*value, variant.alias("variant"))
 
 
 def write_daily_tsv(df: DataFrame, path: str, mode: str = "append") -> None:

@@ -195,11 +195,20 @@ def daily_counts(rows: DataFrame, ts_col: str, out: str, checkpoint: str,
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-BUCKETS = 64  # of a versioned table; fixed for the life of a table
+BUCKET_BYTES = 256 << 20  # of the base, for each key bucket of a versioned table
+LEAST_BUCKETS = 64
 
 
-def _bucket(key: str):
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(BUCKETS)).cast("int")
+def _buckets(spark: SparkSession, base_path: str) -> int:
+    """Key buckets of a versioned table. They follow the bytes of its base,
+    which no update changes, so the number stays for the life of the table."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(f"{base_path}/v={0:08d}")
+    size = base.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(base).getLength()
+    return max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
+
+
+def _bucket(key: str, buckets: int):
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
 def _committed(spark: SparkSession, base_path: str) -> dict[int, list[int]]:
@@ -227,7 +236,7 @@ def _state(spark: SparkSession, base_path: str, key: str, below: int | None = No
     rows = spark.read.parquet(f"{base_path}/v={0:08d}")
     if owner:
         newer = spark.read.parquet(*[f"{base_path}/v={v:08d}/keybucket={b}" for b, v in sorted(owner.items())])
-        rows = rows.where(~_bucket(key).isin(sorted(owner))).unionByName(newer, allowMissingColumns=True)
+        rows = rows.where(~_bucket(key, _buckets(spark, base_path)).isin(sorted(owner))).unionByName(newer, allowMissingColumns=True)
     return rows
 
 
@@ -242,7 +251,8 @@ def stream_update(updates: DataFrame, base_path: str, key: str, cols: list[str],
     is ``base_path/v=00000000``. Epoch N writes version N + 1, which holds
     only the key buckets it touches, from the newest committed versions below
     N + 1. So a retried epoch rewrites its own folder from the same input and
-    never reads it. The sequence of the update is stored with the row
+    never reads it. The number of buckets follows the size of the base, and the
+    rebalance hint lets AQE split a large bucket over tasks and files. The sequence of the update is stored with the row
     (``_seq``): an older update that arrives later changes nothing, and the
     stream ends equal to its batch twin. One checkpoint belongs to a table."""
     def _sink(batch: DataFrame, epoch: int):
@@ -251,9 +261,10 @@ def stream_update(updates: DataFrame, base_path: str, key: str, cols: list[str],
             raise ValueError(f"{base_path} has versions after {version}: it belongs to another checkpoint")
         latest = batch.groupBy(key).agg(
             F.max_by(F.struct(*cols), F.struct(*seq, *cols)).alias("_new"), F.max(F.struct(*seq)).alias("_at")).persist()
-        touched = [r[0] for r in latest.select(_bucket(key)).distinct().collect()]  # at most BUCKETS rows
+        bucket = _bucket(key, _buckets(spark, base_path))
+        touched = [r[0] for r in latest.select(bucket).distinct().collect()]  # at most one row a bucket
         if touched:
-            state = _state(spark, base_path, key, below=version).where(_bucket(key).isin(touched))
+            state = _state(spark, base_path, key, below=version).where(bucket.isin(touched))
             if "_seq" not in state.columns:
                 state = state.withColumn("_seq", F.lit(None).cast(latest.schema["_at"].dataType))
             # of equal sequences the greatest values, as in the batch
@@ -261,7 +272,7 @@ def stream_update(updates: DataFrame, base_path: str, key: str, cols: list[str],
             out = [F.when(newer, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c)
                    for c in state.columns if c != "_seq"]
             (state.join(latest, key, "left").select(*out, F.when(newer, F.col("_at")).otherwise(F.col("_seq")).alias("_seq"))
-             .withColumn("keybucket", _bucket(key)).repartition("keybucket")
+             .withColumn("keybucket", bucket).hint("rebalance", "keybucket")
              .write.partitionBy("keybucket").mode("overwrite").parquet(f"{base_path}/v={version:08d}"))
         latest.unpersist()
 
