@@ -771,3 +771,20 @@ def q_stream_walks(spark, sf):
     _run(stream_walks(seeds, index, out, ck, CHAIN_BUCKETS))
     refresh_archive(arch.where(late), index, out, "archive-1", CHAIN_BUCKETS)
     return saved_posts(spark, out)
+
+
+@query("stream_first_links")
+def q_stream_first_links(spark, sf):
+    """T2 by key filters: pages arrive in three deliveries; each link is kept with
+    the page that held it first (of a delivery, the lowest page)."""
+    from tidepool.operators.html_extract import extract_links
+    from tidepool.operators.key_filter import stored_rows
+    from tidepool.session import scratch_path
+    from tidepool.streaming.jobs import stream_first_seen
+    pages = ad.table(spark, sf, "pages").select("page_id", "url", "html")
+    src, out, ck = (scratch_path(spark, f"links_{x}") for x in ("pages", "seen", "ckpt"))
+    for delivery in (0, 1, 2):
+        pages.where(F.pmod("page_id", F.lit(3)) == delivery).write.mode("append").parquet(src)
+        found = extract_links(spark.readStream.schema(pages.schema).parquet(src))
+        _run(stream_first_seen(found.select("link", "page_id"), "link", ["page_id"], out, ck, buckets=CHAIN_BUCKETS))
+    return stored_rows(spark, out, "link string, page_id long")

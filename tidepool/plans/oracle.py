@@ -522,3 +522,7 @@ ORACLE["indexed_closure"] = ORACLE["ingest_closure"]
 ORACLE["stream_walks"] = ORACLE["stream_closure"]
 ORACLE["stream_rejects"] = ORACLE["rejects"]
 ORACLE["hydrate_slices"] = ORACLE["hydrate"]
+ORACLE["stream_first_links"] = f"""WITH h AS (SELECT page_id, url, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS href FROM pages),
+  l AS (SELECT page_id, CASE WHEN starts_with(href, '/') AND NOT starts_with(href, '//')
+                             THEN regexp_replace({site_sql('url')}, '/$', '') || href ELSE href END AS link FROM h)
+  SELECT link, arg_min(page_id, (page_id % 3, page_id)) AS page_id FROM l WHERE link IS NOT NULL GROUP BY link"""

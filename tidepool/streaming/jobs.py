@@ -169,6 +169,22 @@ def stream_dedup(rows: DataFrame, key: str, order: list[str], out: str, checkpoi
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def stream_first_seen(rows: DataFrame, key: str, order: list[str], out: str, checkpoint: str,
+                      buckets: int | None = None, trigger: dict | None = None):
+    """T2 for keys without an order in time: the first row of every key over all
+    epochs, by ``order`` inside an epoch. An epoch is a delivery of
+    ``append_filtered``: stored keys are read only where a filter suspects one,
+    and a retried epoch writes its own delivery again. Read the result with
+    ``key_filter.stored_rows``."""
+    from tidepool.operators import key_buckets, key_filter
+
+    def _sink(batch: DataFrame, epoch: int):
+        key_filter.append_filtered(batch, out, key, order, f"{epoch:08d}", buckets or key_buckets.BUCKETS)
+
+    w = rows.writeStream.foreachBatch(_sink).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def daily_counts(rows: DataFrame, ts_col: str, out: str, checkpoint: str,
                  watermark: str | None = None, trigger: dict | None = None):
     """T4: rows per one-day tumbling window. Without a watermark the whole
