@@ -16,8 +16,10 @@ A template is blocked if its smoothed share of bad labels,
 
 Rules (host, path, verdict) go before: a rule fits its host and all its
 subdomains if the url's path starts with the rule's path; the longest wins.
-The rules are a short list in the plan; pages are joined only with the
-templates (AQE broadcasts or splits, so a hot host does not matter).
+The rules are a short list in the plan. Pages are joined only with segments
+that stay and with templates, both aggregated: they are written and measured, and
+up to ``SIDE_ROWS`` and ``SIDE_BYTES`` broadcast, so a hot host stays where it
+is; beyond that the join is shuffled and AQE splits it.
 
 Defined cases: null urls and urls without ``://`` have empty host and path
 and share one template; an empty path (no slash) starts with no rule's path;
@@ -39,6 +41,7 @@ CHI2 = 3.841  # two-proportion test at 5 %
 WEIGHT, LIMIT = 10.0, 0.5
 SUPPORT = 10  # or this many labelled pages, which weigh as much as the overall share does
 SHOWN = 21  # branches named in a merged template: all of a node that has no literals by support
+SIDE_ROWS, SIDE_BYTES = 500_000, 32 << 20  # of segments or templates that are broadcast
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -72,6 +75,14 @@ def _segments(path: str = "path") -> Column:
     return F.filter(F.split(path, "/"), lambda x: x != "")
 
 
+def _attach(pages: DataFrame, side: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """``pages`` joined with a written, aggregated ``side``, which is broadcast
+    if it is measured to be small."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in side.columns), F.lit(0))
+    n, size = side.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return pages.join(F.broadcast(side) if n <= SIDE_ROWS and size <= SIDE_BYTES else side, keys, how)
+
+
 def _literals(pages: DataFrame, level: int) -> DataFrame:
     """(host, t1 .. t(level-1), s_level) of the segments that stay."""
     parent = ["host", *_levels(level - 1)]
@@ -92,7 +103,7 @@ def templated(pages: DataFrame) -> DataFrame:
     out = out.withColumn("deep", F.size("_segs") > LEVELS).drop("_segs")
     for i in range(1, LEVELS + 1):
         keys = ["host", *_levels(i - 1), f"s{i}"]
-        out = (out.join(_literals(out, i), keys, "left")
+        out = (_attach(out, written(_literals(out, i), "url-literals"), keys)
                .withColumn(f"t{i}", F.when(F.col(f"s{i}") == "", "").when(F.col("_lit"), F.col(f"s{i}")).otherwise("*"))
                .drop("_lit"))
     return out.drop(*_levels(LEVELS, "s"))
@@ -109,14 +120,14 @@ def deeper(spots: DataFrame) -> tuple[DataFrame, int]:
                         .select(*node, F.lit(True).alias("_split")), "url-split")
         if split.isEmpty():
             break
-        flagged = rest.join(split, node, "left")
+        flagged = _attach(rest, split, node)
         goes = F.col("deep") & F.coalesce("_split", F.lit(False))
         parts.append((flagged.where(~goes).drop("_split"), level))
         level += 1
         own = flagged.where(goes).drop("_split").withColumn("_seg", F.get(_segments(), F.lit(level - 1)))
         stays = (own.groupBy(*node, "_seg").agg(F.count("bad").alias("_n")).where(F.col("_n") >= SUPPORT)
                  .select(*node, "_seg", F.lit(True).alias("_lit")))
-        rest = written(own.join(stays, [*node, "_seg"], "left")
+        rest = written(_attach(own, written(stays, "url-stays"), [*node, "_seg"])
                        .withColumn(f"t{level}", F.when(F.col("_lit"), F.col("_seg")).otherwise("*"))
                        .withColumn("deep", F.size(_segments()) > level).drop("_seg", "_lit"), "url-deeper")
     out = rest
@@ -221,5 +232,5 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules: dict[str, str], labe
     by_rule = F.lit(None).cast("string")
     for r, v in rules.items():
         by_rule = F.when(F.col("rule") == r, v).otherwise(by_rule)
-    return (spots.join(judged, names).withColumn("rule", rule)
+    return (_attach(spots, written(judged, "url-judged"), names, "inner").withColumn("rule", rule)
             .select("page_id", "host", "path", "rule", F.coalesce(by_rule, F.col("_method")).alias("verdict"), "template"))
