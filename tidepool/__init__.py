@@ -27,6 +27,7 @@ from tidepool.operators.edge_index import index_edges, refresh_archive, saved_po
 from tidepool.operators.html_extract import (extract_articles, extract_links, listing_cards,
                                              listing_links, next_link, ordered_links, rules_frame)
 from tidepool.operators.hydration import hydrate_slices, hydrated
+from tidepool.operators.key_filter import append_filtered
 from tidepool.operators.keyed import (append_new, assign_ids, ensure_column, hydrate, new_by_key,
                                       orphans, retweet_ids, unhydrated, update_by_key, without_key, write_append)
 from tidepool.operators.listing_walk import walk_links, walk_pages
