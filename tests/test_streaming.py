@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepool.sources.tweets_json import stream_tweets
-from tidepool.streaming.jobs import (append_keyed, classify_stream, current_table, daily_counts,
+from tidepool.streaming.jobs import (append_keyed, classify_stream, current_table, daily_counts, parquet_stream,
                                      stream_dedup, stream_ingest, stream_update)
 
 
@@ -159,3 +159,39 @@ def test_unseen_tweets_and_their_parents_are_stored(spark, tmp_path):
     got = deliver([("later", None, "regular", "2"), ("rt2", "reply2", "retweet", "2"), ("reply2", "new2", "reply", "2"),
                    ("new2", None, "regular", "2")])
     assert [t for t in got if t[0] in ("later", "rt2", "new2")] == [("later", "regular"), ("new2", "regular"), ("rt2", "retweets")]
+
+
+def _turns(spark, folder):
+    """A conversations table kept as a folder of files."""
+    rows = spark.range(4).selectExpr("id + 1 AS conv_id", "explode(sequence(0, 5)) AS turn").selectExpr("conv_id", "cast(turn AS int) AS turn")
+    # conversation 1's turns 150 to 152 and conversation 2's turns 50 to 52 are the same posts with other edges
+    more = spark.createDataFrame([(1, t) for t in range(148, 154)] + [(2, t) for t in range(48, 54)], "conv_id long, turn int")
+    rows.unionByName(more).repartition(3, "conv_id", "turn").write.parquet(f"{folder}/conversations.parquet")
+
+
+@pytest.mark.parametrize("name", ["stream_closure", "stream_walks"])
+def test_walks_over_a_table_kept_as_a_folder(spark, name):
+    import duckdb
+
+    import __spark_entry__ as E
+    root = tempfile.mkdtemp(prefix="tidepool-folder-")
+    _turns(spark, root)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{root}/conversations.parquet/*.parquet')")
+    want = con.execute(f"SELECT tweet_id, saved_to FROM ({E.oracle_sql()[name]})").fetchall()
+    assert sorted(tuple(r) for r in E.queries()[name](spark, root).select("tweet_id", "saved_to").collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("glob, want", [("one.parquet", {1, 2}), ("split.parquet", {3, 4}), ("*.parquet", {1, 2, 3, 4}), ("days", {5, 6})])
+def test_a_stream_reads_files_and_folders_alike(spark, glob, want):
+    root, other = (tempfile.mkdtemp(prefix="tidepool-tables-") for _ in range(2))
+    rows = lambda *n: spark.createDataFrame([(i,) for i in n], "n long")
+    rows(1, 2).coalesce(1).write.parquet(f"{root}/one")
+    os.rename(next(f.path for f in os.scandir(f"{root}/one") if f.name.endswith(".parquet")), f"{root}/one.parquet")
+    rows(3, 4).repartition(2).write.parquet(f"{root}/split.parquet")
+    rows(5, 6).withColumn("day", F.col("n") % 2).write.partitionBy("day").parquet(f"{other}/days")
+    stream = parquet_stream(spark, other if glob == "days" else root, glob)
+    assert ("day" in stream.columns) == (glob == "days")
+    out = f"{other}/out"
+    stream.writeStream.option("checkpointLocation", f"{other}/ck").trigger(availableNow=True).format("parquet").start(out).awaitTermination()
+    assert {r["n"] for r in spark.read.parquet(out).collect()} == want

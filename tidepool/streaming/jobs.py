@@ -297,8 +297,14 @@ def stream_update(updates: DataFrame, base_path: str, key: str, cols: list[str],
 
 
 def parquet_stream(spark: SparkSession, folder: str, file_glob: str, schema=None) -> DataFrame:
-    """A folder of Parquet files as a stream (one file or many; the glob
-    picks which)."""
+    """The Parquet tables of a folder that the glob picks as a stream. A table
+    is a file, or a folder of files, which may be partitioned."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{file_glob}")
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []
+    if any(f.isDirectory() for f in found):  # the names of the files within are free: a filter by name would miss them
+        path, only = p.toString(), {}
+    else:
+        path, only = folder, {"pathGlobFilter": file_glob}
     if schema is None:
-        schema = spark.read.option("pathGlobFilter", file_glob).parquet(folder).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", file_glob).parquet(folder)
+        schema = spark.read.options(**only).parquet(path).schema
+    return spark.readStream.schema(schema).options(**only).parquet(path)
