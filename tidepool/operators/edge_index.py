@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from tidepool.operators.chains import COMPACT_EVERY, FRONTIER_ROWS, cut_lineage, follow
 from tidepool.operators.key_buckets import BUCKETS, everything, probe, put
-from tidepool.operators.keyed import first_per_key
 
 EDGES = "_aid string, _par string, _kind string"
 PARKED = "fid string, phase string"
@@ -21,16 +20,16 @@ SAVED = "tweet_id string, saved_to string"
 
 def index_edges(archive: DataFrame, path: str, delivery: str, buckets: int = BUCKETS) -> DataFrame:
     """Add the edges ``(tweet_id, parent_tweet_id, kind)`` as ``delivery``:
-    the first of each id that no other delivery holds (NULL ids are no posts).
-    Returns the ids added, ``fid``."""
+    all different edges of each id that no other delivery holds (NULL ids are
+    no posts). Returns the ids added, ``fid``."""
     spark = archive.sparkSession
     rows = archive.where("tweet_id IS NOT NULL").select(F.col("tweet_id").alias("_aid"), F.col("parent_tweet_id").alias("_par"),
                                                         F.col("kind").alias("_kind"))
-    rows = cut_lineage(first_per_key(rows, ["_aid"], ["_kind", "_par"]))
+    rows = cut_lineage(rows.distinct())
     held = probe(spark, path, EDGES, "_aid", rows.select("_aid"), buckets, without=delivery)
     new = cut_lineage(rows.join(held.select("_aid"), "_aid", "left_anti"))
     put(new, path, "_aid", delivery, buckets)
-    return new.select(F.col("_aid").alias("fid"))
+    return new.select(F.col("_aid").alias("fid")).distinct()
 
 
 def walk_indexed(frontier: DataFrame, path: str, buckets: int = BUCKETS) -> tuple[DataFrame, DataFrame]:
