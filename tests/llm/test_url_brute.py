@@ -146,3 +146,21 @@ def test_whole_tables_follow_the_method(spark, sf):
                            "and greatest(1 - quality, toxic) is not null group by 1").fetchall())
     got = op1(spark, sf).select("page_id", "host", "path", "rule", "verdict", "template").collect()
     assert sorted(map(tuple, got), key=repr) == sorted(brute(pages, bad), key=repr)
+
+
+def test_a_plan_of_merging_holds_one_level(spark, monkeypatch):
+    """Each level names the one before three times: in one plan, three levels had 13 windows."""
+    from tidepool.llm import url_templates as ut
+    windows, write = [], ut.written
+
+    def counted(df, name):
+        windows.append(df._jdf.queryExecution().optimizedPlan().toString().count("Window ["))
+        return write(df, name)
+
+    monkeypatch.setattr(ut, "written", counted)
+    rows = [("h.org", a, b, c, False, 20, 20 * (a == "x")) for a in "xyz" for b in "pq" for c in "12"]
+    counts = spark.createDataFrame(rows, "host string, t1 string, t2 string, t3 string, deep boolean, labelled long, bad long")
+    got = ut.merged_templates(counts)
+    windows.append(got._jdf.queryExecution().optimizedPlan().toString().count("Window ["))
+    assert max(windows) == 1
+    assert {(r["t1"], r["m1"], r["m2"], r["m3"]) for r in got.collect()} == {("x", "x", "*", "*"), ("y", "{y|z}", "*", "*"), ("z", "{y|z}", "*", "*")}

@@ -202,8 +202,8 @@ def merged_templates(counts: DataFrame, levels: int = LEVELS) -> DataFrame:
                  .otherwise(F.concat(F.lit("{"), name, F.lit("}"))))
         branch = (cluster.withColumn("_named", named).select(*names, F.explode("_own").alias(own), "_named"))
         out = out.join(branch, [*names, own]).drop(own).withColumnRenamed("_named", own)
-        if i > LEVELS:
-            out = written(out, "url-merged")  # one plan holds LEVELS levels, however deep the paths
+        # a plan holds one level: each names the one before three times
+        out = written(out, "url-merged")
     return out
 
 
@@ -220,7 +220,7 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules: dict[str, str], labe
     spots, levels = deeper(written(templated(keyed), "url-templates"))
     names = ["host", *_levels(levels), "deep"]
     counts = spots.groupBy(*names).agg(F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    merged = written(merged_templates(counts, levels), "url-merged")
+    merged = merged_templates(written(counts, "url-counts"), levels)
     own = Window.partitionBy("host", "deep", *_levels(levels, "m"))
     all_n, all_b = merged.agg(F.coalesce(F.sum("labelled"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
     prior = all_b / all_n if all_n else 0.0
